@@ -5,8 +5,37 @@ states the operator's semantics in plain SQL.
 """
 from __future__ import annotations
 
-# Day number of an instant: days since 2024-01-01 (19723 days after 1970), clamped at 0.
-DAYNUM = "greatest(0, cast(floor(epoch_us({ts}) / 86400000000.0) as int) - 19723)"
+EPOCH_US = 1704067200000000  # 2024-01-01T00:00:00Z
+DAY_US = 86400000000
+
+
+def _x(ts: str) -> str:
+    return f"(epoch_us({ts}) - {EPOCH_US})"
+
+
+def _pmod(a: str, d: int) -> str:
+    return f"((({a}) % {d} + {d}) % {d})"
+
+
+def sim_day(ts: str, day_us: int = DAY_US) -> str:
+    x = _x(ts)
+    return f"cast(greatest(0, ({x} - {_pmod(x, day_us)}) // {day_us}) as int)"
+
+
+def sim_hour(ts: str, day_us: int = DAY_US) -> str:
+    return f"cast(({_pmod(_x(ts), day_us)} * 24) // {day_us} as int)"
+
+
+def iso(ts: str) -> str:
+    return (f"CASE WHEN epoch_us({ts}) % 1000000 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S+00:00') "
+            f"ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END")
+
+
+def seconds(us_expr: str) -> str:
+    return f"cast({us_expr} as double) / cast(1000000 as double)"
+
+
+DAYNUM = "{ts}"
 EXP_DAY = "date_diff('day', date '1995-01-02', cast(l_shipdate as date))"
 
 TELEMETRY = f"""
@@ -32,7 +61,7 @@ SELECT event_id, vehicle_id, 'D' || substr(vehicle_id, 2) AS driver_id,
 FROM e),
 lake AS (
 SELECT event_id, trip_id, driver_id, vehicle_id, zone, lat, lon, speed, status, fare, trip_completed, event_ts,
-  {DAYNUM.format(ts='event_ts')} AS sim_day
+  {sim_day('event_ts')} AS sim_day
 FROM telemetry WHERE corruption = 'none')"""
 
 EXPENSES = f"""
@@ -81,3 +110,275 @@ ORACLES: dict[str, str] = {}
 ORACLES["trip_summary"] = with_(TELEMETRY, TRIPS) + "SELECT * FROM trips"
 
 ORACLES["daily_profitability"] = with_(TELEMETRY, EXPENSES, TRIPS, PROFIT) + "SELECT * FROM profitability"
+
+
+LATEST = """
+latest AS (
+SELECT vehicle_id, status, zone, event_ts AS last_event_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_ts DESC, event_id DESC) AS rn FROM lake)
+WHERE rn = 1)"""
+
+PREV = """
+prev AS (
+SELECT vehicle_id, status, zone, event_ts AS last_event_ts,
+  CASE WHEN status = 'idle' THEN event_ts END AS idle_since FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_ts DESC, event_id DESC) AS rn
+  FROM lake WHERE sim_day < 15)
+WHERE rn = 1)"""
+
+UPD = """
+upd AS (
+SELECT vehicle_id, status, zone, event_ts AS last_event_ts,
+  CASE WHEN status = 'idle' THEN event_ts END AS idle_since FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_ts DESC, event_id DESC) AS rn
+  FROM lake WHERE sim_day >= 15)
+WHERE rn = 1)"""
+
+
+def window_rows(keys: str, name: str) -> str:
+    group = f"window_start, {keys}" if keys else "window_start"
+    key_sel = f"{keys}, " if keys else ""
+    return f"""
+{name}_w AS (
+SELECT l.*, date_trunc('minute', event_ts) - to_minutes(k) AS window_start FROM lake l, range(0, 5) g(k)),
+{name}_a AS (
+SELECT {group},
+  count(DISTINCT CASE WHEN status <> 'idle' THEN vehicle_id END) AS a,
+  count(DISTINCT CASE WHEN status = 'idle' THEN vehicle_id END) AS i,
+  sum(CASE WHEN trip_completed THEN 1 ELSE 0 END) AS t,
+  sum(CASE WHEN trip_completed THEN cast(fare as decimal(12,2)) ELSE cast(0 as decimal(12,2)) END) AS m
+FROM {name}_w GROUP BY {group}),
+{name} AS (
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {key_sel}
+  {sim_day('window_start')} AS sim_day, {sim_hour('window_start')} AS sim_hour,
+  cast(a as int) AS active_vehicles, cast(i as int) AS idle_vehicles,
+  cast(i as double) / cast(nullif(a + i, 0) as double) AS idle_ratio,
+  cast(t as int) AS trips_completed, cast(coalesce(m, 0) as decimal(12,2)) AS earnings
+FROM {name}_a)"""
+
+
+ZONE = window_rows("zone", "zone_m")
+FLEET = window_rows("", "fleet_m")
+
+BATCH = """
+batch AS (
+SELECT sim_day, cast(coalesce(sum(trips), 0) as bigint) AS batch_trips,
+  cast(coalesce(sum(earnings), 0) as decimal(12,2)) AS batch_earnings
+FROM profitability GROUP BY sim_day)"""
+
+SPEED = """
+speed AS (
+SELECT sim_day, cast(coalesce(sum(trips_completed), 0) as bigint) AS speed_trips,
+  cast(coalesce(sum(earnings), 0) as decimal(12,2)) AS speed_earnings
+FROM fleet_m WHERE epoch_us(window_start) % (epoch_us(window_end) - epoch_us(window_start)) = 0
+GROUP BY sim_day)"""
+
+CHECK = """
+chk AS (
+SELECT cast(coalesce(s.sim_day, b.sim_day) as int) AS sim_day,
+  cast(coalesce(s.speed_trips, 0) as bigint) AS speed_trips,
+  cast(coalesce(b.batch_trips, 0) as bigint) AS batch_trips,
+  cast(coalesce(s.speed_earnings, 0) as decimal(12,2)) AS speed_earnings,
+  cast(coalesce(b.batch_earnings, 0) as decimal(12,2)) AS batch_earnings,
+  CASE WHEN coalesce(b.batch_earnings, 0) <> 0 THEN
+    abs(cast(coalesce(s.speed_earnings, 0) - coalesce(b.batch_earnings, 0) as double))
+    / cast(coalesce(b.batch_earnings, 0) as double) * cast(100 as double) END AS earnings_delta_pct
+FROM speed s FULL OUTER JOIN batch b ON s.sim_day = b.sim_day)"""
+
+EPISODES = """
+runs AS (
+SELECT vehicle_id, event_ts, status <> 'idle' AS busy,
+  sum(CASE WHEN status <> 'idle' THEN 1 ELSE 0 END) OVER (PARTITION BY vehicle_id ORDER BY event_ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+FROM lake WHERE vehicle_id IS NOT NULL),
+grp AS (
+SELECT vehicle_id, run, min(CASE WHEN busy THEN event_ts END) AS opened_at,
+  min(CASE WHEN NOT busy THEN event_ts END) AS idle_since,
+  max(CASE WHEN NOT busy THEN event_ts END) AS last_idle_ts,
+  cast(sum(CASE WHEN busy THEN 0 ELSE 1 END) as bigint) AS idle_events
+FROM runs GROUP BY vehicle_id, run),
+episodes AS (
+SELECT e.vehicle_id, e.idle_since, e.last_idle_ts, e.idle_events, c.opened_at AS ended_at
+FROM grp e LEFT JOIN grp c ON c.vehicle_id = e.vehicle_id AND c.run = e.run + 1
+WHERE e.idle_events > 0)"""
+
+ALERTS = f"""
+alerts AS (
+SELECT 'VEHICLE_IDLE' AS alert_type, vehicle_id, 'warning' AS severity,
+  'Vehicle ' || vehicle_id || ' idle since ' || ({iso('idle_since')}) AS message,
+  {sim_day('idle_since + INTERVAL 180 SECOND')} AS sim_day,
+  idle_since + INTERVAL 180 SECOND AS created_at,
+  ended_at IS NULL AS open
+FROM episodes
+WHERE epoch_us(coalesce(ended_at, (SELECT max(event_ts) FROM lake))) - epoch_us(idle_since) >= 180000000)"""
+
+DECODED = """
+decoded AS (
+SELECT event_id,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE trip_id END AS trip_id,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE driver_id END AS driver_id,
+  CASE WHEN corruption IN ('truncated_json', 'missing_field') THEN NULL ELSE vehicle_id END AS vehicle_id,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE zone END AS zone,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE lat END AS lat,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE lon END AS lon,
+  CASE WHEN corruption IN ('truncated_json', 'wrong_type') THEN NULL ELSE speed END AS speed,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE status END AS status,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE fare END AS fare,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE trip_completed END AS trip_completed,
+  CASE WHEN corruption = 'truncated_json' THEN NULL ELSE event_ts END AS event_ts,
+  corruption IN ('truncated_json', 'wrong_type') AS corrupt
+FROM telemetry)"""
+
+LANDED = f"""
+landed AS (SELECT DISTINCT cast({EXP_DAY} as int) AS sim_day FROM lineitem),
+pending AS (SELECT sim_day FROM landed l WHERE NOT EXISTS (
+  SELECT 1 FROM profitability p WHERE p.sim_day = l.sim_day))"""
+
+B = with_
+ORACLES["decode_telemetry"] = B(TELEMETRY, DECODED) + "SELECT * FROM decoded"
+ORACLES["valid_events"] = B(TELEMETRY) + (
+    "SELECT event_id, trip_id, driver_id, vehicle_id, zone, lat, lon, speed, status, fare, "
+    "trip_completed, event_ts FROM telemetry WHERE corruption = 'none'")
+ORACLES["dead_letters"] = B(TELEMETRY) + (
+    "SELECT event_id, CASE corruption WHEN 'missing_field' THEN 'missing_vehicle_id' "
+    "ELSE 'corrupt_payload' END AS reason FROM telemetry WHERE corruption <> 'none'")
+_D5 = 300000000
+ORACLES["sim_clock"] = B(TELEMETRY) + (
+    f"SELECT event_id, {sim_day('event_ts', _D5)} AS sim_day, {sim_hour('event_ts', _D5)} AS sim_hour, "
+    f"{seconds(f'{_D5} - ' + _pmod(_x('event_ts'), _D5))} AS seconds_until_next_day FROM lake")
+ORACLES["vehicle_dim"] = """
+WITH ids AS (SELECT DISTINCT user_id + 1 AS i FROM events)
+SELECT 'V' || CASE WHEN length(cast(i as varchar)) >= 4 THEN cast(i as varchar) ELSE lpad(cast(i as varchar), 4, '0') END AS vehicle_id,
+  'D' || CASE WHEN length(cast(i as varchar)) >= 4 THEN cast(i as varchar) ELSE lpad(cast(i as varchar), 4, '0') END AS driver_id,
+  CASE i % 5 WHEN 0 THEN 'downtown' WHEN 1 THEN 'airport' WHEN 2 THEN 'suburbs_north'
+    WHEN 3 THEN 'suburbs_south' ELSE 'industrial_park' END AS home_zone
+FROM ids"""
+ORACLES["validate_expenses"] = f"""
+WITH lines AS (
+SELECT l_orderkey AS source_order, l_linenumber AS source_line,
+  'V' || lpad(cast(l_suppkey + 1 as varchar), 4, '0') AS vehicle_id,
+  cast({EXP_DAY} % 30 as int) AS sim_day,
+  cast(l_quantity * 5 / 100 as decimal(10,2)) AS fuel_cost,
+  cast(CASE WHEN l_returnflag = 'R' THEN l_quantity * 5 / 100 ELSE cast(0 as double) END as decimal(10,2)) AS maintenance_cost,
+  cast(l_quantity as decimal(10,2)) AS distance_covered
+FROM lineitem),
+counts AS (SELECT vehicle_id, sim_day, count(*) AS n FROM lines WHERE vehicle_id IS NOT NULL GROUP BY 1, 2)
+SELECT l.source_order, l.source_line, l.vehicle_id, l.sim_day, l.fuel_cost, l.maintenance_cost, l.distance_covered,
+  CASE WHEN l.vehicle_id IS NULL THEN 'missing_vehicle_id' WHEN l.fuel_cost < 0 THEN 'negative_fuel_cost'
+    WHEN l.maintenance_cost < 0 THEN 'negative_maintenance_cost' WHEN l.distance_covered < 0 THEN 'negative_distance'
+    WHEN c.n > 1 THEN 'duplicate_key' END AS reject_reason
+FROM lines l LEFT JOIN counts c ON l.vehicle_id = c.vehicle_id AND l.sim_day = c.sim_day"""
+
+ORACLES["zone_window_metrics"] = B(TELEMETRY, ZONE) + "SELECT * FROM zone_m"
+ORACLES["fleet_window_metrics"] = B(TELEMETRY, FLEET) + "SELECT * FROM fleet_m"
+ORACLES["ingest_quality"] = B(TELEMETRY) + """
+SELECT date_trunc('hour', event_ts) AS window_start, date_trunc('hour', event_ts) + INTERVAL 1 HOUR AS window_end,
+  cast(sum(CASE WHEN corruption = 'none' THEN 1 ELSE 0 END) as bigint) AS valid_records,
+  cast(sum(CASE WHEN corruption <> 'none' THEN 1 ELSE 0 END) as bigint) AS invalid_records,
+  cast(sum(CASE WHEN corruption <> 'none' THEN 1 ELSE 0 END) as double) / cast(count(*) as double) AS invalid_ratio
+FROM telemetry GROUP BY 1"""
+
+ORACLES["vehicle_latest"] = B(TELEMETRY, LATEST) + "SELECT * FROM latest"
+ORACLES["vehicle_state_step"] = B(TELEMETRY, LATEST, PREV) + """
+SELECT coalesce(l.vehicle_id, p.vehicle_id) AS vehicle_id,
+  CASE WHEN l.vehicle_id IS NOT NULL THEN l.status ELSE p.status END AS status,
+  CASE WHEN l.vehicle_id IS NOT NULL THEN l.zone ELSE p.zone END AS zone,
+  CASE WHEN l.vehicle_id IS NOT NULL THEN l.last_event_ts ELSE p.last_event_ts END AS last_event_ts,
+  CASE WHEN l.vehicle_id IS NULL THEN p.idle_since
+       WHEN l.status <> 'idle' THEN NULL
+       WHEN p.status = 'idle' AND p.idle_since IS NOT NULL THEN p.idle_since
+       ELSE l.last_event_ts END AS idle_since
+FROM latest l FULL OUTER JOIN prev p ON l.vehicle_id = p.vehicle_id"""
+ORACLES["keyed_upsert"] = B(TELEMETRY, PREV, UPD) + """
+SELECT coalesce(u.vehicle_id, t.vehicle_id) AS vehicle_id,
+  CASE WHEN u.vehicle_id IS NOT NULL THEN u.status ELSE t.status END AS status,
+  CASE WHEN u.vehicle_id IS NOT NULL THEN u.zone ELSE t.zone END AS zone,
+  CASE WHEN u.vehicle_id IS NOT NULL THEN u.last_event_ts ELSE t.last_event_ts END AS last_event_ts,
+  CASE WHEN u.vehicle_id IS NOT NULL THEN u.idle_since ELSE t.idle_since END AS idle_since
+FROM prev t FULL OUTER JOIN upd u ON t.vehicle_id = u.vehicle_id"""
+ORACLES["idle_episodes"] = B(TELEMETRY, EPISODES) + "SELECT * FROM episodes"
+ORACLES["idle_alerts"] = B(TELEMETRY, EPISODES, ALERTS) + "SELECT * FROM alerts"
+ORACLES["recent_alerts"] = B(TELEMETRY, EPISODES, ALERTS) + (
+    "SELECT * FROM alerts ORDER BY created_at DESC, vehicle_id, message LIMIT 50")
+
+_P = (TELEMETRY, EXPENSES, TRIPS, PROFIT)
+ORACLES["batch_day_totals"] = B(*_P, BATCH) + "SELECT * FROM batch"
+ORACLES["speed_day_totals"] = B(TELEMETRY, FLEET, SPEED) + "SELECT * FROM speed"
+ORACLES["consistency_check"] = B(*_P, BATCH, FLEET, SPEED, CHECK) + "SELECT * FROM chk"
+ORACLES["report_with_check"] = B(*_P, BATCH, FLEET, SPEED, CHECK) + (
+    "SELECT p.*, c.speed_trips, c.batch_trips, c.speed_earnings, c.batch_earnings, c.earnings_delta_pct "
+    "FROM profitability p LEFT JOIN chk c ON p.sim_day = c.sim_day")
+ORACLES["fleet_latest"] = B(TELEMETRY, FLEET) + "SELECT * FROM fleet_m ORDER BY window_start DESC LIMIT 1"
+ORACLES["zone_latest"] = B(TELEMETRY, ZONE) + (
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY zone ORDER BY window_start DESC) AS rn "
+    "FROM zone_m) WHERE rn = 1")
+ORACLES["profit_report"] = B(*_P) + (
+    "SELECT * FROM profitability WHERE sim_day = (SELECT max(sim_day) FROM profitability) "
+    "ORDER BY profit ASC NULLS LAST, vehicle_id")
+ORACLES["report_summary"] = B(*_P) + """
+SELECT sim_day, count(*) AS vehicles,
+  cast(sum(CASE WHEN unprofitable THEN 1 ELSE 0 END) as bigint) AS unprofitable_vehicles,
+  cast(coalesce(sum(earnings), 0) as decimal(12,2)) AS total_earnings
+FROM profitability GROUP BY sim_day"""
+ORACLES["top_unprofitable"] = B(*_P) + """
+SELECT * FROM (
+  SELECT *, cast(row_number() OVER (PARTITION BY sim_day ORDER BY profit ASC NULLS LAST, vehicle_id) as int) AS rank
+  FROM profitability WHERE unprofitable)
+WHERE rank <= 10"""
+ORACLES["report_days"] = B(*_P) + "SELECT DISTINCT sim_day FROM profitability ORDER BY sim_day DESC"
+ORACLES["pending_days"] = B(*_P, LANDED) + "SELECT sim_day FROM pending"
+ORACLES["next_pending_day"] = B(*_P, LANDED) + "SELECT min(sim_day) AS next_day FROM pending"
+
+ORACLES["pipeline_health"] = B(*_P) + f""",
+beats AS (
+  SELECT 'stream_sink' AS component, event_ts AS at FROM lake
+  UNION ALL SELECT 'batch_sim', make_timestamp({EPOCH_US} + (sim_day + 1) * {DAY_US}) FROM expenses_f
+  UNION ALL SELECT 'batch_reconcile', make_timestamp({EPOCH_US} + (sim_day + 1) * {DAY_US})
+    FROM profitability WHERE has_expenses),
+beat_last AS (SELECT component, max(at) AS last_success_at FROM beats GROUP BY component),
+th AS (SELECT * FROM (VALUES ('stream_sink', cast(60 as double)), ('batch_sim', cast(172800 as double)),
+  ('batch_reconcile', cast(259200 as double))) t(component, threshold_seconds)),
+r AS (
+SELECT th.component, l.last_success_at,
+  coalesce({seconds('epoch_us((SELECT max(event_ts) FROM lake)) - epoch_us(l.last_success_at)')},
+           cast(1e9 as double)) AS age, th.threshold_seconds
+FROM beat_last l RIGHT JOIN th ON l.component = th.component)
+SELECT component, last_success_at, age AS seconds_since_last_success, threshold_seconds,
+  age < threshold_seconds AS healthy,
+  CASE WHEN max(CASE WHEN age < threshold_seconds THEN 0 ELSE 1 END) OVER () = 1 THEN 'degraded' ELSE 'ok' END AS overall
+FROM r"""
+ORACLES["event_staleness"] = B(TELEMETRY) + f"""
+SELECT vehicle_id, max(event_ts) AS last_event_ts,
+  {seconds('epoch_us((SELECT max(event_ts) FROM lake)) - epoch_us(max(event_ts))')} AS seconds_since_last_event,
+  {seconds('epoch_us((SELECT max(event_ts) FROM lake)) - epoch_us(max(event_ts))')} > cast(60 as double) AS stale
+FROM lake GROUP BY vehicle_id"""
+ORACLES["sustained_breach"] = B(TELEMETRY) + """,
+samples AS (
+SELECT make_timestamp(epoch_us(event_ts) - epoch_us(event_ts) % 10800000000) AS window_start,
+  sum(CASE WHEN corruption <> 'none' THEN 1 ELSE 0 END) AS bad, count(*) AS n
+FROM telemetry GROUP BY 1),
+b AS (SELECT window_start, epoch_us(window_start) // 10800000000 AS i FROM samples
+      WHERE cast(bad as double) / cast(n as double) > 0.02),
+isl AS (SELECT window_start, i - row_number() OVER (ORDER BY i) AS g FROM b)
+SELECT 'invalid_ratio' AS rule, min(window_start) AS breach_start, max(window_start) AS last_breach_sample,
+  count(*) AS samples, (count(*) - 1) * 10800 AS held_seconds
+FROM isl GROUP BY g HAVING (count(*) - 1) * 10800 >= 10800"""
+ORACLES["trip_fare_audit"] = B(TELEMETRY) + """,
+a AS (
+SELECT trip_id, vehicle_id,
+  sum(CASE WHEN status = 'on_trip' THEN cast(speed as decimal(10,1)) END) AS sp,
+  cast(sum(CASE WHEN status = 'on_trip' THEN 1 ELSE 0 END) as bigint) AS on_trip_events,
+  max(CASE WHEN trip_completed THEN fare END) AS settled_fare
+FROM lake WHERE trip_id IS NOT NULL GROUP BY trip_id, vehicle_id),
+k AS (SELECT *, cast(coalesce(sp, 0) as double) * cast(1.0 as double) AS distance_km FROM a)
+SELECT trip_id, vehicle_id, on_trip_events, distance_km,
+  cast(3.5 as double) + cast(0.85 as double) * distance_km AS expected_fare, settled_fare,
+  settled_fare - (cast(3.5 as double) + cast(0.85 as double) * distance_km) AS fare_gap
+FROM k"""
+ORACLES["status_transitions"] = B(TELEMETRY) + """,
+t AS (SELECT status, lag(status) OVER (PARTITION BY vehicle_id ORDER BY event_ts, event_id) AS from_status
+      FROM lake WHERE vehicle_id IS NOT NULL)
+SELECT from_status, status AS to_status, count(*) AS transitions,
+  coalesce((from_status = 'idle' AND status = 'enroute') OR (from_status = 'enroute' AND status = 'on_trip')
+    OR (from_status = 'on_trip' AND status = 'idle'), false) AS allowed
+FROM t WHERE from_status IS NOT NULL AND from_status <> status GROUP BY from_status, status"""

@@ -8,10 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility.functions.clock import ntz
+from mobility.functions.clock import SimClock, ntz, with_sim_clock
+from mobility.operators import audit, dims, serve
+from mobility.operators import ingest as ing
+from mobility.operators import quality as qual
 from mobility.operators import reconcile as rc
+from mobility.operators import state as st
+from mobility.operators import windows as win
+from mobility.schema import BUSINESS_COLUMNS, CORRUPT_COLUMN, TS
+from mobility.sinks import upsert as ups
 from mobility.sources import fixtures as fx
-from mobility.schema import TS
 
 CLOCK = fx.FIXTURE_CLOCK
 
@@ -54,3 +60,252 @@ def trip_summary(spark, sf_dir):
 @register
 def daily_profitability(spark, sf_dir):
     return profitability(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- more shared pieces
+
+
+def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads through the real decoder; the broker timestamp is the event's."""
+    raw = fx.raw_payloads(spark, sf_dir)
+    return ing.decode_telemetry(raw, value="raw_value", keep=["event_id", "ingest_ts"])
+
+
+def fleet_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return win.fleet_window_metrics(lake(spark, sf_dir), CLOCK)
+
+
+def zone_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return win.zone_window_metrics(lake(spark, sf_dir), CLOCK)
+
+
+def as_of_last_event(events: DataFrame) -> F.Column:
+    """Newest event time as a scalar subquery (evaluated by Spark, not collected)."""
+    return events.select(F.max(TS)).scalar()
+
+
+def state_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored state after the first half of the period (days < SPLIT_DAY)."""
+    early = lake(spark, sf_dir).where(F.col("sim_day") < SPLIT_DAY)
+    return st.state_from_latest(st.vehicle_latest(early))
+
+
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = lake(spark, sf_dir)
+    return st.idle_alerts(st.idle_episodes(ev), as_of_last_event(ev), CLOCK)
+
+
+SPLIT_DAY = 15
+SHORT_CLOCK = SimClock(epoch=CLOCK.epoch, day_seconds=300)
+
+
+# ---------------------------------------------------------------- ingest
+
+
+@register
+def decode_telemetry(spark, sf_dir):
+    d = decoded(spark, sf_dir)
+    return _ntz_out(d.select("event_id", *BUSINESS_COLUMNS,
+                             F.col(CORRUPT_COLUMN).isNotNull().alias("corrupt")), TS)
+
+
+@register
+def valid_events(spark, sf_dir):
+    return _ntz_out(ing.valid_events(decoded(spark, sf_dir), keep=["event_id"]), TS)
+
+
+@register
+def dead_letters(spark, sf_dir):
+    return ing.dead_letters(decoded(spark, sf_dir), keep=["event_id"]).drop("raw_value")
+
+
+@register
+def sim_clock(spark, sf_dir):
+    ev = fx.lake_events(spark, sf_dir).select("event_id", TS)
+    return with_sim_clock(ev, SHORT_CLOCK).drop(TS)
+
+
+@register
+def vehicle_dim(spark, sf_dir):
+    ids = fx.table(spark, sf_dir, "events").select((F.col("user_id") + 1).alias("i")).distinct()
+    return dims.vehicle_dim(spark, source=ids)
+
+
+@register
+def validate_expenses(spark, sf_dir):
+    return rc.label_expenses(fx.expense_lines(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- windows
+
+
+@register
+def zone_window_metrics(spark, sf_dir):
+    return zone_metrics(spark, sf_dir)
+
+
+@register
+def fleet_window_metrics(spark, sf_dir):
+    return fleet_metrics(spark, sf_dir)
+
+
+@register
+def window_distinct_approx(spark, sf_dir):
+    return win.zone_window_metrics(lake(spark, sf_dir), CLOCK, exact=False)
+
+
+@register
+def ingest_quality(spark, sf_dir):
+    return qual.ingest_quality(decoded(spark, sf_dir), size="1 hour")
+
+
+# ---------------------------------------------------------------- state
+
+
+@register
+def vehicle_latest(spark, sf_dir):
+    return _ntz_out(st.vehicle_latest(lake(spark, sf_dir)), "last_event_ts")
+
+
+@register
+def vehicle_state_step(spark, sf_dir):
+    latest = st.vehicle_latest(lake(spark, sf_dir))
+    return _ntz_out(st.vehicle_state_step(state_before(spark, sf_dir), latest), "last_event_ts", "idle_since")
+
+
+@register
+def keyed_upsert(spark, sf_dir):
+    late = lake(spark, sf_dir).where(F.col("sim_day") >= SPLIT_DAY)
+    updates = st.state_from_latest(st.vehicle_latest(late))
+    merged = ups.keyed_upsert(state_before(spark, sf_dir), updates, ["vehicle_id"])
+    return _ntz_out(merged, "last_event_ts", "idle_since")
+
+
+@register
+def idle_episodes(spark, sf_dir):
+    return _ntz_out(st.idle_episodes(lake(spark, sf_dir)), "idle_since", "last_idle_ts", "ended_at")
+
+
+@register
+def idle_alerts(spark, sf_dir):
+    return _ntz_out(alerts(spark, sf_dir), "created_at")
+
+
+@register
+def recent_alerts(spark, sf_dir):
+    return _ntz_out(serve.recent_alerts(alerts(spark, sf_dir), limit=50), "created_at")
+
+
+# ---------------------------------------------------------------- consistency and reports
+
+
+@register
+def batch_day_totals(spark, sf_dir):
+    return rc.batch_day_totals(profitability(spark, sf_dir))
+
+
+@register
+def speed_day_totals(spark, sf_dir):
+    CLOCK.check_span(300)
+    return rc.speed_day_totals(fleet_metrics(spark, sf_dir))
+
+
+def _check(spark, sf_dir):
+    speed = rc.speed_day_totals(fleet_metrics(spark, sf_dir))
+    return rc.consistency_check(speed, rc.batch_day_totals(profitability(spark, sf_dir)))
+
+
+@register
+def consistency_check(spark, sf_dir):
+    CLOCK.check_span(300)
+    return _check(spark, sf_dir)
+
+
+@register
+def report_with_check(spark, sf_dir):
+    return rc.report_with_check(profitability(spark, sf_dir), _check(spark, sf_dir))
+
+
+@register
+def fleet_latest(spark, sf_dir):
+    return serve.fleet_latest(fleet_metrics(spark, sf_dir))
+
+
+@register
+def zone_latest(spark, sf_dir):
+    return serve.zone_latest(zone_metrics(spark, sf_dir))
+
+
+@register
+def profit_report(spark, sf_dir):
+    return serve.profit_report(profitability(spark, sf_dir))
+
+
+@register
+def report_summary(spark, sf_dir):
+    return serve.report_summary(profitability(spark, sf_dir))
+
+
+@register
+def top_unprofitable(spark, sf_dir):
+    return serve.top_unprofitable(profitability(spark, sf_dir), n=10)
+
+
+@register
+def report_days(spark, sf_dir):
+    return serve.report_days(profitability(spark, sf_dir))
+
+
+@register
+def pending_days(spark, sf_dir):
+    return rc.pending_days(fx.landing_listing(spark, sf_dir), profitability(spark, sf_dir))
+
+
+@register
+def next_pending_day(spark, sf_dir):
+    return rc.next_pending_day(fx.landing_listing(spark, sf_dir), profitability(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- health and audits
+
+
+@register
+def pipeline_health(spark, sf_dir):
+    ev = lake(spark, sf_dir)
+    day_end = lambda d: F.timestamp_micros(F.lit(CLOCK.epoch_us) + (d + 1).cast("bigint") * F.lit(CLOCK.day_us))
+    profit = profitability(spark, sf_dir)
+    beats = (ev.select(F.lit("stream_sink").alias("component"), F.col(TS).alias("at"))
+             .unionByName(fx.expenses(spark, sf_dir).select(
+                 F.lit("batch_sim").alias("component"), day_end(F.col("sim_day")).alias("at")))
+             .unionByName(profit.where(F.col("has_expenses")).select(
+                 F.lit("batch_reconcile").alias("component"), day_end(F.col("sim_day")).alias("at"))))
+    thresholds = qual.thresholds_frame(spark, {
+        "stream_sink": qual.STALE_EVENT_SECONDS,
+        "batch_sim": 2 * CLOCK.day_seconds,
+        "batch_reconcile": 3 * CLOCK.day_seconds,
+    })
+    return qual.pipeline_health(beats, thresholds, as_of_last_event(ev))
+
+
+@register
+def event_staleness(spark, sf_dir):
+    ev = lake(spark, sf_dir)
+    return qual.event_staleness(ev, as_of_last_event(ev))
+
+
+@register
+def sustained_breach(spark, sf_dir):
+    samples = qual.ingest_quality(decoded(spark, sf_dir), size="3 hours")
+    samples = samples.withColumn("rule", F.lit("invalid_ratio"))
+    return qual.sustained_breach(samples, F.col("invalid_ratio") > 0.02, step_seconds=10_800,
+                                 hold_seconds=10_800)
+
+
+@register
+def trip_fare_audit(spark, sf_dir):
+    return audit.trip_fare_audit(lake(spark, sf_dir), interval_seconds=3600.0)
+
+
+@register
+def status_transitions(spark, sf_dir):
+    return audit.status_transitions(lake(spark, sf_dir), spark)

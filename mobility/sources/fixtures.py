@@ -84,7 +84,8 @@ def lake_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, raw_value)``: the JSON text each event is sent as, with the
-    three broken forms of the reference's payload corruptor."""
+    three broken forms of the reference's payload corruptor. ``ingest_ts``
+    stands for the broker's record timestamp."""
     t = telemetry(spark, sf_dir)
     ts_text = F.date_format(F.col(TS), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     fields = [c for c in BUSINESS_COLUMNS if c != TS]
@@ -97,7 +98,7 @@ def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("corruption") == "wrong_type",
                  F.regexp_replace(full, r'"speed":[0-9.]+', '"speed":"very_fast"'))
            .otherwise(full))
-    return t.select("event_id", raw.alias("raw_value"))
+    return t.select("event_id", raw.alias("raw_value"), F.col(TS).alias("ingest_ts"))
 
 
 def expense_day(shipdate: Column) -> Column:
@@ -121,3 +122,27 @@ def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(zero_km, F.lit(0.0)).otherwise(F.col("_qty")).cast(COST).alias("distance_covered"),
         (F.pmod(F.col("_qty").cast("bigint"), F.lit(12)) == 0).alias("service_flag"),
     )
+
+
+def expense_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unaggregated expense records, one per lineitem row: many rows share a
+    (vehicle, day) key, which the load validation must reject."""
+    li = table(spark, sf_dir, "lineitem")
+    qty = F.col("l_quantity")
+    return li.select(
+        F.col("l_orderkey").alias("source_order"),
+        F.col("l_linenumber").alias("source_line"),
+        vehicle_code(F.col("l_suppkey")).alias("vehicle_id"),
+        F.pmod(expense_day(F.col("l_shipdate")), F.lit(EXPENSE_DAYS)).cast("int").alias("sim_day"),
+        (qty * 5 / 100).cast(COST).alias("fuel_cost"),
+        F.when(F.col("l_returnflag") == "R", qty * 5 / 100).otherwise(F.lit(0.0)).cast(COST).alias("maintenance_cost"),
+        qty.cast(COST).alias("distance_covered"),
+    )
+
+
+def landing_listing(spark: SparkSession, sf_dir: str, root: str = "landing") -> DataFrame:
+    """A listing of the landing zone: one ``expenses_day_<N>.csv`` per ship
+    day of lineitem, N counted from the first ship day (not folded)."""
+    days = table(spark, sf_dir, "lineitem").select(expense_day(F.col("l_shipdate")).alias("d")).distinct()
+    return days.select(F.concat(F.lit(f"{root}/expenses_day_"), F.col("d").cast("string"),
+                                F.lit(".csv")).alias("path"))
