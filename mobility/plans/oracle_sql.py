@@ -331,11 +331,11 @@ ORACLES["next_pending_day"] = B(*_P, LANDED) + "SELECT min(sim_day) AS next_day
 
 ORACLES["pipeline_health"] = B(*_P) + f""",
 beats AS (
-  SELECT 'stream_sink' AS component, event_ts AS at FROM lake
+  SELECT 'stream_sink' AS component, event_ts AS beat_at FROM lake
   UNION ALL SELECT 'batch_sim', make_timestamp({EPOCH_US} + (sim_day + 1) * {DAY_US}) FROM expenses_f
   UNION ALL SELECT 'batch_reconcile', make_timestamp({EPOCH_US} + (sim_day + 1) * {DAY_US})
     FROM profitability WHERE has_expenses),
-beat_last AS (SELECT component, max(at) AS last_success_at FROM beats GROUP BY component),
+beat_last AS (SELECT component, max(beat_at) AS last_success_at FROM beats GROUP BY component),
 th AS (SELECT * FROM (VALUES ('stream_sink', cast(60 as double)), ('batch_sim', cast(172800 as double)),
   ('batch_reconcile', cast(259200 as double))) t(component, threshold_seconds)),
 r AS (
