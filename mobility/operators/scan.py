@@ -6,7 +6,7 @@ job. Here each key is split into event-time buckets: the scan runs inside
 ``(key, bucket)`` partitions, and a small per-``(key, bucket)`` carry table (one
 row per bucket, not per event) stitches the buckets back together. The carry
 is joined on ``(key, bucket)``, the partitioning the big side already has, so
-only the small side moves.
+only the small side moves (or is broadcast, when AQE measures it small).
 """
 from __future__ import annotations
 
@@ -31,14 +31,18 @@ def running_count(df: DataFrame, key: str, order: list[str], flag: str, out: str
     d = _with_bucket(df, ts, bucket_seconds)
     inner = Window.partitionBy(key, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = d.withColumn("_local", F.sum(flag).over(inner))
-    # Running sums of 0/1 flags are monotone: the bucket total is the max.
-    totals = local.groupBy(key, BUCKET).agg(F.max("_local").alias("_total"))
+    # Bucket totals straight from the input: a map-side combined aggregate,
+    # so only one row per (key, bucket) and task is shuffled.
+    totals = d.groupBy(key, BUCKET).agg(F.sum(flag).alias("_total"))
     across = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(key, BUCKET, F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_carry"))
     value = F.col("_local") + F.col("_carry")
     if not inclusive:
         value = value - F.col(flag)
-    return (local.join(carry, [key, BUCKET], "inner")
+    # Every (key, bucket) has a carry row, so the left join keeps all rows;
+    # being a left join on a unique key, the optimizer drops it (and the whole
+    # scan) when ``out`` is never read.
+    return (local.join(carry, [key, BUCKET], "left")
             .withColumn(out, value.cast("bigint"))
             .drop("_local", "_carry", BUCKET))
 
@@ -51,9 +55,9 @@ def previous_value(df: DataFrame, key: str, order: list[str], value: str, out: s
     local = (d.withColumn("_lag", F.lag(value).over(inner))
               .withColumn("_first", F.row_number().over(inner) == 1))
     sort_key = F.struct(*[F.col(c) for c in order])
-    lasts = local.groupBy(key, BUCKET).agg(F.max_by(F.col(value), sort_key).alias("_last"))
+    lasts = d.groupBy(key, BUCKET).agg(F.max_by(F.col(value), sort_key).alias("_last"))
     across = Window.partitionBy(key).orderBy(BUCKET)
     carry = lasts.select(key, BUCKET, F.lag("_last").over(across).alias("_carry"))
-    return (local.join(carry, [key, BUCKET], "inner")
+    return (local.join(carry, [key, BUCKET], "left")
             .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
             .drop("_lag", "_first", "_carry", BUCKET))
