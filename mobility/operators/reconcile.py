@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from mobility.functions.clock import SimClock, micros
 from mobility.schema import COST, MONEY, TS
 
-EXPENSE_FILE_PATTERN = r"expenses_day_(\d+)\.csv$"
+# A landed file, or a folder of that name holding part files.
+EXPENSE_FILE_PATTERN = r"expenses_day_(\d+)\.csv(?:$|/)"
 
 PROFIT_COLUMNS = [
     "vehicle_id", "sim_day", "trips", "earnings", "fuel_cost", "maintenance_cost",
