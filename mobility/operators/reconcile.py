@@ -43,7 +43,7 @@ def landed_days(listing: DataFrame, path_col: str = "path",
 def pending_days(listing: DataFrame, ledger: DataFrame, path_col: str = "path",
                  pattern: str = EXPENSE_FILE_PATTERN) -> DataFrame:
     """Landed days not in the ledger of processed days (``ledger.sim_day``)."""
-    done = ledger.select(F.col("sim_day").cast("int").alias("sim_day"))
+    done = ledger.select(F.col("sim_day").cast("int").alias("sim_day")).distinct()
     return landed_days(listing, path_col, pattern).join(done, "sim_day", "left_anti")
 
 
@@ -166,7 +166,12 @@ def consistency_check(speed: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def report_with_check(profit: DataFrame, check: DataFrame) -> DataFrame:
-    """Report rows with their day's check row (one row per day on the right)."""
+    """Report rows with their day's check row.
+
+    The check has one row per simulated day (its key), so its size is bounded
+    by the number of days covered - a few thousand rows even for years of
+    300-second days - and it is broadcast. A shuffle join here would send all
+    of a day's report rows to one task."""
     c = check.select("sim_day", "speed_trips", "batch_trips", "speed_earnings",
                      "batch_earnings", "earnings_delta_pct")
-    return profit.join(c, "sim_day", "left")
+    return profit.join(F.broadcast(c), "sim_day", "left")

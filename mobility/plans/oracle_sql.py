@@ -382,3 +382,6 @@ SELECT from_status, status AS to_status, count(*) AS transitions,
   coalesce((from_status = 'idle' AND status = 'enroute') OR (from_status = 'enroute' AND status = 'on_trip')
     OR (from_status = 'on_trip' AND status = 'idle'), false) AS allowed
 FROM t WHERE from_status IS NOT NULL AND from_status <> status GROUP BY from_status, status"""
+
+ORACLES["lake_day_scan"] = B(TELEMETRY) + "SELECT * FROM lake WHERE sim_day = 29"
+ORACLES["expenses_scan"] = B(EXPENSES) + "SELECT * FROM expenses_f"

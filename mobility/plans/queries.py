@@ -16,8 +16,12 @@ from mobility.operators import reconcile as rc
 from mobility.operators import state as st
 from mobility.operators import windows as win
 from mobility.schema import BUSINESS_COLUMNS, CORRUPT_COLUMN, TS
+from mobility.plans.derived import materialized
 from mobility.sinks import upsert as ups
+from mobility.sinks.files import archive_by_day
+from mobility.sources import expenses as exp_src
 from mobility.sources import fixtures as fx
+from mobility.sources import lake as lake_src
 
 CLOCK = fx.FIXTURE_CLOCK
 
@@ -96,6 +100,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPLIT_DAY = 15
+SCAN_DAY = 29  # the last simulated day of the fixture period
 SHORT_CLOCK = SimClock(epoch=CLOCK.epoch, day_seconds=300)
 
 
@@ -309,3 +314,27 @@ def trip_fare_audit(spark, sf_dir):
 @register
 def status_transitions(spark, sf_dir):
     return audit.status_transitions(lake(spark, sf_dir), spark)
+
+
+# ---------------------------------------------------------------- written tables, read back
+
+
+def lake_root(spark: SparkSession, sf_dir: str) -> str:
+    return materialized(spark, "lake", sf_dir, ["events"],
+                        lambda p: archive_by_day(fx.lake_events(spark, sf_dir), p, CLOCK))
+
+
+def landing_root(spark: SparkSession, sf_dir: str) -> str:
+    return materialized(spark, "landing", sf_dir, ["lineitem"],
+                        lambda p: exp_src.write_landing(fx.expenses(spark, sf_dir), p))
+
+
+@register
+def lake_day_scan(spark, sf_dir):
+    day = lake_src.lake_day_scan(spark, lake_root(spark, sf_dir), SCAN_DAY)
+    return _ntz_out(day, TS)
+
+
+@register
+def expenses_scan(spark, sf_dir):
+    return exp_src.expenses_scan(spark, landing_root(spark, sf_dir))

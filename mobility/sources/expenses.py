@@ -60,5 +60,5 @@ def write_landing(expenses: DataFrame, landing: str) -> None:
     """Land expense rows as CSV, one folder ``expenses_day_<N>.csv`` per day."""
     out = expenses.select(F.concat(F.lit("expenses_day_"), F.col("sim_day").cast("string"),
                                    F.lit(".csv")).alias("_file"), *EXPENSE_COLUMNS)
-    (out.repartition("_file").write.mode("overwrite").partitionBy("_file")
+    (out.repartitionByRange("_file", "vehicle_id").write.mode("overwrite").partitionBy("_file")
      .option("header", True).csv(landing))
