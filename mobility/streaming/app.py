@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mobility.functions.clock import SimClock
 from mobility.operators import windows as win
-from mobility.operators.ingest import dead_letters, decode_telemetry, valid_events
+from mobility.operators.ingest import dead_letters, decode_telemetry, valid_condition, valid_events
 from mobility.schema import TS
 from mobility.sinks.upsert import write_upsert_batch
 from mobility.streaming.state import vehicle_state_stream
@@ -79,6 +79,15 @@ def decoded_stream(raw: DataFrame) -> DataFrame:
     return decode_telemetry(raw, value="value", keep=["event_id", "ingest_ts"])
 
 
+def observe_ingest(decoded: DataFrame, name: str = "ingest") -> DataFrame:
+    """Row 20, in-stream form: valid / invalid record counts per micro-batch,
+    reported in the query progress (``observedMetrics[name]``) - the record
+    counters the reference exported to its metrics server."""
+    ok = valid_condition()
+    return decoded.observe(name, F.sum(ok.cast("long")).alias("valid_records"),
+                           F.sum((~ok).cast("long")).alias("invalid_records"))
+
+
 def archive_query(valid: DataFrame, cfg: StreamConfig) -> StreamingQuery:
     """Row 32: append-only file sink partitioned by simulated day."""
     out = valid.withColumn("sim_day", cfg.clock.day(TS))
@@ -142,14 +151,15 @@ def multi_query_app(spark: SparkSession, cfg: StreamConfig, path: str | None = N
     """Row 30: start the speed layer; callers wait with
     ``spark.streams.awaitAnyTermination()``. Each query builds its own source,
     as each needs its own offsets and checkpoint."""
+    def decoded() -> DataFrame:
+        return decoded_stream(raw_events(spark, cfg.source_format, cfg.source_options, path))
+
     def valid() -> DataFrame:
-        return valid_events(decoded_stream(raw_events(spark, cfg.source_format, cfg.source_options, path)),
-                            keep=["event_id"])
+        return valid_events(decoded(), keep=["event_id"])
 
-    dead = dead_letters(decoded_stream(raw_events(spark, cfg.source_format, cfg.source_options, path)),
-                        keep=["event_id", "ingest_ts"])
+    dead = dead_letters(decoded(), keep=["event_id", "ingest_ts"])
     return [
-        archive_query(valid(), cfg),
+        archive_query(valid_events(observe_ingest(decoded()), keep=["event_id"]), cfg),
         dead_letter_query(dead, cfg),
         window_query(valid(), cfg, by_zone=True),
         window_query(valid(), cfg, by_zone=False),
