@@ -17,6 +17,7 @@ from mobility.operators import state as st
 from mobility.operators import windows as win
 from mobility.schema import BUSINESS_COLUMNS, CORRUPT_COLUMN, TS
 from mobility.plans.derived import materialized
+from mobility.plans.memo import shared_plan
 from mobility.sinks import upsert as ups
 from mobility.sinks.files import archive_by_day
 from mobility.sources import expenses as exp_src
@@ -43,11 +44,13 @@ def _ntz_out(df: DataFrame, *cols: str) -> DataFrame:
 # ---------------------------------------------------------------- shared pieces
 
 
+@shared_plan
 def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid events with their simulated day, as the archive holds them."""
     return fx.lake_events(spark, sf_dir).withColumn("sim_day", CLOCK.day(TS))
 
 
+@shared_plan
 def profitability(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = rc.trip_summary(lake(spark, sf_dir))
     return rc.daily_profitability(trips, fx.expenses(spark, sf_dir), threshold=0.0)
@@ -69,16 +72,19 @@ def daily_profitability(spark, sf_dir):
 # ---------------------------------------------------------------- more shared pieces
 
 
+@shared_plan
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads through the real decoder; the broker timestamp is the event's."""
     raw = fx.raw_payloads(spark, sf_dir)
     return ing.decode_telemetry(raw, value="raw_value", keep=["event_id", "ingest_ts"])
 
 
+@shared_plan
 def fleet_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.fleet_window_metrics(lake(spark, sf_dir), CLOCK)
 
 
+@shared_plan
 def zone_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.zone_window_metrics(lake(spark, sf_dir), CLOCK)
 
@@ -88,12 +94,14 @@ def as_of_last_event(events: DataFrame) -> F.Column:
     return events.select(F.max(TS)).scalar()
 
 
+@shared_plan
 def state_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored state after the first half of the period (days < SPLIT_DAY)."""
     early = lake(spark, sf_dir).where(F.col("sim_day") < SPLIT_DAY)
     return st.state_from_latest(st.vehicle_latest(early))
 
 
+@shared_plan
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = lake(spark, sf_dir)
     return st.idle_alerts(st.idle_episodes(ev), as_of_last_event(ev), CLOCK)
@@ -215,6 +223,7 @@ def speed_day_totals(spark, sf_dir):
     return rc.speed_day_totals(fleet_metrics(spark, sf_dir))
 
 
+@shared_plan
 def _check(spark, sf_dir):
     speed = rc.speed_day_totals(fleet_metrics(spark, sf_dir))
     return rc.consistency_check(speed, rc.batch_day_totals(profitability(spark, sf_dir)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock, instant
 from mobility.operators.scan import running_count
+from mobility.plans.memo import shared_plan
 from mobility.schema import BUSINESS_COLUMNS, COST, TS
 
 # Fixed values of the fixture mapping (FIXTURES.md §3.1 / §3.3).
@@ -35,6 +36,7 @@ def vehicle_code(user_id: Column) -> Column:
     return F.concat(F.lit("V"), F.lpad((user_id + F.lit(1)).cast("string"), 4, "0"))
 
 
+@shared_plan
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All telemetry rows, typed, with the ``corruption`` each payload gets.
 
@@ -75,6 +77,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@shared_plan
 def lake_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archive holds: valid events only, the 11 business columns plus
     ``event_id`` (the message offset, used as a deterministic tie-break)."""
@@ -82,6 +85,7 @@ def lake_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("event_id", *BUSINESS_COLUMNS))
 
 
+@shared_plan
 def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, raw_value)``: the JSON text each event is sent as, with the
     three broken forms of the reference's payload corruptor. ``ingest_ts``
@@ -105,6 +109,7 @@ def expense_day(shipdate: Column) -> Column:
     return F.datediff(shipdate.cast("date"), F.lit(EXPENSE_DAY_ORIGIN).cast("date"))
 
 
+@shared_plan
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One expense row per (vehicle, sim_day) folded from lineitem."""
     li = table(spark, sf_dir, "lineitem").select(
