@@ -11,14 +11,17 @@ JSON_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 def decode_telemetry(raw: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Row 2: JSON text (or bytes) -> typed columns, keeping the payload as
-    ``raw_value`` and any unparsable text in ``_corrupt_record``."""
+    ``raw_value`` and any unparsable text in ``_corrupt_record``.
+
+    The parsed struct is unpacked with ``inline`` of a one-element array, a
+    generator: filters on the decoded fields (the validity split) then stay
+    above it. Unpacked with a plain projection, the optimizer would push each
+    null check below it and re-parse the payload once per checked field."""
     text = F.col(value).cast("string")
     keep = keep or []
     parsed = raw.select(*keep, text.alias("raw_value"),
-                        F.from_json(text, EVENT_SCHEMA, JSON_OPTIONS).alias("data"))
-    fields = [f.name for f in EVENT_SCHEMA.fields]
-    return parsed.select(*keep, "raw_value",
-                         *[F.col(f"data.{f}").alias(TS if f == "timestamp" else f) for f in fields])
+                        F.inline(F.array(F.from_json(text, EVENT_SCHEMA, JSON_OPTIONS))))
+    return parsed.withColumnRenamed("timestamp", TS)
 
 
 def valid_condition() -> Column:

@@ -4,7 +4,8 @@ The lake and the landing zone are written once per input version under the
 session's shared checkpoint folder (``spark.checkpoint.dir``; our own folder
 only when none is configured), then read like production tables. The folder
 name carries a fingerprint of the input files, so changed inputs get a fresh
-copy, and the write commits with ``_SUCCESS`` - a half-written copy left by a
+copy. A marker file is created only after the write has committed (dynamic
+partition overwrite writes no ``_SUCCESS``), so a half-written copy left by a
 lost job is simply written again.
 """
 from __future__ import annotations
@@ -15,7 +16,9 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 
 from mobility.session import shared_path
-from mobility.sources.lake import path_exists
+from mobility.sources.lake import path_exists, touch
+
+DONE = "_MATERIALIZED"
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
@@ -33,6 +36,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
 def materialized(spark: SparkSession, name: str, sf_dir: str, tables: list[str],
                  build: Callable[[str], None]) -> str:
     path = shared_path(spark, "mobility-derived", f"{name}-{_fingerprint(spark, sf_dir, tables)}")
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    if not path_exists(spark, f"{path}/{DONE}"):
         build(path)
+        touch(spark, f"{path}/{DONE}")
     return path

@@ -23,6 +23,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 def lake_scan(spark: SparkSession, root: str) -> DataFrame:
     """All archived events. Reading the root honours a streaming sink's
     ``_spark_metadata`` log, so files of uncommitted batches are skipped."""
