@@ -101,7 +101,6 @@ def state_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.state_from_latest(st.vehicle_latest(early))
 
 
-@shared_plan
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = lake(spark, sf_dir)
     return st.idle_alerts(st.idle_episodes(ev), as_of_last_event(ev), CLOCK)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock, instant
-from mobility.operators.scan import running_count
+from mobility.operators.scan import bucketed_running_count
 from mobility.plans.memo import shared_plan
 from mobility.schema import BUSINESS_COLUMNS, COST, TS
 
@@ -46,7 +46,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", instant("ts").alias(TS))
     ev = ev.withColumn("_done", (F.col("event_type") == "purchase").cast("int"))
-    ev = running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", ts=TS, inclusive=False)
+    ev = bucketed_running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", ts=TS, inclusive=False)
 
     vid = vehicle_code(F.col("user_id"))
     et = F.col("event_type")
