@@ -3,6 +3,7 @@ supplied tables, built from the operators. Outputs use the declared types and
 ``timestamp_ntz`` for instants (what DuckDB calls TIMESTAMP)."""
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,16 @@ REGISTRY: dict[str, Query] = {}
 
 
 def register(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    """Add a query; it runs with the UTC session zone its semantics assume
+    (instants are UTC; naive timestamps are read as UTC)."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 def _ntz_out(df: DataFrame, *cols: str) -> DataFrame:
