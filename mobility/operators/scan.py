@@ -92,7 +92,7 @@ def _local(ranged: DataFrame, key: str, order: list[str], flag: str | None,
     return scanned.checkpoint(eager=True)
 
 
-def _segments(local: DataFrame, key: str, order: list[str]) -> tuple[list[str], F.Column]:
+def _segments(order: list[str]) -> tuple[list[str], F.Column]:
     seg_cols = [f"{SEG}_{c}" for c in order]
     return seg_cols, F.struct(*[F.col(c).alias(o) for c, o in zip(seg_cols, order)])
 
@@ -102,7 +102,7 @@ def running_count(df: DataFrame, key: str, order: list[str], flag: str, out: str
     """Per-key running sum of a 0/1 ``flag`` in ``order`` (which must end with a
     unique tie-break). Rows with a NULL key are dropped."""
     local = _local(_ranged(df, key, order, partitions), key, order, flag, None, "_local", LongType())
-    seg_cols, seg = _segments(local, key, order)
+    seg_cols, _ = _segments(order)
     # Running sums of 0/1 flags are monotone: a segment's total is its max.
     totals = local.groupBy(key, *seg_cols).agg(F.max("_local").alias("_total"))
     earlier = Window.partitionBy(key).orderBy(*seg_cols).rowsBetween(Window.unboundedPreceding, -1)
@@ -121,7 +121,7 @@ def previous_value(df: DataFrame, key: str, order: list[str], value: str, out: s
     """``lag(value)`` per key in ``order`` (NULL on a key's first row)."""
     ranged = _ranged(df, key, order, partitions)
     local = _local(ranged, key, order, None, value, "_lag", ranged.schema[value].dataType)
-    seg_cols, seg = _segments(local, key, order)
+    seg_cols, seg = _segments(order)
     sort_key = F.struct(*[F.col(c) for c in order])
     lasts = local.groupBy(key, *seg_cols).agg(F.max_by(F.col(value), sort_key).alias("_last"))
     before = Window.partitionBy(key).orderBy(*seg_cols)

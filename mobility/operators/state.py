@@ -15,8 +15,6 @@ from mobility.functions.clock import SimClock, micros
 from mobility.operators.scan import running_count
 from mobility.schema import IDLE, TS
 
-STATE_COLUMNS = ["vehicle_id", "status", "zone", "last_event_ts", "idle_since"]
-
 # Fixed alert values of the reference.
 ALERT_TYPE = "VEHICLE_IDLE"
 ALERT_SEVERITY = "warning"

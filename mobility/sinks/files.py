@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock
 from mobility.schema import TS
@@ -36,7 +35,3 @@ def write_dead_letters(dead: DataFrame, path: str) -> None:
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Row 35: plain append."""
     df.write.mode("append").format(fmt).save(path)
-
-
-def add_ingest_day(df: DataFrame, clock: SimClock, ts: str = "ingest_ts") -> DataFrame:
-    return df.withColumn("ingest_day", clock.day(F.col(ts)))
