@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock, micros
+from mobility.functions.money import money_sum
 from mobility.schema import COST, MONEY, TS
 
 # A landed file, or a folder of that name holding part files.
@@ -90,7 +91,7 @@ def trip_summary(events: DataFrame, clock: SimClock | None = None) -> DataFrame:
     done = events.where(F.col("trip_completed") & F.col("vehicle_id").isNotNull())
     return done.groupBy("vehicle_id", "sim_day").agg(
         F.count("trip_id").cast("int").alias("trips"),
-        money(F.sum(money("fare"))).alias("earnings"),
+        money_sum(F.col("fare")).alias("earnings"),
     )
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock, ntz
-from mobility.schema import IDLE, MONEY, TS
+from mobility.functions.money import cents, from_cents
+from mobility.schema import IDLE, TS
 
 WINDOW = "5 minutes"
 SLIDE = "1 minute"
@@ -27,13 +28,14 @@ def _flags(valid: DataFrame) -> tuple[Column, Column, Column, Column]:
     active = F.when(F.col("status") != IDLE, vid)
     idle = F.when(F.col("status") == IDLE, vid)
     trip = F.when(F.col("trip_completed"), F.lit(1)).otherwise(F.lit(0))
-    fare = F.when(F.col("trip_completed"), F.col("fare").cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
+    fare = F.when(F.col("trip_completed"), cents(F.col("fare"))).otherwise(F.lit(0).cast("long"))
     return active, idle, trip, fare
 
 
 def window_aggregate(valid: DataFrame, keys: list[str], size: str = WINDOW, slide: str = SLIDE,
                      exact: bool = True, rsd: float = 0.05) -> DataFrame:
-    """``window`` struct + keys + active_vehicles, idle_vehicles, trips_completed, earnings."""
+    """``window`` struct + keys + active_vehicles, idle_vehicles, trips_completed,
+    earnings_cents (summed as whole cents, see :mod:`mobility.functions.money`)."""
     active, idle, trip, fare = _flags(valid)
     w = F.window(F.col(TS), size, slide).alias("window")
     if not exact:
@@ -41,7 +43,7 @@ def window_aggregate(valid: DataFrame, keys: list[str], size: str = WINDOW, slid
             F.approx_count_distinct(active, rsd).alias("active_vehicles"),
             F.approx_count_distinct(idle, rsd).alias("idle_vehicles"),
             F.sum(trip).alias("trips_completed"),
-            F.sum(fare).alias("earnings"),
+            F.sum(fare).alias("earnings_cents"),
         )
     per_vehicle = valid.groupBy(w, *keys, "vehicle_id").agg(
         F.max(active.isNotNull().cast("int")).alias("_a"),
@@ -53,7 +55,7 @@ def window_aggregate(valid: DataFrame, keys: list[str], size: str = WINDOW, slid
         F.sum("_a").alias("active_vehicles"),
         F.sum("_i").alias("idle_vehicles"),
         F.sum("_t").alias("trips_completed"),
-        F.sum("_e").alias("earnings"),
+        F.sum("_e").alias("earnings_cents"),
     )
 
 
@@ -73,7 +75,7 @@ def finish_window_metrics(agg: DataFrame, clock: SimClock, keys: list[str]) -> D
         idle.alias("idle_vehicles"),
         F.try_divide(idle.cast("double"), (active + idle).cast("double")).alias("idle_ratio"),
         F.coalesce(F.col("trips_completed"), F.lit(0)).cast("int").alias("trips_completed"),
-        F.coalesce(F.col("earnings"), F.lit(0)).cast(MONEY).alias("earnings"),
+        from_cents(F.coalesce(F.col("earnings_cents"), F.lit(0))).alias("earnings"),
     )
 
 
