@@ -291,10 +291,14 @@ def next_pending_day(spark, sf_dir):
 # ---------------------------------------------------------------- health and audits
 
 
+def day_end(day: F.Column) -> F.Column:
+    """The instant a simulated day closes (when its batch work can succeed)."""
+    return F.timestamp_micros(F.lit(CLOCK.epoch_us) + (day + 1).cast("bigint") * F.lit(CLOCK.day_us))
+
+
 @register
 def pipeline_health(spark, sf_dir):
     ev = lake(spark, sf_dir)
-    day_end = lambda d: F.timestamp_micros(F.lit(CLOCK.epoch_us) + (d + 1).cast("bigint") * F.lit(CLOCK.day_us))
     profit = profitability(spark, sf_dir)
     beats = (ev.select(F.lit("stream_sink").alias("component"), F.col(TS).alias("at"))
              .unionByName(fx.expenses(spark, sf_dir).select(
