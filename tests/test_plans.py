@@ -143,3 +143,23 @@ def test_approx_window_counts_stay_within_error_bound(spark):
 
 def test_report_with_check_broadcasts_the_day_table(spark):
     assert "BroadcastHashJoin" in _plan(q.report_with_check(spark, SF_SMALL))
+
+
+def test_cli_reconcile_runs_pending_days(spark, tmp_path):
+    from mobility.__main__ import main, parser
+    args = parser().parse_args(["--epoch", "2024-01-01", "--day-seconds", "86400", "--root", str(tmp_path),
+                                "reconcile", "--landing", str(tmp_path / "landing"), "--day", "2"])
+    assert args.day == [2] and args.command == "reconcile"
+    clock = fx.FIXTURE_CLOCK
+    lake = fx.lake_events(spark, SF_SMALL)
+    archive_by_day(lake, str(tmp_path / "lake"), clock)
+    write_landing(fx.expenses(spark, SF_SMALL), str(tmp_path / "landing"))
+    write_upsert_batch(win.fleet_window_metrics(lake, clock).withColumn(
+        "window_start", F.col("window_start").cast("timestamp")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp")), 0, str(tmp_path / "fleet_metrics"))
+    main(["--epoch", "2024-01-01", "--day-seconds", "86400", "--root", str(tmp_path),
+          "reconcile", "--landing", str(tmp_path / "landing"), "--day", "2"])
+    days = {r.sim_day for r in spark.read.parquet(str(tmp_path / "daily_profitability"))
+            .select("sim_day").distinct().collect()}
+    assert days == {2}
+    assert (tmp_path / "reports" / "sim_day=2").exists()
