@@ -58,12 +58,14 @@ def next_pending_day(listing: DataFrame, ledger: DataFrame, **kw) -> DataFrame:
 
 def label_expenses(expenses: DataFrame, keys=("vehicle_id", "sim_day")) -> DataFrame:
     """Expense rows with ``reject_reason`` (NULL = loadable). Enforces the
-    table constraints: key present, costs and distance >= 0, one row per key."""
+    table constraints: key present (vehicle and day), costs and distance >= 0,
+    one row per key."""
     keys = list(keys)
     counts = (expenses.where(F.col("vehicle_id").isNotNull())
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
     labeled = expenses.join(counts, keys, "left")
     reason = (F.when(F.col("vehicle_id").isNull(), "missing_vehicle_id")
+              .when(F.col("sim_day").isNull(), "missing_sim_day")
               .when(F.col("fuel_cost") < 0, "negative_fuel_cost")
               .when(F.col("maintenance_cost") < 0, "negative_maintenance_cost")
               .when(F.col("distance_covered") < 0, "negative_distance")

@@ -264,7 +264,8 @@ SELECT l_orderkey AS source_order, l_linenumber AS source_line,
 FROM lineitem),
 counts AS (SELECT vehicle_id, sim_day, count(*) AS n FROM lines WHERE vehicle_id IS NOT NULL GROUP BY 1, 2)
 SELECT l.source_order, l.source_line, l.vehicle_id, l.sim_day, l.fuel_cost, l.maintenance_cost, l.distance_covered,
-  CASE WHEN l.vehicle_id IS NULL THEN 'missing_vehicle_id' WHEN l.fuel_cost < 0 THEN 'negative_fuel_cost'
+  CASE WHEN l.vehicle_id IS NULL THEN 'missing_vehicle_id' WHEN l.sim_day IS NULL THEN 'missing_sim_day'
+    WHEN l.fuel_cost < 0 THEN 'negative_fuel_cost'
     WHEN l.maintenance_cost < 0 THEN 'negative_maintenance_cost' WHEN l.distance_covered < 0 THEN 'negative_distance'
     WHEN c.n > 1 THEN 'duplicate_key' END AS reject_reason
 FROM lines l LEFT JOIN counts c ON l.vehicle_id = c.vehicle_id AND l.sim_day = c.sim_day"""

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of DataFrames that are gone are removed, not left behind.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
     # RocksDB keeps keyed streaming state off the JVM heap, which matters once
     # the vehicle-state and window stores hold millions of keys.
