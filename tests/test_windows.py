@@ -55,3 +55,17 @@ def test_approx_form_runs_and_matches_small_counts(spark):
     approx = zone_window_metrics(ev, CLOCK, exact=False).orderBy("window_start").collect()
     assert len(exact) == len(approx) == 5
     assert all(abs(a.idle_vehicles - e.idle_vehicles) <= 2 for a, e in zip(approx, exact))
+
+
+def test_per_step_form_equals_direct_form(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(f"V{rnd.randint(1, 6)}", rnd.choice(["airport", "downtown"]), rnd.choice(["idle", "enroute", "on_trip"]),
+             rnd.random() < 0.2, rnd.choice([None, 3.5, 12.25]),
+             f"2024-01-01 00:{rnd.randint(0, 20):02d}:{rnd.randint(0, 59):02d}") for _ in range(300)]
+    ev = _events(spark, rows)
+    for size, slide in [("5 minutes", "1 minute"), ("10 minutes", "4 minutes")]:
+        a = zone_window_metrics(ev, CLOCK, size, slide, per_step=True)
+        b = zone_window_metrics(ev, CLOCK, size, slide, per_step=False)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0
