@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from mobility.functions.clock import SimClock
 from mobility.operators import windows as win
 from mobility.operators.ingest import dead_letters, decode_telemetry, valid_condition, valid_events
+from mobility.operators.state import ALERT_SEVERITY, ALERT_TYPE, iso_text
 from mobility.schema import TS
 from mobility.sinks.upsert import write_upsert_batch
 from mobility.streaming.state import vehicle_state_stream
@@ -130,14 +131,24 @@ def window_query(valid: DataFrame, cfg: StreamConfig, by_zone: bool) -> Streamin
             .trigger(**cfg.window_trigger).queryName(name).start())
 
 
+def alert_table(rows: DataFrame, clock: SimClock) -> DataFrame:
+    """Alert rows of the state operator in the alerts-table shape (the same
+    as the batch ``idle_alerts``)."""
+    return rows.where(F.col("kind") == "alert").select(
+        F.lit(ALERT_TYPE).alias("alert_type"), "vehicle_id", F.lit(ALERT_SEVERITY).alias("severity"),
+        F.concat(F.lit("Vehicle "), F.col("vehicle_id"), F.lit(" idle since "),
+                 iso_text(F.col("idle_since"))).alias("message"),
+        clock.day(F.col("alert_at")).alias("sim_day"), F.col("alert_at").alias("created_at"), "open")
+
+
 def vehicle_state_query(valid: DataFrame, cfg: StreamConfig) -> StreamingQuery:
     """Row 27 on a stream: state rows to an upsert log, alerts appended."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_upsert_batch(batch.where(F.col("kind") == "state").drop("kind", "alert_at"),
+            write_upsert_batch(batch.where(F.col("kind") == "state").drop("kind", "alert_at", "open"),
                                batch_id, cfg.vehicle_state)
-            (batch.where(F.col("kind") == "alert").drop("kind")
+            (alert_table(batch, cfg.clock)
              .write.mode("overwrite").parquet(f"{cfg.alerts.rstrip('/')}/batch_id={batch_id}"))
         finally:
             batch.unpersist()

@@ -29,8 +29,8 @@ from mobility.schema import IDLE, TS
 STATE_SCHEMA = ("status string, zone string, last_event_us long, last_event_id long, "
                 "idle_since_us long, alerted_us long")
 OUTPUT_SCHEMA = ("kind string, vehicle_id string, status string, zone string, "
-                 "last_event_ts timestamp, idle_since timestamp, alert_at timestamp")
-OUTPUT_COLUMNS = ["kind", "vehicle_id", "status", "zone", "last_event_ts", "idle_since", "alert_at"]
+                 "last_event_ts timestamp, idle_since timestamp, alert_at timestamp, open boolean")
+OUTPUT_COLUMNS = ["kind", "vehicle_id", "status", "zone", "last_event_ts", "idle_since", "alert_at", "open"]
 
 
 def _ts(v):
@@ -67,7 +67,8 @@ def make_state_step(threshold_minutes: float = IDLE_ALERT_MINUTES):
         if state.hasTimedOut:
             if status == IDLE and idle_since is not None and alerted != idle_since:
                 out.append(dict(kind="alert", vehicle_id=vehicle_id, status=status, zone=zone,
-                                last_event_ts=last_ts, idle_since=idle_since, alert_at=idle_since + limit))
+                                last_event_ts=last_ts, idle_since=idle_since, alert_at=idle_since + limit,
+                                open=True))
                 _save(state, status, zone, last_ts, last_id, idle_since, idle_since)
             if out:
                 yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
@@ -95,7 +96,7 @@ def make_state_step(threshold_minutes: float = IDLE_ALERT_MINUTES):
         done = runs[((runs["end"] - runs["start"]) >= limit) & (runs["start"] != alerted)]
         if not done.empty:
             out.extend(dict(kind="alert", vehicle_id=vehicle_id, status=IDLE, zone=zone,
-                            last_event_ts=e, idle_since=st, alert_at=st + limit)
+                            last_event_ts=e, idle_since=st, alert_at=st + limit, open=False)
                        for st, e in zip(done["start"], done["end"]))
             alerted = done["start"].iloc[-1]
         run_start = None if busy[-1] else starts.loc[g[-1]]
@@ -103,14 +104,14 @@ def make_state_step(threshold_minutes: float = IDLE_ALERT_MINUTES):
         status, zone, last_ts, last_id = last["status"], last["zone"], _ts(last[TS]), int(last["event_id"])
         idle_since = run_start
         out.append(dict(kind="state", vehicle_id=vehicle_id, status=status, zone=zone,
-                        last_event_ts=last_ts, idle_since=idle_since, alert_at=None))
+                        last_event_ts=last_ts, idle_since=idle_since, alert_at=None, open=None))
 
         if idle_since is not None and alerted != idle_since:
             due = idle_since + limit
             watermark = state.getCurrentWatermarkMs()
             if watermark > 0 and _ms(due) <= watermark:
                 out.append(dict(kind="alert", vehicle_id=vehicle_id, status=status, zone=zone,
-                                last_event_ts=last_ts, idle_since=idle_since, alert_at=due))
+                                last_event_ts=last_ts, idle_since=idle_since, alert_at=due, open=True))
                 alerted = idle_since
             else:
                 state.setTimeoutTimestamp(_ms(due))
