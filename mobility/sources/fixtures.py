@@ -46,7 +46,10 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", instant("ts").alias(TS))
     ev = ev.withColumn("_done", (F.col("event_type") == "purchase").cast("int"))
-    ev = bucketed_running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", ts=TS, inclusive=False)
+    # Day buckets: a vehicle has a few events a day here, so hour buckets would
+    # leave about one row per bucket and a carry table as large as the data.
+    ev = bucketed_running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", ts=TS,
+                                bucket_seconds=86_400, inclusive=False)
 
     vid = vehicle_code(F.col("user_id"))
     et = F.col("event_type")
