@@ -19,12 +19,14 @@ from mobility.session import shared_path
 from mobility.sources.lake import path_exists, touch
 
 DONE = "_MATERIALIZED"
+# Bump when the derivation of a stored table changes, so old copies are not reused.
+LAYOUT_VERSION = "2"
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1(sf_dir.encode())
+    h = hashlib.sha1(f"{LAYOUT_VERSION}:{sf_dir}".encode())
     for t in tables:
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = p.getFileSystem(conf)
