@@ -11,7 +11,7 @@ from mobility.operators import windows as win
 from mobility.plans import queries as q
 from mobility.plans import reconciliation
 from mobility.sinks.files import archive_by_day
-from mobility.sinks.report import NO_CHECK, daily_report, write_reports
+from mobility.sinks.report import NO_CHECK, daily_report
 from mobility.sinks.upsert import write_upsert_batch
 from mobility.sources import fixtures as fx
 from mobility.sources.expenses import write_landing

@@ -1,7 +1,6 @@
 """Stream-equals-batch checks: time-ordered payload files,
 one per micro-batch, ``availableNow``, results read back from the sinks."""
 import os
-from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
