@@ -54,3 +54,19 @@ def test_one_hot_instant_is_split_across_tasks(spark):
     got = previous_value(got, "k", ["ts", "id"], "v", "p", partitions=6)
     assert sorted((r.id, r.r, r.p) for r in got.collect()) == \
         sorted((r.id, r.r, r.p) for r in _expected(df).collect())
+
+
+def test_keys_continue_across_arrow_batches(spark):
+    # Small Arrow batches split every partition into many pandas frames, so
+    # runs continue across frames inside one task.
+    rows = [("a" if i % 3 else "b", i, i, i % 2, "xyz"[i % 3]) for i in range(500)]
+    df = _frame(spark, rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = running_count(df, "k", ["ts", "id"], "flag", "r", partitions=3)
+        got = previous_value(got, "k", ["ts", "id"], "v", "p", partitions=3)
+        result = sorted((r.id, r.r, r.p) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert result == sorted((r.id, r.r, r.p) for r in _expected(df).collect())
