@@ -53,10 +53,15 @@ class StreamConfig:
     dead_letter_options: dict = field(default_factory=dict)
 
 
-def kafka_options(bootstrap: str, topic: str) -> dict:
-    """Source options of the reference deployment (connector jar required)."""
-    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": "latest", "failOnDataLoss": "false"}
+def kafka_options(bootstrap: str, topic: str, max_offsets_per_trigger: int | None = None) -> dict:
+    """Source options of the reference deployment (connector jar required).
+    ``max_offsets_per_trigger`` bounds a micro-batch, and with it the rows one
+    vehicle can bring to the keyed state step at once."""
+    options = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
+               "startingOffsets": "latest", "failOnDataLoss": "false"}
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
 
 
 def raw_events(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
