@@ -47,7 +47,8 @@ SERVING_SQL = {
 
 
 def _table(spark: SparkSession, path: str, keys: list[str] | None) -> DataFrame:
-    return read_upsert_log(spark, path, keys) if keys else spark.read.parquet(path)
+    # Upsert logs are read with their compacted snapshots (``<folder>_snapshots``) when present.
+    return read_upsert_log(spark, path, keys, snapshot=f"{path}_snapshots") if keys else spark.read.parquet(path)
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:

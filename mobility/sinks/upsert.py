@@ -7,13 +7,17 @@ key-partitioned storage the target side needs no shuffle at all.
 
 Stream form: each micro-batch's rows are written under ``batch_id=<n>``
 (overwriting that folder, so a replayed batch is idempotent) and readers take
-``max_by(row, batch_id)`` per key. Compaction rewrites that view.
+``max_by(row, batch_id)`` per key. Compaction folds the log into versioned
+snapshots ``upto=<n>``; readers then read the newest snapshot plus the later
+batches only, so the read cost stays bounded as the log grows.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mobility.sources.lake import path_exists
+
 
 def keyed_upsert(target: DataFrame, updates: DataFrame, keys: list[str],
                  update_cols: list[str] | None = None) -> DataFrame:
@@ -53,9 +57,57 @@ def write_upsert_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
     batch.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}")
 
 
-def read_upsert_log(spark, log_path: str, keys: list[str]) -> DataFrame:
-    """Current table from an upsert log: per key the row of the newest batch."""
-    log = spark.read.parquet(log_path)
-    cols = [c for c in log.columns if c not in keys and c != "batch_id"]
+def _latest(log: DataFrame, keys: list[str]) -> DataFrame:
+    cols = [c for c in log.columns if c not in keys]
     newest = F.max_by(F.struct(*cols), F.col("batch_id"))
     return log.groupBy(*keys).agg(newest.alias("_r")).select(*keys, *[f"_r.{c}" for c in cols])
+
+
+def _numbered_dirs(spark, root: str, prefix: str, committed: bool = False) -> list[int]:
+    """Numbers N of ``<root>/<prefix>N`` folders (optionally only those with ``_SUCCESS``)."""
+    if not path_exists(spark, root):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and name[len(prefix):].isdigit():
+            if not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                found.append(int(name[len(prefix):]))
+    return sorted(found)
+
+
+def _with_snapshot(spark, log_path: str, snapshot: str | None) -> DataFrame:
+    log = spark.read.parquet(log_path)
+    versions = _numbered_dirs(spark, snapshot, "upto=", committed=True) if snapshot else []
+    if not versions:
+        return log
+    upto = versions[-1]
+    snap = spark.read.parquet(f"{snapshot.rstrip('/')}/upto={upto}")
+    return snap.unionByName(log.where(F.col("batch_id") > upto))
+
+
+def read_upsert_log(spark, log_path: str, keys: list[str], snapshot: str | None = None) -> DataFrame:
+    """Current table from an upsert log: per key the row of the newest batch.
+
+    With snapshots written by :func:`compact_upsert_log`, the newest committed
+    snapshot is read plus only the log batches after it (a partition filter
+    on ``batch_id``)."""
+    return _latest(_with_snapshot(spark, log_path, snapshot), keys).drop("batch_id")
+
+
+def compact_upsert_log(spark, log_path: str, keys: list[str], snapshot: str) -> int | None:
+    """Fold the log into a new snapshot ``<snapshot>/upto=<N>``, N = the newest
+    batch in the log; rows keep their ``batch_id``. Each snapshot is its own
+    committed folder, so readers never see a half-written one, and log
+    batches up to N (and older snapshots) may then be expired by retention.
+    Returns N, or None when the log is empty."""
+    batches = _numbered_dirs(spark, log_path, "batch_id=")
+    if not batches:
+        return None
+    upto = batches[-1]
+    state = _latest(_with_snapshot(spark, log_path, snapshot).where(F.col("batch_id") <= upto), keys)
+    state.write.mode("overwrite").parquet(f"{snapshot.rstrip('/')}/upto={upto}")
+    return upto

@@ -264,3 +264,19 @@ def test_speed_and_batch_layers_share_one_root_served_by_sql(spark, payload_dir,
     assert stored.exceptAll(direct).count() == 0 and direct.exceptAll(stored).count() == 0
     if "alerts" in views:
         assert serving_query(spark, "alerts", vehicle_id="V0001").where("vehicle_id <> 'V0001'").count() == 0
+
+
+def test_upsert_log_compaction(spark, tmp_path):
+    from mobility.sinks.upsert import compact_upsert_log, read_upsert_log, write_upsert_batch
+    log, snap = str(tmp_path / "log"), str(tmp_path / "snap")
+    schema = "k string, v int"
+    write_upsert_batch(spark.createDataFrame([("x", 1), ("y", 1)], schema), 0, log)
+    write_upsert_batch(spark.createDataFrame([("x", 2)], schema), 1, log)
+    compact_upsert_log(spark, log, ["k"], snap)
+    write_upsert_batch(spark.createDataFrame([("y", 3), ("z", 3)], schema), 2, log)
+    want = {"x": 2, "y": 3, "z": 3}
+    assert {r.k: r.v for r in read_upsert_log(spark, log, ["k"]).collect()} == want
+    assert {r.k: r.v for r in read_upsert_log(spark, log, ["k"], snapshot=snap).collect()} == want
+    assert compact_upsert_log(spark, log, ["k"], snap) == 2  # folds in batch 2
+    assert {r.k: r.v for r in spark.read.parquet(f"{snap}/upto=2").collect()} == want
+    assert {r.k: r.v for r in read_upsert_log(spark, log, ["k"], snapshot=snap).collect()} == want
