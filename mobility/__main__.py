@@ -1,7 +1,8 @@
 """Command line: ``python -m mobility reconcile ...`` / ``python -m mobility stream ...``.
 
 ``reconcile`` runs the daily batch job for every pending day (or the days
-given); ``stream`` starts the speed layer and waits. Storage locations are
+given); ``stream`` starts the speed layer and waits; ``compact`` folds the
+speed layer's upsert logs into snapshots (run it periodically). Storage locations are
 folders or URIs under one ``--root``; the simulated calendar is explicit.
 """
 from __future__ import annotations
@@ -38,15 +39,30 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--topic", default="trips.telemetry")
     s.add_argument("--path", default=None, help="input folder for file sources")
     s.add_argument("--dead-letter-topic", default=None, help="send dead letters to this Kafka topic")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=None, help="bound each micro-batch")
+
+    sub.add_parser("compact", help="fold the speed layer's upsert logs into snapshots")
     return p
 
 
+# Upsert logs of the speed layer and their keys.
+UPSERT_LOGS = {"zone_metrics": ["window_start", "zone"], "fleet_metrics": ["window_start"],
+               "vehicle_state": ["vehicle_id"]}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(args.master, app=f"mobility-{args.command}")
     root = args.root.rstrip("/")
     clock = _clock(args)
-    if args.command == "reconcile":
+    if args.command == "compact":
+        from mobility.sinks.upsert import compact_upsert_log
+        from mobility.sources.lake import path_exists
+
+        for folder, keys in UPSERT_LOGS.items():
+            if path_exists(spark, f"{root}/{folder}"):
+                compact_upsert_log(spark, f"{root}/{folder}", keys, f"{root}/{folder}_snapshots")
+    elif args.command == "reconcile":
         from mobility.plans import reconciliation
 
         cfg = reconciliation.BatchConfig(
@@ -58,7 +74,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from mobility.streaming import app
 
-        options = (app.kafka_options(args.bootstrap, args.topic) if args.format == "kafka" else {})
+        options = (app.kafka_options(args.bootstrap, args.topic, args.max_offsets_per_trigger)
+                   if args.format == "kafka" else {})
         dlq_format, dlq_options = "parquet", {}
         if args.dead_letter_topic:
             dlq_format = "kafka"

@@ -67,7 +67,8 @@ def run(spark: SparkSession, cfg: BatchConfig, days: list[int] | None = None,
     _write_days(profit, cfg.profitability)
     profit = spark.read.parquet(cfg.profitability).join(todo, "sim_day", "left_semi")
 
-    speed = rc.speed_day_totals(read_upsert_log(spark, cfg.fleet_metrics, ["window_start"]))
+    fleet = read_upsert_log(spark, cfg.fleet_metrics, ["window_start"], snapshot=f"{cfg.fleet_metrics}_snapshots")
+    speed = rc.speed_day_totals(fleet)
     batch = rc.batch_day_totals(profit)
     check = rc.consistency_check(speed.join(todo, "sim_day", "left_semi"), batch)
     _write_days(check, cfg.consistency)

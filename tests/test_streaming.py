@@ -247,6 +247,8 @@ def test_speed_and_batch_layers_share_one_root_served_by_sql(spark, payload_dir,
     main(["--epoch", "2024-01-01", "--day-seconds", "86400", "--root", str(root),
           "reconcile", "--landing", str(tmp_path / "landing")])
 
+    main(["--epoch", "2024-01-01", "--day-seconds", "86400", "--root", str(root), "compact"])
+    assert (root / "fleet_metrics_snapshots").exists()
     views = register_views(spark, str(root))
     assert {"rt_zone_metrics", "rt_fleet_metrics", "vehicle_state", "daily_profitability",
             "consistency_checks", "pipeline_heartbeats"} <= set(views)
