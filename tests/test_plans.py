@@ -163,3 +163,24 @@ def test_cli_reconcile_runs_pending_days(spark, tmp_path):
             .select("sim_day").distinct().collect()}
     assert days == {2}
     assert (tmp_path / "reports" / "sim_day=2").exists()
+
+
+def test_report_lines_with_check_and_table(spark):
+    profit = spark.createDataFrame([
+        ("V0001", 4, 2, Decimal("10.5"), Decimal("20"), Decimal("1"), Decimal("50"), Decimal("-10.5"), -0.21, 0.42,
+         True, True, True),
+        ("V0002", 4, 1, Decimal("3"), None, None, None, None, None, None, False, False, False)],
+        "vehicle_id string, sim_day int, trips int, earnings decimal(12,2), fuel_cost decimal(10,2), "
+        "maintenance_cost decimal(10,2), distance_covered decimal(10,2), profit decimal(12,2), "
+        "profit_per_km double, cost_per_km double, unprofitable boolean, service_flag boolean, has_expenses boolean")
+    check = spark.createDataFrame([(4, 3, 3, Decimal("14.00"), Decimal("13.50"), 3.7037037)],
+                                  "sim_day int, speed_trips bigint, batch_trips bigint, speed_earnings decimal(12,2), "
+                                  "batch_earnings decimal(12,2), earnings_delta_pct double")
+    lines = [r.line for r in daily_report(profit, check, F.lit("2024-01-01").cast("timestamp"))
+             .orderBy("line_no").collect()]
+    assert "- Speed-layer trips: 3, earnings: 14.00" in lines
+    assert "- Batch-layer trips: 3, earnings: 13.50" in lines
+    assert "- Earnings delta: 3.70%" in lines
+    assert "- Total earnings (batch): 13.50" in lines and "- Unprofitable vehicles: 1" in lines
+    assert lines[-1] == "| V0001 | 2 | 10.50 | 20.00 | 1.00 | -10.50 | 0.42 | True | True |"
+    assert NO_CHECK not in lines
