@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--path", default=None, help="input folder for file sources")
     s.add_argument("--dead-letter-topic", default=None, help="send dead letters to this Kafka topic")
     s.add_argument("--max-offsets-per-trigger", type=int, default=None, help="bound each micro-batch")
+    s.add_argument("--exact-windows", action="store_true",
+                   help="exact distinct counts, each window emitted once when final (append mode)")
 
     sub.add_parser("compact", help="fold the speed layer's upsert logs into snapshots")
     return p
@@ -85,7 +87,7 @@ def main(argv: list[str] | None = None) -> None:
             zone_metrics=f"{root}/zone_metrics", fleet_metrics=f"{root}/fleet_metrics",
             vehicle_state=f"{root}/vehicle_state", alerts=f"{root}/alerts",
             checkpoints=f"{root}/checkpoints", source_format=args.format, source_options=options,
-            dead_letter_format=dlq_format, dead_letter_options=dlq_options)
+            dead_letter_format=dlq_format, dead_letter_options=dlq_options, exact_windows=args.exact_windows)
         app.multi_query_app(spark, cfg, path=args.path)
         spark.streams.awaitAnyTermination()
 

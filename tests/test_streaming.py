@@ -282,3 +282,29 @@ def test_upsert_log_compaction(spark, tmp_path):
     assert compact_upsert_log(spark, log, ["k"], snap) == 2  # folds in batch 2
     assert {r.k: r.v for r in spark.read.parquet(f"{snap}/upto=2").collect()} == want
     assert {r.k: r.v for r in read_upsert_log(spark, log, ["k"], snapshot=snap).collect()} == want
+
+
+def test_exact_window_stream_equals_batch(spark, payload_dir, tmp_path):
+    # A last event far in the future moves the watermark past every window,
+    # so append mode emits them all.
+    d = tmp_path / "in"
+    d.mkdir()
+    for i, name in enumerate(sorted(os.listdir(payload_dir))):
+        src = os.path.join(payload_dir, name)
+        (d / name).write_text(open(src).read())
+        os.utime(d / name, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    flush = d / "zz_flush.json"
+    flush.write_text('{"vehicle_id":"VX","zone":"flush","status":"idle","trip_completed":false,'
+                     '"timestamp":"2030-01-01T00:00:00+00:00"}\n')
+    os.utime(flush, (1_700_001_000, 1_700_001_000))
+    valid = valid_events(_stream(spark, str(d)), keep=["event_id"])
+    out = str(tmp_path / "out")
+    q = (app.window_stream(valid, CLOCK, by_zone=True, exact=True).writeStream.outputMode("append")
+         .format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    _run(q)
+    want = win.zone_window_metrics(fx.lake_events(spark, SF_SMALL), CLOCK)
+    got = (spark.read.parquet(out).where("zone <> 'flush'")
+           .withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).select(*want.columns))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
