@@ -123,10 +123,13 @@ def make_state_step(threshold_minutes: float = IDLE_ALERT_MINUTES):
 
 def vehicle_state_stream(valid: DataFrame, watermark: str = "2 minutes",
                          threshold_minutes: float = IDLE_ALERT_MINUTES) -> DataFrame:
-    """Streaming (or batch) frame of state rows and alert rows (``kind``)."""
-    rows = valid.select("vehicle_id", "status", "zone", TS, "event_id").where("vehicle_id IS NOT NULL")
-    if valid.isStreaming:
-        rows = rows.withWatermark(TS, watermark)
+    """Streaming frame of state rows and alert rows (``kind``). The batch twins
+    are ``vehicle_latest``, ``idle_episodes`` and ``idle_alerts``."""
+    if not valid.isStreaming:
+        raise ValueError("vehicle_state_stream needs a streaming frame; for batch input use "
+                         "vehicle_latest / idle_episodes / idle_alerts")
+    rows = (valid.select("vehicle_id", "status", "zone", TS, "event_id").where("vehicle_id IS NOT NULL")
+            .withWatermark(TS, watermark))
     return rows.groupBy("vehicle_id").applyInPandasWithState(
         make_state_step(threshold_minutes), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout if valid.isStreaming else GroupStateTimeout.NoTimeout)
+        GroupStateTimeout.EventTimeTimeout)

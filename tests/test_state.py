@@ -100,3 +100,37 @@ def test_upsert_duplicate_keys_raise(spark):
     u = spark.createDataFrame([("x", 2, 2), ("x", 3, 3)], UP)
     with pytest.raises(Exception, match="duplicate key"):
         keyed_upsert(t, u, ["k"]).collect()
+
+
+def test_state_step_idle_trip_idle_in_one_batch(spark, tmp_path):
+    import json
+
+    import pytest as _pytest
+
+    from mobility.operators.ingest import valid_events
+    from mobility.streaming import app
+    from mobility.streaming.state import vehicle_state_stream
+
+    with _pytest.raises(ValueError):
+        vehicle_state_stream(_events(spark, [(1, "V1", "idle", "a", "2024-01-01 00:00:00")]))
+
+    def payload(vid, status, zone, minute):
+        return json.dumps({"vehicle_id": vid, "zone": zone, "status": status, "trip_completed": False,
+                           "timestamp": f"2024-01-01T00:{minute:02d}:00+00:00"})
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "one.json").write_text("\n".join([
+        payload("V1", "idle", "a", 0), payload("V1", "idle", "a", 4), payload("V1", "enroute", "a", 5),
+        payload("V1", "idle", "b", 6), payload("V2", "idle", "a", 0), payload("V2", "on_trip", "a", 1)]) + "\n")
+    raw = app.raw_events(spark, "text", {}, str(d))
+    valid = valid_events(app.decoded_stream(raw), keep=["event_id"])
+    out = str(tmp_path / "out")
+    q = (vehicle_state_stream(valid).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    rows = spark.read.parquet(out).collect()
+    states = {r.vehicle_id: r for r in rows if r.kind == "state"}
+    alerts = [(r.vehicle_id, str(r.idle_since), r.open) for r in rows if r.kind == "alert"]
+    assert str(states["V1"].idle_since) == "2024-01-01 00:06:00" and states["V1"].zone == "b"
+    assert states["V2"].idle_since is None and states["V2"].status == "on_trip"
+    assert alerts == [("V1", "2024-01-01 00:00:00", False)]  # 5 min run closed; V2's 1 min run did not alert
