@@ -184,3 +184,12 @@ def test_report_lines_with_check_and_table(spark):
     assert "- Total earnings (batch): 13.50" in lines and "- Unprofitable vehicles: 1" in lines
     assert lines[-1] == "| V0001 | 2 | 10.50 | 20.00 | 1.00 | -10.50 | 0.42 | True | True |"
     assert NO_CHECK not in lines
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    bad = []
+    for name, query in entry.queries().items():
+        plan = _plan(query(spark, SF_SMALL))
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            bad.append(name)
+    assert bad == []
