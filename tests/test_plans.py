@@ -193,3 +193,27 @@ def test_no_registered_query_plans_a_cross_join(spark):
         if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
             bad.append(name)
     assert bad == []
+
+
+def test_archive_spreads_a_hot_day_over_tasks(spark, tmp_path):
+    from mobility.sources.lake import lake_scan
+    clock = fx.FIXTURE_CLOCK
+    hot = spark.range(0, 9000).select(
+        F.col("id").alias("event_id"), F.lit("V1").alias("vehicle_id"),
+        F.timestamp_micros(F.lit(clock.epoch_us) + F.col("id") * 1000).alias("event_ts"))
+    cold = spark.range(9000, 10000).select(
+        F.col("id").alias("event_id"), F.lit("V2").alias("vehicle_id"),
+        F.timestamp_micros(F.lit(clock.epoch_us + 5 * clock.day_us) + F.col("id") * 1000).alias("event_ts"))
+    # Small advisory size: stands for "a day is many times the target partition size".
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "8k")
+    try:
+        archive_by_day(hot.unionByName(cold), str(tmp_path / "lake"), clock)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    day0 = [p for p in (tmp_path / "lake" / "sim_day=0").iterdir() if p.name.endswith(".parquet")]
+    assert len(day0) >= 3  # the hot day is written by several tasks, not one
+    assert lake_scan(spark, str(tmp_path / "lake")).count() == 10000
