@@ -60,7 +60,7 @@ def run(spark: SparkSession, cfg: BatchConfig, days: list[int] | None = None,
 
     expenses = expenses_scan(spark, cfg.landing).join(todo, "sim_day", "left_semi")
     good, rejects = rc.validate_expenses(expenses)
-    rejects.write.mode("append").parquet(cfg.expense_rejects)
+    _write_days(rejects, cfg.expense_rejects)  # a re-run replaces the day's rejects
 
     events = lake_scan(spark, cfg.lake).join(todo, "sim_day", "left_semi")
     profit = rc.daily_profitability(rc.trip_summary(events), good, cfg.threshold)

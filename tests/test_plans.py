@@ -217,3 +217,23 @@ def test_archive_spreads_a_hot_day_over_tasks(spark, tmp_path):
     day0 = [p for p in (tmp_path / "lake" / "sim_day=0").iterdir() if p.name.endswith(".parquet")]
     assert len(day0) >= 3  # the hot day is written by several tasks, not one
     assert lake_scan(spark, str(tmp_path / "lake")).count() == 10000
+
+
+def test_rerun_does_not_duplicate_rejects(spark, tmp_path):
+    from decimal import Decimal as D
+    clock = fx.FIXTURE_CLOCK
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "expenses_day_1.csv").write_text(
+        "vehicle_id,fuel_cost,maintenance_cost,distance_covered,service_flag\nV0001,1,1,1,no\nV0001,2,2,2,no\n")
+    archive_by_day(fx.lake_events(spark, SF_SMALL), str(tmp_path / "lake"), clock)
+    write_upsert_batch(spark.createDataFrame([], "window_start timestamp, window_end timestamp, sim_day int, "
+                                                 "trips_completed int, earnings decimal(12,2)"), 0,
+                       str(tmp_path / "fleet"))
+    names = ["profit", "rejects", "check", "reports", "beats"]
+    cfg = reconciliation.BatchConfig(clock, str(tmp_path / "lake"), str(tmp_path / "landing"),
+                                     str(tmp_path / "fleet"), *[str(tmp_path / n) for n in names])
+    reconciliation.run(spark, cfg, days=[1])
+    reconciliation.run(spark, cfg, days=[1])
+    rejects = spark.read.parquet(cfg.expense_rejects).collect()
+    assert sorted((r.vehicle_id, r.reject_reason, r.fuel_cost) for r in rejects) == [
+        ("V0001", "duplicate_key", D("1.00")), ("V0001", "duplicate_key", D("2.00"))]
