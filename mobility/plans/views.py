@@ -8,6 +8,7 @@ serving statements in Spark SQL; ``{param}`` placeholders take literals.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from mobility.sinks.upsert import read_upsert_log
@@ -56,9 +57,14 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     made = []
     for view, (folder, keys) in TABLES.items():
         path = f"{root.rstrip('/')}/{folder}"
-        if path_exists(spark, path):
-            _table(spark, path, keys).createOrReplaceTempView(view)
-            made.append(view)
+        if not path_exists(spark, path):
+            continue
+        try:
+            table = _table(spark, path, keys)
+        except AnalysisException:  # written but still without data files (e.g. no rejects yet)
+            continue
+        table.createOrReplaceTempView(view)
+        made.append(view)
     return made
 
 
