@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import bpe, token_files
+from mobility.llm import bpe, line_dedup, simhash, token_files
 from mobility.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,20 @@ def op1_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(ids, WORD_VOCABULARY))
 
 
+@register
+def op2_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.dedup_lines(docs.select("doc_id", "text"))
+
+
+ORACLES["op2_line_dedup"] = line_dedup.ORACLE
+
+
+@register
+def op7_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op10_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
