@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import bpe, line_dedup, simhash, token_files
+from mobility.llm import bpe, langid, line_dedup, simhash, token_files
 from mobility.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def register(fn: Query) -> Query:
@@ -44,6 +45,14 @@ def op2_line_dedup(spark, sf_dir):
 ORACLES["op2_line_dedup"] = line_dedup.ORACLE
 
 
+@register
+def op5_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs, PIECE_VOCABULARY)
+    marked = docs.select("doc_id", langid.held_out(docs["doc_id"]).alias("held_out"), "text")
+    return langid.predict(marked, model, keep=["doc_id", "held_out"])
+
+
 @register
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
