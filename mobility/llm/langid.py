@@ -323,16 +323,18 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "l
     shared = df.sparkSession.sparkContext.broadcast(model)
     base = with_replaced(df, lang_pred, score)
     kept = keep if keep is not None else base.columns
-    src = base.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
-    schema = T.StructType([*src.schema.fields[:-1], T.StructField(lang_pred, T.StringType(), False),
+    names = [*kept] if text in kept else [*kept, text]
+    place = names.index(text)
+    src = df.select(*[F.col(f"`{c}`") for c in names])
+    schema = T.StructType([*src.schema.fields[: len(kept)], T.StructField(lang_pred, T.StringType(), False),
                            T.StructField(score, T.DoubleType(), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         languages = np.array([*scorer.model.languages, UNDETERMINED], dtype=object)
         for whole in batches:
-            for batch in slices(whole, PIECE_BYTES, "__text"):
-                logs, letters = scorer.score(binary_values(batch.column(len(kept))))
+            for batch in slices(whole, PIECE_BYTES, text):
+                logs, letters = scorer.score(binary_values(batch.column(place)))
                 if logs.shape[1]:
                     best = logs.argmax(axis=1)
                     top = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)

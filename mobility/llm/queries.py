@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import bpe, langid, line_dedup, simhash, token_files
+from mobility.llm import bpe, decontaminate, langid, line_dedup, simhash, token_files
 from mobility.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op5_langid(spark, sf_dir):
     return langid.predict(marked, model, keep=["doc_id", "held_out"])
 
 
+@register
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
