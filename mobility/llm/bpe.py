@@ -39,9 +39,9 @@ from mobility.llm.common import binary_values, slices, with_replaced
 
 #: Entries that a worker's word and chunk tables hold at most; later new words
 #: are encoded each time they come. It bounds memory and changes no result.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 #: Bytes of text that are encoded in one piece of an Arrow batch, or a row at least.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def byte_alphabet() -> list[str]:

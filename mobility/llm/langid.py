@@ -23,6 +23,7 @@ prediction is ``und`` with score 0; ids may be null or repeat; an empty table gi
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -219,6 +220,7 @@ class Model:
             self.probs = np.maximum(mixed, FLOOR)
         else:
             self.probs = np.zeros((len(pieces) + 1, 0))
+        self.token = uuid.uuid4().hex
 
 
 def held_out(id_col: Column) -> Column:
@@ -317,6 +319,17 @@ class Scorer:
         self.places.update(zip(chunks, range(start, need), strict=True))
 
 
+_SCORERS: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """One scorer per Python worker and model; workers are reused."""
+    if model.token not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.token] = Scorer(model)
+    return _SCORERS[model.token]
+
+
 def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score",
             keep: list[str] | None = None) -> DataFrame:
     """``df`` (or its columns ``keep``) with the predicted language and its posterior."""
@@ -330,7 +343,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "l
                            T.StructField(score, T.DoubleType(), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared.value)
         languages = np.array([*scorer.model.languages, UNDETERMINED], dtype=object)
         for whole in batches:
             for batch in slices(whole, PIECE_BYTES, text):
