@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import bpe, decontaminate, langid, line_dedup, simhash, token_files, url_filter
+from mobility.llm import bpe, decontaminate, embedding_dedup, langid, line_dedup, simhash, token_files, url_filter
 from mobility.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op8_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op9_url_filter(spark, sf_dir):
     listed = spark.sql("SELECT explode(array(" + ", ".join(f"'{d}'" for d in url_filter.LISTED_DOMAINS) + ")) AS domain")
