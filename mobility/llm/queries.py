@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import bpe, decontaminate, embedding_dedup, langid, line_dedup, simhash, token_files, url_filter
+from mobility.llm import bpe, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, token_files, url_filter
 from mobility.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,13 @@ def op2_line_dedup(spark, sf_dir):
 ORACLES["op2_line_dedup"] = line_dedup.ORACLE
 
 
+@register
+def op4_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    model = html_text.train(pages)
+    return html_text.extract(pages, model, keep=["page_id", "url"])
+
+
 @register
 def op5_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
