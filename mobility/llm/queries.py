@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mobility.llm import bpe, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, token_files, url_filter
-from mobility.llm.common import table
+from mobility.llm import bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, token_files, url_filter
+from mobility.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -45,6 +46,15 @@ def op2_line_dedup(spark, sf_dir):
 ORACLES["op2_line_dedup"] = line_dedup.ORACLE
 
 
+@register
+def op3_chat(spark, sf_dir):
+    """Transcripts of all conversations, parsed by a model of those not held out."""
+    raw = written(chat.raw_transcripts(table(spark, sf_dir, "conversations")), "transcripts")
+    model = chat.learn(raw.where(~langid.held_out(raw["conv_id"])))
+    parsed = chat.format_transcripts(raw.select("conv_id", "part", "transcript"), model)
+    return parsed.select("conv_id", "part", "n_turns", F.array_join("roles", ",").alias("roles"), "chat")
+
+
 @register
 def op4_html_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
