@@ -30,7 +30,7 @@ def micros(col: Column | str) -> Column:
 
 def floor_div(a: Column, b: int) -> Column:
     """Exact floor division of a bigint column by a positive integer constant."""
-    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, F.lit(b)), F.lit(b)).cast("bigint")
 
 
 @dataclass(frozen=True)

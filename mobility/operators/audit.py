@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility.operators.dims import BASE_FARE, RATE_PER_KM
-from mobility.operators.scan import previous_value
+from mobility.operators.scan import QUOTA, previous_value
 from mobility.schema import TS
 
 # Allowed lifecycle steps (fixed by the simulator's state machine).
@@ -34,11 +34,11 @@ def trip_fare_audit(events: DataFrame, interval_seconds: float = 3.0) -> DataFra
 
 
 def status_transitions(events: DataFrame, spark: SparkSession, tiebreak: str = "event_id",
-                       partitions: int | None = None) -> DataFrame:
+                       quota: int = QUOTA) -> DataFrame:
     """Row 47: count each status change per (from, to) and flag the ones the
     lifecycle does not allow."""
     ev = events.where(F.col("vehicle_id").isNotNull()).select("vehicle_id", "status", TS, tiebreak)
-    ev = previous_value(ev, "vehicle_id", [TS, tiebreak], "status", "from_status", partitions=partitions)
+    ev = previous_value(ev, "vehicle_id", [TS, tiebreak], "status", "from_status", quota=quota)
     changes = (ev.where(F.col("from_status").isNotNull() & (F.col("from_status") != F.col("status")))
                .groupBy("from_status", F.col("status").alias("to_status"))
                .agg(F.count(F.lit(1)).alias("transitions")))

@@ -1,159 +1,97 @@
 """Ordered per-key scans (running count, previous value) that stay balanced
 when one key - or one instant of one key - holds a large share of the rows.
 
-A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
-one task. Here the rows are range-partitioned on ``(key, *order)`` instead:
-the bounds come from a sample, and ``order`` ends with a unique tie-break, so
-every partition gets about the same number of rows however the keys, the
-hours or duplicated instants are skewed. A hot key simply spans several
-consecutive partitions.
-
-Each partition is scanned in order by a vectorised pandas step. A key's part
-inside one partition is a *segment*, named by its first row's order values.
-The scanned rows are checkpointed (reliably, to the shared checkpoint folder):
-range bounds come from a sample seeded per shuffle, so two evaluations of the
-same plan may cut segments differently, and the carries must be computed from
-the very rows they are added to. Segments after the first of a key need what
-the key's earlier segments hold: one small aggregate (one row per segment,
-combined map-side) and an ordered window over it. Only a key's continuation
-into a later partition needs a carry, so the carry table has at most one row
-per partition; that bound is why it is broadcast. The big side is shuffled
-once.
+A plain ``Window.partitionBy(key).orderBy(ts, id)`` sends every row of a key to
+one task. Here a key of more than ``quota`` rows is cut into buckets that
+follow each other in order: by time slot; a slot of more than ``quota`` rows by
+instant; an instant of more than ``quota`` rows by ranges of ``quota`` ids, which
+hold at most that many rows as ids are unique. Built-in windows run per
+(key, bucket), and what the earlier buckets of a key hold (a sum, a last value)
+is carried in by a join on the bucket, which the windows have already
+partitioned by. Keys within the quota are one bucket and need no carry.
+
+Everything is a function of the data: no sampling, so a recomputed task cuts the
+same buckets, and nothing runs or is stored while a plan is built. The lists of large
+keys, slots and instants are broadcast: each holds at most rows / ``quota``
+entries. All joins are left joins on unique keys, so the optimizer removes the
+whole scan from a query that doesn't read its result.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from mobility.functions.clock import floor_div, micros
 
-from mobility.session import shared_root
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-SEG = "_seg"
-
-
-def _ranged(df: DataFrame, key: str, order: list[str], partitions: int | None) -> DataFrame:
-    # A fixed partition count: AQE does not coalesce it, so both reads of this
-    # exchange (scan and carries) see the same partitions.
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.where(F.col(key).isNotNull())
-            .repartitionByRange(n, key, *order).sortWithinPartitions(key, *order))
-
-
-def _segment_scan(key: str, order: list[str], flag: str | None, value: str | None, out: str):
-    """Per sorted partition: the running count of ``flag`` (or the previous
-    ``value``) within each key's segment, and the segment's first order values.
-    Batches of one partition arrive in order; state carries across them."""
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev_key, carry_sum, carry_seg, carry_last = None, 0, None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            k = pdf[key]
-            starts = k.ne(k.shift())
-            starts.iloc[0] = True
-            run = starts.cumsum()
-            cont = prev_key is not None and k.iloc[0] == prev_key
-            head = run == 1
-            for c in order:
-                seg = pdf[c].groupby(run).transform("first")
-                if cont:
-                    seg = seg.where(~head, carry_seg[c])
-                pdf[f"{SEG}_{c}"] = seg
-            if flag is not None:
-                cum = pdf[flag].fillna(0).astype("int64").groupby(run).cumsum()
-                if cont:
-                    cum = cum.where(~head, cum + carry_sum)
-                pdf[out] = cum
-                carry_sum = int(cum.iloc[-1])
-            else:
-                lag = pdf[value].groupby(run).shift(1)
-                if cont:
-                    lag = lag.astype(object).where(pdf.index != 0, carry_last)
-                pdf[out] = lag
-                carry_last = pdf[value].iloc[-1]
-            prev_key = k.iloc[-1]
-            carry_seg = {c: pdf[f"{SEG}_{c}"].iloc[-1] for c in order}
-            yield pdf
-
-    return scan
-
-
-def _local(ranged: DataFrame, key: str, order: list[str], flag: str | None,
-           value: str | None, out: str, out_type) -> DataFrame:
-    seg_fields = [StructField(f"{SEG}_{c}", ranged.schema[c].dataType) for c in order]
-    schema = StructType(ranged.schema.fields + seg_fields + [StructField(out, out_type)])
-    scanned = ranged.mapInPandas(_segment_scan(key, order, flag, value, out), schema)
-    shared_root(ranged.sparkSession)
-    return scanned.checkpoint(eager=True)
-
-
-def _segments(order: list[str]) -> tuple[list[str], F.Column]:
-    seg_cols = [f"{SEG}_{c}" for c in order]
-    return seg_cols, F.struct(*[F.col(c).alias(o) for c, o in zip(seg_cols, order)])
+#: Rows of a key, slot or instant that one task orders.
+QUOTA = 1_000_000
+SLOT_SECONDS = 3600
+
+_BUCKET = ["_slot", "_instant", "_range"]
+_UNCUT = -(1 << 62)
+
+
+def _large(rows: DataFrame, keys: list[str], quota: int, mark: str) -> DataFrame:
+    """The values of ``keys`` with more than ``quota`` rows, marked."""
+    return F.broadcast(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > quota)
+                       .select(*keys, F.lit(True).alias(mark)))
+
+
+def with_buckets(df: DataFrame, key: str, order: list[str], quota: int = QUOTA) -> DataFrame:
+    """``df`` (rows with a key) with its bucket columns; ``_UNCUT`` where there is no cut."""
+    ts, tiebreak = order
+    rows = df.where(F.col(key).isNotNull())
+    slots = rows.withColumn("_t", micros(ts)).withColumn("_s", floor_div(F.col("_t"), SLOT_SECONDS * 1_000_000))
+    narrow = slots.select(key, "_s", "_t")
+    large_key = _large(narrow, [key], quota, "_k")
+    large_slot = _large(narrow.join(large_key, key), [key, "_s"], quota, "_ks")
+    large_instant = _large(narrow.join(large_slot, [key, "_s"]), [key, "_t"], quota, "_kst")
+    marked = (slots.join(large_key, key, "left").join(large_slot, [key, "_s"], "left")
+              .join(large_instant, [key, "_t"], "left"))
+
+    def cut(mark: str, value: Column) -> Column:
+        return F.when(F.col(mark), value).otherwise(F.lit(_UNCUT)).cast("long")
+
+    return marked.select(
+        *df.columns, cut("_k", F.col("_s")).alias("_slot"), cut("_ks", F.col("_t")).alias("_instant"),
+        cut("_kst", floor_div(F.col(tiebreak), quota)).alias("_range"))
+
+
+def _bucket_order(key: str, order: list[str]):
+    return Window.partitionBy(key, *_BUCKET).orderBy(*order)
+
+
+def _cut_buckets(rows: DataFrame) -> DataFrame:
+    """Rows of keys that are cut; the others have nothing to carry."""
+    return rows.where(F.col("_slot") != _UNCUT)
 
 
 def running_count(df: DataFrame, key: str, order: list[str], flag: str, out: str,
-                  inclusive: bool = True, partitions: int | None = None) -> DataFrame:
-    """Per-key running sum of a 0/1 ``flag`` in ``order`` (which must end with a
-    unique tie-break). Rows with a NULL key are dropped."""
-    local = _local(_ranged(df, key, order, partitions), key, order, flag, None, "_local", LongType())
-    seg_cols, _ = _segments(order)
-    # Running sums of 0/1 flags are monotone: a segment's total is its max.
-    totals = local.groupBy(key, *seg_cols).agg(F.max("_local").alias("_total"))
-    earlier = Window.partitionBy(key).orderBy(*seg_cols).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.withColumn("_carry", F.sum("_total").over(earlier))
-             .where(F.col("_carry") > 0).drop("_total"))
+                  inclusive: bool = True, quota: int = QUOTA) -> DataFrame:
+    """Per-key running sum of a 0/1 ``flag`` in ``order`` (time, unique id).
+    Rows with a NULL key are dropped."""
+    rows = with_buckets(df, key, order, quota)
+    local = rows.withColumn("_local", F.sum(flag).over(
+        _bucket_order(key, order).rowsBetween(Window.unboundedPreceding, 0)))
+    totals = _cut_buckets(rows).groupBy(key, *_BUCKET).agg(F.sum(flag).alias("_total"))
+    earlier = Window.partitionBy(key).orderBy(*_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(key, *_BUCKET, F.sum("_total").over(earlier).alias("_carry"))
     value = F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))
     if not inclusive:
         value = value - F.col(flag)
-    return (local.join(F.broadcast(carry), [key, *seg_cols], "left")
-            .withColumn(out, value.cast("bigint"))
-            .drop("_local", "_carry", *seg_cols))
+    return (local.join(carry, [key, *_BUCKET], "left")
+            .select(*df.columns, value.cast("bigint").alias(out)))
 
 
 def previous_value(df: DataFrame, key: str, order: list[str], value: str, out: str,
-                   partitions: int | None = None) -> DataFrame:
+                   quota: int = QUOTA) -> DataFrame:
     """``lag(value)`` per key in ``order`` (NULL on a key's first row)."""
-    ranged = _ranged(df, key, order, partitions)
-    local = _local(ranged, key, order, None, value, "_lag", ranged.schema[value].dataType)
-    seg_cols, seg = _segments(order)
-    sort_key = F.struct(*[F.col(c) for c in order])
-    lasts = local.groupBy(key, *seg_cols).agg(F.max_by(F.col(value), sort_key).alias("_last"))
-    before = Window.partitionBy(key).orderBy(*seg_cols)
-    carry = (lasts.withColumn("_carry", F.lag("_last").over(before))
-             .withColumn("_prev", F.lag(F.lit(1)).over(before))
-             .where(F.col("_prev").isNotNull()).drop("_last", "_prev"))
-    first_row = seg == sort_key
-    return (local.join(F.broadcast(carry), [key, *seg_cols], "left")
-            .withColumn(out, F.when(first_row, F.col("_carry")).otherwise(F.col("_lag")))
-            .drop("_lag", "_carry", *seg_cols))
-
-
-def bucketed_running_count(df: DataFrame, key: str, order: list[str], flag: str, out: str,
-                           ts: str, bucket_seconds: int = 3600, inclusive: bool = True) -> DataFrame:
-    """Running count inside (key, event-time bucket) windows, stitched by a
-    per-(key, bucket) carry. Plain JVM operators and no explicit repartition,
-    so when ``out`` is never read the optimizer removes the whole scan (the
-    carry is a left join on a unique key). A hot key is spread over its
-    buckets; a single hot (key, bucket) is not - use ``running_count`` where
-    that matters. Used for fixture derivation, where most queries do not
-    read the result."""
-    from mobility.functions.clock import floor_div, micros
-
-    d = df.withColumn("_bucket", floor_div(micros(ts), bucket_seconds * 1_000_000))
-    inner = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = d.withColumn("_local", F.sum(flag).over(inner))
-    totals = d.groupBy(key, "_bucket").agg(F.sum(flag).alias("_total"))
-    across = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(key, "_bucket", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_carry"))
-    value = F.col("_local") + F.col("_carry")
-    if not inclusive:
-        value = value - F.col(flag)
-    return (local.join(carry, [key, "_bucket"], "left")
-            .withColumn(out, value.cast("bigint"))
-            .drop("_local", "_carry", "_bucket"))
+    rows = with_buckets(df, key, order, quota)
+    in_order = _bucket_order(key, order)
+    local = (rows.withColumn("_lag", F.lag(value).over(in_order))
+             .withColumn("_first", F.row_number().over(in_order) == 1))
+    lasts = _cut_buckets(rows).groupBy(key, *_BUCKET).agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    before = Window.partitionBy(key).orderBy(*_BUCKET)
+    carry = lasts.select(key, *_BUCKET, F.lag("_last").over(before).alias("_carry"))
+    return (local.join(carry, [key, *_BUCKET], "left")
+            .select(*df.columns, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")).alias(out)))

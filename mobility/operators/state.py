@@ -3,7 +3,7 @@
 ``vehicle_latest`` is a ``max_by`` aggregate, so it combines map-side and a hot
 vehicle costs one partial row per task. Idle episodes are gaps-and-islands on
 a per-vehicle running count of non-idle events, computed with the
-range-partitioned scan of :mod:`mobility.operators.scan`, so one busy vehicle
+bucketed scan of :mod:`mobility.operators.scan`, so one busy vehicle
 does not become one task.
 """
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock, micros
-from mobility.operators.scan import running_count
+from mobility.operators.scan import QUOTA, running_count
 from mobility.schema import IDLE, TS
 
 # Fixed alert values of the reference.
@@ -61,7 +61,7 @@ def state_from_latest(latest: DataFrame) -> DataFrame:
         F.when(F.col("status") == IDLE, F.col("last_event_ts")).alias("idle_since"))
 
 
-def idle_episodes(valid: DataFrame, tiebreak: str = "event_id", partitions: int | None = None) -> DataFrame:
+def idle_episodes(valid: DataFrame, tiebreak: str = "event_id", quota: int = QUOTA) -> DataFrame:
     """Row 28: one row per idle run of a vehicle.
 
     ``run`` counts the vehicle's non-idle events so far; idle events sharing a
@@ -70,7 +70,7 @@ def idle_episodes(valid: DataFrame, tiebreak: str = "event_id", partitions: int
     ev = (valid.where(F.col("vehicle_id").isNotNull())
           .select("vehicle_id", "status", TS, tiebreak,
                   (F.col("status") != IDLE).cast("int").alias("_busy")))
-    ev = running_count(ev, "vehicle_id", [TS, tiebreak], "_busy", "run", partitions=partitions)
+    ev = running_count(ev, "vehicle_id", [TS, tiebreak], "_busy", "run", quota=quota)
     groups = ev.groupBy("vehicle_id", "run").agg(
         F.min(F.when(F.col("_busy") == 1, F.col(TS))).alias("_opened_at"),
         F.min(F.when(F.col("_busy") == 0, F.col(TS))).alias("idle_since"),

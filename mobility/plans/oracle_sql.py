@@ -35,12 +35,16 @@ def seconds(us_expr: str) -> str:
     return f"cast({us_expr} as double) / cast(1000000 as double)"
 
 
-DAYNUM = "{ts}"
+def vehicle_code(number: str) -> str:
+    n = f"cast({number} + 1 as varchar)"
+    return f"'V' || CASE WHEN length({n}) >= 4 THEN {n} ELSE lpad({n}, 4, '0') END"
+
+
 EXP_DAY = "date_diff('day', date '1995-01-02', cast(l_shipdate as date))"
 
 TELEMETRY = f"""
 e AS (
-  SELECT *, 'V' || lpad(cast(user_id + 1 as varchar), 4, '0') AS vehicle_id,
+  SELECT *, {vehicle_code('user_id')} AS vehicle_id,
     coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (
       PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS trip_no
   FROM events),
@@ -66,7 +70,7 @@ FROM telemetry WHERE corruption = 'none')"""
 
 EXPENSES = f"""
 expenses_f AS (
-SELECT 'V' || lpad(cast(l_suppkey + 1 as varchar), 4, '0') AS vehicle_id,
+SELECT {vehicle_code('l_suppkey')} AS vehicle_id,
   cast({EXP_DAY} % 30 as int) AS sim_day,
   cast(sum(l_quantity) * 5 / 100 as decimal(10,2)) AS fuel_cost,
   cast(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) * 5 / 100 as decimal(10,2)) AS maintenance_cost,
@@ -256,7 +260,7 @@ FROM ids"""
 ORACLES["validate_expenses"] = f"""
 WITH lines AS (
 SELECT l_orderkey AS source_order, l_linenumber AS source_line,
-  'V' || lpad(cast(l_suppkey + 1 as varchar), 4, '0') AS vehicle_id,
+  {vehicle_code('l_suppkey')} AS vehicle_id,
   cast({EXP_DAY} % 30 as int) AS sim_day,
   cast(l_quantity * 5 / 100 as decimal(10,2)) AS fuel_cost,
   cast(CASE WHEN l_returnflag = 'R' THEN l_quantity * 5 / 100 ELSE cast(0 as double) END as decimal(10,2)) AS maintenance_cost,

@@ -1,12 +1,11 @@
 """Spark session settings shared by jobs, tests and the bench.
 
 Everything is UTC (the reference pins the session time zone too) and AQE is on,
-so shuffle width adapts to the data actually produced: a fixed
-``spark.sql.shuffle.partitions`` is only the upper bound AQE coalesces down from.
+so shuffle width adapts to the data actually produced. ``spark.sql.shuffle.partitions``,
+the upper bound that AQE coalesces down from, is left to the cluster's setting.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,12 +33,13 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, app: str = "mobility",
-                  shuffle_partitions: int = 8, conf: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -52,11 +52,14 @@ def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and derived tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as the deployment sets it; we
-    only choose one ourselves when it is unset (local runs and tests).
+    only choose one ourselves when it is unset and the master is local (tests):
+    a folder of one machine is no shared folder.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="mobility-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
@@ -65,9 +68,3 @@ def shared_root(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts])
-
-
-def ensure_local_dir(path: str) -> None:
-    """Create a directory when the path is a local one (no-op for URIs)."""
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock, instant
-from mobility.operators.scan import bucketed_running_count
+from mobility.operators.dims import padded_id
+from mobility.operators.scan import running_count
 from mobility.plans.memo import shared_plan
 from mobility.schema import BUSINESS_COLUMNS, COST, TS
 
@@ -33,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def vehicle_code(user_id: Column) -> Column:
-    return F.concat(F.lit("V"), F.lpad((user_id + F.lit(1)).cast("string"), 4, "0"))
+    return padded_id("V", user_id + F.lit(1))
 
 
 @shared_plan
@@ -46,10 +47,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", instant("ts").alias(TS))
     ev = ev.withColumn("_done", (F.col("event_type") == "purchase").cast("int"))
-    # Day buckets: a vehicle has a few events a day here, so hour buckets would
-    # leave about one row per bucket and a carry table as large as the data.
-    ev = bucketed_running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", ts=TS,
-                                bucket_seconds=86_400, inclusive=False)
+    ev = running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", inclusive=False)
 
     vid = vehicle_code(F.col("user_id"))
     et = F.col("event_type")

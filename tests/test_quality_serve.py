@@ -80,7 +80,7 @@ def test_status_transitions_flag_lifecycle_breaks(spark):
         "event_id long, vehicle_id string, status string, event_ts string").withColumn(
         "event_ts", F.col("event_ts").cast("timestamp"))
     rows = {(r.from_status, r.to_status): (r.transitions, r.allowed)
-            for r in audit.status_transitions(ev, spark, partitions=3).collect()}
+            for r in audit.status_transitions(ev, spark, quota=3).collect()}
     assert rows == {("idle", "enroute"): (1, True), ("enroute", "on_trip"): (1, True),
                     ("on_trip", "idle"): (1, True), ("idle", "on_trip"): (1, False)}
 

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mobility.operators.scan import bucketed_running_count, previous_value, running_count
+from mobility.operators.scan import _BUCKET, previous_value, running_count, with_buckets
 
 
 def _frame(spark, rows):
@@ -25,48 +25,41 @@ rows_strategy = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers
 
 
 @settings(max_examples=12, deadline=None)
-@given(rows_strategy, st.integers(1, 7))
-def test_range_scans_equal_plain_windows(spark, rows, parts):
+@given(rows_strategy, st.integers(1, 40))
+def test_bucketed_scans_equal_plain_windows(spark, rows, quota):
     df = _frame(spark, rows)
-    got = running_count(df, "k", ["ts", "id"], "flag", "r", partitions=parts)
-    got = previous_value(got, "k", ["ts", "id"], "v", "p", partitions=parts)
+    got = running_count(df, "k", ["ts", "id"], "flag", "r", quota=quota)
+    got = previous_value(got, "k", ["ts", "id"], "v", "p", quota=quota)
     assert sorted((r.id, r.r, r.p) for r in got.collect()) == \
         sorted((r.id, r.r, r.p) for r in _expected(df).collect())
 
 
-@settings(max_examples=6, deadline=None)
-@given(rows_strategy)
-def test_bucketed_scan_equals_plain_window(spark, rows):
-    df = _frame(spark, rows)
-    got = bucketed_running_count(df, "k", ["ts", "id"], "flag", "r", ts="ts", bucket_seconds=600)
-    assert sorted((r.id, r.r) for r in got.collect()) == sorted((r.id, r.r) for r in _expected(df).collect())
-
-
-def test_one_hot_instant_is_split_across_tasks(spark):
+def test_one_hot_instant_is_split(spark):
     # 3,000 rows of one key at one instant (a replayed burst) plus other keys:
-    # the range partitioning must still spread them, and the result stay exact.
+    # no bucket may hold more than the quota, and the result stays exact.
     rows = [("hot", 100, i, random.randint(0, 1), random.choice("xyz")) for i in range(3000)]
+    rows += [("hot", 5000 + i, 50_000 + i, 1, "x") for i in range(700)]
     rows += [(f"k{i % 7}", i, 10_000 + i, i % 2, "x") for i in range(600)]
     df = _frame(spark, rows)
-    got = running_count(df, "k", ["ts", "id"], "flag", "r", partitions=6)
-    per_task = got.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-    assert len(per_task) >= 3 and max(c[1] for c in per_task) < 3000
-    got = previous_value(got, "k", ["ts", "id"], "v", "p", partitions=6)
+    sizes = with_buckets(df, "k", ["ts", "id"], 500).groupBy("k", *_BUCKET).count().collect()
+    assert max(r["count"] for r in sizes) <= 500
+    got = running_count(df, "k", ["ts", "id"], "flag", "r", quota=500)
+    got = previous_value(got, "k", ["ts", "id"], "v", "p", quota=500)
     assert sorted((r.id, r.r, r.p) for r in got.collect()) == \
         sorted((r.id, r.r, r.p) for r in _expected(df).collect())
 
 
-def test_keys_continue_across_arrow_batches(spark):
-    # Small Arrow batches split every partition into many pandas frames, so
-    # runs continue across frames inside one task.
-    rows = [("a" if i % 3 else "b", i, i, i % 2, "xyz"[i % 3]) for i in range(500)]
-    df = _frame(spark, rows)
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = running_count(df, "k", ["ts", "id"], "flag", "r", partitions=3)
-        got = previous_value(got, "k", ["ts", "id"], "v", "p", partitions=3)
-        result = sorted((r.id, r.r, r.p) for r in got.collect())
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    assert result == sorted((r.id, r.r, r.p) for r in _expected(df).collect())
+def test_scans_stay_in_the_jvm_and_start_no_job(spark):
+    df = _frame(spark, [("a", 1, 1, 1, "x")])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("scan-build", "")
+    got = previous_value(running_count(df, "k", ["ts", "id"], "flag", "r"), "k", ["ts", "id"], "v", "p")
+    assert tracker.getJobIdsForGroup("scan-build") == []
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_rows_without_a_key_are_dropped_and_exclusive_counts_start_at_zero(spark):
+    df = _frame(spark, [("a", 5, 1, 1, "x"), ("a", 6, 2, 1, "y"), (None, 7, 3, 1, "z")])
+    got = running_count(df, "k", ["ts", "id"], "flag", "r", inclusive=False).collect()
+    assert sorted((r.id, r.r) for r in got) == [(1, 0), (2, 1)]
