@@ -1,0 +1,80 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from mobility.llm import langid as op
+from tests.conftest import SF_MID
+
+VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _brute(word, pieces, probs):
+    """Sum over all segmentations, one by one."""
+    if not word:
+        return np.ones(probs.shape[1])
+    total = np.zeros(probs.shape[1])
+    for n in range(1, len(word) + 1):
+        p = pieces.get(word[:n])
+        if p is not None:
+            total += probs[p] * _brute(word[n:], pieces, probs)
+        elif n == 1:
+            total += probs[-1] * _brute(word[1:], pieces, probs)
+    return total
+
+
+def test_forward_sums_all_segmentations():
+    names = ["a", "ab", "abc", "b", "bc", "c", "cab", "▁a", "▁", "▁ca"]
+    rng = np.random.default_rng(0)
+    probs = rng.uniform(0.01, 0.3, (len(names) + 1, 3))
+    pieces = op.Pieces(names)
+    words = ["▁abc", "▁cabcab", "▁", "▁xabx", "▁bbb", "▁abcabcabcab"]
+    got = op.word_log_probabilities(words, pieces, probs)
+    at = {p: i for i, p in enumerate(names)}
+    assert np.allclose(got, [np.log(_brute(w, at, probs)) for w in words])
+    long = "▁" + "abc" * 3000  # far below the least float: kept in range
+    assert np.isfinite(op.word_log_probabilities([long], pieces, probs)).all()
+
+
+def test_expectation_maximisation_raises_the_likelihood():
+    names = ["a", "b", "ab", "ba", "▁"]
+    pieces, words, counts = op.Pieces(names), ["▁abab", "▁ab", "▁ba"], np.array([5, 3, 1])
+
+    def likelihood(expected):
+        p = np.maximum(expected / expected.sum(), op.FLOOR)[:, None]
+        return float(counts @ op.word_log_probabilities(words, pieces, p)[:, 0])
+
+    values = [likelihood(op.fit_language(words, counts, pieces, rounds=r)) for r in (1, 2, 4, 8)]
+    assert values == sorted(values) and values[-1] > values[0]
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    model = op.learn(docs, VOCABULARY, sample_docs=100)
+    got = op.predict(docs.withColumn("held", op.held_out(docs["doc_id"])), model)
+    rows = got.where("held").select("doc_id", "lang", "lang_pred", "score").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in rows)
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    # the label, the source and the id have no part in a prediction
+    blind = op.predict(docs.select("text", F.lit("xx").alias("lang")), model)
+    assert sorted(r.lang_pred for r in blind.collect()) == sorted(r.lang_pred for r in got.collect())
+
+
+def test_defined_cases(spark):
+    train = [(i, t, lang) for i, (t, lang) in enumerate(
+        [("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "en"), ("no label", None)] * 9)]
+    df = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    model = op.learn(df, VOCABULARY)
+    assert model.languages == ["de", "en"]
+    probe = spark.createDataFrame(
+        [(None, "und der"), (1, None), (1, ""), (2, "12 ?! 3"), (3, "the " * 40_000), (4, "日本語"), (5, "x" * 5000)],
+        "doc_id long, text string")
+    got = [(r.text if r.text is None else r.text[:7], r.lang_pred, r.score)
+           for r in op.predict(probe.withColumn("SCORE", F.lit("clash")), model).collect()]
+    assert [g[1] for g in got[:5]] == ["de", "und", "und", "und", "en"]
+    assert got[1][2] == got[3][2] == 0.0 and all(g[1] in model.languages and 0.5 <= g[2] <= 1 for g in got[5:])
+    assert op.predict(probe.limit(0), model).count() == 0
+    empty = op.learn(df.where("lang is null"), VOCABULARY)
+    assert {(r.lang_pred, r.score) for r in op.predict(probe, empty).collect()} == {("und", 0.0)}
