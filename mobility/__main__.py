@@ -35,21 +35,24 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("stream", help="speed layer: archive, dead letters, windows, vehicle state")
     s.add_argument("--format", default="kafka", help="source format (kafka, or text for files)")
-    s.add_argument("--bootstrap", default="kafka:9092")
-    s.add_argument("--topic", default="trips.telemetry")
+    s.add_argument("--bootstrap", help="Kafka bootstrap servers (required for kafka)")
+    s.add_argument("--topic", help="telemetry topic (required for kafka)")
     s.add_argument("--path", default=None, help="input folder for file sources")
     s.add_argument("--dead-letter-topic", default=None, help="send dead letters to this Kafka topic")
     s.add_argument("--max-offsets-per-trigger", type=int, default=None, help="bound each micro-batch")
+    s.add_argument("--idle-minutes", type=float, default=None, help="idle time before an alert")
     s.add_argument("--exact-windows", action="store_true",
                    help="exact distinct counts, each window emitted once when final (append mode)")
 
-    sub.add_parser("compact", help="fold the speed layer's upsert logs into snapshots")
+    c = sub.add_parser("compact", help="fold the speed layer's upsert logs into snapshots")
+    c.add_argument("--expire", action="store_true",
+                   help="then delete the folded batches and older snapshots (when no reader is at them)")
     return p
 
 
 # Upsert logs of the speed layer and their keys.
 UPSERT_LOGS = {"zone_metrics": ["window_start", "zone"], "fleet_metrics": ["window_start"],
-               "vehicle_state": ["vehicle_id"]}
+               "vehicle_state": ["vehicle_id"], "alerts": ["alert_type", "vehicle_id", "message"]}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -58,12 +61,14 @@ def main(argv: list[str] | None = None) -> None:
     root = args.root.rstrip("/")
     clock = _clock(args)
     if args.command == "compact":
-        from mobility.sinks.upsert import compact_upsert_log
+        from mobility.sinks.upsert import compact_upsert_log, expire_upsert_log
         from mobility.sources.lake import path_exists
 
         for folder, keys in UPSERT_LOGS.items():
             if path_exists(spark, f"{root}/{folder}"):
                 compact_upsert_log(spark, f"{root}/{folder}", keys, f"{root}/{folder}_snapshots")
+                if args.expire:
+                    expire_upsert_log(spark, f"{root}/{folder}", f"{root}/{folder}_snapshots")
     elif args.command == "reconcile":
         from mobility.plans import reconciliation
 
@@ -76,6 +81,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from mobility.streaming import app
 
+        if args.format == "kafka" and not (args.bootstrap and args.topic):
+            raise SystemExit("--bootstrap and --topic are required with --format kafka")
         options = (app.kafka_options(args.bootstrap, args.topic, args.max_offsets_per_trigger)
                    if args.format == "kafka" else {})
         dlq_format, dlq_options = "parquet", {}
@@ -87,7 +94,8 @@ def main(argv: list[str] | None = None) -> None:
             zone_metrics=f"{root}/zone_metrics", fleet_metrics=f"{root}/fleet_metrics",
             vehicle_state=f"{root}/vehicle_state", alerts=f"{root}/alerts",
             checkpoints=f"{root}/checkpoints", source_format=args.format, source_options=options,
-            dead_letter_format=dlq_format, dead_letter_options=dlq_options, exact_windows=args.exact_windows)
+            dead_letter_format=dlq_format, dead_letter_options=dlq_options, exact_windows=args.exact_windows, heartbeats=f"{root}/heartbeats",
+            **({"idle_minutes": args.idle_minutes} if args.idle_minutes is not None else {}))
         app.multi_query_app(spark, cfg, path=args.path)
         spark.streams.awaitAnyTermination()
 

@@ -7,8 +7,9 @@ Four queries over one telemetry source, each with its own checkpoint:
    rejected payloads to a dead-letter sink;
 2. zone windows and 3. fleet windows - 5 min / 1 min sliding windows with a
    2 min watermark in update mode, written as an upsert log;
-4. vehicle state - keyed state with idle alerts, written as an upsert log
-   (state) and an append table (alerts).
+4. vehicle state - keyed state with idle alerts, written as two upsert logs.
+
+The queries that write tables leave a ``stream_sink`` heartbeat per micro-batch.
 
 Every transform is the same function the batch layer uses; only the edges
 (source, watermark, sink) are streaming-specific. No micro-batch is collected
@@ -25,8 +26,9 @@ from pyspark.sql.streaming import StreamingQuery
 from mobility.functions.clock import SimClock
 from mobility.operators import windows as win
 from mobility.operators.ingest import dead_letters, decode_telemetry, valid_condition, valid_events
-from mobility.operators.state import ALERT_SEVERITY, ALERT_TYPE, iso_text
+from mobility.operators.state import ALERT_SEVERITY, ALERT_TYPE, IDLE_ALERT_MINUTES, iso_text
 from mobility.schema import TS
+from mobility.sinks.files import heartbeat
 from mobility.sinks.upsert import write_upsert_batch
 from mobility.streaming.state import vehicle_state_stream
 
@@ -52,6 +54,8 @@ class StreamConfig:
     dead_letter_format: str = "parquet"
     dead_letter_options: dict = field(default_factory=dict)
     exact_windows: bool = False  # exact counts, each window emitted once when final
+    idle_minutes: float = IDLE_ALERT_MINUTES
+    heartbeats: str | None = None
 
 
 def kafka_options(bootstrap: str, topic: str, max_offsets_per_trigger: int | None = None) -> dict:
@@ -71,7 +75,8 @@ def raw_events(spark: SparkSession, fmt: str = "kafka", options: dict | None = N
 
     From Kafka the record timestamp is the ingest time and (partition, offset)
     gives a stable per-message id; a text file source (tests) has one JSON
-    payload per line, timestamped with the file's modification time."""
+    payload per line, timestamped with the file's modification time; equal lines of a
+    file count as one message sent twice."""
     reader = spark.readStream.format(fmt).options(**(options or {}))
     raw = reader.load(path) if path else reader.load()
     if fmt == "kafka":
@@ -128,9 +133,16 @@ def window_stream(valid: DataFrame, clock: SimClock, by_zone: bool,
     return win.finish_window_metrics(agg, clock, keys)
 
 
-def _upsert_log_writer(path: str):
+def _beat(batch: DataFrame, cfg: StreamConfig, detail: str) -> None:
+    if cfg.heartbeats:
+        heartbeat(batch.sparkSession, cfg.heartbeats, "stream_sink", detail)
+
+
+def _upsert_log_writer(path: str, cfg: StreamConfig | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         write_upsert_batch(batch, batch_id, path)
+        if cfg is not None:
+            _beat(batch, cfg, path.rstrip("/").rpartition("/")[2])
     return write
 
 
@@ -139,34 +151,36 @@ def window_query(valid: DataFrame, cfg: StreamConfig, by_zone: bool) -> Streamin
     path = cfg.zone_metrics if by_zone else cfg.fleet_metrics
     mode = "append" if cfg.exact_windows else "update"
     return (window_stream(valid, cfg.clock, by_zone, exact=cfg.exact_windows).writeStream.outputMode(mode)
-            .foreachBatch(_upsert_log_writer(path))
+            .foreachBatch(_upsert_log_writer(path, cfg))
             .option("checkpointLocation", f"{cfg.checkpoints}/{name}")
             .trigger(**cfg.window_trigger).queryName(name).start())
 
 
 def alert_table(rows: DataFrame, clock: SimClock) -> DataFrame:
     """Alert rows of the state operator in the alerts-table shape (the same
-    as the batch ``idle_alerts``)."""
-    return rows.where(F.col("kind") == "alert").select(
+    as the batch ``idle_alerts``), one per alert: closed if any of its rows is."""
+    alerts = rows.where(F.col("kind") == "alert").select(
         F.lit(ALERT_TYPE).alias("alert_type"), "vehicle_id", F.lit(ALERT_SEVERITY).alias("severity"),
         F.concat(F.lit("Vehicle "), F.col("vehicle_id"), F.lit(" idle since "),
                  iso_text(F.col("idle_since"))).alias("message"),
         clock.day(F.col("alert_at")).alias("sim_day"), F.col("alert_at").alias("created_at"), "open")
+    keys = [c for c in alerts.columns if c != "open"]
+    return alerts.groupBy(*keys).agg(F.min("open").alias("open"))
 
 
 def vehicle_state_query(valid: DataFrame, cfg: StreamConfig) -> StreamingQuery:
-    """Row 27 on a stream: state rows to an upsert log, alerts appended."""
+    """Row 27 on a stream: state rows and alerts, each to an upsert log."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             write_upsert_batch(batch.where(F.col("kind") == "state").drop("kind", "alert_at", "open"),
                                batch_id, cfg.vehicle_state)
-            (alert_table(batch, cfg.clock)
-             .write.mode("overwrite").parquet(f"{cfg.alerts.rstrip('/')}/batch_id={batch_id}"))
+            write_upsert_batch(alert_table(batch, cfg.clock), batch_id, cfg.alerts)
+            _beat(batch, cfg, "vehicle_state")
         finally:
             batch.unpersist()
 
-    return (vehicle_state_stream(valid).writeStream.outputMode("append").foreachBatch(write)
+    return (vehicle_state_stream(valid, threshold_minutes=cfg.idle_minutes).writeStream.outputMode("append").foreachBatch(write)
             .option("checkpointLocation", f"{cfg.checkpoints}/vehicle_state")
             .trigger(**cfg.state_trigger).queryName("vehicle_state").start())
 

@@ -1,21 +1,26 @@
 """Keyed vehicle state on a stream (row 27).
 
 ``groupBy(vehicle_id).applyInPandasWithState``: state per vehicle lives on the
-executors (RocksDB store at scale), never on the driver. Each call sees one
-vehicle's rows of one micro-batch as pandas frames and updates:
-
-* status, zone, last event (time and offset) - rows not newer than the stored
-  last event are ignored, so a late or replayed row cannot roll state back;
-* idle_since - the first idle event after the last non-idle one, kept across
-  batches while the vehicle stays idle, cleared by a non-idle event;
-* idle alerts - for an idle run that ended after >= the threshold, at once;
-  for a run still open, through an event-time timer at idle_since +
-  threshold, so a vehicle that goes silent still alerts once the watermark
-  passes that instant.
+executors (RocksDB store at scale), never on the driver. Rows may come in any
+order within the watermark, so a row is *applied* only when the watermark has passed
+it; until then it waits in the vehicle's state. Applied in order of
+(event time, offset), rows give what the batch forms give:
+
+* idle_since - the first idle event after the last non-idle one;
+* alerts - when an idle run ends that lasted at least the threshold, a row with
+  ``open`` false; when the watermark passes idle_since + threshold while the run goes on,
+  a row with ``open`` true (an event-time timer, so a silent vehicle
+  alerts too). A run that alerted while open gets its closing row when it ends:
+  alerts are kept as an upsert log, the last row of an alert holds.
+
+Each call that brings rows also emits the vehicle's state as it is with the waiting
+rows applied, so the state table doesn't lag behind by the watermark.
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,98 +30,90 @@ from mobility.operators.state import IDLE_ALERT_MINUTES
 from mobility.schema import IDLE, TS
 
 # Instants in state are epoch microseconds (no time-zone conversion on the way
-# between the state store and pandas).
+# between the state store and pandas). ``waiting``: JSON list of rows.
 STATE_SCHEMA = ("status string, zone string, last_event_us long, last_event_id long, "
-                "idle_since_us long, alerted_us long")
+                "idle_since_us long, alerted_us long, waiting string")
 OUTPUT_SCHEMA = ("kind string, vehicle_id string, status string, zone string, "
                  "last_event_ts timestamp, idle_since timestamp, alert_at timestamp, open boolean")
 OUTPUT_COLUMNS = ["kind", "vehicle_id", "status", "zone", "last_event_ts", "idle_since", "alert_at", "open"]
 
 
-def _ts(v):
-    return None if v is None or pd.isna(v) else pd.Timestamp(v)
+class Row(NamedTuple):
+    """An event: time in microseconds, offset, status, zone."""
+    us: int
+    event_id: int
+    status: str
+    zone: str
 
 
-def _from_us(v):
-    return None if v is None else pd.Timestamp(int(v), unit="us")
+class Vehicle(NamedTuple):
+    """What is known of a vehicle after the rows applied so far."""
+    status: str | None = None
+    zone: str | None = None
+    last_us: int | None = None
+    last_id: int | None = None
+    idle_since: int | None = None
+    alerted: int | None = None
 
+    def after(self, row: Row) -> Vehicle:
+        idle_since = None if row.status != IDLE else row.us if self.idle_since is None else self.idle_since
+        return Vehicle(row.status, row.zone, row.us, row.event_id, idle_since, self.alerted)
 
-def _us(ts):
-    return None if ts is None else int(pd.Timestamp(ts).value // 1_000)
+    def seen(self, row: Row) -> bool:
+        """Whether the row, or a later one, is applied already (a replay)."""
+        return self.last_us is not None and (row.us, row.event_id) <= (self.last_us, self.last_id)
 
 
-def _save(state: GroupState, status, zone, last_ts, last_id, idle_since, alerted) -> None:
-    state.update((status, zone, _us(last_ts), last_id, _us(idle_since), _us(alerted)))
-
-
-def _ms(ts: pd.Timestamp) -> int:
-    return int(ts.value // 1_000_000)
+def _ts(us: int | None):
+    return None if us is None else pd.Timestamp(us, unit="us")
 
 
 def make_state_step(threshold_minutes: float = IDLE_ALERT_MINUTES):
-    limit = pd.Timedelta(minutes=threshold_minutes)
+    limit = int(round(threshold_minutes * 60_000_000))
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         vehicle_id = key[0]
         out: list[dict] = []
-        prev = state.get if state.exists else None
-        status, zone, last_ts, last_id, idle_since, alerted = (
-            (prev[0], prev[1], _from_us(prev[2]), prev[3], _from_us(prev[4]), _from_us(prev[5])) if prev
-            else (None, None, None, None, None, None))
-
-        if state.hasTimedOut:
-            if status == IDLE and idle_since is not None and alerted != idle_since:
-                out.append(dict(kind="alert", vehicle_id=vehicle_id, status=status, zone=zone,
-                                last_event_ts=last_ts, idle_since=idle_since, alert_at=idle_since + limit,
-                                open=True))
-                _save(state, status, zone, last_ts, last_id, idle_since, idle_since)
-            if out:
-                yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
-            return
-
-        pdf = pd.concat(list(batches), ignore_index=True)
-        pdf = pdf.sort_values([TS, "event_id"], kind="mergesort")
-        if last_ts is not None:
-            newer = (pdf[TS] > last_ts) | ((pdf[TS] == last_ts) & (pdf["event_id"] > last_id))
-            pdf = pdf[newer]
-        if pdf.empty:
-            return
-
-        # Idle runs, vectorised: ``g`` counts non-idle rows so far; the idle
-        # rows of run g start it, and the non-idle row that opens run g+1
-        # closes it. A run carried over from state keeps its start.
-        t = pdf[TS].reset_index(drop=True)
-        busy = (pdf["status"] != IDLE).to_numpy()
-        g = busy.cumsum()
-        starts = t[~busy].groupby(g[~busy]).min()
-        if status == IDLE and idle_since is not None:
-            starts.loc[0] = idle_since
-        closes = pd.Series(t[busy].to_numpy(), index=g[busy] - 1, name="end")
-        runs = starts.rename("start").to_frame().join(closes, how="inner")
-        done = runs[((runs["end"] - runs["start"]) >= limit) & (runs["start"] != alerted)]
-        if not done.empty:
-            out.extend(dict(kind="alert", vehicle_id=vehicle_id, status=IDLE, zone=zone,
-                            last_event_ts=e, idle_since=st, alert_at=st + limit, open=False)
-                       for st, e in zip(done["start"], done["end"]))
-            alerted = done["start"].iloc[-1]
-        run_start = None if busy[-1] else starts.loc[g[-1]]
-        last = pdf.iloc[-1]
-        status, zone, last_ts, last_id = last["status"], last["zone"], _ts(last[TS]), int(last["event_id"])
-        idle_since = run_start
-        out.append(dict(kind="state", vehicle_id=vehicle_id, status=status, zone=zone,
-                        last_event_ts=last_ts, idle_since=idle_since, alert_at=None, open=None))
-
-        if idle_since is not None and alerted != idle_since:
-            due = idle_since + limit
-            watermark = state.getCurrentWatermarkMs()
-            if watermark > 0 and _ms(due) <= watermark:
-                out.append(dict(kind="alert", vehicle_id=vehicle_id, status=status, zone=zone,
-                                last_event_ts=last_ts, idle_since=idle_since, alert_at=due, open=True))
-                alerted = idle_since
-            else:
-                state.setTimeoutTimestamp(_ms(due))
-        _save(state, status, zone, last_ts, last_id, idle_since, alerted)
-        yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
+
+        def emit(kind: str, v: Vehicle, at: int | None, open_: bool | None) -> None:
+            out.append(dict(kind=kind, vehicle_id=vehicle_id, status=v.status, zone=v.zone, last_event_ts=_ts(v.last_us),
+                            idle_since=_ts(v.idle_since), alert_at=_ts(at), open=open_))
+
+        stored = state.get if state.exists else None
+        now = Vehicle(*stored[:6]) if stored else Vehicle()
+        waiting = {Row(*r) for r in json.loads(stored[6])} if stored else set()
+        watermark = state.getCurrentWatermarkMs() * 1000
+        news = False
+        if not state.hasTimedOut:
+            for pdf in batches:
+                us = pdf[TS].astype("datetime64[us]").astype("int64")
+                rows = zip(us.tolist(), pdf["event_id"].tolist(), pdf["status"].tolist(), pdf["zone"].tolist(), strict=True)
+                waiting.update(r for r in map(Row._make, rows) if not now.seen(r))
+            news = True
+        in_order = sorted(waiting)
+        passed = [r for r in in_order if r.us <= watermark]
+        rest = in_order[len(passed):]
+        for row in passed:
+            if row.status != IDLE and now.idle_since is not None and row.us - now.idle_since >= limit:
+                emit("alert", now._replace(status=IDLE, last_us=row.us), now.idle_since + limit, False)
+            now = now.after(row)
+        if now.idle_since is not None and now.alerted != now.idle_since and now.idle_since + limit <= watermark:
+            emit("alert", now, now.idle_since + limit, True)
+            now = now._replace(alerted=now.idle_since)
+        if news and in_order:
+            latest = now
+            for row in rest:
+                latest = latest.after(row)
+            emit("state", latest, None, None)
+
+        next_at = [r.us for r in rest[:1]]
+        if now.idle_since is not None and now.alerted != now.idle_since:
+            next_at.append(now.idle_since + limit)
+        if next_at:
+            state.setTimeoutTimestamp(max(min(next_at), watermark) // 1000 + 1)
+        state.update((*now, json.dumps(rest)))
+        if out:
+            yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
 
     return step
 

@@ -37,6 +37,21 @@ def _stream(spark, path):
     return app.decoded_stream(raw)
 
 
+def _payload_files(folder, batches, start=1_700_000_000):
+    """One JSON-lines file per micro-batch of (vehicle, status, seconds after midnight)."""
+    import json
+    folder.mkdir()
+    for i, rows in enumerate(batches):
+        lines = []
+        for vid, status, sec in rows:
+            at = f"2024-01-01T{sec // 3600:02d}:{sec // 60 % 60:02d}:{sec % 60:02d}+00:00"
+            lines.append(json.dumps({"vehicle_id": vid, "zone": "z", "status": status, "trip_completed": False, "timestamp": at}))
+        p = folder / f"b{i:03d}.json"
+        p.write_text("\n".join(lines) + "\n")
+        os.utime(p, (start + i, start + i))
+    return str(folder)
+
+
 def _run(query):
     query.awaitTermination(300)
     assert query.exception() is None
@@ -60,12 +75,21 @@ def test_window_stream_equals_batch(spark, payload_dir, tmp_path):
 
 
 def test_vehicle_state_stream_equals_batch_twin(spark, payload_dir, tmp_path):
-    valid = valid_events(_stream(spark, payload_dir), keep=["event_id"])
+    # A far later event of another vehicle moves the watermark past all rows.
+    d = tmp_path / "in"
+    d.mkdir()
+    for i, name in enumerate(sorted(os.listdir(payload_dir))):
+        (d / name).write_text(open(os.path.join(payload_dir, name)).read())
+        os.utime(d / name, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    (d / "zz.json").write_text('{"vehicle_id":"VX","zone":"z","status":"enroute","trip_completed":false,'
+                               '"timestamp":"2024-02-05T00:00:00+00:00"}\n')
+    os.utime(d / "zz.json", (1_700_001_000, 1_700_001_000))
+    valid = valid_events(_stream(spark, str(d)), keep=["event_id"]).where("vehicle_id is not null")
     out = str(tmp_path / "state_rows")
     q = (vehicle_state_stream(valid).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     _run(q)
-    rows = spark.read.parquet(out)
+    rows = spark.read.parquet(out).where("vehicle_id <> 'VX'")
     states = rows.where("kind = 'state'")
     final = states.groupBy("vehicle_id").agg(F.max_by(F.struct("status", "idle_since"), "last_event_ts").alias("s"))
     final = final.select("vehicle_id", "s.status", "s.idle_since")
@@ -79,7 +103,7 @@ def test_vehicle_state_stream_equals_batch_twin(spark, payload_dir, tmp_path):
     assert final.exceptAll(twin).count() == 0
 
     # Alerts for idle runs that closed: same set as the batch rule.
-    stream_closed = rows.where("kind = 'alert'").join(
+    stream_closed = rows.where("kind = 'alert' and not open").join(
         eps.where("ended_at IS NOT NULL").select("vehicle_id", "idle_since"), ["vehicle_id", "idle_since"])
     batch_closed = eps.where("ended_at IS NOT NULL").where(
         F.unix_micros("ended_at") - F.unix_micros("idle_since") >= 180_000_000).select("vehicle_id", "idle_since")
@@ -181,6 +205,58 @@ def test_timeout_alerts_a_silent_vehicle(spark, tmp_path):
     assert [(a.vehicle_id, str(a.alert_at)) for a in alerts] == [("V1", "2024-01-01 00:03:00")]
 
 
+def test_alerts_close_and_disorder_within_the_watermark_changes_nothing(spark, tmp_path):
+    """Rows shuffled by up to 100 s (watermark 120 s): the alerts table equals the batch rule, ``open`` included."""
+    import random
+    rng = random.Random(11)
+    events, t = [], 0
+    for _ in range(160):
+        t += rng.choice([20, 40, 90, 200])
+        events.append((f"V{rng.randrange(4)}", rng.choice(["idle", "idle", "enroute", "on_trip"]), t))
+    t += 400
+    events.append(("W", "enroute", t))
+    arrival = sorted(events, key=lambda e: e[2] + rng.uniform(0, 100) * (e[0] != "W"))
+    batches = [arrival[i: i + 12] for i in range(0, len(arrival), 12)]
+    folder = _payload_files(tmp_path / "in", batches)
+    cfg = app.StreamConfig(clock=CLOCK, lake="", dead_letters="", zone_metrics="", fleet_metrics="",
+                           vehicle_state=str(tmp_path / "state"), alerts=str(tmp_path / "alerts"),
+                           heartbeats=str(tmp_path / "beats"), checkpoints=str(tmp_path / "ck"), state_trigger={"availableNow": True})
+    _run(app.vehicle_state_query(valid_events(_stream(spark, folder), keep=["event_id"]), cfg))
+    keys = ["alert_type", "vehicle_id", "message"]
+    got = read_upsert_log(spark, cfg.alerts, keys).select(*keys, "created_at", "open")
+
+    rows = spark.createDataFrame([(i, v, s, x) for i, (v, s, x) in enumerate(events)],
+                                 "event_id long, vehicle_id string, status string, sec long").withColumn(
+        "event_ts", F.timestamp_seconds(F.lit(CLOCK.epoch_us // 1_000_000) + F.col("sec")))
+    as_of = F.timestamp_seconds(F.lit(CLOCK.epoch_us // 1_000_000 + t - 120))
+    want = st.idle_alerts(st.idle_episodes(rows.where(F.col("event_ts") <= as_of)), as_of, CLOCK).select(*keys, "created_at", "open")
+    assert want.where("open").count() > 0 and want.where("not open").count() > 3
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {r.component for r in spark.read.parquet(cfg.heartbeats).collect()} == {"stream_sink"}
+    log = spark.read.parquet(cfg.alerts)
+    assert log.where("open").join(log.where("not open"), keys, "left_semi").count() > 0  # some closed after they had opened
+
+
+def test_idle_threshold_is_a_setting(spark, tmp_path):
+    folder = _payload_files(tmp_path / "in", [[("A", "idle", 0)], [("B", "enroute", 900)], [("B", "enroute", 1800)]])
+    cfg = app.StreamConfig(clock=CLOCK, lake="", dead_letters="", zone_metrics="", fleet_metrics="", vehicle_state=str(tmp_path / "s"),
+                           alerts=str(tmp_path / "a"), checkpoints=str(tmp_path / "ck"), state_trigger={"availableNow": True}, idle_minutes=10)
+    _run(app.vehicle_state_query(valid_events(_stream(spark, folder), keep=["event_id"]), cfg))
+    assert [str(r.created_at) for r in spark.read.parquet(cfg.alerts).collect()] == ["2024-01-01 00:10:00"]
+
+
+def test_backfill_into_a_streamed_lake_is_read_back(spark, payload_dir, tmp_path):
+    from mobility.sinks.files import archive_by_day
+    lake = str(tmp_path / "lake")
+    cfg = app.StreamConfig(clock=CLOCK, lake=lake, dead_letters="", zone_metrics="", fleet_metrics="", vehicle_state="", alerts="",
+                           checkpoints=str(tmp_path / "ck"), archive_trigger={"availableNow": True})
+    _run(app.archive_query(valid_events(_stream(spark, payload_dir), keep=["event_id"]), cfg))
+    before = lake_scan(spark, lake).count()
+    extra = fx.lake_events(spark, SF_SMALL).limit(5).withColumn("event_id", F.col("event_id") + 10**9)
+    archive_by_day(extra.withColumn("sim_day", F.lit(77)), lake, CLOCK)
+    assert lake_scan(spark, lake).count() == before + 5 and lake_day_scan(spark, lake, 77).count() == 5
+
+
 def test_multi_query_app_runs_all_queries(spark, payload_dir, tmp_path):
     from mobility.sinks.upsert import read_upsert_log
     r = tmp_path
@@ -255,7 +331,7 @@ def test_speed_and_batch_layers_share_one_root_served_by_sql(spark, payload_dir,
     assert serving_query(spark, "fleet_latest").count() == 1
     assert serving_query(spark, "zone_latest").select("zone").distinct().count() == 5
     assert serving_query(spark, "report_days").count() == 30
-    report = serving_query(spark, "profitability_report", unprofitable_only="true")
+    report = serving_query(spark, "profitability_report", unprofitable_only=True)
     assert report.where("NOT unprofitable").count() == 0
     assert serving_query(spark, "consistency_check", sim_day=3).count() == 1
     # Batch profitability from the streamed lake equals the direct computation.
