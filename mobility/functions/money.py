@@ -1,6 +1,6 @@
 """Exact money sums on integer cents.
 
-A fare is rounded to ``decimal(12,2)`` once (Spark's cast rounds half up on
+A fare is rounded to two places once (Spark's cast rounds half up on
 the value's shortest decimal text), turned into whole cents, and summed as a
 long: exact, order-independent, and about twice as fast as summing the
 decimal itself, whose 22-digit buffer runs on ``BigDecimal``.
@@ -14,7 +14,7 @@ from mobility.schema import MONEY
 
 
 def cents(amount: Column) -> Column:
-    return (amount.cast(MONEY) * F.lit(100)).cast("long")
+    return (amount.try_cast(MONEY) * F.lit(100)).cast("long")
 
 
 def from_cents(total: Column) -> Column:
@@ -22,5 +22,5 @@ def from_cents(total: Column) -> Column:
 
 
 def money_sum(amount: Column) -> Column:
-    """Aggregate: exact sum of ``amount`` as ``decimal(12,2)`` (NULL if no values)."""
+    """Aggregate: exact sum of ``amount`` as money (NULL if no values)."""
     return from_cents(F.sum(cents(amount)))

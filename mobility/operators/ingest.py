@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobility.schema import BUSINESS_COLUMNS, CORRUPT_COLUMN, EVENT_SCHEMA, TS
+from mobility.schema import BUSINESS_COLUMNS, CORRUPT_COLUMN, EVENT_SCHEMA, MAX_FARE, TS
 
 JSON_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
@@ -30,7 +30,13 @@ def valid_condition() -> Column:
             & F.col("vehicle_id").isNotNull()
             & F.col("status").isNotNull()
             & F.col("zone").isNotNull()
-            & F.col(TS).isNotNull())
+            & F.col(TS).isNotNull()
+            & fare_in_range())
+
+
+def fare_in_range() -> Column:
+    """A fare that money columns can hold (a missing one counts as none); not NaN."""
+    return F.coalesce(F.abs(F.col("fare")) < F.lit(MAX_FARE), F.lit(True))
 
 
 def valid_events(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -44,6 +50,7 @@ def dead_letters(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame
               .when(F.col("vehicle_id").isNull(), "missing_vehicle_id")
               .when(F.col("status").isNull(), "missing_status")
               .when(F.col("zone").isNull(), "missing_zone")
-              .otherwise("missing_timestamp"))
+              .when(F.col(TS).isNull(), "missing_timestamp")
+              .otherwise("fare_out_of_range"))
     return decoded.where(~valid_condition()).select(
         *(keep or []), F.coalesce(F.col("raw_value"), F.lit("")).alias("raw_value"), reason.alias("reason"))

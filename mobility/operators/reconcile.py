@@ -18,6 +18,7 @@ from mobility.schema import COST, MONEY, TS
 # A landed file, or a folder of that name holding part files.
 EXPENSE_FILE_PATTERN = r"expenses_day_(\d+)\.csv(?:$|/)"
 
+# The columns of the profitability table.
 PROFIT_COLUMNS = [
     "vehicle_id", "sim_day", "trips", "earnings", "fuel_cost", "maintenance_cost",
     "distance_covered", "profit", "profit_per_km", "cost_per_km", "unprofitable",
@@ -58,14 +59,17 @@ def next_pending_day(listing: DataFrame, ledger: DataFrame, **kw) -> DataFrame:
 
 def label_expenses(expenses: DataFrame, keys=("vehicle_id", "sim_day")) -> DataFrame:
     """Expense rows with ``reject_reason`` (NULL = loadable). Enforces the
-    table constraints: key present (vehicle and day), costs and distance >= 0,
-    one row per key."""
+    table constraints: key present (vehicle and day), costs and distance that fit
+    their type and are >= 0, one row per key."""
     keys = list(keys)
     counts = (expenses.where(F.col("vehicle_id").isNotNull())
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
     labeled = expenses.join(counts, keys, "left")
     reason = (F.when(F.col("vehicle_id").isNull(), "missing_vehicle_id")
               .when(F.col("sim_day").isNull(), "missing_sim_day")
+              .when(F.col("fuel_cost").isNull(), "fuel_cost_out_of_range")
+              .when(F.col("maintenance_cost").isNull(), "maintenance_cost_out_of_range")
+              .when(F.col("distance_covered").isNull(), "distance_out_of_range")
               .when(F.col("fuel_cost") < 0, "negative_fuel_cost")
               .when(F.col("maintenance_cost") < 0, "negative_maintenance_cost")
               .when(F.col("distance_covered") < 0, "negative_distance")
@@ -171,10 +175,8 @@ def consistency_check(speed: DataFrame, batch: DataFrame) -> DataFrame:
 def report_with_check(profit: DataFrame, check: DataFrame) -> DataFrame:
     """Report rows with their day's check row.
 
-    The check has one row per simulated day (its key), so its size is bounded
-    by the number of days covered - a few thousand rows even for years of
-    300-second days - and it is broadcast. A shuffle join here would send all
-    of a day's report rows to one task."""
+    The check has one row per simulated day. AQE broadcasts it once it has
+    measured it, and splits a large day's report rows otherwise."""
     c = check.select("sim_day", "speed_trips", "batch_trips", "speed_earnings",
                      "batch_earnings", "earnings_delta_pct")
-    return profit.join(F.broadcast(c), "sim_day", "left")
+    return profit.join(c, "sim_day", "left")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mobility.schema import MONEY
+
 
 def fleet_latest(fleet_metrics: DataFrame) -> DataFrame:
     """Row 37: the newest fleet window (no row if there is none)."""
@@ -45,7 +47,7 @@ def report_summary(profit: DataFrame) -> DataFrame:
     return profit.groupBy("sim_day").agg(
         F.count(F.lit(1)).alias("vehicles"),
         F.sum(F.col("unprofitable").cast("int")).cast("bigint").alias("unprofitable_vehicles"),
-        F.coalesce(F.sum("earnings"), F.lit(0)).cast("decimal(12,2)").alias("total_earnings"),
+        F.coalesce(F.sum("earnings"), F.lit(0)).cast(MONEY).alias("total_earnings"),
     )
 
 

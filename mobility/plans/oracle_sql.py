@@ -81,7 +81,7 @@ FROM lineitem GROUP BY l_suppkey, {EXP_DAY} % 30)"""
 TRIPS = """
 trips AS (
 SELECT vehicle_id, sim_day, cast(count(trip_id) as int) AS trips,
-  cast(sum(cast(fare as decimal(12,2))) as decimal(12,2)) AS earnings
+  cast(sum(cast(fare as decimal(20,2))) as decimal(20,2)) AS earnings
 FROM lake WHERE trip_completed AND vehicle_id IS NOT NULL GROUP BY vehicle_id, sim_day)"""
 
 PROFIT = """
@@ -89,10 +89,10 @@ profit AS (
 SELECT coalesce(t.vehicle_id, x.vehicle_id) AS vehicle_id,
   cast(coalesce(t.sim_day, x.sim_day) as int) AS sim_day,
   cast(coalesce(t.trips, 0) as int) AS trips,
-  cast(coalesce(t.earnings, 0) as decimal(12,2)) AS earnings,
+  cast(coalesce(t.earnings, 0) as decimal(20,2)) AS earnings,
   x.fuel_cost, x.maintenance_cost, x.distance_covered,
   cast(CASE WHEN x.sim_day IS NOT NULL THEN coalesce(t.earnings, 0)
-       - (coalesce(x.fuel_cost, 0) + coalesce(x.maintenance_cost, 0)) END as decimal(12,2)) AS profit,
+       - (coalesce(x.fuel_cost, 0) + coalesce(x.maintenance_cost, 0)) END as decimal(20,2)) AS profit,
   cast(coalesce(x.fuel_cost, 0) + coalesce(x.maintenance_cost, 0) as double) AS _cost,
   CASE WHEN x.distance_covered > 0 THEN cast(x.distance_covered as double) END AS _km,
   coalesce(x.service_flag, false) AS service_flag,
@@ -150,14 +150,14 @@ SELECT {group},
   count(DISTINCT CASE WHEN status <> 'idle' THEN vehicle_id END) AS a,
   count(DISTINCT CASE WHEN status = 'idle' THEN vehicle_id END) AS i,
   sum(CASE WHEN trip_completed THEN 1 ELSE 0 END) AS t,
-  sum(CASE WHEN trip_completed THEN cast(fare as decimal(12,2)) ELSE cast(0 as decimal(12,2)) END) AS m
+  sum(CASE WHEN trip_completed THEN cast(fare as decimal(20,2)) ELSE cast(0 as decimal(20,2)) END) AS m
 FROM {name}_w GROUP BY {group}),
 {name} AS (
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {key_sel}
   {sim_day('window_start')} AS sim_day, {sim_hour('window_start')} AS sim_hour,
   cast(a as int) AS active_vehicles, cast(i as int) AS idle_vehicles,
   cast(i as double) / cast(nullif(a + i, 0) as double) AS idle_ratio,
-  cast(t as int) AS trips_completed, cast(coalesce(m, 0) as decimal(12,2)) AS earnings
+  cast(t as int) AS trips_completed, cast(coalesce(m, 0) as decimal(20,2)) AS earnings
 FROM {name}_a)"""
 
 
@@ -167,13 +167,13 @@ FLEET = window_rows("", "fleet_m")
 BATCH = """
 batch AS (
 SELECT sim_day, cast(coalesce(sum(trips), 0) as bigint) AS batch_trips,
-  cast(coalesce(sum(earnings), 0) as decimal(12,2)) AS batch_earnings
+  cast(coalesce(sum(earnings), 0) as decimal(20,2)) AS batch_earnings
 FROM profitability GROUP BY sim_day)"""
 
 SPEED = """
 speed AS (
 SELECT sim_day, cast(coalesce(sum(trips_completed), 0) as bigint) AS speed_trips,
-  cast(coalesce(sum(earnings), 0) as decimal(12,2)) AS speed_earnings
+  cast(coalesce(sum(earnings), 0) as decimal(20,2)) AS speed_earnings
 FROM fleet_m WHERE epoch_us(window_start) % (epoch_us(window_end) - epoch_us(window_start)) = 0
 GROUP BY sim_day)"""
 
@@ -182,8 +182,8 @@ chk AS (
 SELECT cast(coalesce(s.sim_day, b.sim_day) as int) AS sim_day,
   cast(coalesce(s.speed_trips, 0) as bigint) AS speed_trips,
   cast(coalesce(b.batch_trips, 0) as bigint) AS batch_trips,
-  cast(coalesce(s.speed_earnings, 0) as decimal(12,2)) AS speed_earnings,
-  cast(coalesce(b.batch_earnings, 0) as decimal(12,2)) AS batch_earnings,
+  cast(coalesce(s.speed_earnings, 0) as decimal(20,2)) AS speed_earnings,
+  cast(coalesce(b.batch_earnings, 0) as decimal(20,2)) AS batch_earnings,
   CASE WHEN coalesce(b.batch_earnings, 0) <> 0 THEN
     abs(cast(coalesce(s.speed_earnings, 0) - coalesce(b.batch_earnings, 0) as double))
     / cast(coalesce(b.batch_earnings, 0) as double) * cast(100 as double) END AS earnings_delta_pct
@@ -323,7 +323,7 @@ ORACLES["profit_report"] = B(*_P) + (
 ORACLES["report_summary"] = B(*_P) + """
 SELECT sim_day, count(*) AS vehicles,
   cast(sum(CASE WHEN unprofitable THEN 1 ELSE 0 END) as bigint) AS unprofitable_vehicles,
-  cast(coalesce(sum(earnings), 0) as decimal(12,2)) AS total_earnings
+  cast(coalesce(sum(earnings), 0) as decimal(20,2)) AS total_earnings
 FROM profitability GROUP BY sim_day"""
 ORACLES["top_unprofitable"] = B(*_P) + """
 SELECT * FROM (

@@ -1,21 +1,26 @@
 """The daily batch job: lake x landed expenses -> profitability -> check -> report.
 
 Runs all pending days in one pass (one scan, one join, one shuffle per
-aggregate) instead of a loop of per-day jobs; naming ``days`` restricts the
-lake scan by partition and the CSV scan by folder. Results are written as
+aggregate) instead of a loop of per-day jobs. The days are literals in the plan:
+the lake and the stored tables are read by partition, the landing zone by
+file, and the fleet windows between the days' first and last instant, so the work follows the days asked
+for and not all that was ever stored. Results are written as
 day-partitioned tables with dynamic partition overwrite, so re-running a day
 (late expense files, retries) replaces exactly that day. Each written table
-is read back for the next step, which also cuts the lineage.
+is read back for the next step, which also cuts the lineage. A ledger row per day
+is written last; days in the ledger are no longer pending, also if they had no rows.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility.functions.clock import SimClock
+from mobility.functions.clock import SimClock, micros
 from mobility.operators import reconcile as rc
+from mobility.schema import COST, MONEY
+from mobility.sinks.files import append_rows
 from mobility.sinks.report import daily_report, write_reports
 from mobility.sinks.upsert import read_upsert_log
 from mobility.sources.expenses import expenses_scan, landing_files
@@ -35,6 +40,13 @@ class BatchConfig:
     heartbeats: str
     threshold: float = 0.0
     span_seconds: int = 300
+    expenses: str | None = None     # accepted expense rows
+    ledger: str | None = None       # days processed
+
+    def __post_init__(self):
+        base = self.profitability.rstrip("/").rpartition("/")[0]
+        self.expenses = self.expenses or f"{base}/expenses"
+        self.ledger = self.ledger or f"{base}/processed_days"
 
 
 def _write_days(df: DataFrame, path: str) -> None:
@@ -43,9 +55,21 @@ def _write_days(df: DataFrame, path: str) -> None:
 
 
 def processed_days(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
-    if not path_exists(spark, cfg.profitability):
+    """The ledger: a row per day that a run has finished."""
+    if not path_exists(spark, cfg.ledger):
         return spark.createDataFrame([], "sim_day int")
-    return spark.read.parquet(cfg.profitability).select("sim_day").distinct()
+    return spark.read.parquet(cfg.ledger).select("sim_day").distinct()
+
+
+def _days_to_run(spark: SparkSession, cfg: BatchConfig, days: list[int] | None) -> tuple[list[int], list[str]]:
+    """(days, their files): at most one row per landed file that is still to do."""
+    listing = landing_files(spark, cfg.landing)
+    if days is None:
+        rows = rc.pending_days(listing, processed_days(spark, cfg)).collect()  # bounded: days to do
+        days = sorted(r.sim_day for r in rows)
+    day = F.regexp_extract("path", rc.EXPENSE_FILE_PATTERN, 1).try_cast("int")
+    files = listing.where(day.isin(days)).collect() if days else []  # bounded: files of these days
+    return days, sorted(r.path for r in files)
 
 
 def run(spark: SparkSession, cfg: BatchConfig, days: list[int] | None = None,
@@ -53,29 +77,59 @@ def run(spark: SparkSession, cfg: BatchConfig, days: list[int] | None = None,
     """Reconcile ``days`` (default: every landed day not yet processed).
     Returns the consistency rows of the processed days."""
     cfg.clock.check_span(cfg.span_seconds)
-    if days is None:
-        todo = rc.pending_days(landing_files(spark, cfg.landing), processed_days(spark, cfg))
-    else:
-        todo = spark.createDataFrame([(d,) for d in days], "sim_day int")
-
-    expenses = expenses_scan(spark, cfg.landing).join(todo, "sim_day", "left_semi")
-    good, rejects = rc.validate_expenses(expenses)
-    _write_days(rejects, cfg.expense_rejects)  # a re-run replaces the day's rejects
+    days, files = _days_to_run(spark, cfg, days)
+    of_days = F.col("sim_day").isin(days)
 
-    events = lake_scan(spark, cfg.lake).join(todo, "sim_day", "left_semi")
+    if files:
+        labeled = expenses_scan(spark, files)
+    else:
+        labeled = expenses_frame(spark)
+    labels = f"{cfg.expenses.rstrip('/')}_labeled"
+    rc.label_expenses(labeled).write.mode("overwrite").parquet(labels)  # one pass over the files
+    labeled = spark.read.parquet(labels)
+    loaded_at = F.current_timestamp().alias("loaded_at")
+    _write_days(labeled.where("reject_reason is not null").select("*", loaded_at), cfg.expense_rejects)
+    _write_days(labeled.where("reject_reason is null").drop("reject_reason").select("*", loaded_at), cfg.expenses)
+    good = labeled.where("reject_reason is null")
+
+    events = lake_scan(spark, cfg.lake).where(of_days)
     profit = rc.daily_profitability(rc.trip_summary(events), good, cfg.threshold)
-    _write_days(profit, cfg.profitability)
-    profit = spark.read.parquet(cfg.profitability).join(todo, "sim_day", "left_semi")
+    _write_days(profit.withColumn("generated_at", F.current_timestamp()), cfg.profitability)
+    profit = spark.read.schema(PROFIT_SCHEMA).parquet(cfg.profitability).where(of_days)
 
-    fleet = read_upsert_log(spark, cfg.fleet_metrics, ["window_start"], snapshot=f"{cfg.fleet_metrics}_snapshots")
-    speed = rc.speed_day_totals(fleet)
-    batch = rc.batch_day_totals(profit)
-    check = rc.consistency_check(speed.join(todo, "sim_day", "left_semi"), batch)
-    _write_days(check, cfg.consistency)
-    check = spark.read.parquet(cfg.consistency).join(todo, "sim_day", "left_semi")
+    fleet = read_upsert_log(spark, cfg.fleet_metrics, ["window_start"], snapshot=f"{cfg.fleet_metrics}_snapshots",
+                            rows=_window_of(cfg.clock, days))
+    speed = rc.speed_day_totals(fleet).where(of_days)
+    check = rc.consistency_check(speed, rc.batch_day_totals(profit))
+    _write_days(check.withColumn("checked_at", F.current_timestamp()), cfg.consistency)
+    check = spark.read.schema(CHECK_SCHEMA).parquet(cfg.consistency).where(of_days)
 
     write_reports(daily_report(profit, check, generated_at), cfg.reports)
-    (check.select(F.lit("batch_reconcile").alias("component"), F.current_timestamp().alias("at"),
-                  F.concat(F.lit("day "), F.col("sim_day").cast("string")).alias("detail"))
-     .write.mode("append").parquet(cfg.heartbeats))
+    done = spark.createDataFrame([(d,) for d in days], "sim_day int")
+    append_rows(done.withColumn("processed_at", F.current_timestamp()).coalesce(1), cfg.ledger)
+    append_rows(done.select(F.lit("batch_reconcile").alias("component"), F.current_timestamp().alias("at"),
+                            F.concat(F.lit("day "), F.col("sim_day").cast("string")).alias("detail")).coalesce(1),
+                cfg.heartbeats)
     return check
+
+
+def expenses_frame(spark: SparkSession) -> DataFrame:
+    """An empty table of expense rows."""
+    return spark.createDataFrame([], f"vehicle_id string, sim_day int, fuel_cost {COST}, maintenance_cost {COST}, "
+                                     f"distance_covered {COST}, service_flag boolean")
+
+
+def _window_of(clock: SimClock, days: list[int]) -> Column:
+    """Windows that start within the days' span (day 0 has all before it too)."""
+    if not days:
+        return F.lit(False)
+    start = micros("window_start")
+    first = F.lit(True) if min(days) == 0 else start >= F.lit(clock.epoch_us + min(days) * clock.day_us)
+    return first & (start < F.lit(clock.epoch_us + (max(days) + 1) * clock.day_us))
+
+
+PROFIT_SCHEMA = (f"vehicle_id string, trips int, earnings {MONEY}, fuel_cost {COST}, maintenance_cost {COST}, "
+                 f"distance_covered {COST}, profit {MONEY}, profit_per_km double, cost_per_km double, "
+                 "unprofitable boolean, service_flag boolean, has_expenses boolean, generated_at timestamp, sim_day int")
+CHECK_SCHEMA = (f"speed_trips bigint, batch_trips bigint, speed_earnings {MONEY}, batch_earnings {MONEY}, "
+                "earnings_delta_pct double, checked_at timestamp, sim_day int")

@@ -4,7 +4,7 @@
 write under one root as temporary views with the serving-table names, so
 users can keep querying them with SQL. The upsert logs are exposed through
 their current-state view (newest batch per key). ``SERVING_SQL`` holds the
-serving statements in Spark SQL; ``{param}`` placeholders take literals.
+serving statements in Spark SQL; their parameters are bound, never rendered as text.
 """
 from __future__ import annotations
 
@@ -19,10 +19,12 @@ TABLES = {
     "rt_zone_metrics": ("zone_metrics", ["window_start", "zone"]),
     "rt_fleet_metrics": ("fleet_metrics", ["window_start"]),
     "vehicle_state": ("vehicle_state", ["vehicle_id"]),
-    "alerts": ("alerts", None),
+    "alerts": ("alerts", ["alert_type", "vehicle_id", "message"]),
     "daily_profitability": ("daily_profitability", None),
     "consistency_checks": ("consistency_checks", None),
+    "expenses": ("expenses", None),
     "expense_rejects": ("expense_rejects", None),
+    "processed_days": ("processed_days", None),
     "pipeline_heartbeats": ("heartbeats", None),
 }
 
@@ -33,15 +35,15 @@ SERVING_SQL = {
         JOIN (SELECT zone, max(window_start) AS window_start FROM rt_zone_metrics GROUP BY zone) n
           ON z.zone = n.zone AND z.window_start = n.window_start""",
     "alerts": """
-        SELECT * FROM alerts WHERE {vehicle_filter}
-        ORDER BY created_at DESC, vehicle_id, message LIMIT {limit}""",
+        SELECT * FROM alerts WHERE :vehicle_id IS NULL OR vehicle_id = :vehicle_id
+        ORDER BY created_at DESC, vehicle_id, message LIMIT :limit""",
     "report_days": "SELECT DISTINCT sim_day FROM daily_profitability ORDER BY sim_day DESC",
     "profitability_report": """
         SELECT * FROM daily_profitability
-        WHERE sim_day = coalesce({sim_day}, (SELECT max(sim_day) FROM daily_profitability))
-          AND (NOT {unprofitable_only} OR unprofitable)
+        WHERE sim_day = coalesce(:sim_day, (SELECT max(sim_day) FROM daily_profitability))
+          AND (NOT :unprofitable_only OR unprofitable)
         ORDER BY profit ASC NULLS LAST, vehicle_id""",
-    "consistency_check": "SELECT * FROM consistency_checks WHERE sim_day = {sim_day}",
+    "consistency_check": "SELECT * FROM consistency_checks WHERE sim_day = :sim_day",
     "pipeline_last_success": """
         SELECT component, max(at) AS last_success_at FROM pipeline_heartbeats GROUP BY component""",
 }
@@ -68,11 +70,13 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     return made
 
 
+DEFAULTS = {"vehicle_id": None, "limit": 50, "sim_day": None, "unprofitable_only": False}
+
+
 def serving_query(spark: SparkSession, name: str, **params) -> DataFrame:
-    """Run a serving statement; parameters are rendered as SQL literals."""
-    defaults = {"vehicle_filter": "true", "limit": 50, "sim_day": "NULL", "unprofitable_only": "false"}
-    values = {**defaults, **params}
-    if "vehicle_id" in params:
-        values["vehicle_filter"] = "vehicle_id = :vehicle_id"
-        return spark.sql(SERVING_SQL[name].format(**values), args={"vehicle_id": params["vehicle_id"]})
-    return spark.sql(SERVING_SQL[name].format(**values))
+    """Run a serving statement with bound parameters."""
+    if unknown := set(params) - set(DEFAULTS):
+        raise ValueError(f"unknown parameters {sorted(unknown)}")
+    text = SERVING_SQL[name]
+    values = {k: v for k, v in {**DEFAULTS, **params}.items() if f":{k}" in text}
+    return spark.sql(text, args=values)

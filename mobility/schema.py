@@ -10,7 +10,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Wire format of one telemetry message (JSON object). ``timestamp`` is the
+# The wire format of one telemetry message (JSON object). ``timestamp`` is the
 # field name on the wire; decoded frames call the column ``event_ts``.
 EVENT_SCHEMA = StructType([
     StructField("trip_id", StringType()),
@@ -36,11 +36,14 @@ BUSINESS_COLUMNS = [
     "speed", "status", "fare", "trip_completed", TS,
 ]
 
+# The columns of an expense file.
 EXPENSE_COLUMNS = ["vehicle_id", "fuel_cost", "maintenance_cost", "distance_covered", "service_flag"]
 
-# Money columns follow the serving schema: decimal(12,2) for sums, (10,2) for
-# expense inputs, (10,4) per-km ratios are kept as unrounded doubles.
-MONEY = "decimal(12,2)"
+# Money: expense inputs are decimal(10,2); a fare has at most ten digits before
+# the point (larger ones are dead letters); sums are wide enough for any
+# number of such fares in a day. Per-km ratios are kept as unrounded doubles.
+MONEY = "decimal(20,2)"
 COST = "decimal(10,2)"
+MAX_FARE = 1e10
 
 IDLE = "idle"

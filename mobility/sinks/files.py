@@ -1,10 +1,12 @@
 """Batch sinks: the day-partitioned archive, dead letters and plain appends."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock
 from mobility.schema import TS
+from mobility.sources.lake import backfill_root, is_streamed
 
 
 def with_day(valid: DataFrame, clock: SimClock) -> DataFrame:
@@ -20,7 +22,13 @@ def archive_by_day(valid: DataFrame, root: str, clock: SimClock) -> None:
     come from a sample, so tasks get equal row counts even when one day or
     one vehicle dominates, and each task covers a contiguous time slice
     (few day folders, few files). Hash-partitioning on sim_day alone would
-    hand each whole day to a single task."""
+    hand each whole day to a single task.
+
+    A root that a stream writes is left alone: readers of it would not see the new
+    files, and replacing a day would delete files that its log still lists. The
+    rows go to the backfill folder beside it, which ``lake_scan`` unites with it."""
+    if is_streamed(valid.sparkSession, root):
+        root = backfill_root(root)
     out = with_day(valid, clock)
     (out.repartitionByRange("sim_day", TS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
@@ -35,3 +43,9 @@ def write_dead_letters(dead: DataFrame, path: str) -> None:
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Row 35: plain append."""
     df.write.mode("append").format(fmt).save(path)
+
+
+def heartbeat(spark: SparkSession, path: str, component: str, detail: str) -> None:
+    """One row saying that a component has just succeeded."""
+    append_rows(spark.range(1).select(
+        F.lit(component).alias("component"), F.current_timestamp().alias("at"), F.lit(detail).alias("detail")), path)

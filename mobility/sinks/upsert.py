@@ -13,7 +13,7 @@ batches only, so the read cost stays bounded as the log grows.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mobility.sources.lake import path_exists
@@ -53,8 +53,8 @@ def keyed_upsert(target: DataFrame, updates: DataFrame, keys: list[str],
 
 
 def write_upsert_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
-    """One micro-batch of an upsert stream; replaying ``batch_id`` overwrites it."""
-    batch.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}")
+    """One micro-batch of an upsert stream, with its write time; replaying ``batch_id`` overwrites it."""
+    batch.withColumn("updated_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}")
 
 
 def _latest(log: DataFrame, keys: list[str]) -> DataFrame:
@@ -89,13 +89,33 @@ def _with_snapshot(spark, log_path: str, snapshot: str | None) -> DataFrame:
     return snap.unionByName(log.where(F.col("batch_id") > upto))
 
 
-def read_upsert_log(spark, log_path: str, keys: list[str], snapshot: str | None = None) -> DataFrame:
+def read_upsert_log(spark, log_path: str, keys: list[str], snapshot: str | None = None,
+                    rows: Column | None = None) -> DataFrame:
     """Current table from an upsert log: per key the row of the newest batch.
+    ``rows``, a condition on the keys, leaves the others out before that.
 
     With snapshots written by :func:`compact_upsert_log`, the newest committed
     snapshot is read plus only the log batches after it (a partition filter
     on ``batch_id``)."""
-    return _latest(_with_snapshot(spark, log_path, snapshot), keys).drop("batch_id")
+    log = _with_snapshot(spark, log_path, snapshot)
+    return _latest(log if rows is None else log.where(rows), keys).drop("batch_id")
+
+
+def expire_upsert_log(spark, log_path: str, snapshot: str) -> list[int]:
+    """Delete the log's batches that the newest committed snapshot holds, and
+    older snapshots; returns the batches deleted."""
+    versions = _numbered_dirs(spark, snapshot, "upto=", committed=True)
+    if not versions:
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = [b for b in _numbered_dirs(spark, log_path, "batch_id=") if b < versions[-1]]  # the last one keeps the schema
+    paths = [f"{log_path.rstrip('/')}/batch_id={b}" for b in old]
+    paths += [f"{snapshot.rstrip('/')}/upto={v}" for v in versions[:-1]]
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return old
 
 
 def compact_upsert_log(spark, log_path: str, keys: list[str], snapshot: str) -> int | None:

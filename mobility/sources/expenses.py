@@ -8,7 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from mobility.operators.reconcile import EXPENSE_FILE_PATTERN
 from mobility.schema import COST, EXPENSE_COLUMNS
 
-TEXT_SCHEMA = StructType([StructField(c, StringType()) for c in EXPENSE_COLUMNS])
+#: Columns of a file that are looked at; the five needed may stand anywhere among them.
+MOST_COLUMNS = 32
 
 # Fixed value lists matching the pandas CSV reader the reference uses: texts it
 # reads as missing, and the texts that mean a true service flag.
@@ -37,21 +38,42 @@ def to_flag(text: Column) -> Column:
     return F.coalesce(F.lower(text).isin(*TRUE_TEXTS), F.lit(False))
 
 
-def expenses_scan(spark: SparkSession, landing: str, pattern: str = EXPENSE_FILE_PATTERN) -> DataFrame:
-    """Row 4: every landed expense file, typed, with ``sim_day`` from its name.
+def _cells(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``file, cells, is_header`` of every line, header lines included."""
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(MOST_COLUMNS)])
+    rows = (spark.read.schema(schema).option("header", False).option("pathGlobFilter", "*.csv")
+            .option("recursiveFileLookup", "true").csv(paths))
+    cells = F.array(*[F.col(f"c{i}") for i in range(MOST_COLUMNS)])
+    is_header = F.exists(cells, lambda c: F.trim(c) == "vehicle_id")
+    return rows.select(F.col("_metadata.file_path").alias("file"), cells.alias("cells"),
+                       F.coalesce(is_header, F.lit(False)).alias("is_header"))
 
-    All columns are read as text and coerced here, so a bad value never fails
-    the read: costs/distance that are not numbers become 0.0."""
-    raw = (spark.read.schema(TEXT_SCHEMA).option("header", True)
-           .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-           .csv(landing))
+
+def expenses_scan(spark: SparkSession, landing: str | list[str], pattern: str = EXPENSE_FILE_PATTERN) -> DataFrame:
+    """Row 4: landed expense files (a folder, or a list of files), typed, with
+    ``sim_day`` from the file's name.
+
+    Columns are found by the names in each file's own header, in any order; a
+    column that a file doesn't have reads as missing. Values are read as text
+    and coerced here, so a bad one never fails the read: costs and distances that are
+    not numbers become 0.0, numbers that don't fit their type NULL (the load rejects them)."""
+    rows = _cells(spark, landing)
+    header = (rows.where("is_header").groupBy("file")
+              .agg(F.transform(F.min("cells"), lambda c: F.trim(c)).alias("header")))
+    named = rows.where("not is_header").drop("is_header").join(header, "file", "left")
+
+    def column(name: str) -> Column:
+        at = F.array_position("header", name).cast("int")
+        return F.when(at > 0, F.try_element_at("cells", F.nullif(at, F.lit(0)))).alias(name)
+
+    raw = named.select("file", *[column(c) for c in EXPENSE_COLUMNS])
     missing = F.col("vehicle_id").isin(*MISSING_TEXTS)
     return raw.select(
         F.when(~missing, F.col("vehicle_id")).alias("vehicle_id"),
-        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("int").alias("sim_day"),
-        to_number(F.col("fuel_cost")).cast(COST).alias("fuel_cost"),
-        to_number(F.col("maintenance_cost")).cast(COST).alias("maintenance_cost"),
-        to_number(F.col("distance_covered")).cast(COST).alias("distance_covered"),
+        F.regexp_extract(F.col("file"), pattern, 1).try_cast("int").alias("sim_day"),
+        to_number(F.col("fuel_cost")).try_cast(COST).alias("fuel_cost"),
+        to_number(F.col("maintenance_cost")).try_cast(COST).alias("maintenance_cost"),
+        to_number(F.col("distance_covered")).try_cast(COST).alias("distance_covered"),
         to_flag(F.col("service_flag")).alias("service_flag"),
     )
 

@@ -1,6 +1,8 @@
 """The event lake: valid events as Parquet, one directory per simulated day."""
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -30,12 +32,23 @@ def touch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
+def is_streamed(spark: SparkSession, root: str) -> bool:
+    """Whether a streaming file sink owns the folder: readers then see only the
+    files in its log."""
+    return path_exists(spark, f"{root.rstrip('/')}/_spark_metadata")
+
+
+def backfill_root(root: str) -> str:
+    """Where batch writes into a streamed lake go."""
+    return f"{root.rstrip('/')}_backfill"
+
+
 def lake_scan(spark: SparkSession, root: str) -> DataFrame:
-    """All archived events. Reading the root honours a streaming sink's
+    """All archived events, backfilled ones included. Reading the root honours a streaming sink's
     ``_spark_metadata`` log, so files of uncommitted batches are skipped."""
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], LAKE_SCHEMA)
-    return spark.read.schema(LAKE_SCHEMA).parquet(root)
+    lake = spark.createDataFrame([], LAKE_SCHEMA)
+    parts = [spark.read.schema(LAKE_SCHEMA).parquet(r) for r in (root, backfill_root(root)) if path_exists(spark, r)]
+    return functools.reduce(DataFrame.unionByName, parts) if parts else lake
 
 
 def lake_day_scan(spark: SparkSession, root: str, day: int) -> DataFrame:

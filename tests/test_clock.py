@@ -14,21 +14,11 @@ def _clock_row(spark, ts):
     return with_sim_clock(df, CLOCK).first()
 
 
-def test_day_zero_at_epoch(spark):
-    r = _clock_row(spark, EPOCH)
-    assert (r.sim_day, r.sim_hour) == (0, 0)
-
-
-def test_day_increments_after_a_day(spark):
-    assert _clock_row(spark, EPOCH + timedelta(seconds=305)).sim_day == 1
-
-
-def test_hour_twelve_at_midday(spark):
-    assert _clock_row(spark, EPOCH + timedelta(seconds=150)).sim_hour == 12
-
-
-def test_seconds_until_next_day_counts_down(spark):
-    assert _clock_row(spark, EPOCH + timedelta(seconds=1)).seconds_until_next_day == 299.0
+@pytest.mark.parametrize("seconds, day, hour, left", [
+    (0, 0, 0, 300.0), (12.4, 0, 0, 287.6), (12.5, 0, 1, 287.5), (287.5, 0, 23, 12.5), (1234.5, 4, 2, 265.5), (300 * 7001 + 199, 7001, 15, 101.0)])
+def test_day_hour_and_countdown(spark, seconds, day, hour, left):
+    r = _clock_row(spark, EPOCH + timedelta(seconds=seconds))
+    assert (r.sim_day, r.sim_hour, r.seconds_until_next_day) == (day, hour, left)
 
 
 def test_before_epoch_clamps_day_and_wraps_hour(spark):

@@ -1,18 +1,11 @@
 from mobility.operators.dims import ZONES, vehicle_dim, zone_dim
 
 
-def test_roster_size_matches_request(spark):
-    assert vehicle_dim(spark, 10).count() == 10
-
-
-def test_vehicle_ids_are_unique(spark):
-    df = vehicle_dim(spark, 25)
-    assert df.select("vehicle_id").distinct().count() == 25
-
-
-def test_every_vehicle_gets_a_known_zone(spark):
-    zones = {r.home_zone for r in vehicle_dim(spark, 15).collect()}
-    assert zones <= set(ZONES)
+def test_roster_of_scattered_ids(spark):
+    ids = spark.createDataFrame([(3,), (999,), (9999,), (14990,), (100000,)], "i long")
+    rows = sorted(map(tuple, vehicle_dim(spark, source=ids).collect()))
+    assert [r[0] for r in rows] == ["V0003", "V0999", "V100000", "V14990", "V9999"]  # all distinct, none cut
+    assert all(r[1] == "D" + r[0][1:] and r[2] in ZONES for r in rows)
 
 
 def test_ids_wider_than_four_digits_are_not_truncated(spark):

@@ -29,7 +29,7 @@ def _plan(df) -> str:
 def test_no_driver_collect_in_package_code():
     pattern = re.compile(r"\.(collect|toPandas|take|head|first|toLocalIterator)\(|localCheckpoint")
     hits = [f"{p}:{i}" for p in PKG.rglob("*.py") if "llm" not in p.parts  # has its own test
-            for i, line in enumerate(p.read_text().splitlines(), 1) if pattern.search(line)]
+            for i, line in enumerate(p.read_text().splitlines(), 1) if pattern.search(line) and "# bounded:" not in line]
     assert hits == []
 
 
@@ -144,8 +144,89 @@ def test_approx_window_counts_stay_within_error_bound(spark):
     assert stats.worst <= 0.5
 
 
-def test_report_with_check_broadcasts_the_day_table(spark):
-    assert "BroadcastHashJoin" in _plan(q.report_with_check(spark, SF_SMALL))
+def test_report_with_check_leaves_the_broadcast_to_measured_sizes(spark):
+    days = spark.range(3).select(F.col("id").cast("int").alias("sim_day"))
+    check = days.selectExpr("sim_day", "1 AS speed_trips", "1 AS batch_trips", "1 AS speed_earnings", "1 AS batch_earnings",
+                            "0d AS earnings_delta_pct")
+    assert "ResolvedHint" not in rc.report_with_check(days, check)._jdf.queryExecution().analyzed().toString()
+
+
+def _batch_config(root):
+    names = ["lake", "landing", "fleet", "profit", "rejects", "check", "reports", "beats"]
+    return reconciliation.BatchConfig(fx.FIXTURE_CLOCK, *[str(root / n) for n in names])
+
+
+def test_batch_job_reads_only_the_days_asked_for(spark, tmp_path, monkeypatch):
+    """One lake partition and one day's files for ``days=[3]``; the same rows as a run over all days."""
+    cfg = _batch_config(tmp_path)
+    lake = fx.lake_events(spark, SF_SMALL).where(fx.FIXTURE_CLOCK.day("event_ts") < 6)
+    archive_by_day(lake, cfg.lake, cfg.clock)
+    write_landing(fx.expenses(spark, SF_SMALL).where("sim_day < 6"), cfg.landing)
+    write_upsert_batch(win.fleet_window_metrics(lake, cfg.clock).withColumn(
+        "window_start", F.col("window_start").cast("timestamp")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp")), 0, cfg.fleet_metrics)
+    read = {}
+    for name in ("lake_scan", "expenses_scan"):
+        def spied(*args, _name=name, _scan=getattr(reconciliation, name)):
+            read[_name] = (args, _scan(*args))
+            return read[_name][1]
+        monkeypatch.setattr(reconciliation, name, spied)
+    reconciliation.run(spark, cfg, days=[3])
+    files = read["expenses_scan"][0][1]
+    assert files and all("expenses_day_3.csv" in f for f in files)
+    plan = _plan(read["lake_scan"][1].where(F.col("sim_day").isin([3])))
+    assert "PartitionFilters: [isnotnull(sim_day" in plan and "= 3)" in plan
+    alone = sorted(map(str, spark.read.parquet(cfg.profitability).drop("generated_at").collect()))
+    assert alone and {r.sim_day for r in spark.read.parquet(cfg.profitability).collect()} == {3}
+
+    check = reconciliation.run(spark, cfg)  # the pending ones: all but 3
+    assert sorted(r.sim_day for r in check.collect()) == [0, 1, 2, 4, 5]
+    stored = spark.read.parquet(cfg.profitability).drop("generated_at")
+    assert sorted(map(str, stored.where("sim_day = 3").collect())) == alone
+    assert sorted(r.sim_day for r in spark.read.parquet(cfg.ledger).collect()) == [0, 1, 2, 3, 4, 5]
+    assert spark.read.parquet(cfg.expenses).count() == fx.expenses(spark, SF_SMALL).where("sim_day < 6").count()
+
+
+def test_a_landed_day_without_rows_is_processed_once(spark, tmp_path):
+    cfg = _batch_config(tmp_path)
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "expenses_day_2.csv").write_text(
+        "vehicle_id,fuel_cost,maintenance_cost,distance_covered,service_flag\n")
+    write_upsert_batch(spark.createDataFrame([], "window_start timestamp, window_end timestamp, sim_day int, "
+                                                 "trips_completed int, earnings decimal(20,2)"), 0, cfg.fleet_metrics)
+    assert [d for d, _ in [reconciliation._days_to_run(spark, cfg, None)]] == [[2]]
+    reconciliation.run(spark, cfg)
+    assert reconciliation._days_to_run(spark, cfg, None)[0] == []
+    beats = spark.read.parquet(cfg.heartbeats)
+    assert [r.detail for r in beats.collect()] == ["day 2"]
+    from mobility.operators import quality
+    for name in ("stream_sink", "batch_sim"):
+        from mobility.sinks.files import heartbeat
+        heartbeat(spark, cfg.heartbeats, name, "test")
+    limits = quality.thresholds_frame(spark, {"stream_sink": 60, "batch_sim": 600, "batch_reconcile": 900})
+    health = quality.pipeline_health(spark.read.parquet(cfg.heartbeats), limits, F.current_timestamp()).collect()
+    assert {r.overall for r in health} == {"ok"} and len(health) == 3
+
+
+def test_wide_vehicle_ids_stay_apart(spark, tmp_path):
+    """Vehicles 999, 9999 and 14990 through the fixture: three vehicles, equal totals."""
+    ids = [998, 9998, 14989]
+    ev = spark.createDataFrame([(i * 100, u, "purchase", 5.0, f"2024-01-0{1 + i % 2} 10:00:00") for i, u in enumerate(ids, 1)],
+                               "event_id long, user_id long, event_type string, value double, t string").select(
+        "event_id", "user_id", "event_type", "value", F.col("t").cast("timestamp_ntz").alias("ts"))
+    ev.write.parquet(str(tmp_path / "events.parquet"))
+    li = spark.createDataFrame([(u, 10.0, "R", "1995-01-02") for u in ids * 2],
+                               "l_suppkey long, l_quantity double, l_returnflag string, d string").select(
+        "l_suppkey", "l_quantity", "l_returnflag", F.col("d").cast("date").alias("l_shipdate"))
+    li.write.parquet(str(tmp_path / "lineitem.parquet"))
+    vehicles = {r.vehicle_id for r in fx.lake_events(spark, str(tmp_path)).collect()}
+    assert vehicles == {"V0999", "V9999", "V14990"}
+    exp = fx.expenses(spark, str(tmp_path))
+    assert exp.count() == exp.select("vehicle_id", "sim_day").distinct().count() == 3
+    profit = q.profitability(spark, str(tmp_path))
+    batch = rc.batch_day_totals(profit).agg(F.sum("batch_trips"), F.sum("batch_earnings")).first()
+    speed = rc.speed_day_totals(q.fleet_metrics(spark, str(tmp_path))).agg(F.sum("speed_trips"), F.sum("speed_earnings")).first()
+    assert tuple(batch) == tuple(speed) == (3, Decimal("15.00"))
 
 
 def test_cli_reconcile_runs_pending_days(spark, tmp_path):

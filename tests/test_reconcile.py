@@ -22,26 +22,40 @@ def _ledger(spark, days):
     return spark.createDataFrame([(d,) for d in days], "sim_day int")
 
 
-def test_pending_day_skips_already_processed(spark, tmp_path):
-    listing = landing_files(spark, _land(tmp_path, (0, 1, 2)))
-    assert rc.next_pending_day(listing, _ledger(spark, [0, 1])).first().next_day == 2
-    assert rc.next_pending_day(listing, _ledger(spark, [0, 1, 2])).first().next_day is None
-
-
-def test_pending_day_picks_earliest(spark, tmp_path):
-    listing = landing_files(spark, _land(tmp_path, (3, 1, 2)))
-    assert rc.next_pending_day(listing, _ledger(spark, [])).first().next_day == 1
-    assert sorted(r.sim_day for r in rc.pending_days(listing, _ledger(spark, [])).collect()) == [1, 2, 3]
-
-
-def test_load_expenses_csv_coerces_types(spark, tmp_path):
-    (tmp_path / "expenses_day_0.csv").write_text(
+def test_pending_days_over_a_gappy_landing_zone(spark, tmp_path):
+    # Days 4, 11 and 12 landed out of order beside files of other names; 11 is
+    # done, and the ledger knows a day (9) that never landed.
+    (tmp_path / "expenses_day_x.csv").write_text("junk\n")
+    (tmp_path / "notes.csv").write_text("junk\n")
+    listing = landing_files(spark, _land(tmp_path, (12, 4, 11)))
+    ledger = _ledger(spark, [11, 9, 11])
+    assert sorted(r.sim_day for r in rc.pending_days(listing, ledger).collect()) == [4, 12]
+    assert [r.next_day for r in rc.next_pending_day(listing, ledger).collect()] == [4]
+    assert [r.next_day for r in rc.next_pending_day(listing, _ledger(spark, [4, 11, 12])).collect()] == [None]
+
+
+def test_expense_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "expenses_day_6.csv").write_text(
+        "vehicle_id,fuel_cost,maintenance_cost,distance_covered,service_flag\nV31,10.25,3,77.7,no\nV32,8,0,15,YES\n")
+    (tmp_path / "expenses_day_7.csv").write_text(  # other order, an extra column
+        "note,maintenance_cost,service_flag,vehicle_id,distance_covered,fuel_cost\nx,4.5,1,V31,12,20\ny,6,False,V33,0,9.99\n")
+    (tmp_path / "expenses_day_8.csv").write_text("fuel_cost,vehicle_id\n2,V31\n")  # columns missing
+    rows = {(r.sim_day, r.vehicle_id): r for r in expenses_scan(spark, str(tmp_path)).collect()}
+    got = {k: (r.fuel_cost, r.maintenance_cost, r.distance_covered, r.service_flag) for k, r in rows.items()}
+    assert got == {
+        (6, "V31"): (Decimal("10.25"), Decimal("3"), Decimal("77.70"), False), (6, "V32"): (Decimal("8"), 0, Decimal("15"), True),
+        (7, "V31"): (Decimal("20"), Decimal("4.50"), Decimal("12"), True), (7, "V33"): (Decimal("9.99"), Decimal("6"), 0, False),
+        (8, "V31"): (Decimal("2"), 0, 0, False)}
+
+
+def test_numbers_that_do_not_fit_are_rejected_not_fatal(spark, tmp_path):
+    (tmp_path / "expenses_day_2.csv").write_text(
         "vehicle_id,fuel_cost,maintenance_cost,distance_covered,service_flag\n"
-        "V0001,45.5,0,120.3,False\n"
-        "V0002,60.0,150.0,200.0,True\n")
-    rows = expenses_scan(spark, str(tmp_path)).orderBy("vehicle_id").collect()
-    assert [r.service_flag for r in rows] == [False, True]
-    assert rows[0].fuel_cost == Decimal("45.50") and rows[0].sim_day == 0
+        "V1,999999999,1,1,no\nV2,1,1e400,1,no\nV3,1,1,-1e12,no\nV4,99999999.99,1,1,no\n")
+    good, rejects = rc.validate_expenses(expenses_scan(spark, str(tmp_path)))
+    assert [r.vehicle_id for r in good.collect()] == ["V4"]
+    assert sorted((r.vehicle_id, r.reject_reason) for r in rejects.collect()) == [
+        ("V1", "fuel_cost_out_of_range"), ("V2", "maintenance_cost_out_of_range"), ("V3", "distance_out_of_range")]
 
 
 def test_expense_text_edge_cases(spark, tmp_path):
@@ -81,45 +95,38 @@ def test_validate_expenses_splits_rejects(spark):
                        ("V3", "duplicate_key"), ("V3", "duplicate_key")]
 
 
-def test_summarize_trips_only_counts_completed(spark):
+def test_trip_summary_over_vehicles_and_days(spark):
     ev = spark.createDataFrame([
-        ("V0001", "t1", 10.0, True, 0), ("V0001", "t1", 0.0, False, 0),
-        ("V0001", "t2", 15.0, True, 0), ("V0002", "t3", 8.0, True, 0),
+        ("V7", "a", 4.25, True, 2), ("V7", "a", 99.0, False, 2), ("V7", "b", 0.5, True, 2), ("V7", "c", 3.0, True, 3),
+        ("V9", "d", 12.0, True, 2), ("V9", None, 1.0, True, 2), ("V9", "e", 50.0, None, 2), (None, "f", 7.0, True, 2),
     ], EVENT_SCHEMA)
-    v1 = rc.trip_summary(ev).where("vehicle_id = 'V0001'").first()
-    assert v1.trips == 2 and v1.earnings == Decimal("25.00")
+    got = {(r.vehicle_id, r.sim_day): (r.trips, r.earnings) for r in rc.trip_summary(ev).collect()}
+    assert got == {("V7", 2): (2, Decimal("4.75")), ("V7", 3): (1, Decimal("3.00")), ("V9", 2): (1, Decimal("13.00"))}
 
 
-def test_summarize_trips_counts_only_known_trip_ids(spark):
-    ev = spark.createDataFrame([("V1", None, 5.0, True, 0), ("V1", "t", 5.0, True, 0)], EVENT_SCHEMA)
+def test_sums_may_outgrow_a_single_fare(spark):
+    ev = spark.createDataFrame([("V1", f"t{i}", 9_999_999_999.99, True, 0) for i in range(12)], EVENT_SCHEMA)
     r = rc.trip_summary(ev).first()
-    assert r.trips == 1 and r.earnings == Decimal("10.00")
-
-
-def test_summarize_trips_handles_empty_input(spark):
-    assert rc.trip_summary(spark.createDataFrame([], EVENT_SCHEMA)).count() == 0
-
-
-def test_profitability_flags_unprofitable_vehicle(spark):
-    trips = spark.createDataFrame([("V0001", 5, 10, Decimal("100"))], TRIP_SCHEMA)
-    exp = spark.createDataFrame([("V0001", 5, Decimal("80"), Decimal("40"), Decimal("100"), True)], EXP_SCHEMA)
-    r = rc.daily_profitability(trips, exp, 0.0).first()
-    assert r.profit == Decimal("-20.00") and r.unprofitable and r.has_expenses and r.sim_day == 5
-    assert r.profit_per_km == pytest.approx(-0.2) and r.cost_per_km == pytest.approx(1.2)
-
-
-def test_profitability_marks_missing_expenses(spark):
-    trips = spark.createDataFrame([("V0002", 5, 3, Decimal("40"))], TRIP_SCHEMA)
-    r = rc.daily_profitability(trips, spark.createDataFrame([], EXP_SCHEMA)).first()
-    assert r.has_expenses is False and r.profit is None and r.unprofitable is False
-    assert r.service_flag is False and r.cost_per_km is None
-
-
-def test_profitability_expenses_without_trips(spark):
-    exp = spark.createDataFrame([("V0003", 5, Decimal("20"), Decimal("0"), Decimal("0"), False)], EXP_SCHEMA)
-    r = rc.daily_profitability(spark.createDataFrame([], TRIP_SCHEMA), exp).first()
-    assert r.trips == 0 and r.earnings == Decimal("0.00") and r.has_expenses and r.profit == Decimal("-20.00")
-    assert r.profit_per_km is None  # zero distance
+    assert r.trips == 12 and r.earnings == Decimal("119999999999.88")
+
+
+def test_no_trips_give_no_summary(spark):
+    assert rc.trip_summary(spark.createDataFrame([("V1", "t", 1.0, False, 0)], EVENT_SCHEMA)).count() == 0
+
+
+def test_profitability_of_all_kinds_of_rows_at_once(spark):
+    d = Decimal
+    trips = spark.createDataFrame([("V5", 1, 4, d("30.50")), ("V5", 2, 1, d("2")), ("V6", 1, 2, d("9.99"))], TRIP_SCHEMA)
+    exp = spark.createDataFrame([
+        ("V5", 1, d("10"), d("0.25"), d("40.5"), False), ("V6", 1, d("9"), d("1.99"), d("11"), True),
+        ("V8", 2, None, d("6"), d("0"), None)], EXP_SCHEMA)
+    got = {(r.vehicle_id, r.sim_day): r for r in rc.daily_profitability(trips, exp).collect()}
+    assert set(got) == {("V5", 1), ("V5", 2), ("V6", 1), ("V8", 2)}
+    both, no_costs, loss, no_trips = got["V5", 1], got["V5", 2], got["V6", 1], got["V8", 2]
+    assert both.profit == d("20.25") and not both.unprofitable and both.profit_per_km == pytest.approx(0.5)
+    assert (no_costs.profit, no_costs.unprofitable, no_costs.has_expenses, no_costs.service_flag) == (None, False, False, False)
+    assert loss.profit == d("-1.00") and loss.unprofitable and loss.cost_per_km == pytest.approx(10.99 / 11)
+    assert no_trips.trips == 0 and no_trips.earnings == 0 and no_trips.profit == d("-6.00") and no_trips.profit_per_km is None
 
 
 def test_threshold_is_strict(spark):
