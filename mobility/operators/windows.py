@@ -31,6 +31,8 @@ from mobility.schema import IDLE, TS
 
 WINDOW = "5 minutes"
 SLIDE = "1 minute"
+#: Relative standard error of approximate distinct counts.
+RSD = 0.05
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -54,7 +56,7 @@ def _flags(valid: DataFrame) -> tuple[Column, Column, Column, Column]:
 
 
 def window_aggregate(valid: DataFrame, keys: list[str], size: str = WINDOW, slide: str = SLIDE,
-                     exact: bool = True, rsd: float = 0.05, per_step: bool = True) -> DataFrame:
+                     exact: bool = True, rsd: float = RSD, per_step: bool = True) -> DataFrame:
     """``window`` struct + keys + active_vehicles, idle_vehicles, trips_completed,
     earnings_cents (summed as whole cents, see :mod:`mobility.functions.money`).
 

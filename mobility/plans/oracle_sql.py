@@ -243,9 +243,29 @@ ORACLES["decode_telemetry"] = B(TELEMETRY, DECODED) + "SELECT * FROM decoded"
 ORACLES["valid_events"] = B(TELEMETRY) + (
     "SELECT event_id, trip_id, driver_id, vehicle_id, zone, lat, lon, speed, status, fare, "
     "trip_completed, event_ts FROM telemetry WHERE corruption = 'none'")
-ORACLES["dead_letters"] = B(TELEMETRY) + (
-    "SELECT event_id, CASE corruption WHEN 'missing_field' THEN 'missing_vehicle_id' "
-    "ELSE 'corrupt_payload' END AS reason FROM telemetry WHERE corruption <> 'none'")
+PAYLOADS = """
+full_text AS (
+SELECT event_id, corruption,
+  '{' || CASE WHEN trip_id IS NULL THEN '' ELSE '"trip_id":"' || trip_id || '",' END || '"driver_id":"' || driver_id || '",' AS head,
+  '"vehicle_id":"' || vehicle_id || '",' AS vehicle,
+  '"zone":"' || zone || '","lat":' || cast(lat as varchar) || ',"lon":' || cast(lon as varchar) || ',"speed":' AS place,
+  cast(speed as varchar) AS speed_text,
+  ',"status":"' || status || '","fare":' || cast(fare as varchar) || ',"trip_completed":'
+    || CASE WHEN trip_completed THEN 'true' ELSE 'false' END
+    || ',"timestamp":"' || strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') || '"}' AS rest
+FROM telemetry),
+payloads AS (
+SELECT event_id, corruption, CASE corruption
+  WHEN 'missing_field' THEN head || place || speed_text || rest
+  WHEN 'wrong_type' THEN head || vehicle || place || '"very_fast"' || rest
+  WHEN 'truncated_json' THEN substring(head || vehicle || place || speed_text || rest, 1,
+    cast(length(head || vehicle || place || speed_text || rest) // 2 as int))
+  ELSE head || vehicle || place || speed_text || rest END AS raw_value
+FROM full_text)"""
+
+ORACLES["dead_letters"] = B(TELEMETRY, PAYLOADS) + (
+    "SELECT event_id, raw_value, CASE corruption WHEN 'missing_field' THEN 'missing_vehicle_id' "
+    "ELSE 'corrupt_payload' END AS reason FROM payloads WHERE corruption <> 'none'")
 _D5 = 300000000
 ORACLES["sim_clock"] = B(TELEMETRY) + (
     f"SELECT event_id, {sim_day('event_ts', _D5)} AS sim_day, {sim_hour('event_ts', _D5)} AS sim_hour, "
@@ -390,3 +410,54 @@ FROM t WHERE from_status IS NOT NULL AND from_status <> status GROUP BY from_sta
 
 ORACLES["lake_day_scan"] = B(TELEMETRY) + "SELECT * FROM lake WHERE sim_day = 29"
 ORACLES["expenses_scan"] = B(EXPENSES) + "SELECT * FROM expenses_f"
+ORACLES["lake_scan"] = B(TELEMETRY) + "SELECT * FROM lake"
+ORACLES["window_distinct_bound"] = B(TELEMETRY, ZONE) + (
+    "SELECT window_start, zone, active_vehicles, idle_vehicles, true AS within_bound FROM zone_m")
+ORACLES["keyed_upsert_some_columns"] = B(TELEMETRY, PREV, UPD) + """
+SELECT coalesce(u.vehicle_id, t.vehicle_id) AS vehicle_id, coalesce(t.status, u.status) AS status,
+  CASE WHEN u.vehicle_id IS NOT NULL THEN u.zone ELSE t.zone END AS zone,
+  CASE WHEN u.vehicle_id IS NOT NULL THEN u.last_event_ts ELSE t.last_event_ts END AS last_event_ts,
+  CASE WHEN t.vehicle_id IS NOT NULL THEN t.idle_since ELSE u.idle_since END AS idle_since
+FROM prev t FULL OUTER JOIN upd u ON t.vehicle_id = u.vehicle_id"""
+ORACLES["keyed_upsert_insert_only"] = B(TELEMETRY, PREV, UPD) + """
+SELECT * FROM prev UNION ALL SELECT * FROM upd WHERE vehicle_id NOT IN (SELECT vehicle_id FROM prev)"""
+ORACLES["recent_alerts_of_vehicle"] = B(TELEMETRY, EPISODES, ALERTS) + (
+    "SELECT * FROM alerts WHERE vehicle_id = 'V0003' ORDER BY created_at DESC, vehicle_id, message LIMIT 50")
+ORACLES["profit_report_unprofitable"] = B(*_P) + (
+    "SELECT * FROM profitability WHERE sim_day = 15 AND unprofitable ORDER BY profit ASC NULLS LAST, vehicle_id")
+
+
+def _two(c: str) -> str:
+    return f"coalesce(printf('%.2f', cast({c} as double)), 'n/a')"
+
+
+def _py(c: str) -> str:
+    return f"CASE WHEN {c} THEN 'True' ELSE 'False' END"
+
+
+ORACLES["daily_report"] = B(*_P, BATCH, FLEET, SPEED, CHECK) + f""",
+day AS (
+SELECT sim_day, count(*) AS vehicles, sum(CASE WHEN unprofitable THEN 1 ELSE 0 END) AS bad, sum(earnings) AS total
+FROM profitability GROUP BY sim_day),
+line AS (
+SELECT day.sim_day, unnest([
+  {{'n': 0, 't': '# Daily Fleet Profitability Report -- Sim Day ' || day.sim_day}}, {{'n': 1, 't': ''}},
+  {{'n': 2, 't': 'Generated: 2024-02-01T00:00:00.000000+00:00'}}, {{'n': 3, 't': ''}}, {{'n': 4, 't': '## Summary'}},
+  {{'n': 5, 't': '- Vehicles reporting trips or expenses: ' || vehicles}}, {{'n': 6, 't': '- Unprofitable vehicles: ' || bad}},
+  {{'n': 7, 't': '- Total earnings (batch): ' || {_two('total')}}}, {{'n': 8, 't': ''}},
+  {{'n': 9, 't': '## Lambda consistency check (speed layer vs. batch layer)'}},
+  {{'n': 10, 't': '- Speed-layer trips: ' || speed_trips || ', earnings: ' || {_two('speed_earnings')}}},
+  {{'n': 11, 't': '- Batch-layer trips: ' || batch_trips || ', earnings: ' || {_two('batch_earnings')}}},
+  {{'n': 12, 't': '- Earnings delta: ' || CASE WHEN earnings_delta_pct IS NULL THEN 'n/a' ELSE {_two('earnings_delta_pct')} || '%' END}},
+  {{'n': 13, 't': ''}}, {{'n': 14, 't': '## Top unprofitable vehicles'}}, {{'n': 15, 't': ''}},
+  {{'n': 16, 't': '| vehicle_id | trips | earnings | fuel_cost | maintenance_cost | profit | cost_per_km | service_flag | has_expenses |'}},
+  {{'n': 17, 't': '|---|---|---|---|---|---|---|---|---|'}}]) AS l
+FROM day JOIN chk ON day.sim_day = chk.sim_day),
+ranked AS (
+SELECT *, row_number() OVER (PARTITION BY sim_day ORDER BY profit ASC NULLS LAST, vehicle_id) AS r
+FROM profitability WHERE unprofitable)
+SELECT sim_day, cast(l.n as int) AS line_no, l.t AS line FROM line
+UNION ALL SELECT sim_day, cast(18 + r as int),
+  '| ' || vehicle_id || ' | ' || trips || ' | ' || {_two('earnings')} || ' | ' || {_two('fuel_cost')} || ' | ' || {_two('maintenance_cost')}
+  || ' | ' || {_two('profit')} || ' | ' || {_two('cost_per_km')} || ' | ' || {_py('service_flag')} || ' | ' || {_py('has_expenses')} || ' |'
+FROM ranked WHERE r <= 10"""

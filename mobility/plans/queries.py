@@ -19,6 +19,7 @@ from mobility.operators import windows as win
 from mobility.schema import BUSINESS_COLUMNS, CORRUPT_COLUMN, TS
 from mobility.plans.derived import materialized
 from mobility.plans.memo import shared_plan
+from mobility.sinks import report
 from mobility.sinks import upsert as ups
 from mobility.sinks.files import archive_by_day
 from mobility.sources import expenses as exp_src
@@ -137,7 +138,7 @@ def valid_events(spark, sf_dir):
 
 @register
 def dead_letters(spark, sf_dir):
-    return ing.dead_letters(decoded(spark, sf_dir), keep=["event_id"]).drop("raw_value")
+    return ing.dead_letters(decoded(spark, sf_dir), keep=["event_id"])
 
 
 @register
@@ -175,6 +176,22 @@ def window_distinct_approx(spark, sf_dir):
     return win.zone_window_metrics(lake(spark, sf_dir), CLOCK, exact=False)
 
 
+@register
+def window_distinct_bound(spark, sf_dir):
+    """Exact counts of each window, and whether the approximate ones are within three standard errors."""
+    keys = ["window_start", "zone"]
+    exact = zone_metrics(spark, sf_dir).select(*keys, "active_vehicles", "idle_vehicles")
+    approx = win.zone_window_metrics(lake(spark, sf_dir), CLOCK, exact=False).select(
+        *keys, F.col("active_vehicles").alias("_a"), F.col("idle_vehicles").alias("_i"))
+
+    def within(approximate: str, count: str) -> F.Column:
+        return F.abs(F.col(approximate) - F.col(count)) <= F.ceil(3 * win.RSD * F.col(count))
+
+    return exact.join(approx, keys).select(
+        *keys, "active_vehicles", "idle_vehicles",
+        (within("_a", "active_vehicles") & within("_i", "idle_vehicles")).alias("within_bound"))
+
+
 @register
 def ingest_quality(spark, sf_dir):
     return qual.ingest_quality(decoded(spark, sf_dir), size="1 hour")
@@ -196,12 +213,26 @@ def vehicle_state_step(spark, sf_dir):
 
 @register
 def keyed_upsert(spark, sf_dir):
+    return _upserted(spark, sf_dir, None)
+
+
+def _upserted(spark, sf_dir, update_cols):
     late = lake(spark, sf_dir).where(F.col("sim_day") >= SPLIT_DAY)
     updates = st.state_from_latest(st.vehicle_latest(late))
-    merged = ups.keyed_upsert(state_before(spark, sf_dir), updates, ["vehicle_id"])
+    merged = ups.keyed_upsert(state_before(spark, sf_dir), updates, ["vehicle_id"], update_cols)
     return _ntz_out(merged, "last_event_ts", "idle_since")
 
 
+@register
+def keyed_upsert_some_columns(spark, sf_dir):
+    return _upserted(spark, sf_dir, ["zone", "last_event_ts"])
+
+
+@register
+def keyed_upsert_insert_only(spark, sf_dir):
+    return _upserted(spark, sf_dir, [])
+
+
 @register
 def idle_episodes(spark, sf_dir):
     return _ntz_out(st.idle_episodes(lake(spark, sf_dir)), "idle_since", "last_idle_ts", "ended_at")
@@ -217,6 +248,11 @@ def recent_alerts(spark, sf_dir):
     return _ntz_out(serve.recent_alerts(alerts(spark, sf_dir), limit=50), "created_at")
 
 
+@register
+def recent_alerts_of_vehicle(spark, sf_dir):
+    return _ntz_out(serve.recent_alerts(alerts(spark, sf_dir), vehicle_id="V0003", limit=50), "created_at")
+
+
 # ---------------------------------------------------------------- consistency and reports
 
 
@@ -263,6 +299,17 @@ def profit_report(spark, sf_dir):
     return serve.profit_report(profitability(spark, sf_dir))
 
 
+@register
+def profit_report_unprofitable(spark, sf_dir):
+    return serve.profit_report(profitability(spark, sf_dir), day=SPLIT_DAY, unprofitable_only=True)
+
+
+@register
+def daily_report(spark, sf_dir):
+    return report.daily_report(profitability(spark, sf_dir), _check(spark, sf_dir),
+                               F.lit("2024-02-01 00:00:00").cast("timestamp"))
+
+
 @register
 def report_summary(spark, sf_dir):
     return serve.report_summary(profitability(spark, sf_dir))
@@ -356,6 +403,11 @@ def lake_day_scan(spark, sf_dir):
     return _ntz_out(day, TS)
 
 
+@register
+def lake_scan(spark, sf_dir):
+    return _ntz_out(lake_src.lake_scan(spark, lake_root(spark, sf_dir)), TS)
+
+
 @register
 def expenses_scan(spark, sf_dir):
     return exp_src.expenses_scan(spark, landing_root(spark, sf_dir))

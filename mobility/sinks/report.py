@@ -23,7 +23,8 @@ NO_CHECK = "- Consistency check not yet computed."
 
 def fmt2(c: Column) -> Column:
     """``f"{x:.2f}"``, or ``n/a`` for NULL."""
-    return F.coalesce(F.format_string("%.2f", c.cast("double")), F.lit("n/a"))
+    # format_string writes a NULL as text of its own
+    return F.when(c.isNotNull(), F.format_string("%.2f", c.cast("double"))).otherwise(F.lit("n/a"))
 
 
 def pybool(c: Column) -> Column:
