@@ -3,6 +3,8 @@ stack as DataFrame queries: ingest validity per window, staleness, health
 per component, and "held for N seconds" breach intervals."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,15 @@ from mobility.operators.ingest import valid_condition
 # Fixed thresholds of the reference's rules.
 STALE_EVENT_SECONDS = 60.0
 INVALID_RATIO_LIMIT = 0.05
+STALE_BATCH_SECONDS = 900.0
 MISSING_HEARTBEAT_AGE = 1e9
+# Rule -> (limit that its value must be over, seconds that it must stay so).
+ALERT_RULES = {
+    "no_recent_events": (STALE_EVENT_SECONDS, 15),
+    "high_invalid_ratio": (INVALID_RATIO_LIMIT, 30),
+    "batch_stale": (STALE_BATCH_SECONDS, 30),
+}
+SAMPLE_SECONDS = 15
 
 
 def ingest_quality(decoded: DataFrame, size: str = "1 minute", ingest_ts: str = "ingest_ts") -> DataFrame:
@@ -61,6 +71,55 @@ def pipeline_health(heartbeats: DataFrame, thresholds: DataFrame, as_of: Column)
     return rows.withColumn("overall", F.when(any_stale == 1, "degraded").otherwise("ok"))
 
 
+def age_samples(successes: DataFrame, rule: str, at: str, until: Column, step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """``rule, window_start, value``: seconds since the last success, sampled at every multiple of
+    ``step_seconds`` from the first one to ``until``, without the samples of age under one step.
+
+    Each success answers for the samples up to the next one, so no grid is joined
+    with them; the successes of a step fold into the last one first."""
+    step_us = step_seconds * 1_000_000
+    last = (successes.select(micros(at).alias("_t")).groupBy(floor_div(F.col("_t") - 1, step_us).alias("_i"))
+            .agg(F.max("_t").alias("_t")))
+    # steps in order, in buckets of a day: the next step of a day, or the first of the next days
+    days = last.withColumn("_d", floor_div(F.col("_i"), 86_400 // step_seconds))
+    first = days.groupBy("_d").agg(F.min("_i").alias("_first"))
+    after = first.select("_d", F.lead("_first").over(Window.orderBy("_d")).alias("_after"))
+    inside = F.lead("_i").over(Window.partitionBy("_d").orderBy("_i"))
+    ends = days.withColumn("_next", inside).join(after, "_d", "left")
+    ends = ends.withColumn("_end", floor_div(micros(until), step_us))
+    # sample k is at k * step; a success of step i is the last one for samples i + 1 .. the next success's step
+    begin, stop = F.col("_i") + 1, F.least(F.coalesce("_next", "_after", "_end"), F.col("_end"))
+    samples = ends.select("_t", F.explode(F.when(stop >= begin, F.sequence(begin, stop))).alias("_k"))
+    age_us = F.col("_k") * F.lit(step_us) - F.col("_t")
+    return samples.where(age_us >= step_us).select(
+        F.lit(rule).alias("rule"), F.timestamp_micros(F.col("_k") * F.lit(step_us)).alias("window_start"),
+        (age_us.cast("double") / F.lit(1_000_000.0)).alias("value"))
+
+
+def ratio_samples(decoded: DataFrame, rule: str, ingest_ts: str = "ingest_ts", range_seconds: int = 60,
+                  step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """``rule, window_start, value``: the invalid ratio of the ``range_seconds`` before each sample."""
+    step_us, n = step_seconds * 1_000_000, range_seconds // step_seconds
+    ok = valid_condition()
+    counts = (decoded.groupBy(floor_div(micros(ingest_ts), step_us).alias("_i"))
+              .agg(F.sum((~ok).cast("long")).alias("_bad"), F.count(F.lit(1)).alias("_n")))
+    slid = (counts.select(F.explode(F.sequence(F.col("_i") + 1, F.col("_i") + n)).alias("_k"), "_bad", "_n")
+            .groupBy("_k").agg(F.sum("_bad").alias("_bad"), F.sum("_n").alias("_n")))
+    return slid.select(F.lit(rule).alias("rule"), F.timestamp_micros(F.col("_k") * F.lit(step_us)).alias("window_start"),
+                       (F.col("_bad").cast("double") / F.col("_n").cast("double")).alias("value"))
+
+
+def alert_rule_breaches(samples: DataFrame, rules: dict[str, tuple[float, int]] | None = None,
+                        step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """Row 45 for several rules at once: each rule's breaches at its own limit and hold."""
+    over = reduce(lambda a, b: a | b, [
+        (F.col("rule") == name) & (F.col("value") > limit) for name, (limit, _) in (rules or ALERT_RULES).items()])
+    islands = sustained_breach(samples, over, step_seconds, 0)
+    held = reduce(lambda a, b: a | b, [
+        (F.col("rule") == name) & (F.col("held_seconds") >= hold) for name, (_, hold) in (rules or ALERT_RULES).items()])
+    return islands.where(held)
+
+
 def sustained_breach(samples: DataFrame, breach: Column, step_seconds: int, hold_seconds: int,
                      rule: str = "rule", start: str = "window_start") -> DataFrame:
     """Row 45: islands of consecutive breaching samples (one every

@@ -1,6 +1,6 @@
 """Tables the registered queries derive from the supplied ones and keep.
 
-The lake and the landing zone are written once per input version under the
+The lake and the landing zone are written once per application and input version under the
 session's shared checkpoint folder (``spark.checkpoint.dir``; our own folder
 only when none is configured), then read like production tables. The folder
 name carries a fingerprint of the input files, so changed inputs get a fresh
@@ -19,17 +19,17 @@ from mobility.session import shared_path
 from mobility.sources.lake import path_exists, touch
 
 DONE = "_MATERIALIZED"
-# Bump when the derivation of a stored table changes, so old copies are not reused.
-LAYOUT_VERSION = "2"
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+def fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1(f"{LAYOUT_VERSION}:{sf_dir}".encode())
+    h = hashlib.sha1(sf_dir.encode())
     for t in tables:
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            continue
         for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]:
             h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
@@ -37,7 +37,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, tables: list[str],
                  build: Callable[[str], None]) -> str:
-    path = shared_path(spark, "mobility-derived", f"{name}-{_fingerprint(spark, sf_dir, tables)}")
+    path = shared_path(spark, "mobility-derived", f"{name}-{spark.sparkContext.applicationId}-{fingerprint(spark, sf_dir, tables)}")
     if not path_exists(spark, f"{path}/{DONE}"):
         build(path)
         touch(spark, f"{path}/{DONE}")

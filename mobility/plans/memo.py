@@ -2,7 +2,7 @@
 
 Building a plan costs Python-to-JVM round trips and analysis; the shared
 pieces (fixture views, lake, profitability, window metrics) are built once per
-session and input folder. Only plans are kept - no data is cached, so every
+session and version of the input files. Only plans are kept - no data is cached, so every
 action still reads and computes everything.
 """
 from __future__ import annotations
@@ -11,13 +11,16 @@ import functools
 
 from pyspark.sql import SparkSession
 
+from mobility.plans.derived import fingerprint
+
 _PLANS: dict = {}
 
 
 def shared_plan(fn):
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str):
-        key = (fn.__module__, fn.__qualname__, id(spark), spark.sparkContext.applicationId, sf_dir)
+        key = (fn.__module__, fn.__qualname__, id(spark), spark.sparkContext.applicationId, sf_dir,
+               fingerprint(spark, sf_dir, ["events", "lineitem"]))
         df = _PLANS.get(key)
         if df is None:
             df = _PLANS[key] = fn(spark, sf_dir)

@@ -461,3 +461,37 @@ UNION ALL SELECT sim_day, cast(18 + r as int),
   '| ' || vehicle_id || ' | ' || trips || ' | ' || {_two('earnings')} || ' | ' || {_two('fuel_cost')} || ' | ' || {_two('maintenance_cost')}
   || ' | ' || {_two('profit')} || ' | ' || {_two('cost_per_km')} || ' | ' || {_py('service_flag')} || ' | ' || {_py('has_expenses')} || ' |'
 FROM ranked WHERE r <= 10"""
+
+
+def _ages(name: str, source: str, at: str) -> str:
+    """Samples every 15 s over the successes of ``source``: each has the last one before it."""
+    return f"""
+{name}_t AS (SELECT DISTINCT epoch_us({at}) AS t FROM {source}),
+{name}_g AS (
+  SELECT k * 15000000 AS tick FROM range((SELECT min(t) FROM {name}_t) // 15000000,
+    (SELECT max(epoch_us(event_ts)) FROM telemetry) // 15000000 + 1) r(k)),
+{name} AS (
+  SELECT '{name}' AS rule, g.tick, cast(g.tick - s.t as double) / 1000000 AS value
+  FROM {name}_g g ASOF JOIN {name}_t s ON s.t <= g.tick)"""
+
+
+ORACLES["alert_rule_breaches"] = B(*_P) + f""",
+runs AS (SELECT DISTINCT make_timestamp({EPOCH_US} + (sim_day + 1) * {DAY_US}) AS done_at FROM profitability WHERE has_expenses),
+{_ages('no_recent_events', 'telemetry', 'event_ts')},
+{_ages('batch_stale', 'runs', 'done_at')},
+slot AS (
+  SELECT epoch_us(event_ts) // 15000000 AS i, sum(CASE WHEN corruption <> 'none' THEN 1 ELSE 0 END) AS bad, count(*) AS n
+  FROM telemetry GROUP BY 1),
+high_invalid_ratio AS (
+  SELECT 'high_invalid_ratio' AS rule, (i + k) * 15000000 AS tick, cast(sum(bad) as double) / cast(sum(n) as double) AS value
+  FROM slot, range(1, 5) r(k) GROUP BY i + k),
+over_limit AS (
+  SELECT rule, tick FROM no_recent_events WHERE value > 60 UNION ALL SELECT rule, tick FROM batch_stale WHERE value > 900
+  UNION ALL SELECT rule, tick FROM high_invalid_ratio WHERE value > 0.05),
+island AS (
+  SELECT rule, tick, tick // 15000000 - row_number() OVER (PARTITION BY rule ORDER BY tick) AS g FROM over_limit),
+found AS (
+  SELECT rule, make_timestamp(min(tick)) AS breach_start, make_timestamp(max(tick)) AS last_breach_sample,
+    count(*) AS samples, (count(*) - 1) * 15 AS held_seconds
+  FROM island GROUP BY rule, g)
+SELECT * FROM found WHERE held_seconds >= CASE rule WHEN 'no_recent_events' THEN 15 ELSE 30 END"""

@@ -374,6 +374,19 @@ def sustained_breach(spark, sf_dir):
                                  hold_seconds=10_800)
 
 
+@register
+def alert_rule_breaches(spark, sf_dir):
+    """The three alert rules at their own limits: events, invalid payloads, batch runs (one per closed day)."""
+    events = decoded(spark, sf_dir)
+    runs = profitability(spark, sf_dir).where("has_expenses").select("sim_day").distinct().select(
+        day_end(F.col("sim_day")).alias("at"))
+    until = events.select(F.max("ingest_ts")).scalar()
+    samples = (qual.age_samples(events, "no_recent_events", "ingest_ts", until)
+               .unionByName(qual.ratio_samples(events, "high_invalid_ratio"))
+               .unionByName(qual.age_samples(runs, "batch_stale", "at", until)))
+    return qual.alert_rule_breaches(samples)
+
+
 @register
 def trip_fare_audit(spark, sf_dir):
     return audit.trip_fare_audit(lake(spark, sf_dir), interval_seconds=3600.0)
