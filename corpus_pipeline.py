@@ -48,8 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode and decode every document that is left."""
-    ids = bpe.encode(docs, WORD_VOCABULARY, keep=["doc_id"])
-    return bpe.digests(bpe.decode(ids, WORD_VOCABULARY))
+    return bpe.digests(bpe.encode(docs, WORD_VOCABULARY, keep=["doc_id"], decoded="decoded"))
 
 
 STAGES = [

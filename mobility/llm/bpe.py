@@ -35,15 +35,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mobility.llm.common import binary_values, slices, with_replaced
+from mobility.llm.common import binary_values, held, slices, with_replaced
 
 #: Entries that a worker's word and chunk tables hold at most; later new words
 #: are encoded each time they come. It bounds memory and changes no result.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 80_000
 #: Bytes of text that are encoded in one piece of an Arrow batch, or a row at least.
 PIECE_BYTES = 2 << 20
 
 
+#: All Unicode versions agree on the characters below.
+AGREED = "\u0530"
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that byte-level vocabularies use for each byte."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -63,6 +67,7 @@ class BacktrackingEncoder:
     def __init__(self, spec: str):
         import ahocorasick
         import regex
+        from tokenizers import Tokenizer
 
         doc = json.loads(spec)
         model = doc["model"]
@@ -75,6 +80,7 @@ class BacktrackingEncoder:
         self.alphabet = byte_alphabet()
         pattern = doc["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern)
+        self.library = Tokenizer.from_str(spec)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.special_mark = {s.encode()[:2] for s in self.special}
         # How each token came to be: the two it was merged from, and that merge's place.
@@ -105,6 +111,12 @@ class BacktrackingEncoder:
         self.compatible_pairs: dict[tuple[int, int], bool] = {}
         self.chunks: dict[bytes, bytes] = {}
         self.cached_words: dict[str, bytes] = {}
+        self.decoder: OffsetTable | None = None
+
+    def offset_table(self) -> OffsetTable:
+        if self.decoder is None:
+            self.decoder = OffsetTable(self.strings)
+        return self.decoder
 
     def symbols(self, token: str) -> str:
         """A vocabulary string as one character a symbol."""
@@ -141,15 +153,17 @@ class BacktrackingEncoder:
                 b_used, b = made_b, self.parts[b][0]
             else:
                 a_used, a = made_a, self.parts[a][1]
-        if len(self.compatible_pairs) < 1_000_000:
+        if len(self.compatible_pairs) < CACHE_ENTRIES:
             self.compatible_pairs[key] = ok
         return ok
 
     def encode_word(self, word: str) -> list[int]:
         """The ids of one word of the pattern."""
-        alphabet = self.alphabet
-        raw = word.encode("utf-8", "surrogatepass")
-        s = "".join([alphabet[b] for b in raw])
+        return self.encode_mapped("".join([self.alphabet[b] for b in word.encode()]))
+
+    def encode_mapped(self, word: str) -> list[int]:
+        """The ids of a word given as one character of the alphabet per byte."""
+        s = word
         if self.suffix:
             s = s[:-1] + chr(ord(s[-1]) + self.END)
         whole = self.by_symbols.get(s)
@@ -194,7 +208,14 @@ class BacktrackingEncoder:
         return got
 
     def _plain(self, text: str) -> bytes:
-        """Text without special tokens: normalise, cut into words, encode."""
+        """Text without special tokens: normalise, cut into words, encode.
+
+        What is a letter differs between Unicode versions only further up; there
+        the library's own normaliser and word pattern decide.
+        """
+        if max(text) >= AGREED:
+            cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return b"".join([np.asarray(self.encode_mapped(w), dtype=np.int32).tobytes() for w, _ in cut])
         text = unicodedata.normalize("NFC", text)
         text = "".join([c.lower() for c in text]) if not text.isascii() else text.lower()
         return b"".join([self._word_bytes(w) for w in self.words.findall(text)])
@@ -243,16 +264,8 @@ class OffsetTable:
         return [data[a:b - 1] if b > a else b"" for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-_LOADED: dict[int, object] = {}
-
-
 def _encoder(spec: str) -> BacktrackingEncoder:
-    """One encoder per Python worker and vocabulary; workers are reused."""
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = BacktrackingEncoder(spec)
-    return _LOADED[key]
+    return held(("bpe", hash(spec)), lambda: BacktrackingEncoder(spec))
 
 
 def read_vocabulary(path: str) -> str:
@@ -260,16 +273,23 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """``df`` (or its columns ``keep``) with the ids of ``text`` as array<int>.
+def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", keep: list[str] | None = None,
+           decoded: str | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with the ids of ``text`` as array<int>, and,
+    where ``decoded`` names a column, with the text that the ids decode to: a
+    round trip in one pass, by one Python worker a task.
 
     ``vocabulary`` is the path of the JSON file on the driver.
     """
     spec = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    kept = [c for c in (keep if keep is not None else df.columns) if c.lower() != out.lower()]
+    outputs = [out] if decoded is None else [out, decoded]
+    taken = {o.lower() for o in outputs}
+    kept = [c for c in (keep if keep is not None else df.columns) if c.lower() not in taken]
     # the text travels under a name of its own, also when it isn't kept
     src = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__text"))
     schema = T.StructType([*src.schema.fields[:-1], T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
+    if decoded is not None:
+        schema = schema.add(decoded, T.StringType(), False)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec.value)
@@ -278,9 +298,11 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids",
                 rows = [encoder.encode_bytes(t) for t in binary_values(batch.column(len(kept)))]
                 offsets = np.zeros(len(rows) + 1, dtype=np.int32)
                 np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
-                ids = pa.ListArray.from_arrays(
-                    pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], ids], names=[*kept, out])
+                ids = np.frombuffer(b"".join(rows), dtype=np.int32)
+                made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
+                if decoded is not None:
+                    made.append(pa.array(encoder.offset_table().decode(ids, offsets), type=pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=[*kept, *outputs])
 
     return src.mapInArrow(run, schema)
 

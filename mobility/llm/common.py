@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mobility.session import shared_path
 
+T = TypeVar("T")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -54,6 +57,19 @@ def binary_values(column: pa.Array) -> list[bytes | None]:
     return column.to_pylist()
 
 
+_HELD: list = [None, None]
+
+
+def held(key: object, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept in this Python worker for the next task that
+    asks for the same key. A worker keeps one such object: that of another operator
+    goes, so that a chain of operators doesn't fill the workers' memory."""
+    if _HELD[0] != key:
+        _HELD[:] = [None, None]
+        _HELD[:] = [key, make()]
+    return _HELD[1]
+
+
 def slices(batch: pa.RecordBatch, limit: int, column: str) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that one piece's ``column`` holds about ``limit`` bytes
     (one row at least): what is made from a piece stays small in memory."""
@@ -67,3 +83,4 @@ def slices(batch: pa.RecordBatch, limit: int, column: str) -> Iterator[pa.Record
         total += size
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()

@@ -20,6 +20,7 @@ table on either side gives no rows (and removes none).
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import binary_values, slices
+from mobility.llm.common import binary_values, held, slices
 
 SEED = 5
 LEAST = 3
@@ -36,8 +37,8 @@ COVERAGE = 0.8
 #: Search length that the tiling starts from; runs over twice as long raise it.
 FIRST_LENGTH = 24
 BLOCK_BYTES = 4 << 20
-PIECE_BYTES = 8 << 20
-CACHE_ENTRIES = 300_000
+PIECE_BYTES = 2 << 20
+CACHE_ENTRIES = 120_000
 _PRIME = (1 << 61) - 1
 _RADIX = 1_000_003
 NO_TOKEN, OTHER = -2, -1
@@ -255,10 +256,10 @@ def contaminations(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def _finder(df: DataFrame, items: list[tuple], seed: int, least: int, coverage: float):
-    shared = df.sparkSession.sparkContext.broadcast(items)
+    shared, token = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value, seed, least, coverage)
+        matcher = held(token, lambda: Matcher(shared.value, seed, least, coverage))
         for whole in batches:
             for batch in slices(whole, PIECE_BYTES, "t"):
                 rows = []
@@ -284,13 +285,14 @@ def without_contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text"
     place = df.columns.index(text)
     out = df
     for items in blocks(benchmark, item_id, item_text, block_bytes):
-        shared = df.sparkSession.sparkContext.broadcast(items)
+        shared, token = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, seed, least, coverage)
+        def run(batches: Iterable[pa.RecordBatch], shared=shared, token=token) -> Iterator[pa.RecordBatch]:
+            matcher = held(token, lambda: Matcher(shared.value, seed, least, coverage))
             for whole in batches:
-                clean = [not matcher.overlaps(t) for t in binary_values(whole.column(place))]
-                yield whole.filter(pa.array(clean, type=pa.bool_()))
+                for batch in slices(whole, PIECE_BYTES, text):
+                    clean = [not matcher.overlaps(t) for t in binary_values(batch.column(place))]
+                    yield batch.filter(pa.array(clean, type=pa.bool_()))
 
         out = out.mapInArrow(run, df.schema)
     return out

@@ -17,7 +17,7 @@ Prediction takes the text only. Words already scored are kept in a bounded table
 per worker, new ones of an Arrow batch are scored together by NumPy.
 
 Defined cases: text that is null or has no letter gives ``und`` with score 0;
-letters outside all pieces weigh alike in every language; ties take the first language in
+letters outside all pieces have one small probability in every language; ties take the first language in
 order; labels may be null (not learned from); with no labelled row at all every
 prediction is ``und`` with score 0; ids may be null or repeat; an empty table gives no rows.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mobility.llm.common import binary_values, slices, with_replaced, written
+from mobility.llm.common import binary_values, held, slices, with_replaced, written
 
 UNDETERMINED = "und"
 #: Texts of a language that the fit reads, about (bound of the training sample).
@@ -44,8 +44,8 @@ FLOOR = 1e-8
 SMOOTHING = 0.01
 #: Words of more letters are scored but not learned from.
 LONGEST_LEARNED = 100
-CACHE_ENTRIES = 200_000
-PIECE_BYTES = 8 << 20
+CACHE_ENTRIES = 80_000
+PIECE_BYTES = 1 << 20
 MARK = "▁"
 WORDS = r"\p{L}[\p{L}\p{M}]*"
 _BASE = np.uint64(1_000_003)
@@ -154,8 +154,8 @@ def word_log_probabilities(words: list[str], pieces: Pieces, probs: np.ndarray)
     n_lang = probs.shape[1]
     out = np.zeros((len(words), n_lang))
     for n, members in _by_length(words).items():
-        # about 32 MB of forward values at a time
-        step = max(1, (4 << 20) // ((n + pieces.longest + 1) * n_lang))
+        # about 8 MB of forward values at a time
+        step = max(1, (1 << 20) // ((n + pieces.longest + 1) * max(1, n_lang)))
         for k in range(0, len(members), step):
             some = members[k: k + step]
             out[some] = _forward(_codes([words[i] for i in some]), pieces, probs)
@@ -319,15 +319,8 @@ class Scorer:
         self.places.update(zip(chunks, range(start, need), strict=True))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
-    """One scorer per Python worker and model; workers are reused."""
-    if model.token not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.token] = Scorer(model)
-    return _SCORERS[model.token]
+    return held(("langid", model.token), lambda: Scorer(model))
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score",

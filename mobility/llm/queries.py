@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from mobility.llm import bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, token_files, url_filter
 from mobility.llm.common import table, written
 
+ARROW_BYTES = str(8 << 20)
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +26,8 @@ def register(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+        # An Arrow batch is held whole, here and in the JVM, by every task.
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
         return fn(spark, sf_dir)
 
     REGISTRY[fn.__name__] = run
@@ -33,8 +37,7 @@ def register(fn: Query) -> Query:
 @register
 def op1_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    ids = bpe.encode(docs, WORD_VOCABULARY, keep=["doc_id"])
-    return bpe.digests(bpe.decode(ids, WORD_VOCABULARY))
+    return bpe.digests(bpe.encode(docs, WORD_VOCABULARY, keep=["doc_id"], decoded="decoded"))
 
 
 @register

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility.llm.bpe import CACHE_ENTRIES, PIECE_BYTES, byte_alphabet, read_vocabulary
-from mobility.llm.common import binary_values, slices
+from mobility.llm.common import binary_values, held, slices
 from mobility.session import shared_path
 
 #: Stands for a null key.
@@ -201,15 +201,8 @@ class ShardReader:
         self.payload.close()
 
 
-_LOADED: dict[int, LibraryEncoder] = {}
-
-
 def _encoder(spec: str) -> LibraryEncoder:
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = LibraryEncoder(spec)
-    return _LOADED[key]
+    return held(("library", hash(spec)), lambda: LibraryEncoder(spec))
 
 
 def _uri(path: str) -> str:
