@@ -144,6 +144,15 @@ def batch_day_totals(profit: DataFrame) -> DataFrame:
     )
 
 
+def batch_day_totals_of(trips: DataFrame, expenses: DataFrame) -> DataFrame:
+    """``batch_day_totals`` of the table that ``daily_profitability`` makes of these inputs,
+    without the join: its trips and earnings are those of the trips, and days
+    with expenses only count zero."""
+    rows = trips.select("sim_day", "trips", "earnings").unionByName(expenses.select("sim_day").distinct().select(
+        "sim_day", F.lit(0).alias("trips"), F.lit(0).cast(MONEY).alias("earnings")))
+    return batch_day_totals(rows)
+
+
 def speed_day_totals(fleet_metrics: DataFrame) -> DataFrame:
     """Sum the fleet windows that tile the day: sliding windows overlap, and
     only the starts that are a multiple of the window span partition time."""

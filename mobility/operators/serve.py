@@ -33,9 +33,9 @@ def latest_day(profit: DataFrame) -> F.Column:
     return profit.select(F.max("sim_day")).scalar()
 
 
-def profit_report(profit: DataFrame, day: int | None = None, unprofitable_only: bool = False) -> DataFrame:
+def profit_report(profit: DataFrame, day: int | F.Column | None = None, unprofitable_only: bool = False) -> DataFrame:
     """Row 39: one day's rows (default: the newest day), profit ascending, nulls last."""
-    target = F.lit(day) if day is not None else latest_day(profit)
+    target = latest_day(profit) if day is None else day if isinstance(day, F.Column) else F.lit(day)
     rows = profit.where(F.col("sim_day") == target)
     if unprofitable_only:
         rows = rows.where(F.col("unprofitable"))

@@ -270,7 +270,8 @@ def speed_day_totals(spark, sf_dir):
 @shared_plan
 def _check(spark, sf_dir):
     speed = rc.speed_day_totals(fleet_metrics(spark, sf_dir))
-    return rc.consistency_check(speed, rc.batch_day_totals(profitability(spark, sf_dir)))
+    trips = rc.trip_summary(lake(spark, sf_dir))
+    return rc.consistency_check(speed, rc.batch_day_totals_of(trips, fx.expenses(spark, sf_dir)))
 
 
 @register
@@ -296,7 +297,10 @@ def zone_latest(spark, sf_dir):
 
 @register
 def profit_report(spark, sf_dir):
-    return serve.profit_report(profitability(spark, sf_dir))
+    # The newest day of the joined table is that of its inputs: no second join for it.
+    done = lake(spark, sf_dir).where(F.col("trip_completed") & F.col("vehicle_id").isNotNull())
+    newest = F.greatest(serve.latest_day(done), serve.latest_day(fx.expenses(spark, sf_dir)))
+    return serve.profit_report(profitability(spark, sf_dir), day=newest)
 
 
 @register
