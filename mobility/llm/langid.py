@@ -24,6 +24,7 @@ prediction is ``und`` with score 0; ids may be null or repeat; an empty table gi
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -238,9 +239,23 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         [(r["l"], min(1 << 20, -(-sample_docs * (1 << 20) // r["count"]))) for r in sizes.collect()],
         "__l string, __limit long")
     sample = learn.join(F.broadcast(limits), F.col(lang) == F.col("__l")).where(share < F.col("__limit"))
-    lower = F.lower(F.col(text))
-    words = F.explode(F.regexp_extract_all(lower, F.lit(f"({WORDS})"), F.lit(1)))
-    return sample.select(F.col(lang).alias("lang"), words.alias("word")).where(F.length("word") <= LONGEST_LEARNED).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    rows = sample.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        pattern = regex.compile(WORDS)
+        for whole in batches:
+            for batch in slices(whole, PIECE_BYTES, "t"):
+                found: Counter = Counter()
+                for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    found.update((name, w) for w in pattern.findall(t.lower()) if len(w) <= LONGEST_LEARNED)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k[0] for k in found], type=pa.string()), pa.array([k[1] for k in found], type=pa.string()),
+                     pa.array(list(found.values()), type=pa.int64())], names=["lang", "word", "n"])
+
+    counted = rows.mapInArrow(count, "lang string, word string, n long")
+    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
