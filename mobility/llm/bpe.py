@@ -25,6 +25,7 @@ through, and a column named like an output gives way to it.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -39,11 +40,13 @@ from mobility.llm.common import binary_values, held, slices, with_replaced
 
 #: Entries that a worker's word and chunk tables hold at most; later new words
 #: are encoded each time they come. It bounds memory and changes no result.
-CACHE_ENTRIES = 80_000
+CACHE_ENTRIES = 150_000
 #: Bytes of text that are encoded in one piece of an Arrow batch, or a row at least.
 PIECE_BYTES = 2 << 20
 
 
+#: Lead bytes in UTF-8 of the characters beyond U+00FF. Up to there nothing composes.
+BEYOND_LATIN1 = re.compile(rb"[\xc4-\xff]")
 #: All Unicode versions agree on the characters below.
 AGREED = "\u0530"
 
@@ -236,8 +239,8 @@ class BacktrackingEncoder:
         """The ids of one text as little-endian 32-bit integers."""
         if not text:
             return b""
-        if text.isascii() and not any(m in text for m in self.special_mark):
-            text = text.lower()  # as the normaliser does, so that more chunks are alike
+        if not BEYOND_LATIN1.search(text) and not any(m in text for m in self.special_mark):
+            text = text.lower()  # A-Z, as the normaliser does, so that more chunks are alike
         get, chunk = self.chunks.get, self._chunk
         return b"".join([get(c) or chunk(c) for c in text.split()])
 
