@@ -40,10 +40,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility.llm.bpe import CACHE_ENTRIES, PIECE_BYTES, byte_alphabet, read_vocabulary
+from mobility.llm.bpe import BEYOND_LATIN1, PIECE_BYTES, byte_alphabet, read_vocabulary
 from mobility.llm.common import binary_values, held, slices
 from mobility.session import shared_path
 
+#: Chunks and words that a worker keeps at most; it bounds memory and changes no result.
+CACHE_ENTRIES = 250_000
 #: Stands for a null key.
 NULL_KEY = -(1 << 63)
 #: Bits per key of a level of the hash.
@@ -82,7 +84,7 @@ class LibraryEncoder:
         return got
 
     def _chunk(self, chunk: bytes) -> bytes:
-        if max(chunk) <= 0xC3 and not any(m in chunk for m in self.marks):
+        if not BEYOND_LATIN1.search(chunk) and not any(m in chunk for m in self.marks):
             # up to U+00FF nothing composes, and lower case is one character for one
             text = chunk.decode().lower()
             get, word = self.known_words.get, self._word
@@ -98,7 +100,7 @@ class LibraryEncoder:
         """The ids of a text in this encoder's dtype."""
         if not text:
             return b""
-        if text.isascii() and not any(m in text for m in self.marks):
+        if not BEYOND_LATIN1.search(text) and not any(m in text for m in self.marks):
             text = text.lower()
         get, chunk = self.known_chunks.get, self._chunk
         return b"".join([get(c) or chunk(c) for c in text.split()])
