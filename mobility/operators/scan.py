@@ -44,7 +44,7 @@ def with_buckets(df: DataFrame, key: str, order: list[str], quota: int = QUOTA)
     slots = rows.withColumn("_t", micros(ts)).withColumn("_s", floor_div(F.col("_t"), SLOT_SECONDS * 1_000_000))
     narrow = slots.select(key, "_s", "_t")
     large_key = _large(narrow, [key], quota, "_k")
-    large_slot = _large(narrow.join(large_key, key), [key, "_s"], quota, "_ks")
+    large_slot = _large(narrow, [key, "_s"], quota, "_ks")  # its key is large too
     large_instant = _large(narrow.join(large_slot, [key, "_s"]), [key, "_t"], quota, "_kst")
     marked = (slots.join(large_key, key, "left").join(large_slot, [key, "_s"], "left")
               .join(large_instant, [key, "_t"], "left"))
