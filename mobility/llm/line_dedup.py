@@ -7,13 +7,18 @@ position; null ids first) stays. All later ones are covered; overlapping
 covered windows merge, and the covered lines go. Windows of blank lines only
 don't count.
 
+With ``passage_words``, windows of one and of two lines that hold more than so many
+words (stretches without white space) count too, each against windows of as many lines, so
+that a passage is also found where it repeats without a third line. It is off by default:
+the SQL of ``op2_line_dedup`` and the brute force of the pipeline's stage know windows of three lines only.
+
 Everything is DataFrame operations. Counting windows combines on the map side, so
 a passage that a third of the documents share costs a row per task. The
 windows that repeat are written as a table; the join with them lets AQE split a hot
 window. Texts are moved once, to meet their covered positions.
 
-Defined cases: null and empty texts and texts of one or two lines have no window and
-stay as they are; rows that repeat an id and a text count as one document and are
+Defined cases: null and empty texts have no window and stay as they are, as do texts of one or two
+lines without a passage; rows that repeat an id and a text count as one document and are
 treated alike, whatever their number; an empty table gives no rows. A text of
 which no line is left becomes empty (``n_left`` 0).
 """
@@ -25,43 +30,56 @@ from pyspark.sql import functions as F
 from mobility.llm.common import free_name, written
 
 WINDOW = 3
+#: Words that a passage of under three lines exceeds; for ``passage_words``.
+PASSAGE_WORDS = 50
+_KEYS = ["n", *[f"h{k}" for k in range(WINDOW)]]
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_windows(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, th, pos, h`` of every window; ``pos`` counts lines from 0."""
+def line_windows(df: DataFrame, id_col: str = "doc_id", text: str = "text", passage_words: int | None = None) -> DataFrame:
+    """``id, th, pos, n, h0..`` of every window; ``pos`` counts lines from 0, ``n`` is the window's
+    number of lines, and hashes beyond it are 0."""
+    shortest = WINDOW if passage_words is None else 1
     lines = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"),
-                      _lines(F.col(f"`{text}`")).alias("lines")).where(F.size("lines") >= WINDOW)
+                      _lines(F.col(f"`{text}`")).alias("lines")).where(F.size("lines") >= shortest)
+    words = [] if passage_words is None else [F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+"))).alias("words")]
     hashed = lines.select("id", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-                          F.transform("lines", lambda x: F.trim(x) == "").alias("blank"))
-    at = F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1)),
-        lambda i: F.struct(*[F.element_at("hashes", i + k).alias(f"h{k}") for k in range(WINDOW)],
-                           F.forall(F.slice("blank", i, WINDOW), lambda b: b).alias("blank"))))
-    return (hashed.select("id", "th", at.alias("pos", "w")).where("not w.blank")
-            .select("id", "th", "pos", *[f"w.h{k}" for k in range(WINDOW)]))
+                          F.transform("lines", lambda x: F.trim(x) == "").alias("blank"), *words)
+
+    def windows(n: int, counts) -> Column:
+        starts = F.when(F.size("hashes") >= n, F.sequence(F.lit(1), F.size("hashes") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(F.filter(starts, counts), lambda i: F.struct(
+            (i - 1).alias("pos"), F.lit(n).alias("n"),
+            *[(F.element_at("hashes", i + k) if k < n else F.lit(0).cast("long")).alias(f"h{k}") for k in range(WINDOW)]))
+
+    def holds_passage(n: int):
+        return lambda i: F.aggregate(F.slice("words", i, n), F.lit(0), lambda a, x: a + x) > passage_words
+
+    found = [windows(WINDOW, lambda i: ~F.forall(F.slice("blank", i, WINDOW), lambda b: b))]
+    if passage_words is not None:
+        found += [windows(n, holds_passage(n)) for n in range(1, WINDOW)]
+    return hashed.select("id", "th", F.explode(F.concat(*found)).alias("w")).select("id", "th", "w.*")
 
 
-def covered_positions(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def covered_positions(df: DataFrame, id_col: str = "doc_id", text: str = "text", passage_words: int | None = None) -> DataFrame:
     """``id, th, covered``: the sorted line positions that go, of each document that loses any."""
-    windows = line_windows(df, id_col, text)
-    keys = [f"h{k}" for k in range(WINDOW)]
+    windows = line_windows(df, id_col, text, passage_words)
     place = F.struct("id", "th", "pos")
-    first = written(windows.groupBy(*keys).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                    .where("first != last").select(*keys, "first"), "line-windows")
-    later = windows.join(first, keys).where(place > F.col("first"))
-    starts = later.groupBy("id", "th").agg(F.collect_set("pos").alias("starts"))
-    merged = F.array_distinct(F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (WINDOW - 1)))))
+    first = written(windows.groupBy(*_KEYS).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                    .where("first != last").select(*_KEYS, "first"), "line-windows")
+    later = windows.join(first, _KEYS).where(place > F.col("first"))
+    starts = later.groupBy("id", "th").agg(F.collect_set(F.struct("pos", "n")).alias("starts"))
+    merged = F.array_distinct(F.flatten(F.transform("starts", lambda p: F.sequence(p["pos"], p["pos"] + p["n"] - 1))))
     return starts.select("id", "th", F.array_sort(merged).alias("covered"))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", removed: str = "n_removed",
-                left: str = "n_left") -> DataFrame:
+                left: str = "n_left", passage_words: int | None = None) -> DataFrame:
     """``df`` with ``text`` less its covered lines, and the numbers of lines that went and stayed."""
-    covered = covered_positions(df, id_col, text)
+    covered = covered_positions(df, id_col, text, passage_words)
     th, cov = free_name(df, "th"), free_name(df, "covered")
     key = covered.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("covered").alias(cov))
     joined = (df.withColumn(th, F.xxhash64(F.col(f"`{text}`")))
