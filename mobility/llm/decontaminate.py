@@ -1,10 +1,11 @@
 """Benchmark decontamination by greedy string tiling.
 
 Tokens are white-space chunks in lower case without the marks at their ends, so case and
-punctuation don't hide a copy. A document and a test item are compared if
-they share a seed, five tokens in a row (items of fewer tokens: the whole
-item). Then their longest common runs of tokens are marked as tiles, again and again,
-each token in one tile only and no tile under ``least`` = 3 tokens; the
+punctuation don't hide a copy. Seeds are ``least`` = 3 tokens in a row (items of fewer tokens: the whole
+item). Every tile consists of shared seeds, so the places of an item that shared seeds cover are at
+least as many as its tiles'; only items that reach the needed coverage by this bound are tiled, which loses
+none. Then their longest common runs of tokens are marked as tiles, again and again,
+each token in one tile only and no tile under ``least`` tokens; the
 matches are found by running Karp-Rabin hashes, of long runs first. Tiles may
 come in any order, so reordered passages count in full. A document is
 contaminated by an item if its tiles cover at least 0.8 of the item's tokens.
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 
 from mobility.llm.common import binary_values, held, slices
 
-SEED = 5
 LEAST = 3
 COVERAGE = 0.8
 #: Search length that the tiling starts from; runs over twice as long raise it.
@@ -153,7 +153,7 @@ def tiles(p: list[int], t: list[int], least: int = LEAST, first: int = FIRST_LEN
 class Matcher:
     """The items of one block, ready to be looked for in texts."""
 
-    def __init__(self, items: list[tuple[int | None, str]], seed: int, least: int, coverage: float):
+    def __init__(self, items: list[tuple[int | None, str]], least: int, coverage: float):
         self.least, self.coverage = least, coverage
         self.vocabulary: dict[str, int] = {}
         self.ids, self.tokens = [], []
@@ -162,15 +162,20 @@ class Matcher:
             if words:
                 self.ids.append(item_id)
                 self.tokens.append([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words])
-        by_length: dict[int, list[tuple[int, int]]] = {}
-        for k, tokens in enumerate(self.tokens):
-            m = min(seed, len(tokens))
-            at = np.array(tokens, dtype=np.int64)
-            by_length.setdefault(m, []).extend((h, k) for h in set(self._seeds(at, m)[1].tolist()))
+        self.sizes = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.owners = np.repeat(np.arange(len(self.tokens)), self.sizes)  # of the items' tokens one after the other
+        by_length: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for start, tokens in zip(starts.tolist(), self.tokens, strict=True):
+            m = min(least, len(tokens))
+            places, hashes = self._seeds(np.array(tokens, dtype=np.int64), m)
+            by_length.setdefault(m, []).append((hashes, places + start))
         self.seeds = {}
-        for m, pairs in by_length.items():
-            pairs.sort()
-            self.seeds[m] = (np.array([h for h, _ in pairs], dtype=np.uint64), np.array([k for _, k in pairs], dtype=np.int64))
+        for m, parts in by_length.items():
+            hashes, places = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(hashes, kind="stable")
+            distinct, first, count = np.unique(hashes[order], return_index=True, return_counts=True)
+            self.seeds[m] = (distinct, first, count, places[order])
         self.cache: dict[bytes, int] = {}
 
     @staticmethod
@@ -196,6 +201,24 @@ class Matcher:
             self.cache[chunk] = got
         return got
 
+    def _candidates(self, at: np.ndarray) -> list[int]:
+        """The items of which shared seeds cover enough places."""
+        covered = []
+        for m, (hashes, first, count, places) in self.seeds.items():
+            _, found = self._seeds(at, m)
+            if not found.size:
+                continue
+            found = np.unique(found)
+            i = np.searchsorted(hashes, found)
+            i = i[hashes[np.minimum(i, len(hashes) - 1)] == found]
+            n = count[i]
+            shared = places[np.repeat(first[i] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            covered.extend(shared + j for j in range(m))
+        if not covered:
+            return []
+        reached = np.bincount(self.owners[np.unique(np.concatenate(covered))], minlength=len(self.sizes))
+        return np.flatnonzero((reached > 0) & (reached >= self.coverage * self.sizes)).tolist()
+
     def overlaps(self, text: bytes | None) -> list[tuple[int, int, int]]:
         """(item's number, covered tokens, tiles) of the items that the text covers enough."""
         chunks = text.split() if text else []
@@ -203,16 +226,8 @@ class Matcher:
         ids = [got if (got := get(c)) is not None else token(c) for c in chunks]
         at = np.array(ids, dtype=np.int64)
         at = at[at != NO_TOKEN]
-        items: set[int] = set()
-        for m, (hashes, owners) in self.seeds.items():
-            _, found = self._seeds(at, m)
-            if found.size:
-                found = np.unique(found)
-                first, last = np.searchsorted(hashes, found), np.searchsorted(hashes, found, side="right")
-                for a, b in zip(first[last > first].tolist(), last[last > first].tolist(), strict=True):
-                    items.update(owners[a:b].tolist())
         out = []
-        for k in sorted(items):
+        for k in self._candidates(at):
             p = self.tokens[k]
             t = np.where(np.isin(at, p), at, OTHER)
             if len(set(p) & set(t.tolist())) == 0:
@@ -243,7 +258,7 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text: str = "text", bl
 
 
 def contaminations(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
-                   item_id: str = "item_id", item_text: str = "text", seed: int = SEED, least: int = LEAST,
+                   item_id: str = "item_id", item_text: str = "text", least: int = LEAST,
                    coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per contaminated document and item: ``doc_id, item_id, item_tokens,
     covered_tokens, coverage, n_tiles``. Clean documents give none."""
@@ -251,15 +266,15 @@ def contaminations(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "doc_id long, item_id long, item_tokens long, covered_tokens long, coverage double, n_tiles long"
     out = df.sparkSession.createDataFrame([], schema)
     for items in blocks(benchmark, item_id, item_text, block_bytes):
-        out = out.union(src.mapInArrow(_finder(df, items, seed, least, coverage), schema))
+        out = out.union(src.mapInArrow(_finder(df, items, least, coverage), schema))
     return out
 
 
-def _finder(df: DataFrame, items: list[tuple], seed: int, least: int, coverage: float):
+def _finder(df: DataFrame, items: list[tuple], least: int, coverage: float):
     shared, token = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = held(token, lambda: Matcher(shared.value, seed, least, coverage))
+        matcher = held(token, lambda: Matcher(shared.value, least, coverage))
         for whole in batches:
             for batch in slices(whole, PIECE_BYTES, "t"):
                 rows = []
@@ -279,7 +294,7 @@ _PAIRS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("item_toke
 
 
 def without_contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-                         item_text: str = "text", seed: int = SEED, least: int = LEAST, coverage: float = COVERAGE,
+                         item_text: str = "text", least: int = LEAST, coverage: float = COVERAGE,
                          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``df`` that no item contaminates, in one pass per block."""
     place = df.columns.index(text)
@@ -288,7 +303,7 @@ def without_contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text"
         shared, token = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared, token=token) -> Iterator[pa.RecordBatch]:
-            matcher = held(token, lambda: Matcher(shared.value, seed, least, coverage))
+            matcher = held(token, lambda: Matcher(shared.value, least, coverage))
             for whole in batches:
                 for batch in slices(whole, PIECE_BYTES, text):
                     clean = [not matcher.overlaps(t) for t in binary_values(batch.column(place))]

@@ -55,3 +55,33 @@ def test_defined_cases(spark):
     items = [(7, ITEM), (7, ITEM), (8, None), (9, ""), (10, "..."), (None, "only four words here")]
     assert _rows(spark, docs, items) == sorted([(None, 7, 1.0), (4, 7, 1.0), (4, 7, 1.0), (5, None, 1.0)], key=str)
     assert _rows(spark, docs, []) == [] and _rows(spark, [], items) == []
+
+
+def test_short_common_runs_are_found(spark):
+    words = [f"w{i}" for i in range(20)]
+    threes = [words[i: i + 3] for i in range(0, 18, 3)] + [words[18:]]
+    fours = [words[i: i + 4] for i in range(0, 20, 4)]
+    docs = [(1, " x ".join(" ".join(p) for p in reversed(fours))), (2, " ".join("y" if i % 5 == 4 else w for i, w in enumerate(words))),
+            (3, " ".join(" ".join(p) for p in reversed(threes))), (4, " ".join("y" if i % 4 == 3 else w for i, w in enumerate(words)))]
+    # the two tokens at the end of document 3 are under a tile's length; document 4 keeps 15 of 20 tokens
+    assert _rows(spark, docs, [(7, " ".join(words))]) == [(1, 7, 1.0), (2, 7, 0.8), (3, 7, 0.9)]
+
+
+def test_all_pairs_equal_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(40)]
+    items = [rng.choices(words, k=rng.choice([1, 2, 3, 4, 5, 8, 12, 20])) for _ in range(25)]
+    docs = []
+    for item in items * 3:
+        n = rng.choice([2, 3, 4, 5])
+        parts = [item[i: i + n] for i in range(0, len(item), n)]
+        rng.shuffle(parts)
+        docs.append([w for p in parts for w in [*p, *rng.choices(words, k=rng.choice([0, 0, 1]))]])
+    number = {w: i for i, w in enumerate(words)}
+    want = []
+    for d, doc in enumerate(docs):
+        for k, item in enumerate(items):
+            got = tiling([number[w] for w in item], [number[w] for w in doc], min(3, len(item)))
+            if got >= 0.8 * len(item):
+                want.append((d, k, round(got / len(item), 3)))
+    assert _rows(spark, [(d, " ".join(x)) for d, x in enumerate(docs)], [(k, " ".join(x)) for k, x in enumerate(items)]) == sorted(want, key=str)
