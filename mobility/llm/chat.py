@@ -26,11 +26,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mobility.llm.common import with_replaced
+from mobility.llm.common import with_replaced, written
 
 ROLES = ("system", "user", "assistant")
 N_STATES = 2 * len(ROLES)  # 2 * role: first line of a turn, 2 * role + 1: a later one
@@ -221,8 +221,10 @@ def format_transcripts(df: DataFrame, model: Model, text: str = "transcript", ou
     return src.mapInArrow(run, schema)
 
 
-#: Turns of a conversation that make up a transcript at most.
+#: Turn numbers of a part, and rows of a transcript at most.
 PART_TURNS = 64
+#: Characters of a text by which rows are dealt out in order; what the driver sees of a text.
+ORDER_CHARS = 256
 #: Ways to write a turn's beginning: for (system, user, assistant).
 STYLES = [
     ("System: ", "User: ", "Assistant: "),
@@ -233,28 +235,52 @@ STYLES = [
 ]
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``rank``, the place from 0 in its part where the part has over ``PART_TURNS``
+    rows (null elsewhere), by turn, role and text.
+
+    The rows are sorted over all tasks and written with their place, so a part of any
+    size lies in several tasks; a part's rows in the tasks before are added.
+    """
+    order = ["conv_id", "part", "turn", "role", F.substring("text", 1, ORDER_CHARS), F.xxhash64("text"), "text"]
+    dealt = rows.repartitionByRange(*order[:-1]).sortWithinPartitions(*order)
+    placed = written(dealt.withColumn("task", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "turns")
+    whole = Window.partitionBy("conv_id", "part")
+    pieces = placed.groupBy("conv_id", "part", "task").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    large = (pieces.withColumn("all", F.sum("n").over(whole))
+             .withColumn("before", F.sum("n").over(whole.orderBy("task").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+             .where(F.col("all") > PART_TURNS)
+             .select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), F.col("task").alias("_task"), "first", "before"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")) & (F.col("task") == F.col("_task"))
+    return placed.join(large, same, "left").select(*rows.columns, (F.col("before") + F.col("at") - F.col("first")).alias("rank"))
+
+
 def raw_transcripts(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                     text: str = "text") -> DataFrame:
-    """Transcripts of a table of turns: ``conv_id, part, transcript, turns``.
+    """Transcripts of a table of turns: ``conv_id, part, piece, transcript, turns``.
 
     Each conversation is written in one of five styles (by a hash of its
     id), and every fifth turn but the first of a part has no marker, only a
     blank line before it. Long conversations are cut into parts of ``PART_TURNS``
-    turn numbers, so that no transcript grows without bound. Rows that repeat are one turn; turns of
-    one number follow in order of role and text.
+    turn numbers, and a part of more rows (null turns are turn 0) into pieces of
+    ``PART_TURNS`` rows, so that no transcript grows without bound. Rows that repeat are one turn; turns of
+    one number follow in order of role and text (beyond ``PART_TURNS`` rows, texts that
+    begin with the same ``ORDER_CHARS`` characters in order of their hash).
     """
     rows = conversations.select(F.col(conv_id).alias("conv_id"), F.coalesce(F.col(turn).cast("long"), F.lit(0)).alias("turn"),
                                 F.col(role).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).distinct()
+    rows = _numbered(rows.withColumn("part", F.floor(F.col("turn") / PART_TURNS)))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
     marked = F.lit("")
     for s, markers in enumerate(STYLES):
         for r, m in zip(ROLES, markers, strict=True):
             marked = F.when((style == s) & (F.col("role") == r), m).otherwise(marked)
     bare = (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) == 0) & (F.pmod("turn", F.lit(PART_TURNS)) != 0)
-    written = F.when(bare, F.concat(F.lit("\n"), F.col("text"))).otherwise(F.concat(marked, F.col("text")))
+    bare = bare & F.coalesce(F.col("rank") % PART_TURNS != 0, F.lit(True))
+    line = F.when(bare, F.concat(F.lit("\n"), F.col("text"))).otherwise(F.concat(marked, F.col("text")))
     n_lines = F.size(F.filter(F.split("w", "\n"), lambda x: F.trim(x) != ""))
-    one = (rows.withColumn("w", written).withColumn("part", F.floor(F.col("turn") / PART_TURNS))
-           .select("conv_id", "part", F.struct("turn", "role", "text", "w", n_lines.cast("int").alias("n_lines")).alias("x")))
-    return (one.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-            .select("conv_id", "part", F.array_join(F.transform("xs", lambda x: x["w"]), "\n").alias("transcript"),
+    one = (rows.withColumn("w", line).withColumn("piece", F.coalesce(F.floor(F.col("rank") / PART_TURNS), F.lit(0)))
+           .select("conv_id", "part", "piece", F.struct(F.coalesce("rank", F.lit(0)).alias("rank"), "turn", "role", "text", "w", n_lines.cast("int").alias("n_lines")).alias("x")))
+    return (one.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+            .select("conv_id", "part", "piece", F.array_join(F.transform("xs", lambda x: x["w"]), "\n").alias("transcript"),
                     F.transform("xs", lambda x: F.struct(x["role"].alias("role"), x["n_lines"].alias("n_lines"))).alias("turns")))

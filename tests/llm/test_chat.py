@@ -60,3 +60,17 @@ def test_transcripts_of_a_table_with_nulls_and_repeats(spark):
     raw = op.raw_transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     got = {(r.conv_id, r.part): [t.role for t in r.turns] for r in raw.collect()}
     assert got == {(1, 0): ["user", None], (1, 3): ["assistant"], (None, 0): ["user"]}
+
+
+def test_no_transcript_holds_more_rows_than_its_bound(spark):
+    rows = [(None, None, "user", f"text {i:04}") for i in range(700)]  # null ids and turns
+    rows += [(1, 3, "assistant", f"{'same ' * 60}{i}") for i in range(150)] + [(1, 2, "user", "before"), (1, 70, "user", "next part")]
+    rows += [(2, i, "user", f"t{i}") for i in range(64)]
+    raw = op.raw_transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7))
+    got = {(r.conv_id, r.part, r.piece): r for r in raw.collect()}
+    sizes = {k: len(r.turns) for k, r in got.items()}
+    assert sizes == {**{(None, 0, i): 64 for i in range(10)}, (None, 0, 10): 60, (1, 0, 0): 64, (1, 0, 1): 64, (1, 0, 2): 23,
+                     (1, 1, 0): 1, (2, 0, 0): 64}
+    texts = [line[-9:] for i in range(11) for line in got[None, 0, i].transcript.split("\n") if "text" in line]
+    assert texts == [f"text {i:04}" for i in range(700)]
+    assert "before" in got[1, 0, 0].transcript[:40]
