@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility.llm import bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, token_files, url_filter
+from mobility.llm import (
+    bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, substring_dedup, token_files, url_filter,
+)
 from mobility.llm.common import table, written
 
 ARROW_BYTES = str(8 << 20)
@@ -102,3 +104,9 @@ def op10_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     root = token_files.write_token_files(docs, WORD_VOCABULARY, end_id=1)
     return token_files.read_token_files(spark, root, docs)
+
+
+@register
+def op12_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
