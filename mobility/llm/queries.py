@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility.llm import (
-    bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, simhash, substring_dedup, token_files, url_filter,
+    bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, periodic_runs, simhash, substring_dedup, token_files,
+    url_filter,
 )
 from mobility.llm.common import table, written
 
@@ -110,3 +111,14 @@ def op10_token_files(spark, sf_dir):
 def op12_substring_dedup(spark, sf_dir):
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op13_periodic_runs(spark, sf_dir):
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    runs = periodic_runs.periodic_runs(docs)
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return runs.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
