@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mobility.llm import (
     bpe, chat, decontaminate, embedding_dedup, html_text, langid, line_dedup, periodic_runs, simhash, substring_dedup, token_files,
-    url_filter,
+    url_filter, whitening,
 )
 from mobility.llm.common import table, written
 
@@ -107,6 +107,11 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, root, docs)
 
 
+@register
+def op11_whitening(spark, sf_dir):
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op12_substring_dedup(spark, sf_dir):
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
