@@ -43,6 +43,8 @@ from mobility.llm.words import Words, mix
 
 LEAST = 6
 EXPONENT = 4
+#: Words of a stretch up to which its equals are looked for at every distance.
+NEAR = 8
 PIECE_BYTES = 2 << 20
 
 Interval = tuple[int, int, int]  # period, start, end
@@ -133,12 +135,12 @@ class _Equal:
 
 
 def crossing_runs(ids: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, low: np.ndarray, high: np.ndarray,
-                  least: int = LEAST) -> list[set[Interval]]:
-    """For each boundary ``middle`` of words ``start .. end`` the runs inside that cross it.
+                  least: int = LEAST) -> dict[int, set[Interval]]:
+    """The runs of the words ``start .. end`` that cross the boundary ``middle``, by the boundary's place.
 
     ``low`` and ``high`` bound the boundary's text.
     """
-    found: list[set[Interval]] = [set() for _ in range(len(middle))]
+    found: dict[int, set[Interval]] = {}
     differ: dict[tuple[int, int], np.ndarray] = {}
 
     def extent(b: int, q: int, place: int) -> Interval | None:
@@ -156,44 +158,58 @@ def crossing_runs(ids: np.ndarray, start: np.ndarray, middle: np.ndarray, end: n
     equal = _Equal(ids)
     n = len(ids)
     sizes = end - start
-    skip = [np.zeros(len(middle), dtype=np.int64), np.zeros(len(middle), dtype=np.int64)]
+    skip = np.zeros((2, len(middle)), dtype=np.int64)
+
+    def possible(back: int, b: np.ndarray, q: np.ndarray | int) -> np.ndarray:
+        """Whether the boundary's words have room for a run of period ``q`` on that side."""
+        inside = middle[b] - 2 * q >= start[b] if back else middle[b] + 2 * q <= end[b]
+        return inside & (EXPONENT * q <= sizes[b]) & (q > skip[back][b])
+
+    def squares(back: int, b: np.ndarray, q: np.ndarray) -> None:
+        """Find the runs of the boundaries whose words at the boundary come again ``q`` words on (or back)."""
+        k, code, m = equal.k, equal.code, middle[b]
+        far, near = (m - q, m - 2 * q) if back else (m + 2 * q - k, m + q - k)
+        for j in np.flatnonzero((code[near] >= 0) & (code[near] == code[far])).tolist():
+            at, place = int(b[j]), int(m[j])
+            run = extent(at, int(q[j]), place - int(q[j]) if back else place - 1)
+            if run is not None:
+                found.setdefault(at, set()).add(run)
+                reach = place - run[1] if back else run[2] - place
+                skip[back][at] = max(skip[back][at], reach // 2)
+
     while equal.double():
         k, code, occur = equal.k, equal.code, equal.sorted
         fits = np.flatnonzero(sizes >= max(least, EXPONENT * (k - 1)))
         if not len(fits):
             break
         for back in (0, 1):
-            # the k words at the boundary that come again q on (or back)
-            anchor = middle[fits] - 1 if not back else middle[fits] - k + 1
-            use = (anchor >= low[fits]) & (code[np.maximum(anchor, 0)] >= 0)
+            # the k words at the boundary, if they occur twice
+            anchor = middle[fits] - k + 1 if back else middle[fits] - 1
+            use = code[np.maximum(anchor, 0)] >= 0
+            use &= anchor >= 0
             b, a = fits[use], anchor[use]
             own = code[a]
+            if k <= NEAR:
+                for q in range(k - 1, 2 * k - 1):
+                    other = np.maximum(a - q, 0) if back else np.minimum(a + q, n - 1)
+                    same = np.flatnonzero(code[other] == own)
+                    same = same[possible(back, b[same], q)]
+                    squares(back, b[same], np.full(len(same), q))
+                continue
             q = np.maximum(skip[back][b] + 1, k - 1)
             while len(b):
-                if not back:
-                    i = np.searchsorted(occur, own * n + a + q)
-                else:
+                # the next place of these k words that is q words on (back) or more
+                if back:
                     i = np.searchsorted(occur, own * n + np.maximum(a - q, -1), side="right") - 1
+                else:
+                    i = np.searchsorted(occur, own * n + a + q)
                 value = occur[np.clip(i, 0, len(occur) - 1)]
-                q = (value % n - a) if not back else (a - value % n)
-                m = middle[b]
-                inside = (m + 2 * q <= end[b]) if not back else (m - 2 * q >= start[b])
-                good = (i >= 0) & (i < len(occur)) & (value // n == own) & (q >= k - 1) & (q <= 2 * k - 2) & inside
-                good &= EXPONENT * q <= sizes[b]
-                b, a, own, q, m = b[good], a[good], own[good], q[good], m[good]
-                if not len(b):
-                    break
-                far, near = (m + 2 * q - k, m + q - k) if not back else (m - q, m - 2 * q)
-                square = (code[near] >= 0) & (code[near] == code[far])
-                for j in np.flatnonzero(square).tolist():
-                    run = extent(int(b[j]), int(q[j]), int(m[j] - 1 if not back else m[j] - q[j]))
-                    if run is not None:
-                        found[b[j]].add(run)
-                        reach = (run[2] - int(m[j])) if not back else (int(m[j]) - run[1])
-                        skip[back][b[j]] = max(skip[back][b[j]], reach // 2)
-                q = np.maximum(q, skip[back][b]) + 1
-                on = q <= 2 * k - 2
+                q = a - value % n if back else value % n - a
+                on = (i >= 0) & (i < len(occur)) & (value // n == own) & (q >= k - 1) & (q <= 2 * k - 2)
+                on &= possible(back, b, q)
                 b, a, own, q = b[on], a[on], own[on], q[on]
+                squares(back, b, q)
+                q = np.maximum(q, skip[back][b]) + 1
     return found
 
 
@@ -226,7 +242,7 @@ def runs_of(words: Words, least: int = LEAST) -> list[list[Interval]]:
         np.concatenate([g.end[rules], high[text[tops]]]), low[of], high[of], least)
     # runs of each rule's whole expansion, from its start: its own and those of its parts
     has = np.zeros(g.terminals + len(g.left), dtype=bool)
-    own = {int(r): runs for r, runs in zip(rules.tolist(), found, strict=False) if runs}
+    own = {int(rules[j]): runs for j, runs in found.items() if j < len(rules)}
     has[[g.terminals + r for r in own]] = True
     inside: dict[int, list[Interval]] = {}
     for a, b in zip(g.rounds[:-1], g.rounds[1:], strict=True):
@@ -237,8 +253,9 @@ def runs_of(words: Words, least: int = LEAST) -> list[list[Interval]]:
             inside[g.terminals + r] = merged(
                 [(q, x - s, y - s) for q, x, y in own.get(r, ())] + inside.get(int(g.left[r]), [])
                 + [(q, x + shift, y + shift) for q, x, y in inside.get(int(g.right[r]), [])])
-    for i, runs in zip(text[tops].tolist(), found[len(rules):], strict=True):
-        out[i].extend(runs)
+    for j, runs in found.items():
+        if j >= len(rules):
+            out[int(text[tops[j - len(rules)]])].extend(runs)
     for j in np.flatnonzero(has[g.symbols]).tolist():
         out[int(text[j])].extend((q, x + int(place[j]), y + int(place[j])) for q, x, y in inside[int(g.symbols[j])])
     return [merged(runs) if runs else runs for runs in out]
