@@ -15,6 +15,9 @@ window ending there is repeated. Then the document's own segments join the
 automaton. An automaton is sent nowhere but to its own shard's segments: one of all
 documents, or a broadcast of all shards to all tasks, would grow with the corpus.
 
+Copies. Of equal texts the one of the least id stands for all: the others lose every
+word (where they have a window at all) and are never compared.
+
 Sizes. What a piece of ``PIECE_BYTES`` of texts knows by itself (a seed in two
 of its documents, equal segments) is folded before the shuffle. Shards of more
 than ``shard_segments`` segments are never built: each window of such a seed is
@@ -40,10 +43,12 @@ from mobility.llm.words import Words, mix
 
 SPAN = 13
 #: Words of a seed: fewer are shared by chance more often, more make more segments.
-SEED = 5
+SEED = 7
 #: Segments of a shard that may meet in one task.
 SHARD_SEGMENTS = 16_384
 PIECE_BYTES = 4 << 20
+#: Place of a span that stands for the whole text.
+WHOLE = -1
 #: A hot seed's documents of one piece are spread over this many groups.
 SPREAD = 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -156,10 +161,22 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _rows(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``r, doc_id, t``: ``r`` is a key of the id and the text, the same for equal rows."""
+    """``r, doc_id, t``: ``r`` is a key of the id and the text, the same for equal rows.
+
+    Every use of the texts by key reads these columns of this frame, so that they are shuffled once.
+    """
     t = F.col(f"`{text}`").cast("string")
     key = F.col(f"`{id_col}`").cast("long")
-    return df.select(F.xxhash64(key, t).alias("r"), key.alias("doc_id"), t.alias("t"))
+    return df.select(F.xxhash64(key, key.isNull(), t).alias("r"), key.alias("doc_id"), t.alias("t"))
+
+
+def copies_and_firsts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``r, doc_id`` of texts that a smaller id has too, ``r`` of the first of each text)"""
+    texts = written(rows.where("doc_id is not null and t is not null").select(
+        "r", "doc_id", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(7), "t").alias("h2")), "substring-texts")
+    firsts = texts.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.min_by("r", "doc_id").alias("first"))
+    copies = texts.join(firsts, ["h1", "h2"]).where("doc_id > least").select("r", "doc_id").distinct()
+    return copies, firsts.select(F.col("first").alias("r"))
 
 
 def shared_seeds(rows: DataFrame, span: int, shard_segments: int) -> DataFrame:
@@ -208,15 +225,16 @@ def shared_seeds(rows: DataFrame, span: int, shard_segments: int) -> DataFrame:
             .select("m", "r", F.coalesce("is_large", F.lit(False)).alias("large")))
 
 
-def _with_seeds(rows: DataFrame, seeds: DataFrame) -> DataFrame:
-    lists = seeds.groupBy("r").agg(F.collect_set("m").alias("ms"))
-    return rows.where("doc_id is not null").join(lists, "r").select("r", "doc_id", "t", "ms")
+def _with_seeds(rows: DataFrame, seeds: DataFrame, firsts: DataFrame) -> DataFrame:
+    lists = seeds.groupBy("r").agg(F.collect_set("m").alias("ms")).join(firsts, "r", "left_semi")
+    return rows.join(lists, "r").select("r", "doc_id", "t", "ms")
 
 
 def _held_segments(batches: Iterable[pa.RecordBatch], span: int) -> Iterator[tuple[pa.RecordBatch, Segments, np.ndarray]]:
-    """Each piece, its segments, and the places of those whose seed is in their row's list."""
+    """Each piece (of rows that differ), its segments, and the places of those whose seed is in their row's list."""
     for whole in batches:
-        for batch in slices(whole, PIECE_BYTES, "t"):
+        for piece in slices(whole, PIECE_BYTES, "t"):
+            batch = piece.take(pa.array(np.unique(piece.column("r").to_numpy(), return_index=True)[1]))
             s = Segments(Words(batch.column("t")), span)
             lists = batch.column("ms")
             listed = np.unique(lists.flatten().to_numpy().view(np.uint64))
@@ -232,7 +250,7 @@ def _held_segments(batches: Iterable[pa.RecordBatch], span: int) -> Iterator[tup
                 yield batch, s, keep
 
 
-def _segment_rows(rows: DataFrame, seeds: DataFrame, span: int) -> DataFrame:
+def _segment_rows(rows: DataFrame, seeds: DataFrame, firsts: DataFrame, span: int) -> DataFrame:
     """``m, ch, doc_id, r, pos, n, words``: the segments of shared seeds; equal
     ones of a piece carry their words once."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +272,7 @@ def _segment_rows(rows: DataFrame, seeds: DataFrame, span: int) -> DataFrame:
                  pa.array((at - w.first[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(words, type=pa.binary())],
                 names=["m", "ch", "doc_id", "r", "pos", "n", "words"])
 
-    return _with_seeds(rows, seeds).mapInArrow(run, "m long, ch long, doc_id long, r long, pos int, n int, words binary")
+    return _with_seeds(rows, seeds, firsts).mapInArrow(run, "m long, ch long, doc_id long, r long, pos int, n int, words binary")
 
 
 def repeated_in_shard(segments: list[tuple[int, int, bytes]], span: int) -> list[int]:
@@ -283,7 +301,7 @@ def repeated_in_shard(segments: list[tuple[int, int, bytes]], span: int) -> list
 
 def _shard_spans(segments: DataFrame, span: int) -> DataFrame:
     """``r, doc_id, pos, bits``: the repeated windows from window ``pos`` on, a bit each."""
-    placed = segments.repartition("m").sortWithinPartitions("m", "ch", "doc_id")
+    placed = segments.repartition("m").sortWithinPartitions("m", "ch", "doc_id", "r", "pos")
     names = ["r", "doc_id", "pos", "bits"]
 
     def shard(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
@@ -301,8 +319,11 @@ def _shard_spans(segments: DataFrame, span: int) -> DataFrame:
             return []
         masks = dict(zip((d[0] for d in distinct), repeated_in_shard(distinct, span), strict=True))
         least = {d[0]: d[1] for d in distinct}
-        out = []
+        out, last = [], None
         for ch, doc, r, pos, n, _ in rows:
+            if (r, pos) == last:
+                continue  # a row given twice
+            last = (r, pos)
             bits = (1 << n) - 1 if doc > least[ch] else masks[ch]
             if bits:
                 out.append((r, doc, pos, bits))
@@ -329,7 +350,7 @@ def _shard_spans(segments: DataFrame, span: int) -> DataFrame:
     return placed.mapInArrow(run, "r long, doc_id long, pos long, bits long")
 
 
-def _window_spans(rows: DataFrame, seeds: DataFrame, span: int) -> DataFrame:
+def _window_spans(rows: DataFrame, seeds: DataFrame, firsts: DataFrame, span: int) -> DataFrame:
     """``r, doc_id, pos, bits`` of the windows of large seeds, one window a row."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, s, keep in _held_segments(batches, span):
@@ -341,7 +362,7 @@ def _window_spans(rows: DataFrame, seeds: DataFrame, span: int) -> DataFrame:
                  pa.array(batch.column("doc_id").to_numpy()[row]), pa.array(batch.column("r").to_numpy()[row]),
                  pa.array(at - s.words.first[row])], names=["h1", "h2", "doc_id", "r", "pos"])
 
-    windows = written(_with_seeds(rows, seeds).mapInArrow(run, "h1 long, h2 long, doc_id long, r long, pos long"), "substring-windows")
+    windows = _with_seeds(rows, seeds, firsts).mapInArrow(run, "h1 long, h2 long, doc_id long, r long, pos long")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     return (windows.join(least, ["h1", "h2"]).where("doc_id > least")
             .select("r", "doc_id", "pos", F.lit(1).cast("long").alias("bits")))
@@ -353,11 +374,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", sp
     if not 1 <= span <= 62:
         raise ValueError("a window has 1 to 62 words")
     rows = _rows(df, id_col, text)
+    copies, firsts = copies_and_firsts(rows)
     seeds = shared_seeds(rows, span, shard_segments)
-    spans = _shard_spans(_segment_rows(rows, seeds.where("not large"), span), span)
+    spans = _shard_spans(_segment_rows(rows, seeds.where("not large"), firsts, span), span)
     if not seeds.where("large").isEmpty():
-        spans = spans.unionByName(_window_spans(rows, seeds.where("large"), span))
-    found = spans.distinct().groupBy("r").agg(F.collect_list(F.struct("doc_id", "pos", "bits")).alias("spans"))
+        spans = spans.unionByName(_window_spans(rows, seeds.where("large"), firsts, span))
+    spans = spans.unionByName(copies.select("r", "doc_id", F.lit(WHOLE).cast("long").alias("pos"), F.lit(0).cast("long").alias("bits")))
+    found = spans.groupBy("r").agg(F.collect_list(F.struct("doc_id", "pos", "bits")).alias("spans"))
     width = np.arange(span)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,6 +394,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", sp
                     flat = lists.flatten()
                     doc, pos, bits = (flat.field(k).to_numpy() for k in range(3))
                     own = np.asarray(batch.column("doc_id").fill_null(0))[of] == doc
+                    for i in np.unique(of[own & (pos == WHOLE)]).tolist():
+                        a, b = int(w.first[i]), int(w.first[i + 1])
+                        gone[a:b] = b - a >= span
+                    own &= pos != WHOLE
                     at = (w.first[of] + pos)[own]
                     bits = bits[own]
                     for k in range(span):
