@@ -1,41 +1,43 @@
 """Keyed vehicle state on a stream (row 27).
 
-``groupBy(vehicle_id).applyInPandasWithState``: state per vehicle lives on the
-executors (RocksDB store at scale), never on the driver. Rows may come in any
-order within the watermark, so a row is *applied* only when the watermark has passed
-it; until then it waits in the vehicle's state. Applied in order of
-(event time, offset), rows give what the batch forms give:
+``groupBy(vehicle_id).transformWithStateInPandas``: state per vehicle lives in the executors'
+RocksDB store, never on the driver. Rows may come in any order within the watermark, so a row
+is *applied* only when the watermark has passed it; until then it waits in the vehicle's list
+state (new rows are appended, nothing stored is rewritten for them). What is known of the vehicle is a
+value state. An event-time timer wakes the vehicle for its next row, its next alert or its
+retirement. Applied in order of (event time, offset), rows give what the batch forms give:
 
 * idle_since - the first idle event after the last non-idle one;
-* alerts - when an idle run ends that lasted at least the threshold, a row with
-  ``open`` false; when the watermark passes idle_since + threshold while the run goes on,
-  a row with ``open`` true (an event-time timer, so a silent vehicle
-  alerts too). A run that alerted while open gets its closing row when it ends:
-  alerts are kept as an upsert log, the last row of an alert holds.
+* alerts - when the watermark passes idle_since + threshold, a row with ``open`` true, or with ``open`` false
+  if a non-idle row that ends the run has come already (waiting or applied), so that alerts and state rows of one
+  call agree. A run that alerted while open gets its closing row, ``open`` false, when it ends. Alerts are
+  kept as an upsert log, the last row of an alert holds.
 
 Each call that brings rows also emits the vehicle's state as it is with the waiting
-rows applied, so the state table doesn't lag behind by the watermark.
+rows applied, so the state table doesn't lag behind by the watermark. A vehicle silent for
+``retention_days`` of event time (no alert pending) is forgotten: its next event is its first.
 """
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from mobility.operators.state import IDLE_ALERT_MINUTES
 from mobility.schema import IDLE, TS
 
 # Instants in state are epoch microseconds (no time-zone conversion on the way
-# between the state store and pandas). ``waiting``: JSON list of rows.
-STATE_SCHEMA = ("status string, zone string, last_event_us long, last_event_id long, "
-                "idle_since_us long, alerted_us long, waiting string")
+# between the state store and pandas).
+VEHICLE_SCHEMA = ("status string, zone string, last_event_us long, last_event_id long, "
+                  "idle_since_us long, alerted_us long, told_closed boolean, timer_ms long")
+WAITING_SCHEMA = "us long, event_id long, status string, zone string"
 OUTPUT_SCHEMA = ("kind string, vehicle_id string, status string, zone string, "
                  "last_event_ts timestamp, idle_since timestamp, alert_at timestamp, open boolean")
 OUTPUT_COLUMNS = ["kind", "vehicle_id", "status", "zone", "last_event_ts", "idle_since", "alert_at", "open"]
+RETENTION_DAYS = 30.0
 
 
 class Row(NamedTuple):
@@ -47,79 +49,121 @@ class Row(NamedTuple):
 
 
 class Vehicle(NamedTuple):
-    """What is known of a vehicle after the rows applied so far."""
+    """What is known of a vehicle after the rows applied so far; ``alerted`` is the idle run that
+    has an alert, ``told_closed`` whether its last alert row says it ended, ``timer`` the pending timer."""
     status: str | None = None
     zone: str | None = None
     last_us: int | None = None
     last_id: int | None = None
     idle_since: int | None = None
     alerted: int | None = None
+    told_closed: bool = False
+    timer: int | None = None
 
     def after(self, row: Row) -> Vehicle:
         idle_since = None if row.status != IDLE else row.us if self.idle_since is None else self.idle_since
-        return Vehicle(row.status, row.zone, row.us, row.event_id, idle_since, self.alerted)
+        return self._replace(status=row.status, zone=row.zone, last_us=row.us, last_id=row.event_id, idle_since=idle_since)
 
     def seen(self, row: Row) -> bool:
         """Whether the row, or a later one, is applied already (a replay)."""
         return self.last_us is not None and (row.us, row.event_id) <= (self.last_us, self.last_id)
 
+    def waits_for_alert(self) -> bool:
+        return self.idle_since is not None and self.alerted != self.idle_since
+
 
 def _ts(us: int | None):
     return None if us is None else pd.Timestamp(us, unit="us")
 
 
-def make_state_step(threshold_minutes: float = IDLE_ALERT_MINUTES):
-    limit = int(round(threshold_minutes * 60_000_000))
+class VehicleProcessor(StatefulProcessor):
+    """Applies a vehicle's rows in order of event time behind the watermark."""
+
+    def __init__(self, threshold_minutes: float = IDLE_ALERT_MINUTES, retention_days: float = RETENTION_DAYS):
+        self.limit = int(round(threshold_minutes * 60_000_000))
+        self.retention = int(round(retention_days * 86_400_000_000))
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.vehicle = handle.getValueState("vehicle", VEHICLE_SCHEMA)
+        self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterable[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = self._now()
+        new: set[Row] = set()
+        for pdf in rows:
+            us = pdf[TS].astype("datetime64[us]").astype("int64")
+            given = zip(us.tolist(), pdf["event_id"].tolist(), pdf["status"].tolist(), pdf["zone"].tolist(), strict=True)
+            new.update(r for r in map(Row._make, given) if not now.seen(r))
+        if new:
+            self.waiting.appendList([tuple(r) for r in sorted(new)])
+        yield from self._step(key[0], now, timerValues.getCurrentWatermarkInMs() * 1000, news=True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = self._now()._replace(timer=None)
+        yield from self._step(key[0], now, timerValues.getCurrentWatermarkInMs() * 1000, news=False)
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        vehicle_id = key[0]
+    def _now(self) -> Vehicle:
+        stored = self.vehicle.get() if self.vehicle.exists() else None
+        return Vehicle(*stored) if stored else Vehicle()
+
+    def _step(self, vehicle_id: str, now: Vehicle, watermark: int, news: bool) -> Iterator[pd.DataFrame]:
         out: list[dict] = []
 
         def emit(kind: str, v: Vehicle, at: int | None, open_: bool | None) -> None:
             out.append(dict(kind=kind, vehicle_id=vehicle_id, status=v.status, zone=v.zone, last_event_ts=_ts(v.last_us),
                             idle_since=_ts(v.idle_since), alert_at=_ts(at), open=open_))
 
-        stored = state.get if state.exists else None
-        now = Vehicle(*stored[:6]) if stored else Vehicle()
-        waiting = {Row(*r) for r in json.loads(stored[6])} if stored else set()
-        watermark = state.getCurrentWatermarkMs() * 1000
-        news = False
-        if not state.hasTimedOut:
-            for pdf in batches:
-                us = pdf[TS].astype("datetime64[us]").astype("int64")
-                rows = zip(us.tolist(), pdf["event_id"].tolist(), pdf["status"].tolist(), pdf["zone"].tolist(), strict=True)
-                waiting.update(r for r in map(Row._make, rows) if not now.seen(r))
-            news = True
-        in_order = sorted(waiting)
+        held = [Row(*r) for r in self.waiting.get()] if self.waiting.exists() else []
+        in_order = sorted({r for r in held if not now.seen(r)})
         passed = [r for r in in_order if r.us <= watermark]
         rest = in_order[len(passed):]
         for row in passed:
-            if row.status != IDLE and now.idle_since is not None and row.us - now.idle_since >= limit:
-                emit("alert", now._replace(status=IDLE, last_us=row.us), now.idle_since + limit, False)
+            if row.status != IDLE and now.idle_since is not None and row.us - now.idle_since >= self.limit \
+                    and not (now.alerted == now.idle_since and now.told_closed):
+                emit("alert", now._replace(status=IDLE, last_us=row.us), now.idle_since + self.limit, False)
             now = now.after(row)
-        if now.idle_since is not None and now.alerted != now.idle_since and now.idle_since + limit <= watermark:
-            emit("alert", now, now.idle_since + limit, True)
-            now = now._replace(alerted=now.idle_since)
+        if now.waits_for_alert() and now.idle_since + self.limit <= watermark:
+            ended = any(r.status != IDLE for r in rest)
+            emit("alert", now, now.idle_since + self.limit, not ended)
+            now = now._replace(alerted=now.idle_since, told_closed=ended)
         if news and in_order:
             latest = now
             for row in rest:
                 latest = latest.after(row)
             emit("state", latest, None, None)
-
-        next_at = [r.us for r in rest[:1]]
-        if now.idle_since is not None and now.alerted != now.idle_since:
-            next_at.append(now.idle_since + limit)
-        if next_at:
-            state.setTimeoutTimestamp(max(min(next_at), watermark) // 1000 + 1)
-        state.update((*now, json.dumps(rest)))
+        if len(rest) != len(held):
+            if rest:
+                self.waiting.put([tuple(r) for r in rest])
+            else:
+                self.waiting.clear()
+        self._keep(now, rest, watermark)
         if out:
             yield pd.DataFrame(out, columns=OUTPUT_COLUMNS)
 
-    return step
-
-
-def vehicle_state_stream(valid: DataFrame, watermark: str = "2 minutes",
-                         threshold_minutes: float = IDLE_ALERT_MINUTES) -> DataFrame:
+    def _keep(self, now: Vehicle, rest: list[Row], watermark: int) -> None:
+        """Store the vehicle and set its one timer; forget it after its retention."""
+        due = [r.us for r in rest[:1]]
+        if now.waits_for_alert():
+            due.append(now.idle_since + self.limit)
+        if not due and now.last_us is not None:
+            if now.last_us + self.retention <= watermark:
+                if now.timer is not None:
+                    self.handle.deleteTimer(now.timer)
+                self.vehicle.clear()
+                return
+            due.append(now.last_us + self.retention)
+        timer = max(min(due), watermark) // 1000 + 1 if due else None
+        if timer != now.timer:
+            if now.timer is not None:
+                self.handle.deleteTimer(now.timer)
+            if timer is not None:
+                self.handle.registerTimer(timer)
+        self.vehicle.update(tuple(now._replace(timer=timer)))
+
+
+def vehicle_state_stream(valid: DataFrame, watermark: str = "2 minutes", threshold_minutes: float = IDLE_ALERT_MINUTES,
+                         retention_days: float = RETENTION_DAYS) -> DataFrame:
     """Streaming frame of state rows and alert rows (``kind``). The batch twins
     are ``vehicle_latest``, ``idle_episodes`` and ``idle_alerts``."""
     if not valid.isStreaming:
@@ -127,6 +171,5 @@ def vehicle_state_stream(valid: DataFrame, watermark: str = "2 minutes",
                          "vehicle_latest / idle_episodes / idle_alerts")
     rows = (valid.select("vehicle_id", "status", "zone", TS, "event_id").where("vehicle_id IS NOT NULL")
             .withWatermark(TS, watermark))
-    return rows.groupBy("vehicle_id").applyInPandasWithState(
-        make_state_step(threshold_minutes), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("vehicle_id").transformWithStateInPandas(
+        VehicleProcessor(threshold_minutes, retention_days), OUTPUT_SCHEMA, "append", "EventTime")
