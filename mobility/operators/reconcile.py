@@ -59,13 +59,16 @@ def next_pending_day(listing: DataFrame, ledger: DataFrame, **kw) -> DataFrame:
 
 def label_expenses(expenses: DataFrame, keys=("vehicle_id", "sim_day")) -> DataFrame:
     """Expense rows with ``reject_reason`` (NULL = loadable). Enforces the
-    table constraints: key present (vehicle and day), costs and distance that fit
+    table constraints: every column in the file (where ``missing_columns`` is given; it is dropped), key present (vehicle and day), costs and distance that fit
     their type and are >= 0, one row per key."""
     keys = list(keys)
     counts = (expenses.where(F.col("vehicle_id").isNotNull())
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
     labeled = expenses.join(counts, keys, "left")
-    reason = (F.when(F.col("vehicle_id").isNull(), "missing_vehicle_id")
+    if "missing_columns" not in labeled.columns:
+        labeled = labeled.withColumn("missing_columns", F.lit(None).cast("string"))
+    reason = (F.when(F.col("missing_columns").isNotNull(), F.concat(F.lit("missing_columns:"), F.col("missing_columns")))
+              .when(F.col("vehicle_id").isNull(), "missing_vehicle_id")
               .when(F.col("sim_day").isNull(), "missing_sim_day")
               .when(F.col("fuel_cost").isNull(), "fuel_cost_out_of_range")
               .when(F.col("maintenance_cost").isNull(), "maintenance_cost_out_of_range")
@@ -74,7 +77,7 @@ def label_expenses(expenses: DataFrame, keys=("vehicle_id", "sim_day")) -> DataF
               .when(F.col("maintenance_cost") < 0, "negative_maintenance_cost")
               .when(F.col("distance_covered") < 0, "negative_distance")
               .when(F.col("_rows") > 1, "duplicate_key"))
-    return labeled.withColumn("reject_reason", reason).drop("_rows")
+    return labeled.withColumn("reject_reason", reason).drop("_rows", "missing_columns")
 
 
 def validate_expenses(expenses: DataFrame, keys=("vehicle_id", "sim_day")) -> tuple[DataFrame, DataFrame]:

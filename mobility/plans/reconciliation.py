@@ -81,7 +81,7 @@ def run(spark: SparkSession, cfg: BatchConfig, days: list[int] | None = None,
     of_days = F.col("sim_day").isin(days)
 
     if files:
-        labeled = expenses_scan(spark, files)
+        labeled = expenses_scan(spark, files, missing_columns=True)
     else:
         labeled = expenses_frame(spark)
     labels = f"{cfg.expenses.rstrip('/')}_labeled"
