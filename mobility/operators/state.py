@@ -71,17 +71,15 @@ def idle_episodes(valid: DataFrame, tiebreak: str = "event_id", quota: int = QUO
           .select("vehicle_id", "status", TS, tiebreak,
                   (F.col("status") != IDLE).cast("int").alias("_busy")))
     ev = running_count(ev, "vehicle_id", [TS, tiebreak], "_busy", "run", quota=quota)
-    groups = ev.groupBy("vehicle_id", "run").agg(
-        F.min(F.when(F.col("_busy") == 1, F.col(TS))).alias("_opened_at"),
-        F.min(F.when(F.col("_busy") == 0, F.col(TS))).alias("idle_since"),
-        F.max(F.when(F.col("_busy") == 0, F.col(TS))).alias("last_idle_ts"),
+    busy = F.col("_busy") == 1
+    # A non-idle event closes the run before its own, so each row belongs to one episode.
+    groups = ev.groupBy("vehicle_id", (F.col("run") - F.col("_busy")).alias("run")).agg(
+        F.min(F.when(~busy, F.col(TS))).alias("idle_since"),
+        F.max(F.when(~busy, F.col(TS))).alias("last_idle_ts"),
         F.sum(1 - F.col("_busy")).cast("bigint").alias("idle_events"),
+        F.min(F.when(busy, F.col(TS))).alias("ended_at"),
     )
-    closers = groups.select("vehicle_id", (F.col("run") - 1).alias("run"),
-                            F.col("_opened_at").alias("ended_at"))
-    episodes = groups.where(F.col("idle_events") > 0).drop("_opened_at")
-    return (episodes.join(closers, ["vehicle_id", "run"], "left")
-            .select("vehicle_id", "idle_since", "last_idle_ts", "idle_events", "ended_at"))
+    return groups.where(F.col("idle_events") > 0).drop("run")
 
 
 def iso_text(ts: Column) -> Column:

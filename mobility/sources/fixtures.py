@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from mobility.functions.clock import SimClock, instant
 from mobility.operators.dims import padded_id
 from mobility.operators.scan import running_count
+from mobility.plans.derived import materialized
 from mobility.plans.memo import shared_plan
 from mobility.schema import BUSINESS_COLUMNS, COST, TS
 
@@ -25,6 +26,8 @@ NULL_TRIP_EVERY = 97      # completions with event_id % 97 = 0 carry no trip_id
 BAD_PAYLOAD_EVERY = 50    # event_id % 50 = 7 is sent as a broken payload
 BAD_PAYLOAD_AT = 7
 
+NUMBERED = f"event_id long, user_id long, event_type string, value double, {TS} timestamp, trip_no long"
+
 # Telemetry days start at 2024-01-01 and last a real day.
 FIXTURE_CLOCK = SimClock(epoch=datetime(2024, 1, 1, tzinfo=timezone.utc), day_seconds=86_400)
 
@@ -37,6 +40,20 @@ def vehicle_code(user_id: Column) -> Column:
     return padded_id("V", user_id + F.lit(1))
 
 
+def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with ``trip_no``, the number of the vehicle's earlier completions."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", instant("ts").alias(TS))
+    ev = ev.withColumn("_done", (F.col("event_type") == "purchase").cast("int"))
+    return running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", inclusive=False).drop("_done")
+
+
+def numbered_root(spark: SparkSession, sf_dir: str) -> str:
+    """Production telemetry carries its trip's number; here it is derived once and kept."""
+    return materialized(spark, "numbered", sf_dir, ["events"],
+                        lambda p: numbered_events(spark, sf_dir).write.mode("overwrite").parquet(p))
+
+
 @shared_plan
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All telemetry rows, typed, with the ``corruption`` each payload gets.
@@ -44,10 +61,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_ts`` is a session-zone timestamp (UTC), so streaming watermarks
     accept it; ``trip_no`` counts the vehicle's earlier completions.
     """
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value", instant("ts").alias(TS))
-    ev = ev.withColumn("_done", (F.col("event_type") == "purchase").cast("int"))
-    ev = running_count(ev, "user_id", [TS, "event_id"], "_done", "trip_no", inclusive=False)
+    ev = spark.read.schema(NUMBERED).parquet(numbered_root(spark, sf_dir))
 
     vid = vehicle_code(F.col("user_id"))
     et = F.col("event_type")
