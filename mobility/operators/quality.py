@@ -71,16 +71,27 @@ def pipeline_health(heartbeats: DataFrame, thresholds: DataFrame, as_of: Column)
     return rows.withColumn("overall", F.when(any_stale == 1, "degraded").otherwise("ok"))
 
 
-def age_samples(successes: DataFrame, rule: str, at: str, until: Column, step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
-    """``rule, window_start, value``: seconds since the last success, sampled at every multiple of
-    ``step_seconds`` from the first one to ``until``, without the samples of age under one step.
+def step_summary(decoded: DataFrame, ingest_ts: str = "ingest_ts", step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """``_i, _first, _last, _bad, _n``: the records of each step of ingest time, summed up once for all rules."""
+    step_us = step_seconds * 1_000_000
+    ok = valid_condition()
+    return (decoded.select(micros(ingest_ts).alias("_t"), (~ok).cast("long").alias("_b"))
+            .groupBy(floor_div(F.col("_t"), step_us).alias("_i"))
+            .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.sum("_b").alias("_bad"), F.count(F.lit(1)).alias("_n")))
+
+
+def age_breaches(steps: DataFrame, rule: str, until: Column, limit_seconds: float,
+                 step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """``rule, window_start, samples``: the samples (every multiple of ``step_seconds`` from the first success to
+    ``until``) that are over ``limit_seconds`` after the last success, one row per gap between successes.
 
-    Each success answers for the samples up to the next one, so no grid is joined
-    with them; the successes of a step fold into the last one first."""
+    ``steps``: ``_first`` and ``_last`` success of each step. A gap answers for its samples by arithmetic, however
+    long it is. Steps are ordered within a day; between days one row a day is ordered."""
     step_us = step_seconds * 1_000_000
-    last = (successes.select(micros(at).alias("_t")).groupBy(floor_div(F.col("_t") - 1, step_us).alias("_i"))
-            .agg(F.max("_t").alias("_t")))
-    # steps in order, in buckets of a day: the next step of a day, or the first of the next days
+    limit_us = max(int(round(limit_seconds * 1_000_000)), step_us)
+    # A success on the very instant of a sample counts for it: it belongs to the step before.
+    last = (steps.select(F.explode(F.array("_first", "_last")).alias("_t"))
+            .groupBy(floor_div(F.col("_t") - 1, step_us).alias("_i")).agg(F.max("_t").alias("_t")))
     days = last.withColumn("_d", floor_div(F.col("_i"), 86_400 // step_seconds))
     first = days.groupBy("_d").agg(F.min("_i").alias("_first"))
     after = first.select("_d", F.lead("_first").over(Window.orderBy("_d")).alias("_after"))
@@ -88,56 +99,56 @@ def age_samples(successes: DataFrame, rule: str, at: str, until: Column, step_se
     ends = days.withColumn("_next", inside).join(after, "_d", "left")
     ends = ends.withColumn("_end", floor_div(micros(until), step_us))
     # sample k is at k * step; a success of step i is the last one for samples i + 1 .. the next success's step
-    begin, stop = F.col("_i") + 1, F.least(F.coalesce("_next", "_after", "_end"), F.col("_end"))
-    samples = ends.select("_t", F.explode(F.when(stop >= begin, F.sequence(begin, stop))).alias("_k"))
-    age_us = F.col("_k") * F.lit(step_us) - F.col("_t")
-    return samples.where(age_us >= step_us).select(
-        F.lit(rule).alias("rule"), F.timestamp_micros(F.col("_k") * F.lit(step_us)).alias("window_start"),
-        (age_us.cast("double") / F.lit(1_000_000.0)).alias("value"))
+    begin = F.greatest(F.col("_i") + 1, floor_div(F.col("_t") + limit_us, step_us) + 1)
+    stop = F.least(F.coalesce("_next", "_after", "_end"), F.col("_end"))
+    return ends.select(begin.alias("_k"), (stop - begin + 1).alias("samples")).where("samples > 0").select(
+        F.lit(rule).alias("rule"), F.timestamp_micros(F.col("_k") * F.lit(step_us)).alias("window_start"), "samples")
 
 
-def ratio_samples(decoded: DataFrame, rule: str, ingest_ts: str = "ingest_ts", range_seconds: int = 60,
-                  step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
-    """``rule, window_start, value``: the invalid ratio of the ``range_seconds`` before each sample."""
+def ratio_breaches(steps: DataFrame, rule: str, limit: float, range_seconds: int = 60,
+                   step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """``rule, window_start, samples``: the samples whose ``range_seconds`` before hold an invalid ratio over ``limit``."""
     step_us, n = step_seconds * 1_000_000, range_seconds // step_seconds
-    ok = valid_condition()
-    counts = (decoded.groupBy(floor_div(micros(ingest_ts), step_us).alias("_i"))
-              .agg(F.sum((~ok).cast("long")).alias("_bad"), F.count(F.lit(1)).alias("_n")))
-    slid = (counts.select(F.explode(F.sequence(F.col("_i") + 1, F.col("_i") + n)).alias("_k"), "_bad", "_n")
+    slid = (steps.select(F.explode(F.sequence(F.col("_i") + 1, F.col("_i") + n)).alias("_k"), "_bad", "_n")
             .groupBy("_k").agg(F.sum("_bad").alias("_bad"), F.sum("_n").alias("_n")))
-    return slid.select(F.lit(rule).alias("rule"), F.timestamp_micros(F.col("_k") * F.lit(step_us)).alias("window_start"),
-                       (F.col("_bad").cast("double") / F.col("_n").cast("double")).alias("value"))
+    over = F.col("_bad").cast("double") / F.col("_n").cast("double") > F.lit(limit)
+    return slid.where(over).select(
+        F.lit(rule).alias("rule"), F.timestamp_micros(F.col("_k") * F.lit(step_us)).alias("window_start"),
+        F.lit(1).cast("long").alias("samples"))
 
 
-def alert_rule_breaches(samples: DataFrame, rules: dict[str, tuple[float, int]] | None = None,
+def alert_rule_breaches(breaches: DataFrame, rules: dict[str, tuple[float, int]] | None = None,
                         step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
-    """Row 45 for several rules at once: each rule's breaches at its own limit and hold."""
-    over = reduce(lambda a, b: a | b, [
-        (F.col("rule") == name) & (F.col("value") > limit) for name, (limit, _) in (rules or ALERT_RULES).items()])
-    islands = sustained_breach(samples, over, step_seconds, 0)
+    """Row 45 for several rules at once: each rule's breaches (``rule, window_start, samples``) held long enough."""
+    islands = merged_breaches(breaches, step_seconds)
     held = reduce(lambda a, b: a | b, [
         (F.col("rule") == name) & (F.col("held_seconds") >= hold) for name, (_, hold) in (rules or ALERT_RULES).items()])
     return islands.where(held)
 
 
+def merged_breaches(breaches: DataFrame, step_seconds: int, rule: str = "rule", start: str = "window_start",
+                    samples: str = "samples") -> DataFrame:
+    """Islands of touching breaches: each row is ``samples`` samples in a row, one every ``step_seconds``, from ``start`` on.
+
+    A sample is a session that lasts until the next one, so sessions merge where samples follow each
+    other. They merge within each (rule, day) first; a rule's days then meet with a row an island."""
+    def seconds(count: Column) -> Column:
+        return F.concat((count * F.lit(step_seconds)).cast("string"), F.lit(" seconds"))
+
+    day = F.date_trunc("day", F.col(start))
+    daily = (breaches.groupBy(rule, day.alias("_day"), F.session_window(start, seconds(F.col(samples))).alias("_w"))
+             .agg(F.sum(samples).alias("_n")).select(rule, F.col("_w.start").alias("_s"), "_n"))
+    whole = (daily.groupBy(rule, F.session_window("_s", seconds(F.col("_n"))).alias("_w"))
+             .agg(F.sum("_n").cast("bigint").alias("samples")))
+    last = F.timestamp_micros(micros("_w.start") + (F.col("samples") - 1) * F.lit(step_seconds * 1_000_000))
+    return whole.select(
+        rule, ntz("_w.start").alias("breach_start"), ntz(last).alias("last_breach_sample"), "samples",
+        ((F.col("samples") - 1) * F.lit(step_seconds)).cast("bigint").alias("held_seconds"))
+
+
 def sustained_breach(samples: DataFrame, breach: Column, step_seconds: int, hold_seconds: int,
                      rule: str = "rule", start: str = "window_start") -> DataFrame:
     """Row 45: islands of consecutive breaching samples (one every
-    ``step_seconds``) that last at least ``hold_seconds`` - the ``for:`` clause.
-
-    Samples are already one row per rule and step, so the ordered scan runs on
-    an aggregate whose size is time span / step, not on events."""
-    step_us = step_seconds * 1_000_000
-    s = samples.where(breach).select(rule, start, floor_div(micros(start), step_us).alias("_i"))
-    w = Window.partitionBy(rule).orderBy("_i")
-    islands = s.withColumn("_g", F.col("_i") - F.row_number().over(w))
-    return (islands.groupBy(rule, "_g").agg(
-                F.min(start).alias("breach_start"),
-                F.max(start).alias("last_breach_sample"),
-                F.count(F.lit(1)).alias("samples"))
-            .withColumn("held_seconds", (F.col("samples") - 1) * F.lit(step_seconds))
-            .where(F.col("held_seconds") >= F.lit(hold_seconds))
-            .select(rule, ntz("breach_start").alias("breach_start"),
-                    ntz("last_breach_sample").alias("last_breach_sample"),
-                    F.col("samples").cast("bigint").alias("samples"),
-                    F.col("held_seconds").cast("bigint").alias("held_seconds")))
+    ``step_seconds``) that last at least ``hold_seconds`` - the ``for:`` clause."""
+    one = samples.where(breach).select(rule, F.col(start).cast("timestamp").alias(start), F.lit(1).cast("long").alias("samples"))
+    return merged_breaches(one, step_seconds, rule, start).where(F.col("held_seconds") >= F.lit(hold_seconds))

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility.functions.clock import SimClock, ntz, with_sim_clock
+from mobility.functions.clock import SimClock, micros, ntz, with_sim_clock
 from mobility.operators import audit, dims, serve
 from mobility.operators import ingest as ing
 from mobility.operators import quality as qual
@@ -381,14 +381,15 @@ def sustained_breach(spark, sf_dir):
 @register
 def alert_rule_breaches(spark, sf_dir):
     """The three alert rules at their own limits: events, invalid payloads, batch runs (one per closed day)."""
-    events = decoded(spark, sf_dir)
+    steps = qual.step_summary(decoded(spark, sf_dir))
     runs = profitability(spark, sf_dir).where("has_expenses").select("sim_day").distinct().select(
-        day_end(F.col("sim_day")).alias("at"))
-    until = events.select(F.max("ingest_ts")).scalar()
-    samples = (qual.age_samples(events, "no_recent_events", "ingest_ts", until)
-               .unionByName(qual.ratio_samples(events, "high_invalid_ratio"))
-               .unionByName(qual.age_samples(runs, "batch_stale", "at", until)))
-    return qual.alert_rule_breaches(samples)
+        micros(day_end(F.col("sim_day"))).alias("_first"), micros(day_end(F.col("sim_day"))).alias("_last"))
+    until = F.timestamp_micros(steps.select(F.max("_last")).scalar())
+    limits = {name: limit for name, (limit, _) in qual.ALERT_RULES.items()}
+    breaches = (qual.age_breaches(steps, "no_recent_events", until, limits["no_recent_events"])
+                .unionByName(qual.ratio_breaches(steps, "high_invalid_ratio", limits["high_invalid_ratio"]))
+                .unionByName(qual.age_breaches(runs, "batch_stale", until, limits["batch_stale"])))
+    return qual.alert_rule_breaches(breaches)
 
 
 @register
