@@ -1,7 +1,8 @@
 """Command line: ``python -m mobility reconcile ...`` / ``python -m mobility stream ...``.
 
 ``reconcile`` runs the daily batch job for every pending day (or the days
-given); ``stream`` starts the speed layer and waits; ``compact`` folds the
+given); ``stream`` starts the speed layer and waits; ``rules`` evaluates the alert rules
+and the components' health over the stored tables; ``compact`` folds the
 speed layer's upsert logs into snapshots (run it periodically). Storage locations are
 folders or URIs under one ``--root``; the simulated calendar is explicit.
 """
@@ -44,6 +45,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--exact-windows", action="store_true",
                    help="exact distinct counts, each window emitted once when final (append mode)")
 
+    m = sub.add_parser("rules", help="evaluate the alert rules and the components' health over the stored tables")
+    m.add_argument("--until", default=None, help="ISO date/time (UTC) to evaluate up to; default: now")
+
     c = sub.add_parser("compact", help="fold the speed layer's upsert logs into snapshots")
     c.add_argument("--expire", action="store_true",
                    help="then delete the folded batches and older snapshots (when no reader is at them)")
@@ -69,6 +73,11 @@ def main(argv: list[str] | None = None) -> None:
                 compact_upsert_log(spark, f"{root}/{folder}", keys, f"{root}/{folder}_snapshots")
                 if args.expire:
                     expire_upsert_log(spark, f"{root}/{folder}", f"{root}/{folder}_snapshots")
+    elif args.command == "rules":
+        from mobility.plans import monitoring
+
+        until = datetime.fromisoformat(args.until) if args.until else datetime.now(timezone.utc)
+        monitoring.run(spark, root, clock, until if until.tzinfo else until.replace(tzinfo=timezone.utc))
     elif args.command == "reconcile":
         from mobility.plans import reconciliation
 
@@ -95,6 +104,7 @@ def main(argv: list[str] | None = None) -> None:
             vehicle_state=f"{root}/vehicle_state", alerts=f"{root}/alerts",
             checkpoints=f"{root}/checkpoints", source_format=args.format, source_options=options,
             dead_letter_format=dlq_format, dead_letter_options=dlq_options, exact_windows=args.exact_windows, heartbeats=f"{root}/heartbeats",
+            metrics=f"{root}/ingest_metrics",
             **({"idle_minutes": args.idle_minutes} if args.idle_minutes is not None else {}))
         app.multi_query_app(spark, cfg, path=args.path)
         spark.streams.awaitAnyTermination()

@@ -80,6 +80,26 @@ def step_summary(decoded: DataFrame, ingest_ts: str = "ingest_ts", step_seconds:
             .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.sum("_b").alias("_bad"), F.count(F.lit(1)).alias("_n")))
 
 
+def metrics_steps(metrics: DataFrame, step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
+    """The :func:`step_summary` of stored ingest counters (:mod:`mobility.streaming.metrics`): batches with
+    records, by the step that they were reported in."""
+    step_us = step_seconds * 1_000_000
+    t = micros("at")
+    n = F.col("valid_records") + F.col("invalid_records")
+    return (metrics.where(n > 0).groupBy(floor_div(t, step_us).alias("_i"))
+            .agg(F.min(t).alias("_first"), F.max(t).alias("_last"), F.sum("invalid_records").alias("_bad"), F.sum(n).alias("_n")))
+
+
+def rule_breaches(steps: DataFrame, runs: DataFrame, until: Column, rules: dict[str, tuple[float, int]] | None = None) -> DataFrame:
+    """Row 45: the breaches of the three alert rules. ``steps``: ingest summed up by step; ``runs``: ``_first`` and
+    ``_last`` instant (microseconds) of batch runs that succeeded."""
+    rules = rules or ALERT_RULES
+    found = (age_breaches(steps, "no_recent_events", until, rules["no_recent_events"][0])
+             .unionByName(ratio_breaches(steps, "high_invalid_ratio", rules["high_invalid_ratio"][0]))
+             .unionByName(age_breaches(runs, "batch_stale", until, rules["batch_stale"][0])))
+    return alert_rule_breaches(found, rules)
+
+
 def age_breaches(steps: DataFrame, rule: str, until: Column, limit_seconds: float,
                  step_seconds: int = SAMPLE_SECONDS) -> DataFrame:
     """``rule, window_start, samples``: the samples (every multiple of ``step_seconds`` from the first success to

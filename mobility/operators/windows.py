@@ -14,6 +14,10 @@ Exact form (batch): three map-side combined aggregations.
 This also avoids the Expand x3 that two ``count(DISTINCT ...)`` over
 different expressions would add on top of the sliding window's Expand.
 
+Sketch form: one HLL sketch of the active and of the idle vehicles per (key, step) is stored; a window of any
+size and slide that are whole steps is the union of its steps' sketches. Events are read once for all windows, and
+what slides is a row per (key, step), never an event.
+
 Approximate form (streaming, the reference's estimator): one aggregation with
 ``approx_count_distinct``, which a streaming query accepts in update mode.
 """
@@ -35,6 +39,11 @@ SLIDE = "1 minute"
 RSD = 0.05
 
 
+#: Registers of a stored sketch, as a power of two, and the relative standard error that gives.
+SKETCH_LG_K = 12
+SKETCH_RSD = 1.04 / math.sqrt(1 << SKETCH_LG_K)
+
+
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -118,3 +127,25 @@ def zone_window_metrics(valid: DataFrame, clock: SimClock, size: str = WINDOW,
 def fleet_window_metrics(valid: DataFrame, clock: SimClock, size: str = WINDOW,
                          slide: str = SLIDE, exact: bool = True, per_step: bool = True) -> DataFrame:
     return finish_window_metrics(window_aggregate(valid, [], size, slide, exact, per_step=per_step), clock, [])
+
+
+def distinct_sketches(valid: DataFrame, keys: list[str], step: str = SLIDE, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Rows 12-14, mergeable: keys, ``step_start``, and per step the sketches of its active and idle vehicles
+    and its exact trips and cents. One aggregation that combines before it shuffles; meant to be stored."""
+    active, idle, trip, fare = _flags(valid)
+    step_us = interval_seconds(step) * 1_000_000
+    at = F.timestamp_micros(floor_div(micros(TS), step_us) * F.lit(step_us))
+    return valid.groupBy(*keys, at.alias("step_start")).agg(
+        F.hll_sketch_agg(active, F.lit(lg_k)).alias("active_sketch"), F.hll_sketch_agg(idle, F.lit(lg_k)).alias("idle_sketch"),
+        F.sum(trip).alias("trips_completed"), F.sum(fare).alias("earnings_cents"))
+
+
+def windows_of_sketches(sketches: DataFrame, keys: list[str], size: str = WINDOW, slide: str = SLIDE,
+                        step: str = SLIDE) -> DataFrame:
+    """``window`` struct + keys + counts of :func:`window_aggregate`, from stored sketches of ``step``."""
+    if interval_seconds(size) % interval_seconds(step) or interval_seconds(slide) % interval_seconds(step):
+        raise ValueError(f"windows of {size} each {slide} are no whole steps of {step}")
+    return sketches.groupBy(F.window(F.col("step_start"), size, slide).alias("window"), *keys).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("active_sketch")).alias("active_vehicles"),
+        F.hll_sketch_estimate(F.hll_union_agg("idle_sketch")).alias("idle_vehicles"),
+        F.sum("trips_completed").alias("trips_completed"), F.sum("earnings_cents").alias("earnings_cents"))

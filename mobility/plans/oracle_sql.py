@@ -413,6 +413,7 @@ ORACLES["expenses_scan"] = B(EXPENSES) + "SELECT * FROM expenses_f"
 ORACLES["lake_scan"] = B(TELEMETRY) + "SELECT * FROM lake"
 ORACLES["window_distinct_bound"] = B(TELEMETRY, ZONE) + (
     "SELECT window_start, zone, active_vehicles, idle_vehicles, true AS within_bound FROM zone_m")
+ORACLES["window_distinct_sketch"] = ORACLES["window_distinct_bound"]
 ORACLES["keyed_upsert_some_columns"] = B(TELEMETRY, PREV, UPD) + """
 SELECT coalesce(u.vehicle_id, t.vehicle_id) AS vehicle_id, coalesce(t.status, u.status) AS status,
   CASE WHEN u.vehicle_id IS NOT NULL THEN u.zone ELSE t.zone END AS zone,

@@ -192,6 +192,23 @@ def window_distinct_bound(spark, sf_dir):
         (within("_a", "active_vehicles") & within("_i", "idle_vehicles")).alias("within_bound"))
 
 
+@register
+def window_distinct_sketch(spark, sf_dir):
+    """Exact counts of each window, and whether those of the united sketches are within three standard errors."""
+    keys = ["window_start", "zone"]
+    exact = zone_metrics(spark, sf_dir).select(*keys, "active_vehicles", "idle_vehicles")
+    sketches = win.distinct_sketches(lake(spark, sf_dir), ["zone"])
+    united = win.windows_of_sketches(sketches, ["zone"]).select(
+        ntz(F.col("window.start")).alias("window_start"), "zone", F.col("active_vehicles").alias("_a"), F.col("idle_vehicles").alias("_i"))
+
+    def within(estimate: str, count: str) -> F.Column:
+        return F.abs(F.col(estimate) - F.col(count)) <= F.ceil(3 * win.SKETCH_RSD * F.col(count))
+
+    return exact.join(united, keys).select(
+        *keys, "active_vehicles", "idle_vehicles",
+        (within("_a", "active_vehicles") & within("_i", "idle_vehicles")).alias("within_bound"))
+
+
 @register
 def ingest_quality(spark, sf_dir):
     return qual.ingest_quality(decoded(spark, sf_dir), size="1 hour")
@@ -385,11 +402,7 @@ def alert_rule_breaches(spark, sf_dir):
     runs = profitability(spark, sf_dir).where("has_expenses").select("sim_day").distinct().select(
         micros(day_end(F.col("sim_day"))).alias("_first"), micros(day_end(F.col("sim_day"))).alias("_last"))
     until = F.timestamp_micros(steps.select(F.max("_last")).scalar())
-    limits = {name: limit for name, (limit, _) in qual.ALERT_RULES.items()}
-    breaches = (qual.age_breaches(steps, "no_recent_events", until, limits["no_recent_events"])
-                .unionByName(qual.ratio_breaches(steps, "high_invalid_ratio", limits["high_invalid_ratio"]))
-                .unionByName(qual.age_breaches(runs, "batch_stale", until, limits["batch_stale"])))
-    return qual.alert_rule_breaches(breaches)
+    return qual.rule_breaches(steps, runs, until)
 
 
 @register

@@ -8,6 +8,8 @@ serving statements in Spark SQL; their parameters are bound, never rendered as t
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,9 @@ TABLES = {
     "expense_rejects": ("expense_rejects", None),
     "processed_days": ("processed_days", None),
     "pipeline_heartbeats": ("heartbeats", None),
+    "ingest_metrics": ("ingest_metrics", None),
+    "rule_breaches": ("rule_breaches", None),
+    "component_health": ("component_health", None),
 }
 
 SERVING_SQL = {
@@ -70,6 +75,37 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     return made
 
 
+#: SQL table functions of the serving reads: name -> (parameters, statement over the views).
+SERVING_FUNCTIONS = {
+    "fleet_now": ("", SERVING_SQL["fleet_latest"]),
+    "zones_now": ("", SERVING_SQL["zone_latest"]),
+    "alerts_of": ("vehicle STRING DEFAULT NULL, most INT DEFAULT 50", """
+        SELECT * EXCEPT (place) FROM (
+          SELECT *, row_number() OVER (ORDER BY created_at DESC, vehicle_id, message) AS place FROM alerts
+          WHERE alerts_of.vehicle IS NULL OR vehicle_id = alerts_of.vehicle)
+        WHERE place <= alerts_of.most"""),
+    "reported_days": ("", SERVING_SQL["report_days"]),
+    "profitability_of": ("day INT DEFAULT NULL, losses_only BOOLEAN DEFAULT false", """
+        SELECT * FROM daily_profitability
+        WHERE sim_day = coalesce(profitability_of.day, (SELECT max(sim_day) FROM daily_profitability))
+          AND (NOT profitability_of.losses_only OR unprofitable)"""),
+    "consistency_of": ("day INT", "SELECT * FROM consistency_checks WHERE sim_day = consistency_of.day"),
+    "last_success": ("", SERVING_SQL["pipeline_last_success"]),
+}
+
+
+def register_functions(spark: SparkSession) -> list[str]:
+    """Row 6: create a temporary SQL table function for each serving read whose views are registered,
+    so that ``SELECT * FROM profitability_of(15, true)`` works in any SQL of the session."""
+    made = []
+    for name, (parameters, statement) in SERVING_FUNCTIONS.items():
+        needed = [v for v in TABLES if re.search(rf"\b{v}\b", statement)]
+        if all(spark.catalog.tableExists(v) for v in needed):
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE RETURN {statement}")
+            made.append(name)
+    return made
+
+
 DEFAULTS = {"vehicle_id": None, "limit": 50, "sim_day": None, "unprofitable_only": False}
 
 

@@ -1,12 +1,14 @@
 """Batch sinks: the day-partitioned archive, dead letters and plain appends."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobility.functions.clock import SimClock
 from mobility.schema import TS
-from mobility.sources.lake import backfill_root, is_streamed
+from mobility.sources.lake import backfill_root, is_streamed, path_exists
 
 
 def with_day(valid: DataFrame, clock: SimClock) -> DataFrame:
@@ -22,7 +24,8 @@ def archive_by_day(valid: DataFrame, root: str, clock: SimClock) -> None:
     come from a sample, so tasks get equal row counts even when one day or
     one vehicle dominates, and each task covers a contiguous time slice
     (few day folders, few files). Hash-partitioning on sim_day alone would
-    hand each whole day to a single task.
+    hand each whole day to a single task. Within a file rows are sorted by vehicle and carry a
+    Bloom filter of its ids, so a read of one vehicle skips row groups.
 
     A root that a stream writes is left alone: readers of it would not see the new
     files, and replacing a day would delete files that its log still lists. The
@@ -30,8 +33,11 @@ def archive_by_day(valid: DataFrame, root: str, clock: SimClock) -> None:
     if is_streamed(valid.sparkSession, root):
         root = backfill_root(root)
     out = with_day(valid, clock)
-    (out.repartitionByRange("sim_day", TS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+    rows = out.repartitionByRange("sim_day", TS)
+    if "vehicle_id" in out.columns:
+        rows = rows.sortWithinPartitions("sim_day", "vehicle_id", TS)
+    (rows.write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("parquet.bloom.filter.enabled#vehicle_id", "true")
      .partitionBy("sim_day").parquet(root))
 
 
@@ -41,11 +47,53 @@ def write_dead_letters(dead: DataFrame, path: str) -> None:
 
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Row 35: plain append."""
+    """Row 35: plain append. A repeated call appends twice; see :func:`append_once`."""
     df.write.mode("append").format(fmt).save(path)
 
 
-def heartbeat(spark: SparkSession, path: str, component: str, detail: str) -> None:
-    """One row saying that a component has just succeeded."""
-    append_rows(spark.range(1).select(
-        F.lit(component).alias("component"), F.current_timestamp().alias("at"), F.lit(detail).alias("detail")), path)
+def append_once(df: DataFrame, path: str, token: str) -> None:
+    """Row 35, safe to retry: rows are appended under a token of the caller's (a batch id, a
+    day and its input's fingerprint). The token's folder is replaced as a whole and committed by the
+    marker that the write leaves last, so a repeated or broken-off call never counts twice."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_TOKEN}{token}")
+
+
+def committed_tokens(spark: SparkSession, path: str) -> list[str]:
+    """Tokens whose append has ended."""
+    if not path_exists(spark, path):
+        return []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [(st.getPath().getName(), st.getPath()) for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(n[len(_TOKEN):] for n, p in names if n.startswith(_TOKEN) and fs.exists(hadoop.Path(p, "_SUCCESS")))
+
+
+def read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all committed appends (:func:`append_once`) and of plain ones beside them."""
+    base = path.rstrip("/")
+    plain = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "false")
+    out = spark.createDataFrame([], schema)
+    tokens = committed_tokens(spark, base)
+    if tokens:
+        out = out.unionByName(plain.parquet(*[f"{base}/{_TOKEN}{t}" for t in tokens]))
+    if path_exists(spark, base) and _has_files(spark, base):
+        out = out.unionByName(plain.parquet(f"{base}/*.parquet"))
+    return out
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(st.isFile() and st.getPath().getName().endswith(".parquet") for st in fs.listStatus(root))
+
+
+_TOKEN = "token="
+HEARTBEAT_SCHEMA = "component string, at timestamp, detail string"
+
+
+def heartbeat(spark: SparkSession, path: str, component: str, detail: str, token: str | None = None) -> None:
+    """One row saying that a component has just succeeded, once per token (by default one of its own)."""
+    row = spark.range(1).select(
+        F.lit(component).alias("component"), F.current_timestamp().alias("at"), F.lit(detail).alias("detail"))
+    append_once(row, path, token or uuid.uuid4().hex)

@@ -30,6 +30,7 @@ from mobility.operators.state import ALERT_SEVERITY, ALERT_TYPE, IDLE_ALERT_MINU
 from mobility.schema import TS
 from mobility.sinks.files import heartbeat
 from mobility.sinks.upsert import write_upsert_batch
+from mobility.streaming.metrics import IngestMetrics
 from mobility.streaming.state import vehicle_state_stream
 
 WATERMARK = "2 minutes"
@@ -56,6 +57,7 @@ class StreamConfig:
     exact_windows: bool = False  # exact counts, each window emitted once when final
     idle_minutes: float = IDLE_ALERT_MINUTES
     heartbeats: str | None = None
+    metrics: str | None = None  # table of the counters that each batch observed
 
 
 def kafka_options(bootstrap: str, topic: str, max_offsets_per_trigger: int | None = None) -> dict:
@@ -133,16 +135,16 @@ def window_stream(valid: DataFrame, clock: SimClock, by_zone: bool,
     return win.finish_window_metrics(agg, clock, keys)
 
 
-def _beat(batch: DataFrame, cfg: StreamConfig, detail: str) -> None:
+def _beat(batch: DataFrame, cfg: StreamConfig, detail: str, batch_id: int) -> None:
     if cfg.heartbeats:
-        heartbeat(batch.sparkSession, cfg.heartbeats, "stream_sink", detail)
+        heartbeat(batch.sparkSession, cfg.heartbeats, "stream_sink", detail, token=f"{detail}-{batch_id}")
 
 
 def _upsert_log_writer(path: str, cfg: StreamConfig | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         write_upsert_batch(batch, batch_id, path)
         if cfg is not None:
-            _beat(batch, cfg, path.rstrip("/").rpartition("/")[2])
+            _beat(batch, cfg, path.rstrip("/").rpartition("/")[2], batch_id)
     return write
 
 
@@ -176,7 +178,7 @@ def vehicle_state_query(valid: DataFrame, cfg: StreamConfig) -> StreamingQuery:
             write_upsert_batch(batch.where(F.col("kind") == "state").drop("kind", "alert_at", "open"),
                                batch_id, cfg.vehicle_state)
             write_upsert_batch(alert_table(batch, cfg.clock), batch_id, cfg.alerts)
-            _beat(batch, cfg, "vehicle_state")
+            _beat(batch, cfg, "vehicle_state", batch_id)
         finally:
             batch.unpersist()
 
@@ -195,6 +197,8 @@ def multi_query_app(spark: SparkSession, cfg: StreamConfig, path: str | None = N
     def valid() -> DataFrame:
         return valid_events(decoded(), keep=["event_id"])
 
+    if cfg.metrics:
+        spark.streams.addListener(IngestMetrics(spark, cfg.metrics))
     dead = dead_letters(decoded(), keep=["event_id", "ingest_ts"])
     return [
         archive_query(valid_events(observe_ingest(decoded()), keep=["event_id"]), cfg),
