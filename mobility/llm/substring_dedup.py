@@ -44,8 +44,9 @@ from mobility.llm.words import Words, mix
 SPAN = 13
 #: Words of a seed: fewer are shared by chance more often, more make more segments.
 SEED = 7
-#: Segments of a shard that may meet in one task.
+#: Folded segments of a shard, and places of theirs, that may meet in one task.
 SHARD_SEGMENTS = 16_384
+SHARD_PLACES = 1_000_000
 PIECE_BYTES = 4 << 20
 #: Place of a span that stands for the whole text.
 WHOLE = -1
@@ -129,7 +130,7 @@ def _grams(h: np.ndarray, k: int, step: np.uint64 = _STEP) -> np.ndarray:
 
 class Segments:
     """The segments of a piece: ``seed``, ``row`` (text), ``at`` (its first window,
-    by the words of the piece), ``n`` (windows, at most ``span``)."""
+    by the words of the piece), ``n`` (windows, at most ``span``), ``content`` (a hash of its words)."""
 
     def __init__(self, words: Words, span: int):
         self.words = words
@@ -154,6 +155,9 @@ class Segments:
         starts = np.flatnonzero(place % span == 0)
         self.n = np.diff(np.append(starts, len(at)))
         self.seed, self.row, self.at = seed[starts], row[starts], at[starts]
+        # a hash of all its words: the first and the last window hold them
+        g = _grams(h, span) if n else h[:0]
+        self.content = mix(g[self.at] * _STEP + g[self.at + self.n - 1] + self.n.astype(np.uint64))
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -179,10 +183,19 @@ def copies_and_firsts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return copies, firsts.select(F.col("first").alias("r"))
 
 
-def shared_seeds(rows: DataFrame, span: int, shard_segments: int) -> DataFrame:
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted table's rows differ from the row before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def shared_seeds(rows: DataFrame, span: int, shard_segments: int, shard_places: int) -> DataFrame:
     """``m, r, large``: the seeds of each row that another row holds too.
 
-    ``large``: the seed has more than ``shard_segments`` segments.
+    ``large``: the seed has more than ``shard_segments`` segments (equal ones of a piece are one) or ``shard_places`` places.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -191,37 +204,41 @@ def shared_seeds(rows: DataFrame, span: int, shard_segments: int) -> DataFrame:
                 if not len(s.seed):
                     continue
                 r = batch.column(0).to_numpy()[s.row]
+                # for each seed of the piece: its places, its different segments
+                order = np.lexsort((s.content, s.seed))
+                m, content = s.seed[order], s.content[order]
+                heads = np.flatnonzero(_heads(m))
+                places = np.diff(np.append(heads, len(m)))
+                contents = np.add.reduceat(_heads(m, content).astype(np.int64), heads)
+                seeds = m[heads]
+                # and its rows
                 order = np.lexsort((r, s.seed))
                 m, r = s.seed[order], r[order]
-                new = np.ones(len(m), dtype=bool)
-                new[1:] = (m[1:] != m[:-1]) | (r[1:] != r[:-1])
-                first = np.flatnonzero(new)
-                count = np.diff(np.append(first, len(m))).astype(np.int32)
+                first = np.flatnonzero(_heads(m, r))
                 m, r = m[first], r[first]
-                alone = np.ones(len(m), dtype=bool)
-                alone[1:] &= m[1:] != m[:-1]
-                alone[:-1] &= m[1:] != m[:-1]
-                # a seed of several rows of this piece: one row for the count, theirs apart from it
-                heads = np.flatnonzero(~alone & np.concatenate([[True], m[1:] != m[:-1]]))
-                sums = np.add.reduceat(np.where(alone, 0, count), heads).astype(np.int32) if len(heads) else count[:0]
+                of = np.searchsorted(seeds, m)
+                alone = np.bincount(of)[of] == 1
+                # a seed of several rows of this piece: one row for the counts, theirs apart from it
                 several = np.flatnonzero(~alone)
-                zero = np.zeros(len(alone), dtype=np.int32)
+                shared = np.unique(of[several])
+                counted = np.concatenate([of[alone], shared])
+                none = np.zeros(len(several), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    _long(np.concatenate([m[alone], m[heads], m[several]])),
-                    pa.array(np.concatenate([zero[alone], zero[heads], 1 + (r[several] % SPREAD).astype(np.int32)])),
-                    pa.concat_arrays([pa.array(r[alone]), pa.nulls(len(heads), pa.int64()), pa.array(r[several])]),
-                    pa.array(np.concatenate([count[alone], sums, zero[several]]))], names=["m", "salt", "r", "c"])
+                    _long(np.concatenate([m[alone], seeds[shared], m[several]])),
+                    pa.array(np.concatenate([np.zeros(len(counted), dtype=np.int32), 1 + (r[several] % SPREAD).astype(np.int32)])),
+                    pa.concat_arrays([pa.array(r[alone]), pa.nulls(len(shared), pa.int64()), pa.array(r[several])]),
+                    pa.array(np.concatenate([contents[counted].astype(np.int32), none])),
+                    pa.array(np.concatenate([places[counted].astype(np.int32), none]))], names=["m", "salt", "r", "c", "p"])
 
-    found = rows.where("doc_id is not null").select("r", "t").mapInArrow(run, "m long, salt int, r long, c int")
+    found = rows.where("doc_id is not null").select("r", "t").mapInArrow(run, "m long, salt int, r long, c int, p int")
     group = Window.partitionBy("m", "salt")
-    marked = found.select(
-        "m", "salt", "r", F.count(F.lit(1)).over(group).alias("rows"), F.sum("c").over(group).alias("total"))
+    marked = found.select("m", "salt", "r", F.count(F.lit(1)).over(group).alias("rows"),
+                          F.sum("c").over(group).alias("contents"), F.sum("p").over(group).alias("places"))
+    large = (F.col("salt") == 0) & ((F.col("contents") > shard_segments) | (F.col("places") > shard_places))
     # a lone row with an id is a seed that no other piece and no other row of its own piece holds
-    seeds = written(marked.where("salt > 0 or r is null or rows > 1")
-                    .select("m", "r", F.coalesce((F.col("salt") == 0) & (F.col("total") > shard_segments), F.lit(False)).alias("large")),
-                    "substring-seeds")
-    large = seeds.where("large").select("m").distinct().withColumn("is_large", F.lit(True))
-    return (seeds.where("r is not null").select("m", "r").join(large, "m", "left")
+    seeds = written(marked.where("salt > 0 or r is null or rows > 1").select("m", "r", large.alias("large")), "substring-seeds")
+    marks = seeds.where("large").select("m").distinct().withColumn("is_large", F.lit(True))
+    return (seeds.where("r is not null").select("m", "r").join(marks, "m", "left")
             .select("m", "r", F.coalesce("is_large", F.lit(False)).alias("large")))
 
 
@@ -251,28 +268,26 @@ def _held_segments(batches: Iterable[pa.RecordBatch], span: int) -> Iterator[tup
 
 
 def _segment_rows(rows: DataFrame, seeds: DataFrame, firsts: DataFrame, span: int) -> DataFrame:
-    """``m, ch, doc_id, r, pos, n, words``: the segments of shared seeds; equal
-    ones of a piece carry their words once."""
+    """``m, ch, n, places, words``: the segments of shared seeds, equal ones of a piece as one row;
+    ``places``: its (doc_id, r, pos), 64 bits each."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, s, keep in _held_segments(batches, span):
             w = s.words
-            g = _grams(s.hashes, span)
-            seed, row, at, n = s.seed[keep], s.row[keep], s.at[keep], s.n[keep]
-            ch = mix(g[at] * _STEP + g[at + n - 1] + n.astype(np.uint64))
-            doc = batch.column("doc_id").to_numpy()[row]
-            order = np.lexsort((doc, ch, seed))
-            seed, row, at, n, ch, doc = (x[order] for x in (seed, row, at, n, ch, doc))
-            new = np.ones(len(seed), dtype=bool)
-            new[1:] = (seed[1:] != seed[:-1]) | (ch[1:] != ch[:-1])
-            last = at + n + span - 2
+            keep = keep[np.lexsort((s.content[keep], s.seed[keep]))]
+            seed, row, at, n, ch = s.seed[keep], s.row[keep], s.at[keep], s.n[keep], s.content[keep]
+            places = np.stack([batch.column("doc_id").to_numpy()[row], batch.column("r").to_numpy()[row], at - w.first[row]], axis=1)
+            heads = np.flatnonzero(_heads(seed, ch))
+            sizes = places.strides[0] * np.append(heads, len(seed))
+            packed = pa.Array.from_buffers(pa.binary(), len(heads), [
+                None, pa.py_buffer(sizes.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(places, dtype="<i8"))])
+            last = (at + n + span - 2)[heads]
             ends = w.start[last] + w.size[last]
-            words = [w.buffer[a:b] if f else None for f, a, b in zip(new.tolist(), w.start[at].tolist(), ends.tolist(), strict=True)]
+            words = [w.buffer[a:b] for a, b in zip(w.start[at[heads]].tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [_long(seed), _long(ch), pa.array(doc), pa.array(batch.column("r").to_numpy()[row]),
-                 pa.array((at - w.first[row]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(words, type=pa.binary())],
-                names=["m", "ch", "doc_id", "r", "pos", "n", "words"])
+                [_long(seed[heads]), _long(ch[heads]), pa.array(n[heads].astype(np.int32)), packed, pa.array(words, type=pa.binary())],
+                names=["m", "ch", "n", "places", "words"])
 
-    return _with_seeds(rows, seeds, firsts).mapInArrow(run, "m long, ch long, doc_id long, r long, pos int, n int, words binary")
+    return _with_seeds(rows, seeds, firsts).mapInArrow(run, "m long, ch long, n int, places binary, words binary")
 
 
 def repeated_in_shard(segments: list[tuple[int, int, bytes]], span: int) -> list[int]:
@@ -301,51 +316,54 @@ def repeated_in_shard(segments: list[tuple[int, int, bytes]], span: int) -> list
 
 def _shard_spans(segments: DataFrame, span: int) -> DataFrame:
     """``r, doc_id, pos, bits``: the repeated windows from window ``pos`` on, a bit each."""
-    placed = segments.repartition("m").sortWithinPartitions("m", "ch", "doc_id", "r", "pos")
+    placed = segments.repartition("m").sortWithinPartitions("m", "ch")
     names = ["r", "doc_id", "pos", "bits"]
+    one = 3 * 8  # bytes of a place
 
-    def shard(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-        """Rows (ch, doc_id, r, pos, n, words) of one seed, sorted."""
+    def shard(rows: list[tuple]) -> list[np.ndarray]:
+        """Rows (ch, n, places, words) of one seed, sorted."""
         distinct: list[tuple[int, int, bytes]] = []
-        high: list[int] = []
-        for ch, doc, _, _, _, words in rows:
-            if not distinct or distinct[-1][0] != ch:
-                distinct.append((ch, doc, b""))
-                high.append(doc)
-            high[-1] = doc
-            if words is not None and not distinct[-1][2]:
-                distinct[-1] = (ch, distinct[-1][1], words)
-        if len(distinct) == 1 and distinct[0][1] == high[0]:
-            return []
-        masks = dict(zip((d[0] for d in distinct), repeated_in_shard(distinct, span), strict=True))
-        least = {d[0]: d[1] for d in distinct}
-        out, last = [], None
-        for ch, doc, r, pos, n, _ in rows:
-            if (r, pos) == last:
-                continue  # a row given twice
-            last = (r, pos)
-            bits = (1 << n) - 1 if doc > least[ch] else masks[ch]
-            if bits:
-                out.append((r, doc, pos, bits))
+        held: list[tuple[int, np.ndarray]] = []
+        for i, (ch, n, _, words) in enumerate(rows):
+            if i and rows[i - 1][0] == ch:
+                continue
+            j = i + 1
+            while j < len(rows) and rows[j][0] == ch:
+                j += 1
+            places = np.frombuffer(b"".join([r[2] for r in rows[i:j]]), dtype="<i8").reshape(-1, 3)
+            if j > i + 1:
+                places = np.unique(places, axis=0)  # a row given twice, in two pieces
+            held.append((n, places))
+            distinct.append((ch, int(places[:, 0].min()), words))
+        out = []
+        for (n, places), (_, least, _), mask in zip(held, distinct, repeated_in_shard(distinct, span), strict=True):
+            bits = np.where(places[:, 0] > least, (1 << n) - 1, mask)
+            some = bits != 0
+            if some.any():
+                out.append(np.column_stack([places[some][:, [1, 0, 2]], bits[some]]))
         return out
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed, rows, out = None, [], []
+
+        def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found).T.copy()], names=names)
+
         for batch in batches:
             ms, *rest = (c.to_pylist() for c in batch.columns)
             for m, row in zip(ms, zip(*rest, strict=True), strict=True):
                 if m != seed:
-                    if len(rows) > 1:
+                    if len(rows) > 1 or rows and len(rows[0][2]) > one:
                         out += shard(rows)
                     seed, rows = m, []
                 rows.append(row)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+                yield batch_of(out)
                 out = []
-        if len(rows) > 1:
+        if len(rows) > 1 or rows and len(rows[0][2]) > one:
             out = shard(rows)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=names)
+            yield batch_of(out)
 
     return placed.mapInArrow(run, "r long, doc_id long, pos long, bits long")
 
@@ -369,13 +387,13 @@ def _window_spans(rows: DataFrame, seeds: DataFrame, firsts: DataFrame, span: in
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = SPAN,
-                   shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+                   shard_segments: int = SHARD_SEGMENTS, shard_places: int = SHARD_PLACES) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` (the kept words joined by one space) of every row."""
     if not 1 <= span <= 62:
         raise ValueError("a window has 1 to 62 words")
     rows = _rows(df, id_col, text)
     copies, firsts = copies_and_firsts(rows)
-    seeds = shared_seeds(rows, span, shard_segments)
+    seeds = shared_seeds(rows, span, shard_segments, shard_places)
     spans = _shard_spans(_segment_rows(rows, seeds.where("not large"), firsts, span), span)
     if not seeds.where("large").isEmpty():
         spans = spans.unionByName(_window_spans(rows, seeds.where("large"), firsts, span))
