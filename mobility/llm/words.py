@@ -9,6 +9,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from mobility.llm.common import binary_values
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -28,28 +30,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of the hashes' factor."""
-    out = np.full(n, _STEP, dtype=np.uint64)
-    if n:
-        out[0] = 1
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: Bytes that are hashed in one go; a longer word goes in several.
+_BLOCK = 1 << 17
+_UP = _powers(_STEP, _BLOCK)
+_DOWN = _powers(np.uint64(pow(int(_STEP), -1, 1 << 64)), _BLOCK)
+
+
 class Words:
-    """The words of the texts of a string column (null: no words).
+    """The words of the texts of a string column, or of a list of UTF-8 texts (null: no words).
 
     ``buffer``: the texts' bytes, each text followed by a space; ``start`` and
     ``size``: each word's bytes; ``first``: each text's first word, and the end;
     ``text_of``: each word's text.
     """
 
-    def __init__(self, column: pa.Array):
-        texts = column.cast(pa.binary()) if pa.types.is_string(column.type) else column.cast(pa.large_binary())
-        self.buffer = b" ".join([t or b"" for t in texts.to_pylist()]) + b" "
+    def __init__(self, column: pa.Array | list[bytes | None]):
+        texts = [t or b"" for t in (column if isinstance(column, list) else binary_values(column))]
+        self.buffer = b" ".join(texts) + b" "
         self.raw = np.frombuffer(self.buffer, dtype=np.uint8)
-        lengths = np.asarray(pa.compute.binary_length(texts).fill_null(0)).astype(np.int64) + 1
-        text_ends = np.cumsum(lengths)
+        text_ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
         space = _SPACE[self.raw]
         before = np.concatenate([[True], space[:-1]])
         self.start = np.flatnonzero(before & ~space)
@@ -61,16 +66,44 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        ends = np.cumsum(self.size)
-        # the words' bytes side by side, and each byte's place in its word
-        shift = np.repeat(self.start - (ends - self.size), self.size)
-        at = np.arange(ends[-1])
-        values = _BYTE[self.raw[at + shift]]
-        values *= powers(int(self.size.max()))[at - np.repeat(ends - self.size, self.size)]
-        return mix(np.add.reduceat(values, ends - self.size) + self.size.astype(np.uint64))
+        """A 64-bit hash of each word: of its bytes' values times rising powers, and its size."""
+        out = np.zeros(len(self.start), dtype=np.uint64)
+        ends = self.start + self.size
+        a = 0
+        while a < len(out):
+            low = int(self.start[a])
+            b = int(np.searchsorted(ends, low + _BLOCK, side="right"))
+            if b == a:  # one word longer than a block
+                value, power = 0, 1
+                for at in range(low, int(ends[a]), _BLOCK):
+                    part = _BYTE[self.raw[at: min(at + _BLOCK, int(ends[a]))]]
+                    value += power * int((part * _UP[: len(part)]).sum(dtype=np.uint64))
+                    power = power * pow(int(_STEP), _BLOCK, 1 << 64) % (1 << 64)
+                out[a] = value % (1 << 64)
+                a += 1
+                continue
+            # sums from the block's first byte on; what stands before a word is taken off, and its power
+            part = _BYTE[self.raw[low: int(ends[b - 1])]]
+            part *= _UP[: len(part)]
+            sums = np.empty(len(part) + 1, dtype=np.uint64)
+            sums[0] = 0
+            np.cumsum(part, out=sums[1:])
+            first = self.start[a:b] - low
+            out[a:b] = (sums[ends[a:b] - low] - sums[first]) * _DOWN[first]
+            a = b
+        return mix(out + self.size.astype(np.uint64))
+
+    def distinct(self) -> tuple[list[bytes], np.ndarray]:
+        """(the different words, each word's place among them)"""
+        import pandas as pd
+
+        if not len(self):
+            return [], np.zeros(0, dtype=np.int64)
+        code, _ = pd.factorize(self.hashes().view(np.int64))
+        first = np.full(int(code.max()) + 1, len(self), dtype=np.int64)
+        np.minimum.at(first, code, np.arange(len(self)))
+        buffer = self.buffer
+        return [buffer[a: a + n] for a, n in zip(self.start[first].tolist(), self.size[first].tolist(), strict=True)], code
 
     def joined(self, text: int, keep: np.ndarray | None = None) -> bytes:
         """The words of a text (those of ``keep``, a flag a word) joined by one space."""
