@@ -496,3 +496,16 @@ found AS (
     count(*) AS samples, (count(*) - 1) * 15 AS held_seconds
   FROM island GROUP BY rule, g)
 SELECT * FROM found WHERE held_seconds >= CASE rule WHEN 'no_recent_events' THEN 15 ELSE 30 END"""
+
+# Tables of the speed layer, read back (mobility.plans.stream_queries).
+ORACLES["stream_zone_windows"] = B(TELEMETRY, ZONE) + (
+    "SELECT * FROM zone_m WHERE window_end <= (SELECT max(event_ts) FROM lake) - INTERVAL 2 MINUTE")
+ORACLES["stream_vehicle_state"] = B(TELEMETRY, LATEST, EPISODES) + (
+    "SELECT l.vehicle_id, l.status, l.zone, l.last_event_ts, e.idle_since FROM latest l "
+    "LEFT JOIN episodes e ON e.vehicle_id = l.vehicle_id AND e.ended_at IS NULL")
+ORACLES["stream_dead_letters"] = ORACLES["dead_letters"]
+ORACLES["stream_ingest_counters"] = B(TELEMETRY) + """
+SELECT cast(sum(CASE WHEN corruption = 'none' THEN 1 ELSE 0 END) as bigint) AS valid_records,
+  cast(sum(CASE WHEN corruption <> 'none' THEN 1 ELSE 0 END) as bigint) AS invalid_records,
+  cast(0 as bigint) AS dropped_rows FROM telemetry"""
+ORACLES["appended_once"] = B(TELEMETRY) + "SELECT event_id, vehicle_id, status FROM lake"

@@ -28,7 +28,7 @@ from mobility.operators import windows as win
 from mobility.operators.ingest import dead_letters, decode_telemetry, valid_condition, valid_events
 from mobility.operators.state import ALERT_SEVERITY, ALERT_TYPE, IDLE_ALERT_MINUTES, iso_text
 from mobility.schema import TS
-from mobility.sinks.files import heartbeat
+from mobility.sinks.files import append_once, heartbeat
 from mobility.sinks.upsert import write_upsert_batch
 from mobility.streaming.metrics import IngestMetrics
 from mobility.streaming.state import vehicle_state_stream
@@ -170,6 +170,18 @@ def alert_table(rows: DataFrame, clock: SimClock) -> DataFrame:
     return alerts.groupBy(*keys).agg(F.min("open").alias("open"))
 
 
+LATE_SCHEMA = "vehicle_id string, status string, zone string, event_ts timestamp"
+
+
+def late_table(rows: DataFrame) -> DataFrame:
+    """Row 31: the events that the watermark had passed when they came."""
+    return rows.where(F.col("kind") == "late").select("vehicle_id", "status", "zone", F.col("last_event_ts").alias(TS))
+
+
+def late_path(cfg: StreamConfig) -> str:
+    return f"{cfg.vehicle_state.rstrip('/')}_late"
+
+
 def vehicle_state_query(valid: DataFrame, cfg: StreamConfig) -> StreamingQuery:
     """Row 27 on a stream: state rows and alerts, each to an upsert log."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -178,6 +190,7 @@ def vehicle_state_query(valid: DataFrame, cfg: StreamConfig) -> StreamingQuery:
             write_upsert_batch(batch.where(F.col("kind") == "state").drop("kind", "alert_at", "open"),
                                batch_id, cfg.vehicle_state)
             write_upsert_batch(alert_table(batch, cfg.clock), batch_id, cfg.alerts)
+            append_once(late_table(batch), late_path(cfg), f"vehicle_state-{batch_id}")
             _beat(batch, cfg, "vehicle_state", batch_id)
         finally:
             batch.unpersist()

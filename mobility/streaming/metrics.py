@@ -31,17 +31,26 @@ class IngestMetrics(StreamingQueryListener):
         self.spark, self.path, self.name = spark, path, name
         self.pending: queue.Queue = queue.Queue()
         self.errors: list[Exception] = []
+        self.ended: dict[str, threading.Event] = {}
+        self.names: dict[str | None, str] = {}
         self.thread = threading.Thread(target=self._write, daemon=True)
         self.thread.start()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self.ended[str(event.runId)] = threading.Event()
+        self.names[event.name] = str(event.runId)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        if (ended := self.ended.get(str(event.runId))) is not None:
+            ended.set()
+
+    def wait_for(self, name: str, seconds: float = 60.0) -> None:
+        """Wait until the end of the query of this name has been heard of: all its progress has come then."""
+        if (run := self.names.get(name)) is not None:
+            self.ended[run].wait(seconds)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress

@@ -13,6 +13,10 @@ retirement. Applied in order of (event time, offset), rows give what the batch f
   call agree. A run that alerted while open gets its closing row, ``open`` false, when it ends. Alerts are
   kept as an upsert log, the last row of an alert holds.
 
+Rows that come when the watermark has passed them are late and never applied. Those that the watermark of the batch before
+had passed too are dropped, and counted, by the engine; the others leave as rows of kind ``late`` (event time in
+``last_event_ts``) and are stored.
+
 Each call that brings rows also emits the vehicle's state as it is with the waiting
 rows applied, so the state table doesn't lag behind by the watermark. A vehicle silent for
 ``retention_days`` of event time (no alert pending) is forgotten: its next event is its first.
@@ -90,14 +94,25 @@ class VehicleProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterable[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = self._now()
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
         new: set[Row] = set()
+        late: list[Row] = []
         for pdf in rows:
             us = pdf[TS].astype("datetime64[us]").astype("int64")
             given = zip(us.tolist(), pdf["event_id"].tolist(), pdf["status"].tolist(), pdf["zone"].tolist(), strict=True)
-            new.update(r for r in map(Row._make, given) if not now.seen(r))
+            for r in map(Row._make, given):
+                if r.us <= watermark:
+                    late.append(r)
+                elif not now.seen(r):
+                    new.add(r)
+        if late:
+            yield pd.DataFrame([dict(kind="late", vehicle_id=key[0], status=r.status, zone=r.zone, last_event_ts=_ts(r.us),
+                                     idle_since=None, alert_at=None, open=None) for r in late], columns=OUTPUT_COLUMNS).astype(
+                {"idle_since": "datetime64[ns]", "alert_at": "datetime64[ns]"})
         if new:
             self.waiting.appendList([tuple(r) for r in sorted(new)])
-        yield from self._step(key[0], now, timerValues.getCurrentWatermarkInMs() * 1000, news=True)
+        if new or not late:
+            yield from self._step(key[0], now, watermark, news=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = self._now()._replace(timer=None)

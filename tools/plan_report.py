@@ -11,6 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from mobility.plans import stream_queries  # noqa: E402, F401
 from mobility.plans.queries import REGISTRY  # noqa: E402
 from mobility.session import build_session  # noqa: E402
 
