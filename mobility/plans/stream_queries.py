@@ -24,6 +24,8 @@ from mobility.streaming import app
 from mobility.streaming.metrics import IngestMetrics, read_metrics
 
 NOW = {"availableNow": True}
+#: Keyed state of this kind lives in RocksDB; a session made elsewhere may not say so.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PAYLOADS = "value string, ingest_ts timestamp, event_id long"
 
 
@@ -39,6 +41,7 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _config(spark: SparkSession, **kw) -> app.StreamConfig:
     root = shared_path(spark, "mobility-streams", uuid.uuid4().hex)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     names = ["lake", "dead_letters", "zone_metrics", "fleet_metrics", "vehicle_state", "alerts", "checkpoints"]
     return app.StreamConfig(clock=CLOCK, **{n: f"{root}/{n}" for n in names}, metrics=f"{root}/ingest_metrics",
                             archive_trigger=NOW, window_trigger=NOW, state_trigger=NOW, **kw)
