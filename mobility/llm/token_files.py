@@ -15,15 +15,16 @@ the rest go on to the next level. The number of set bits before a key's bit is
 its slot: one array access a level, no key stored. The fingerprint tells absent
 keys apart (but for one in 2**32).
 
-Rows are range-partitioned and sorted by key, so shards are disjoint key
-ranges and the whole order is ascending. Each task writes files of a name of
+Rows are range-partitioned and sorted by key, then by the text's first characters and its
+hash, so the whole order is ascending and a key of many rows lies in as many shards as it fills. A lookup goes to
+every shard whose range holds the key, in a task of that shard, and a shard's rows leave it in batches. Each task writes files of a name of
 its own and reports them in its manifest row; only rows of successful attempts
 reach the manifest, so files of lost or repeated tasks are never read.
 
 Defined cases: null text counts as empty; the end id follows every document,
-also an empty one; rows that repeat a key lie side by side in order of
-their text and all belong to the key's index entry; a null key is kept
-as the least key; an empty table gives an empty manifest. Other columns are
+also an empty one; a very long text is encoded whole; rows that repeat a key lie side by side in order of
+their text's first characters and all belong to the key; a null key is kept
+as the least key; an empty table gives an empty manifest. Other columns, whatever their names, are
 not stored.
 """
 from __future__ import annotations
@@ -32,6 +33,7 @@ import io
 import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,24 +42,55 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mobility.llm.bpe import BEYOND_LATIN1, PIECE_BYTES, byte_alphabet, read_vocabulary
+from mobility.llm.bpe import BEYOND_LATIN1, byte_alphabet, read_vocabulary
 from mobility.llm.common import binary_values, held, slices
+from mobility.llm.words import Words
 from mobility.session import shared_path
 
-#: Chunks and words that a worker keeps at most; it bounds memory and changes no result.
-CACHE_ENTRIES = 250_000
+#: Entries of one generation of a worker's tables of chunks and words; it bounds memory and changes no result.
+CACHE_ENTRIES = 300_000
+#: Marks that stand alone after a word's letters.
+ENDINGS = (b".", b",", b";", b":", b"!", b"?")
+#: Bytes of texts that are encoded in one piece: its different chunks are looked up once.
+ENCODED_BYTES = 4 << 20
+#: First characters by which rows of one key are ordered.
+PREFIX = 32
+#: Rows that a lookup hands on at once.
+READ_ROWS = 4096
 #: Stands for a null key.
 NULL_KEY = -(1 << 63)
 #: Bits per key of a level of the hash.
 GAMMA = 2.0
-MANIFEST = ("shard string, dtype string, first_key long, last_key long, n_rows long, n_ids long")
+MANIFEST = ("shard string, dtype string, first_key long, first_text string, first_hash long, last_key long, "
+            "n_rows long, n_ids long")
+
+
+class Generations:
+    """A table of two generations: when the new one is full it becomes the old one, and what
+    isn't asked for in the meantime goes with the old one before."""
+
+    def __init__(self, entries: int):
+        self.entries = entries
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        got = self.new.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.entries:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class LibraryEncoder:
-    """The tokenizers library, with a bounded table of chunks seen before.
+    """The tokenizers library, with bounded tables of the chunks and words seen lately.
 
     White space cuts a text into chunks that the library encodes one by one,
-    whatever surrounds them.
+    whatever surrounds them; the different chunks of a piece of texts are encoded once.
     """
 
     def __init__(self, spec: str):
@@ -73,37 +106,69 @@ class LibraryEncoder:
         self.marks = {t["content"].encode()[:2] for t in doc["added_tokens"]}
         self.alphabet = byte_alphabet()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
-        self.known_chunks: dict[bytes, bytes] = {}
-        self.known_words: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.chunks = Generations(CACHE_ENTRIES // 2)
+        self.words_seen = Generations(CACHE_ENTRIES)
+        self.endings = {m: self._chunk(m) for m in ENDINGS}
 
     def _word(self, word: str) -> bytes:
         mapped = "".join([self.alphabet[b] for b in word.encode()])
-        got = np.array([t.id for t in self.model.tokenize(mapped)], dtype=self.dtype).tobytes()
-        if len(self.known_words) < CACHE_ENTRIES and len(word) <= 64:
-            self.known_words[word] = got
+        got = array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        if len(word) <= 64:
+            self.words_seen.put(word, got)
         return got
 
+    def _letters(self, word: bytes) -> bytes:
+        """The ids of a word of letters of ASCII, which the pattern leaves whole."""
+        word = word.lower()
+        got = self.words_seen.get(word)
+        if got is None:
+            got = array(self.code, [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+            if len(word) <= 64:
+                self.words_seen.put(word, got)
+        return got
+
+    def _any(self, chunk: bytes) -> bytes:
+        """The ids of a chunk: most are a word, or a word and one mark."""
+        if chunk.isalpha():
+            return self._letters(chunk)
+        last = chunk[-1:]
+        if last in self.endings and chunk[:-1].isalpha():
+            return self._letters(chunk[:-1]) + self.endings[last]
+        got = self.chunks.get(chunk)
+        return self._chunk(chunk) if got is None else got
+
     def _chunk(self, chunk: bytes) -> bytes:
         if not BEYOND_LATIN1.search(chunk) and not any(m in chunk for m in self.marks):
             # up to U+00FF nothing composes, and lower case is one character for one
             text = chunk.decode().lower()
-            get, word = self.known_words.get, self._word
+            get, word = self.words_seen.get, self._word
             got = b"".join([get(w) or word(w) for w in self.words.findall(text)])
         else:
             ids = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
             got = np.array(ids, dtype=self.dtype).tobytes()
-        if len(self.known_chunks) < CACHE_ENTRIES and len(chunk) <= 64:
-            self.known_chunks[chunk] = got
+        if len(chunk) <= 64:
+            self.chunks.put(chunk, got)
         return got
 
+    def encode_all(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in this encoder's dtype, one after the other; the number of each text's)"""
+        plain = [t.lower() if t and not BEYOND_LATIN1.search(t) and not any(m in t for m in self.marks) else t for t in texts]
+        words = Words(plain)
+        chunks, code = words.distinct()
+        found = [self._any(c) for c in chunks]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.dtype.itemsize
+        pool = np.frombuffer(b"".join(found), dtype=self.dtype)
+        counts = sizes[code]
+        # each chunk's ids lie side by side in the pool; word by word they are copied from there
+        shift = (np.cumsum(sizes) - sizes)[code] - (np.cumsum(counts) - counts)
+        ids = pool[np.arange(int(counts.sum())) + np.repeat(shift, counts)]
+        ends = np.concatenate([[0], np.cumsum(counts)])[words.first]
+        return ids, np.diff(ends)
+
     def encode(self, text: bytes | None) -> bytes:
         """The ids of a text in this encoder's dtype."""
-        if not text:
-            return b""
-        if not BEYOND_LATIN1.search(text) and not any(m in text for m in self.marks):
-            text = text.lower()
-        get, chunk = self.known_chunks.get, self._chunk
-        return b"".join([get(c) or chunk(c) for c in text.split()])
+        return self.encode_all([text])[0].tobytes()
 
 
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -207,36 +272,43 @@ def _encoder(spec: str) -> LibraryEncoder:
     return held(("library", hash(spec)), lambda: LibraryEncoder(spec))
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or not path.startswith("/") else f"file://{path}"
+def _uri(spark: SparkSession, path: str) -> str:
+    """The path on the file system that the session's settings give it, whatever they are."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return "file://" + full[len("file:"):] if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def write_token_files(df: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text") -> str:
     """Encode ``text`` and write the shards, index files and manifest; returns their root."""
     spark = df.sparkSession
-    root = _uri(shared_path(spark, "mobility-llm", f"tokens-{uuid.uuid4().hex}"))
+    root = _uri(spark, shared_path(spark, "mobility-llm", f"tokens-{uuid.uuid4().hex}"))
     spec = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
+    t = F.col(f"`{text}`").cast("string")
+    order = ["k", "p", "h"]
     rows = (df.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL_KEY)).alias("k"),
-                      F.col(f"`{text}`").cast("string").alias("t"))
-            .repartitionByRange("k").sortWithinPartitions("k", "t"))
+                      F.left(F.coalesce(t, F.lit("")), F.lit(PREFIX)).alias("p"), F.xxhash64(t).alias("h"), t.alias("t"))
+            .repartitionByRange(*order).sortWithinPartitions(*order, "t"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder, first = None, None
         keys, lengths = [], []
         for whole in batches:
+            if not whole.num_rows:
+                continue
             if encoder is None:
                 encoder = _encoder(spec.value)
-                end = np.array([end_id], dtype=encoder.dtype).tobytes()
-                size = encoder.dtype.itemsize
+                first = [whole.column(c)[0].as_py() for c in range(3)]
                 fs, base = pafs.FileSystem.from_uri(root)
                 fs.create_dir(base, recursive=True)
                 shard = uuid.uuid4().hex
                 payload = fs.open_output_stream(f"{base}/{shard}.bin")
-            for batch in slices(whole, PIECE_BYTES, "t"):
-                docs = [encoder.encode(t) + end for t in binary_values(batch.column(1))]
-                payload.write(b"".join(docs))
+            for batch in slices(whole, ENCODED_BYTES, "t"):
+                ids, counts = encoder.encode_all(binary_values(batch.column(3)))
+                payload.write(np.insert(ids, np.cumsum(counts), end_id).tobytes())
                 keys.append(batch.column(0).to_numpy())
-                lengths.append(np.array([len(d) // size for d in docs], dtype=np.int64))
+                lengths.append(counts + 1)
         if encoder is None:
             return
         payload.close()
@@ -245,8 +317,8 @@ def write_token_files(df: DataFrame, vocabulary: str, end_id: int, key: str = "d
         with fs.open_output_stream(f"{base}/{shard}.idx") as f:
             f.write(index_bytes(all_keys, starts))
         yield pa.RecordBatch.from_pydict({
-            "shard": [shard], "dtype": [encoder.dtype.str], "first_key": [int(all_keys[0])],
-            "last_key": [int(all_keys[-1])], "n_rows": [len(all_keys)], "n_ids": [int(starts[-1])]})
+            "shard": [shard], "dtype": [encoder.dtype.str], "first_key": [first[0]], "first_text": [first[1]],
+            "first_hash": [first[2]], "last_key": [int(all_keys[-1])], "n_rows": [len(all_keys)], "n_ids": [int(starts[-1])]})
 
     rows.mapInArrow(run, MANIFEST).write.parquet(f"{root}/manifest")
     return root
@@ -259,20 +331,27 @@ def read_token_files(spark: SparkSession, root: str, keys: DataFrame, key: str =
     rows before, over all shards. Keys that aren't stored give no row.
     """
     # One small row a shard, as many as the write had tasks.
-    manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest").orderBy("first_key").collect()
-    firsts = np.array([m["first_key"] for m in manifest], dtype=np.int64)
+    manifest = spark.read.schema(MANIFEST).parquet(f"{root}/manifest").orderBy("first_key", "first_text", "first_hash").collect()
+    firsts, lasts = (np.array([m[c] for m in manifest], dtype=np.int64) for c in ("first_key", "last_key"))
     bases = np.concatenate([[0], np.cumsum([m["n_ids"] for m in manifest])]).astype(np.int64)
     shards = [(m["shard"], m["dtype"]) for m in manifest]
-    wanted = (keys.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL_KEY)).alias("k")).distinct()
-              .repartitionByRange("k").sortWithinPartitions("k"))
+    wanted = keys.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NULL_KEY)).alias("k")).distinct()
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each key with every shard whose range holds it."""
+        for batch in batches:
+            k = batch.column(0).to_numpy()
+            low, high = np.searchsorted(lasts, k, side="left"), np.searchsorted(firsts, k, side="right")
+            count = np.maximum(high - low, 0)
+            s = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array(np.repeat(k, count))], names=["s", "k"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, held = None, -1
         for batch in batches:
-            all_keys = batch.column(0).to_numpy()
-            place = np.searchsorted(firsts, all_keys, side="right") - 1
+            place, all_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             out: list[tuple[int | None, int, int, int]] = []
-            for s in np.unique(place[place >= 0]).tolist():
+            for s in np.unique(place).tolist():
                 if s != held:
                     if reader is not None:
                         reader.close()
@@ -283,11 +362,17 @@ def read_token_files(spark: SparkSession, root: str, keys: DataFrame, key: str =
                         ids = reader.ids(row)
                         out.append((None if k == NULL_KEY else k, int(bases[s] + reader.starts[row]), len(ids),
                                     zlib.crc32(ids.astype("<u4").tobytes())))
+                        if len(out) >= READ_ROWS:
+                            yield results(out)
+                            out = []
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=pa.int64()) for c in zip(*out, strict=True)],
-                    names=[key, "start", "n_tokens", "ids_crc32"])
+                yield results(out)
         if reader is not None:
             reader.close()
 
-    return wanted.mapInArrow(run, f"`{key}` long, start long, n_tokens long, ids_crc32 long")
+    def results(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*out, strict=True)],
+                                          names=[key, "start", "n_tokens", "ids_crc32"])
+
+    placed = wanted.mapInArrow(place, "s int, k long").repartitionByRange("s", "k").sortWithinPartitions("s", "k")
+    return placed.mapInArrow(run, f"`{key}` long, start long, n_tokens long, ids_crc32 long")
