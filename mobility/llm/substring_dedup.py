@@ -320,48 +320,48 @@ def _shard_spans(segments: DataFrame, span: int) -> DataFrame:
     names = ["r", "doc_id", "pos", "bits"]
     one = 3 * 8  # bytes of a place
 
-    def shard(rows: list[tuple]) -> list[np.ndarray]:
-        """Rows (ch, n, places, words) of one seed, sorted."""
+    def shard(rows: list[tuple], out: list[int]) -> None:
+        """Rows (ch, n, places, words) of one seed, sorted; adds what is repeated, four numbers a span."""
         distinct: list[tuple[int, int, bytes]] = []
-        held: list[tuple[int, np.ndarray]] = []
-        for i, (ch, n, _, words) in enumerate(rows):
-            if i and rows[i - 1][0] == ch:
-                continue
+        held: list[tuple[int, list[int]]] = []
+        i = 0
+        while i < len(rows):
+            ch, n, raw, words = rows[i]
             j = i + 1
             while j < len(rows) and rows[j][0] == ch:
                 j += 1
-            places = np.frombuffer(b"".join([r[2] for r in rows[i:j]]), dtype="<i8").reshape(-1, 3)
-            if j > i + 1:
-                places = np.unique(places, axis=0)  # a row given twice, in two pieces
+            places = memoryview(raw if j == i + 1 else b"".join([r[2] for r in rows[i:j]])).cast("q").tolist()
+            if j > i + 1 and len(set(zip(places[1::3], places[2::3], strict=True))) * 3 < len(places):
+                places = [x for place in sorted(set(zip(*(places[k::3] for k in range(3)), strict=True))) for x in place]  # given twice
             held.append((n, places))
-            distinct.append((ch, int(places[:, 0].min()), words))
-        out = []
+            distinct.append((ch, min(places[::3]), words))
+            i = j
         for (n, places), (_, least, _), mask in zip(held, distinct, repeated_in_shard(distinct, span), strict=True):
-            bits = np.where(places[:, 0] > least, (1 << n) - 1, mask)
-            some = bits != 0
-            if some.any():
-                out.append(np.column_stack([places[some][:, [1, 0, 2]], bits[some]]))
-        return out
+            whole = (1 << n) - 1
+            for doc, r, pos in zip(places[::3], places[1::3], places[2::3], strict=True):
+                bits = whole if doc > least else mask
+                if bits:
+                    out += (r, doc, pos, bits)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed, rows, out = None, [], []
 
-        def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found).T.copy()], names=names)
+        def batch_of(found: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(found[k::4], type=pa.int64()) for k in range(4)], names=names)
 
         for batch in batches:
             ms, *rest = (c.to_pylist() for c in batch.columns)
             for m, row in zip(ms, zip(*rest, strict=True), strict=True):
                 if m != seed:
                     if len(rows) > 1 or rows and len(rows[0][2]) > one:
-                        out += shard(rows)
+                        shard(rows, out)
                     seed, rows = m, []
                 rows.append(row)
             if out:
                 yield batch_of(out)
                 out = []
         if len(rows) > 1 or rows and len(rows[0][2]) > one:
-            out = shard(rows)
+            shard(rows, out)
         if out:
             yield batch_of(out)
 
