@@ -57,7 +57,7 @@ def op3_chat(spark, sf_dir):
     """Transcripts of all conversations, parsed by a model of those not held out."""
     raw = written(chat.raw_transcripts(table(spark, sf_dir, "conversations")), "transcripts")
     model = chat.learn(raw.where(~langid.held_out(raw["conv_id"])))
-    parsed = chat.format_transcripts(raw.select("conv_id", "part", "piece", "transcript"), model)
+    parsed = chat.format_conversations(raw, model)
     return parsed.select("conv_id", "part", "piece", "n_turns", F.array_join("roles", ",").alias("roles"), "chat")
 
 

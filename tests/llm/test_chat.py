@@ -74,3 +74,58 @@ def test_no_transcript_holds_more_rows_than_its_bound(spark):
     texts = [line[-9:] for i in range(11) for line in got[None, 0, i].transcript.split("\n") if "text" in line]
     assert texts == [f"text {i:04}" for i in range(700)]
     assert "before" in got[1, 0, 0].transcript[:40]
+
+
+def _score(model, seen, states):
+    if not states:
+        return 0
+    emitted = model.emissions(seen)
+    steps = sum(int(model.steps[a, b]) for a, b in zip(states, states[1:], strict=False))
+    return int(model.starts[states[0]]) + steps + sum(int(emitted[i, s]) for i, s in enumerate(states))
+
+
+def _whole(rows):
+    """{conv_id: transcript} of the pieces in order."""
+    out = {}
+    for r in sorted(rows, key=lambda r: (repr(r.conv_id), r.part, r.piece)):
+        out.setdefault(r.conv_id, []).append(r)
+    return out
+
+
+def test_long_conversations_equal_those_decoded_whole(spark, monkeypatch):
+    """Turns by the hundred, null ids and turns, blank and empty texts, lines that end in spaces: one chat, as if in one piece."""
+    import random
+    rng = random.Random(6)
+    _, model = _model(spark)
+    texts = ["yes", "Is it so?", "User: no", "", "  ", "two\nlines ", "a\n\nb", "### Response", "x " * 150, "Bot: fine  ", "\n\n", "<|im_end|>"]
+    rows = [(1, i, ["user", "assistant"][i % 2], f"{rng.choice(texts)}") for i in range(500)]
+    rows += [(2, i % 3, rng.choice(["system", "user", "assistant", None]), f"{rng.choice(texts)} {i}") for i in range(300)]
+    rows += [(None, None, rng.choice(["user", "assistant"]), f"{rng.choice(texts)}{i}") for i in range(200)]
+    rows += [(3, 0, "user", ""), (3, 64, "user", " "), (3, 128, "assistant", "Only this."), (3, 200, "user", "")] + [(4, 0, "user", "hello")]
+    rows += [(5, 0, "user", ""), (5, 70, "user", "  ")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    raw = op.raw_transcripts(df).cache()
+    same = 0
+    for pieces in (2, 4096):
+        monkeypatch.setattr(op, "BLOCK_PIECES", pieces)
+        got = _whole(op.format_conversations(raw, model).collect())
+        for conv, parts in _whole(raw.collect()).items():
+            lines = op.Lines("\n".join(p.transcript for p in parts))
+            spans = [op.Span.of(p.transcript, model) for p in parts]
+            states = [s for p, e in zip(parts, op.along(spans), strict=True) for s in op.piece_states(op.Lines(p.transcript), model, e)]
+            best = model.viterbi(lines.seen)
+            assert _score(model, lines.seen, states) == _score(model, lines.seen, best)  # as likely as any sequence of the whole
+            whole = op.turns_of(lines, states)
+            assert "".join(p.chat for p in got[conv]) == op.render(whole), conv
+            assert [r for p in got[conv] for r in p.roles] == [r for r, _ in whole]
+            assert sum(p.n_turns for p in got[conv]) == len(whole)
+            same += states == best
+    assert len(_whole(raw.collect())[1]) > 5 and same >= 8  # others are ties
+    assert op.format_conversations(raw.limit(0), model).count() == 0
+
+
+def test_markers_that_training_never_wrote(spark):
+    _, model = _model(spark)
+    text = "CUSTOMER: my parcel is late\n**Agent**: let me see\nit is on its way\n## Question\nwhen?\n[Model] tomorrow"
+    assert op.parse(text, model) == [("user", "my parcel is late"), ("assistant", "let me see\nit is on its way"),
+                                     ("user", "when?"), ("assistant", "tomorrow")]
