@@ -8,7 +8,9 @@ holding main text. Of all labellings in which nothing below a dropped node is
 kept, the likeliest is taken (dynamic programming from the leaves), so no
 node contradicts its ancestors. The text runs kept are the result.
 
-Training. ``sample_pages`` pages, about, are chosen by a hash of the id. Pages that mark
+Training. ``sample_pages`` different pages, about, are chosen by a hash of the id and the page, so one id on many rows
+brings no more than its share, and pages of over ``SAMPLE_NODES`` nodes are passed over: what the
+driver fits on is bounded. Pages that mark
 their article (``article``, ``main``, role main) label themselves: main text is what lies in it
 and in nothing that tag or attributes call something else. Each such page is learned
 three times: as it is; without tags and attribute words, so that the trees also
@@ -20,7 +22,8 @@ Text: character references decoded; white space in a block (between the
 borders of block elements and line breaks) becomes one space; blocks are
 trimmed and joined by ``\\n`` in page order. Comments, scripts, styles and markup never count.
 
-Defined cases: null and empty pages and pages without main text give ``""``; broken
+Defined cases: null and empty pages, an empty table's none, and pages without main text give ``""``; a very long page is
+read whole, in time linear in its length; ties (a node worth nothing either way) are dropped; broken
 markup is read as browsers do in the main (open paragraphs and list items close,
 stray end tags are ignored, a tag cut off at the end is dropped); repeated rows give repeated rows; other
 columns pass through, and columns named like an output give way to it.
@@ -40,6 +43,8 @@ from pyspark.sql import types as T
 from mobility.llm.common import binary_values, slices, with_replaced
 
 SAMPLE_PAGES = 300
+#: Nodes of a page that training learns from; larger pages of the sample are passed over.
+SAMPLE_NODES = 20_000
 TREES = 30
 DEPTH = 3
 RATE = 0.3
@@ -49,14 +54,22 @@ PIECE_BYTES = 4 << 20
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_OPEN_END = re.compile(r"<!--|<!\[CDATA\[")
 _CUT_OFF = re.compile(r"<[/a-zA-Z!?][^>]*\Z")
+_UNENDED = re.compile(r"(?:<!--|<!\[CDATA\[).*", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
-INLINE = frozenset(
+#: Elements that begin and end a block (and line breaks); all others, unknown names too, lie within a line.
+BLOCK = frozenset(
+    "address article aside blockquote body br caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure "
+    "footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
+    "search section summary table tbody td tfoot th thead title tr ul".split())
+#: Elements of a line that a slash before the bracket doesn't end.
+PHRASING = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset(
@@ -77,8 +90,8 @@ OTHER_TAGS = frozenset(
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent "
     "cookie cookies copyright disclaimer disqus footer form gdpr header login masthead menu modal nav navbar navigation "
-    "newsletter notice notification outbrain pager pagination popup promo promotion promoted recommended related "
-    "reply replies respond search share sharing shared sidebar signup skip social sponsor sponsored sponsors subscribe "
+    "feedback newsletter notice notification outbrain pager pagination popup promo promotion promoted recommended related "
+    "reply replies respond response search share sharing shared sidebar signup skip social sponsor sponsored sponsors subscribe "
     "subscription taboola toolbar tracking warning widget alert hidden".split())
 MAIN_TAGS = frozenset(["article", "main"])
 MAIN_WORDS = frozenset("article blog body content entry hentry main maincontent page post story text".split())
@@ -95,7 +108,7 @@ def attribute_cues(attributes: str) -> tuple[int, int]:
         if name in ("class", "id", "role"):
             for w in _WORD.findall(value):
                 w = w.lower()
-                other += w in OTHER_WORDS
+                other += w in OTHER_WORDS or w.removesuffix("s") in OTHER_WORDS
                 main += w in MAIN_WORDS
         elif name == "hidden" or name == "aria-hidden" and "true" in value or name == "style" and "none" in value and "display" in value:
             other += 1
@@ -149,7 +162,7 @@ class Page:
                 name, _ = stack.pop()
                 open_[name] -= 1
                 links -= name == "a"
-                ended |= name not in INLINE
+                ended |= name in BLOCK
             return ended
 
         def close(names: frozenset, barrier: frozenset) -> bool:
@@ -160,7 +173,9 @@ class Page:
                     break
             return False
 
-        for m in _TAG.finditer(text):
+        # No tag begins after the last bracket, so no search for its end runs through the text in vain.
+        last = text.rfind(">") + 1
+        for m in _TAG.finditer(text, 0, last):
             if m.start() < at:
                 continue  # inside an element of raw text
             if m.start() > at:
@@ -168,6 +183,8 @@ class Page:
             at = m.end()
             name = (m[2] or m[5] or "").lower()
             if not name:
+                if at == last and _OPEN_END.match(m[0]) and not m[0].endswith(("-->", "--!>", "]]>")):
+                    at = len(text)  # a comment that nothing ends
                 continue
             if m[1] or m[4]:
                 if open_.get(name):
@@ -176,7 +193,7 @@ class Page:
                             if pop(k):
                                 block, leaf = block + 1, 0
                             break
-                elif name not in INLINE:
+                elif name in BLOCK:
                     block, leaf = block + 1, 0
                 continue
             if name in RAW:
@@ -185,7 +202,7 @@ class Page:
                 open_[name] = open_.get(name, 0) + 1
                 stack.append((name, stack[-1][1]))
                 continue
-            if name not in INLINE:
+            if name in BLOCK:
                 block, leaf = block + 1, 0
                 if name in CLOSES_P and open_.get("p"):
                     close(frozenset(["p"]), frozenset(["td", "th", "button", "table"]))
@@ -203,14 +220,14 @@ class Page:
             other += name in OTHER_TAGS
             main += name in MAIN_TAGS
             node = stack[-1][1]
-            if name not in INLINE or other:
+            if name in BLOCK or other:
                 node = self._node(node, name, other, main)
-            if attributes.endswith("/") and name not in CLOSES_P and name not in INLINE:
+            if attributes.endswith("/") and name not in CLOSES_P and name not in PHRASING:
                 continue
             stack.append((name, node))
             open_[name] = open_.get(name, 0) + 1
             links += name == "a"
-        tail = _CUT_OFF.sub("", text[at:])
+        tail = _CUT_OFF.sub("", _UNENDED.sub("", text[at:]))
         say(tail)
 
     def texts(self, kept: np.ndarray) -> str:
@@ -383,14 +400,15 @@ def train(pages: DataFrame, id_col: str = "page_id", html: str = "html", sample_
     if not n:
         return UNTRAINED
     limit = min(1 << 30, -(-sample_pages * (1 << 30) // n))
-    sample = pages.where(F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(3)), F.lit(1 << 30)) < limit).select(
-        F.col(f"`{html}`").cast("string").alias("h"))
+    page = F.col(f"`{html}`").cast("string")
+    drawn = pages.select(page.alias("h"), F.xxhash64(F.col(f"`{id_col}`"), F.lit(3), page).alias("at"))
+    sample = drawn.where(F.pmod("at", F.lit(1 << 30)) < limit).dropDuplicates(["at"]).select("h")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h in binary_values(batch.column(0)):
                 page = Page((h or b"").decode("utf-8", "replace"))
-                y = page.labels()
+                y = page.labels() if len(page.parent) <= SAMPLE_NODES else None
                 if y is not None:
                     x = training_rows(page)
                     yield pa.RecordBatch.from_arrays(

@@ -72,3 +72,30 @@ def test_defined_cases(spark, model):
     assert {r.text for r in got.where("page_id <> 5").collect()} == {""}
     assert op.extract(df.limit(0), model).count() == 0
     assert op.train(df.limit(0)) is op.UNTRAINED and op.train(df) is op.UNTRAINED
+
+
+@pytest.mark.parametrize("inside", ['<div class="notices">', '<div class="sidebars">', '<section id="feedback">', '<div class="reader-responses">'])
+def test_what_lies_in_an_article_but_is_none_of_it(model, inside):
+    close = "</section>" if "section" in inside else "</div>"
+    page = (f"<html><body><article><h1>My title</h1><p>{'The first paragraph of an article. ' * 4}</p>{inside}"
+            f"<p>Something else that readers say or see</p>{close}<p>{'And a last one of it. ' * 5}</p></article></body></html>")
+    assert "Something else" not in op.main_text([page.encode()], model)[0]
+    assert op.main_text([page.encode()], model)[0].count("\n") == 2
+
+
+def test_elements_within_a_line_break_no_block(model):
+    line = ("one <my-tag>two</my-tag> three <ruby>four<rt>five</rt></ruby> <picture><img src=x></picture>six "
+            "<input value=y>seven <x-y:z>eight</x-y:z> <meter>nine</meter><br>ten")
+    page = (f"<html><body><article><h1>Title of the page</h1><p>{line} {'and more words of the text ' * 5}</p>"
+            f"<p>{'A second paragraph of the article. ' * 6}</p></article></body></html>")
+    got = op.main_text([page.encode()], model)[0].split("\n")
+    assert got[1] == "one two three fourfive six seven eight nine" and got[2].startswith("ten and more")
+
+
+def test_long_and_broken_markup_takes_linear_time(model):
+    import time
+    for text in ("<a " * 350_000, "<!-- " * 200_000, "<p" * 500_000, "<a \"" * 250_000, "<b>" * 100_000 + "x" + "</b>" * 100_000):
+        start = time.perf_counter()
+        op.main_text([text.encode()], model)
+        assert time.perf_counter() - start < 5
+    assert op.main_text([b"<article><p>" + b"Kept text of it. " * 20 + b"</p><!-- a > b"], model) == [("Kept text of it. " * 20).strip()]
