@@ -77,7 +77,7 @@ def test_stages_take_empty_tables_and_extra_columns(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(m[1]) for q in entry.queries() if (m := re.match(r"op(\d+)_", q)))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert len(cp.STAGES) == 5 and set(queries.ORACLES) == {"op2_line_dedup", "op9_url_filter"}
 
 
