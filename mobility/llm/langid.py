@@ -10,7 +10,8 @@ words. The prediction is the language with the greatest posterior under
 equal priors, and the score that posterior.
 
 Training reads a sample of the labelled rows: about ``sample_docs`` whole texts a
-language, chosen by a hash of the id (all texts of languages with fewer); its
+language, chosen by a hash of the id and the text, so one id on many rows brings no more than its share (all texts of
+languages with fewer; repeated rows once); its
 word counts are made by Spark, and each language's model is fitted in a task of
 its own on its counts. What is broadcast is bounded by pieces times languages.
 Prediction takes the text only. Words already scored are kept in a bounded table
@@ -18,7 +19,7 @@ per worker, new ones of an Arrow batch are scored together by NumPy.
 
 Defined cases: text that is null or has no letter gives ``und`` with score 0;
 letters outside all pieces have one small probability in every language; ties take the first language in
-order; labels may be null (not learned from); with no labelled row at all every
+order; a very long text counts whole, and so does a very long word; columns named like an output give way to it; labels may be null (not learned from); with no labelled row at all every
 prediction is ``und`` with score 0; ids may be null or repeat; an empty table gives no rows.
 """
 from __future__ import annotations
@@ -43,8 +44,8 @@ ROUNDS = 4
 FLOOR = 1e-8
 #: Weight that a language's fit gives to the mean of all languages' fits.
 SMOOTHING = 0.01
-#: Words of more letters are scored but not learned from.
-LONGEST_LEARNED = 100
+#: Letters of a word that are learned from together: a longer word is learned from in stretches, scored whole.
+STRETCH = 100
 CACHE_ENTRIES = 80_000
 PIECE_BYTES = 1 << 20
 MARK = "▁"
@@ -136,6 +137,50 @@ class Pieces:
             yield here
 
 
+LONG_WORD = 2000
+
+
+def _long_log_probability(word: str, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
+    """The forward sum of one long word: matches of each length at all places at once, then one
+    pass over the places that holds no more values than the longest piece has letters."""
+    codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = len(codes)
+    places, lengths, numbers = [], [], []
+    at, h = np.arange(n), np.zeros(n, dtype=np.uint64)
+    for length in range(1, min(pieces.longest, n) + 1):
+        inside = at + length <= n
+        at, h = at[inside], h[inside]
+        h = h * _BASE + codes[at + length - 1]
+        found = pieces.find(h)
+        hit = found >= 0 if length > 1 else np.ones(len(at), dtype=bool)
+        places.append(at[hit])
+        lengths.append(np.full(int(hit.sum()), length))
+        numbers.append(np.where(found[hit] >= 0, found[hit], len(pieces.pieces)))
+        go = found != -2
+        at, h = at[go], h[go]
+        if not len(at):
+            break
+    order = np.argsort(np.concatenate(places), kind="stable")
+    to = (np.concatenate(places) + np.concatenate(lengths))[order]
+    weight = probs[np.concatenate(numbers)[order]]
+    starts = np.searchsorted(np.concatenate(places)[order], np.arange(n + 1))
+    ring = pieces.longest + 1
+    alpha = np.zeros((ring, probs.shape[1]))
+    alpha[0] = 1.0
+    logs = np.zeros(probs.shape[1])
+    first, ends = starts.tolist(), (to % ring).tolist()
+    for i in range(n):
+        here = alpha[i % ring].copy()
+        alpha[i % ring] = 0.0
+        if i % 8 == 0:
+            alpha /= here
+            logs += np.log(here)
+            here = np.ones_like(here)
+        for k in range(first[i], first[i + 1]):
+            alpha[ends[k]] += here * weight[k]
+    return logs + np.log(alpha[n % ring])
+
+
 def _by_length(words: list[str]) -> dict[int, list[int]]:
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
@@ -155,6 +200,10 @@ def word_log_probabilities(words: list[str], pieces: Pieces, probs: np.ndarray)
     n_lang = probs.shape[1]
     out = np.zeros((len(words), n_lang))
     for n, members in _by_length(words).items():
+        if n > LONG_WORD:
+            for i in members:
+                out[i] = _long_log_probability(words[i], pieces, probs)
+            continue
         # about 8 MB of forward values at a time
         step = max(1, (1 << 20) // ((n + pieces.longest + 1) * max(1, n_lang)))
         for k in range(0, len(members), step):
@@ -234,12 +283,15 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     learn = docs.where(~held_out(F.col(id_col)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = learn.groupBy(F.col(lang).alias("l")).count()
-    share = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(5)), F.lit(1 << 20))
+    drawn = F.xxhash64(F.col(id_col).cast("string"), F.lit(5), F.col(text).cast("string"))
+    share = F.pmod(drawn, F.lit(1 << 20))
     limits = spark.createDataFrame(
         [(r["l"], min(1 << 20, -(-sample_docs * (1 << 20) // r["count"]))) for r in sizes.collect()],
         "__l string, __limit long")
     sample = learn.join(F.broadcast(limits), F.col(lang) == F.col("__l")).where(share < F.col("__limit"))
-    rows = sample.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"))
+    # A row given many times is drawn many times or never: it is learned from once.
+    rows = (sample.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"), drawn.alias("at"))
+            .dropDuplicates(["lang", "at"]).select("lang", "t"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -249,7 +301,7 @@ def training_words(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             for batch in slices(whole, PIECE_BYTES, "t"):
                 found: Counter = Counter()
                 for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    found.update((name, w) for w in pattern.findall(t.lower()) if len(w) <= LONGEST_LEARNED)
+                    found.update((name, w[k: k + STRETCH]) for w in pattern.findall(t.lower()) for k in range(0, len(w), STRETCH))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in found], type=pa.string()), pa.array([k[1] for k in found], type=pa.string()),
                      pa.array(list(found.values()), type=pa.int64())], names=["lang", "word", "n"])

@@ -78,3 +78,27 @@ def test_defined_cases(spark):
     assert op.predict(probe.limit(0), model).count() == 0
     empty = op.learn(df.where("lang is null"), VOCABULARY)
     assert {(r.lang_pred, r.score) for r in op.predict(probe, empty).collect()} == {("und", 0.0)}
+
+
+def test_long_words_are_scored_alike_and_in_linear_time(monkeypatch):
+    import time
+    names = ["a", "ab", "abc", "b", "bc", "c", "cab", "▁a", "▁"]
+    rng = np.random.default_rng(3)
+    probs, pieces = rng.uniform(0.01, 0.3, (len(names) + 1, 3)), op.Pieces(names)
+    words = ["▁" + "".join(rng.choice(list("abcx"), n)) for n in (1, 7, 30, 200)]
+    want = op.word_log_probabilities(words, pieces, probs)
+    assert np.allclose([op._long_log_probability(w, pieces, probs) for w in words], want)
+    start = time.perf_counter()
+    assert np.isfinite(op.word_log_probabilities(["▁" + "abcx" * 25_000], pieces, probs)).all()
+    assert time.perf_counter() - start < 10
+
+
+def test_the_sample_is_bounded_whatever_the_ids_and_learns_from_long_words(spark):
+    rows = [(None, f"text number {i} of many", "en") for i in range(600)] + [(7, "the same row again", "en")] * 600
+    rows += [(i, "x" * 300, "xx") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    words = {(r.lang, r.word): r.n for r in op.training_words(df, sample_docs=40).collect()}
+    drawn = words["en", "number"]
+    assert 5 <= drawn <= 80 and words.get(("en", "again"), 0) <= 1
+    held = {i for i in range(5) if zlib.crc32(str(i).encode()) % 3 == 1}
+    assert words["xx", "x" * 100] == 3 * (5 - len(held))
