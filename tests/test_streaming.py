@@ -1,6 +1,7 @@
 """Stream-equals-batch checks: time-ordered payload files,
 one per micro-batch, ``availableNow``, results read back from the sinks."""
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -237,6 +238,52 @@ def test_alerts_close_and_disorder_within_the_watermark_changes_nothing(spark, t
     assert log.where("open").join(log.where("not open"), keys, "left_semi").count() > 0  # some closed after they had opened
 
 
+def test_a_vehicle_with_many_rows_is_stored_in_few_elements(spark, tmp_path):
+    """Two micro-batches of a vehicle with more rows than an element holds: the batch rule's alerts and
+    last state, and as many updates of the state store as there are elements, not rows."""
+    import random
+
+    from mobility.streaming import state
+    rng = random.Random(5)
+    events, at = [], 0
+    for _ in range(2 * state.CHUNK + 300):
+        at += rng.choice([1, 5, 90])
+        events.append(("A", rng.choice(["idle", "idle", "idle", "enroute"]), at))
+    end = at + 600
+    first, second = events[:-100], events[-100:] + [("W", "enroute", end)]
+    batches = [first[::2] + first[1::2], second]
+    folder = _payload_files(tmp_path / "in", batches)
+    cfg = app.StreamConfig(clock=CLOCK, lake="", dead_letters="", zone_metrics="", fleet_metrics="", vehicle_state=str(tmp_path / "s"),
+                           alerts=str(tmp_path / "a"), checkpoints=str(tmp_path / "ck"), state_trigger={"availableNow": True})
+    query = app.vehicle_state_query(valid_events(_stream(spark, folder), keep=["event_id"]), cfg)
+    _run(query)
+    begun = next(p for p in query.recentProgress if p["numInputRows"])
+    assert begun["numInputRows"] == len(first) > state.CHUNK
+    assert begun["stateOperators"][0]["numRowsUpdated"] <= 2 + len(first) // state.CHUNK + 1
+
+    rows = spark.createDataFrame([(i, v, s, sec) for i, (v, s, sec) in enumerate(events)],
+                                 "event_id long, vehicle_id string, status string, sec long").withColumn(
+        "event_ts", F.timestamp_seconds(F.lit(CLOCK.epoch_us // 1_000_000) + F.col("sec")))
+    as_of = F.timestamp_seconds(F.lit(CLOCK.epoch_us // 1_000_000 + end - 120))
+    keys = ["alert_type", "vehicle_id", "message"]
+    want = st.idle_alerts(st.idle_episodes(rows), as_of, CLOCK).select(*keys, "created_at", "open").collect()
+    got = read_upsert_log(spark, cfg.alerts, keys).select(*keys, "created_at", "open").collect()
+    assert len(want) > 20 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+    last = read_upsert_log(spark, cfg.vehicle_state, ["vehicle_id"]).where("vehicle_id = 'A'").first()
+    assert (last.status, last.last_event_ts) == (events[-1][1], datetime(2024, 1, 1) + timedelta(seconds=events[-1][2]))
+
+
+def test_rows_applied_at_once_give_what_they_give_one_by_one():
+    from mobility.streaming.state import Row, Vehicle
+    for begin in (Vehicle(), Vehicle("idle", "z", 1, 1, 1, 1, True, 9), Vehicle("enroute", "z", 1, 1)):
+        for picks in range(3 ** 4):
+            rows = [Row(10 + i, i, ("idle", "enroute", "on_trip")[picks // 3 ** i % 3], "z") for i in range(4)][: picks % 5]
+            one = begin
+            for row in rows:
+                one = one.after(row)
+            assert begin.after_all(rows) == one
+
+
 def test_idle_threshold_is_a_setting(spark, tmp_path):
     folder = _payload_files(tmp_path / "in", [[("A", "idle", 0)], [("B", "enroute", 900)], [("B", "enroute", 1800)]])
     cfg = app.StreamConfig(clock=CLOCK, lake="", dead_letters="", zone_metrics="", fleet_metrics="", vehicle_state=str(tmp_path / "s"),
